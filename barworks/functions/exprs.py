@@ -21,9 +21,16 @@ def safe_div(num, den) -> Column:
     return F.try_divide(col(num), col(den))
 
 
+def round_scaled(c: Column, digits: int = 6) -> Column:
+    """round(x * 10^d) / 10^d on the binary double - the SQL engines' rounding,
+    so the output edge rounds identically on both sides of the oracle check."""
+    p = float(10 ** digits)
+    return F.round(c * p, 0) / p
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; used at the output edge of checked queries."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    return df.select(*[round_scaled(F.col(f.name), digits).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
 

@@ -1,0 +1,6 @@
+"""Registered queries: importing this package fills ``registry.QUERIES`` / ``ORACLES``."""
+
+from . import q_views, q_checks  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["QUERIES", "ORACLES"]
