@@ -193,3 +193,24 @@ FROM summary"""
 def validation_report(spark, sf_dir):
     """V27 totals."""
     return V.validation_report(_summary(spark, sf_dir))
+
+
+def validation_ctes(src: str, p: str) -> list[tuple[str, str]]:
+    """CTEs ``{p}iss`` (issues), ``{p}sum`` (V26 summary) and ``{p}grade`` (A1) of ``src``."""
+    body, extra = issues_sql(src, ("struct", "price", "missing"))
+    ren = {"enr2": f"{p}enr2", "enr": f"{p}enr", "agg": f"{p}agg"}
+
+    def r(sql: str) -> str:
+        for old in ("enr2", "enr", "agg"):
+            sql = sql.replace(f"FROM {old}", f"FROM __{old}__")
+        for old, new in ren.items():
+            sql = sql.replace(f"FROM __{old}__", f"FROM {new}")
+        return sql
+
+    out = [(ren[n], r(s)) for n, s in extra]
+    out.append((f"{p}iss", r(body)))
+    summ = (_SUMMARY_SQL.replace("FROM agg a", f"FROM {p}agg a")
+            .replace("FROM all_issues", f"FROM {p}iss"))
+    out.append((f"{p}sum", summ))
+    out.append((f"{p}grade", _GRADE_SQL.replace("FROM summary", f"FROM {p}sum")))
+    return out
