@@ -1,6 +1,6 @@
 """Registered queries: importing this package fills ``registry.QUERIES`` / ``ORACLES``."""
 
-from . import q_views, q_checks, q_clean, q_reconcile  # noqa: F401
+from . import q_views, q_checks, q_clean, q_reconcile, q_quality  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -15,6 +15,23 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if is HUGEINT; Spark's is bigint - cast it in the oracle."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _bigint_counts(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + "CAST(count_if(" + inner + ") AS BIGINT)")
+        i = k
+
+
 def round_sql(body: str, doubles: str) -> str:
     """Round the named double columns to 6 digits, as ``rounded`` does in Spark."""
     cols = doubles.split()
@@ -35,6 +52,6 @@ def query(name: str, sql: str | None = None, ctes: tuple[str, ...] = (),
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = round_sql(with_ctes(sql, *ctes, extra=extra), doubles)
+            ORACLES[name] = round_sql(_bigint_counts(with_ctes(sql, *ctes, extra=extra)), doubles)
         return fn
     return deco

@@ -241,3 +241,17 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.select((F.col("user_id") + TOKEN_OFFSET).alias("instrument_token"),
                     F.concat(F.lit("S"), "user_id").alias("tradingsymbol"),
                     F.lit("NSE").alias("exchange"))
+
+
+# Market-cap segment of a mapped symbol S<n> by n % 3.
+SEGMENTS = ("large_cap", "mid_cap", "small_cap")
+
+
+def segment_of(symbol: str = "symbol") -> Column:
+    n = F.substring(F.col(symbol), 2, 32).cast("bigint") % 3
+    return F.when(n == 0, SEGMENTS[0]).when(n == 1, SEGMENTS[1]).otherwise(SEGMENTS[2])
+
+
+def both_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primary and secondary vendor bars in one frame (``source`` tells them apart)."""
+    return vendor_a(spark, sf_dir).unionByName(bars_b(spark, sf_dir))
