@@ -240,7 +240,7 @@ def non_numeric_columns(landed: DataFrame, keys: Sequence[str] = ("symbol",),
     """V4 on landed text columns: values present that do not parse as numbers."""
     present = [c for c in cols if c in landed.columns]
     agg = landed.groupBy(*keys).agg(*[
-        F.count_if(F.col(c).isNotNull() & F.try_cast(F.col(c), "double").isNull()).alias(c)
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(c)
         for c in present])
     items = F.array(*[F.when(_c(c) > 0, F.struct(
         F.lit("invalid_data_type").alias("issue_type"), F.lit("warning").alias("severity"),
