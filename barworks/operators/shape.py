@@ -115,9 +115,13 @@ def coerce_dropna(df: DataFrame, numeric: Sequence[str] = ("open", "high", "low"
 def flatten_quotes(q: DataFrame) -> DataFrame:
     """P5: quote records with a nested ``ohlc`` struct -> flat row, missing -> 0."""
     z = F.lit(0.0)
+    has = "ohlc" in q.columns
+
+    def part(c):
+        return F.coalesce(F.col(f"ohlc.{c}"), z) if has else z
     return q.select("symbol", "ts",
                     F.coalesce(F.col("last_price"), z).alias("last_price"),
-                    *[F.coalesce(F.col(f"ohlc.{c}"), z).alias(c) for c in ("open", "high", "low", "close")],
+                    *[part(c).alias(c) for c in ("open", "high", "low", "close")],
                     F.coalesce(F.col("volume"), z).alias("volume"))
 
 
