@@ -268,3 +268,46 @@ def validation_report(summary: DataFrame) -> DataFrame:
         F.sum("error_issues").alias("error_issues"),
         F.sum("warning_issues").alias("warning_issues"),
         F.sum("info_issues").alias("info_issues"))
+
+
+# Defaults of the integrity check.
+INTEGRITY_MIN_ROWS = 20
+INTEGRITY_MAX_MISSING = 0.05
+INTEGRITY_JUMP = 0.20
+INTEGRITY_COLUMNS = ("open", "high", "low", "close", "volume")
+
+
+def integrity(bars: DataFrame, keys: Sequence[str] = ("symbol", "source"),
+              order: Sequence[str] = ("date", "load_seq"), min_rows: int = INTEGRITY_MIN_ROWS,
+              max_missing: float = INTEGRITY_MAX_MISSING, bucket: Column | None = None) -> DataFrame:
+    """V30 per (symbol, source): rows (>= min_rows), duplicate rows (2nd and
+    later copies of an identical (date, OHLCV) row), missing cells as a share
+    of rows x columns, and per price column the jumps > 20% of the padded
+    percent change.  Invalid when a column is absent, rows are too few or the
+    missing share exceeds ``max_missing``."""
+    from ..functions.series import fill
+    cols = [c for c in INTEGRITY_COLUMNS if c in bars.columns]
+    dups = (bars.groupBy(*keys, "date", *cols).agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy(*keys).agg(F.sum(F.col("_n") - 1).alias("duplicate_count")))
+    f = fill(bars, keys, order, {"_ff_" + c: _c(c) for c in PRICE_COLUMNS}, "forward", bucket)
+    f = with_prev(f, keys, order, ["_ff_" + c for c in PRICE_COLUMNS], bucket)
+
+    def jump(c):
+        x, p = _c("_ff_" + c), _c("prev__ff_" + c)
+        chg = F.when(p == 0, F.when(x != 0, F.lit(float("inf")))).otherwise(F.abs(x / p - 1))
+        return F.count_if(chg > INTEGRITY_JUMP).alias("jumps_" + c)
+    nulls = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    agg = f.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(nulls).cast("bigint").alias("missing_value_count"),
+        F.least(*[F.count(c) for c in cols]).alias("_min_present"),
+        *[jump(c) for c in PRICE_COLUMNS])
+    out = agg.join(dups, list(keys), "left")
+    share = out["missing_value_count"] / (out["row_count"] * len(cols))
+    return out.select(
+        *keys, "row_count", (F.col("row_count") >= min_rows).alias("enough_rows"),
+        F.coalesce("duplicate_count", F.lit(0)).cast("bigint").alias("duplicate_count"),
+        "missing_value_count", share.alias("missing_share"),
+        *[F.col("jumps_" + c) for c in PRICE_COLUMNS],
+        ((F.col("_min_present") > 0) & (F.col("row_count") >= min_rows)
+         & (share <= max_missing)).alias("is_valid"))
