@@ -223,7 +223,8 @@ def clean_bars(df: DataFrame, keys=KEYS, order=ORDER, bucket: Column | None = No
     for ref in ("open", "close"):
         out = out.withColumn("low", F.when(F.col("low") > F.col(ref), F.col(ref))
                              .otherwise(F.col("low")))
-    out = _volume_to_median(out, keys)
+    if "volume" in out.columns:
+        out = _volume_to_median(out, keys)
     return keep_first(out, [*keys, "date"], "load_seq")
 
 
