@@ -99,9 +99,10 @@ def discrepancy_report(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLE
          .when(disc, REC_PRIMARY).otherwise(REC_AGREE).alias("recommendation"))
 
 
-def grades(bars: DataFrame, strict: bool = False) -> DataFrame:
-    """(symbol, source, quality, is_valid, counts) for every (symbol, source)."""
-    return V.grade(V.summarize(V.validate_bars(bars), strict=strict))
+def grades(bars: DataFrame, strict: bool = False,
+           keys: tuple[str, ...] = ("symbol", "source")) -> DataFrame:
+    """(keys, quality, is_valid, counts) for every (symbol, source)."""
+    return V.grade(V.summarize(V.validate_bars(bars, keys=keys), keys=keys, strict=strict))
 
 
 def _rank(q: Column) -> Column:
@@ -112,11 +113,17 @@ def _rank(q: Column) -> Column:
 
 
 def _graded_pair(primary: DataFrame, secondary: DataFrame) -> DataFrame:
-    ga = grades(primary).select("symbol", F.col("source").alias("src_a"),
-                                F.col("quality").alias("q_a"), F.col("is_valid").alias("ok_a"))
-    gb = grades(secondary).select("symbol", F.col("source").alias("src_b"),
-                                  F.col("quality").alias("q_b"), F.col("is_valid").alias("ok_b"))
-    return ga.join(gb, "symbol", "full")
+    """Grade both vendors in ONE validation pass (a side tag joins the key so
+    equal source names cannot merge), then fold each symbol's two grades into
+    one row with a conditional aggregate over the small graded table."""
+    both = (primary.withColumn("_side", F.lit(0))
+            .unionByName(secondary.withColumn("_side", F.lit(1)), allowMissingColumns=True))
+    g = grades(both, keys=("symbol", "source", "_side"))
+    pick = lambda side, c: F.max(F.when(F.col("_side") == side, F.col(c)))
+    return g.groupBy("symbol").agg(
+        pick(0, "source").alias("src_a"), pick(0, "quality").alias("q_a"),
+        pick(0, "is_valid").alias("ok_a"), pick(1, "source").alias("src_b"),
+        pick(1, "quality").alias("q_b"), pick(1, "is_valid").alias("ok_b"))
 
 
 def select_preferred(primary: DataFrame, secondary: DataFrame) -> DataFrame:
@@ -150,13 +157,20 @@ def select_redundant(primary: DataFrame, secondary: DataFrame) -> DataFrame:
 
 def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear") -> DataFrame:
     """Choose per symbol (J3), impute the fair/poor choices (C26),
-    re-validate and re-grade them; everything else passes through."""
+    re-validate and re-grade them; everything else passes through.
+
+    The chosen bars feed three branches and the imputed subset two, so both
+    are written once as reliable checkpoints (the shared folder named by
+    ``spark.checkpoint.dir``): the plan stays small and a lost executor
+    recomputes from the checkpoint, not from the raw scans."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(primary.sparkSession)
     sel = select_preferred(primary, secondary)
     both = primary.unionByName(secondary, allowMissingColumns=True)
-    chosen = both.join(sel, ["symbol", "source"], "inner")
+    chosen = both.join(sel, ["symbol", "source"], "inner").checkpoint()
     weak = F.col("quality").isin("fair", "poor")
     keep = chosen.filter(~weak).withColumn("imputed", F.lit(False))
-    fix = tiered_impute(chosen.filter(weak).drop("quality"), method)
+    fix = tiered_impute(chosen.filter(weak).drop("quality"), method).checkpoint()
     regrade = grades(fix).select("symbol", "source", "quality")
     fixed = fix.join(regrade, ["symbol", "source"], "left").withColumn("imputed", F.lit(True))
     return keep.unionByName(fixed)
@@ -164,7 +178,9 @@ def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear
 
 def fetch_stats(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """A2: per source (and overall) requests, successes, validated, rates (0-safe)."""
-    log = grades(primary).unionByName(grades(secondary)).select(
+    both = (primary.withColumn("_side", F.lit(0))
+            .unionByName(secondary.withColumn("_side", F.lit(1)), allowMissingColumns=True))
+    log = grades(both, keys=("symbol", "source", "_side")).select(
         "source", (F.col("data_rows") > 0).alias("ok"), F.col("is_valid"))
     per = log.groupBy("source").agg(F.count(F.lit(1)).alias("requests"),
                                     F.count_if("ok").alias("successes"),

@@ -95,8 +95,10 @@ def error_pattern(error_type: str | Column, message: str | Column) -> Column:
     """A27 key: type + ':' + the first five whitespace-separated words."""
     msg = F.col(message) if isinstance(message, str) else message
     t = F.col(error_type) if isinstance(error_type, str) else error_type
-    words = F.split(F.regexp_replace(msg, r"^\s+|\s+$", ""), r"\s+")
-    return F.concat(t, F.lit(":"), F.array_join(F.slice(words, 1, PATTERN_WORDS), " "))
+    # the first five whitespace-separated words, re-joined by single blanks
+    # (one anchored regex; no array of every word of a long message)
+    head = F.regexp_extract(msg, r"^\s*(\S+(?:\s+\S+){0,%d})" % (PATTERN_WORDS - 1), 1)
+    return F.concat(t, F.lit(":"), F.regexp_replace(head, r"\s+", " "))
 
 
 def error_patterns(log: DataFrame, top: int = TOP_PATTERNS) -> DataFrame:
