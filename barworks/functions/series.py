@@ -128,3 +128,29 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    .when(n.isNull(), p.v)
                    .otherwise(line))
     return b.withColumns(out).drop("_pos", *["_p_" + c for c in cols], *["_n_" + c for c in cols])
+
+
+def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int,
+            build, bucket: Column | None = None, block: int | None = None) -> DataFrame:
+    """Row-bounded windows (``rowsBetween(-lookback, 0)``, ``lag(k <= lookback)``)
+    that stay parallel for hot keys.
+
+    ``build(w)`` returns ``{name: Column}`` computed over the window spec
+    ``w``.  With ``block`` set, each series is cut into fixed-size blocks of
+    row positions and every block is prefixed with the ``lookback`` rows
+    before it (a halo, duplicated from the previous block), so a task holds
+    at most ``block + lookback`` rows; halo rows are dropped afterwards.
+    Exact: every kept row sees the same frame as in one window per key.
+    Without ``block`` it is one window per key."""
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
+        return df.withColumns(build(w))
+    if block <= lookback:
+        raise ValueError("block must exceed the lookback")
+    b = with_position(df, keys, order, "_rpos", bucket)
+    b = b.withColumn("_blk", F.floor((F.col("_rpos") - 1) / block)).withColumn("_halo", F.lit(False))
+    halo = (b.filter((F.col("_rpos") - 1) % block >= block - lookback)
+             .withColumn("_blk", F.col("_blk") + 1).withColumn("_halo", F.lit(True)))
+    u = b.unionByName(halo)
+    w = Window.partitionBy(*keys, "_blk").orderBy("_rpos")
+    return u.withColumns(build(w)).filter(~F.col("_halo")).drop("_rpos", "_blk", "_halo")

@@ -50,12 +50,15 @@ def strategies() -> list[str]:
 
 
 def momentum(bars: DataFrame, lookback: int = MOMENTUM_LOOKBACK,
-             threshold: float = MOMENTUM_THRESHOLD) -> DataFrame:
+             threshold: float = MOMENTUM_THRESHOLD, bucket=None, block: int | None = None) -> DataFrame:
     """close / close ``lookback`` rows earlier - 1; +1 above the threshold,
     -1 below its negative, else 0; confidence = min(|r| / 0.1, 1)."""
-    w = Window.partitionBy("symbol").orderBy("date")
-    r = F.try_divide(F.col("close"), F.lag("close", lookback).over(w)) - 1
-    b = bars.select("symbol", "date", "close", r.alias("momentum"))
+    from .series import rolling
+
+    def build(w):
+        return {"momentum": F.try_divide(F.col("close"), F.lag("close", lookback).over(w)) - 1}
+    b = rolling(bars.select("symbol", "date", "close"), ["symbol"], ["date"], lookback, build,
+                bucket, block)
     m = F.col("momentum")
     return b.select("*", F.when(m > threshold, 1).when(m < -threshold, -1).otherwise(0).alias("signal"),
                     F.when(m.isNotNull(), F.least(F.abs(m) / CONFIDENCE_SCALE, F.lit(1.0)))
@@ -74,4 +77,5 @@ def momentum_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 register_strategy("momentum", momentum)
+register_strategy("momentum_split", lambda b: momentum(b, bucket=F.date_trunc("week", "date"), block=16))
 register_strategy("momentum_pandas", momentum_pandas, SIGNAL_SCHEMA)

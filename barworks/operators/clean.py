@@ -248,12 +248,17 @@ def clean_pipeline(df: DataFrame, method: str = "forward_fill", outliers: str |
 
 # -- tiered imputer (C26-C31) ----------------------------------------------
 
-def volume_rolling_median(df: DataFrame, keys=KEYS, order=ORDER, rows: int = VOLUME_MEDIAN_ROWS) -> DataFrame:
+def volume_rolling_median(df: DataFrame, keys=KEYS, order=ORDER, rows: int = VOLUME_MEDIAN_ROWS,
+                          bucket: Column | None = None, block: int | None = None) -> DataFrame:
     """NULL volume -> median of the last ``rows`` rows including the current
-    one (NULLs skipped).  The frame is bounded, so per-row work is O(rows)."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    return df.withColumn("volume", F.coalesce(F.col("volume"),
-                                              F.percentile("volume", 0.5).over(w)))
+    one (NULLs skipped).  The frame is bounded, so per-row work is O(rows);
+    ``block`` adds the halo split for hot symbols."""
+    from ..functions.series import rolling
+
+    def build(w):
+        return {"volume": F.coalesce(F.col("volume"),
+                                     F.percentile("volume", 0.5).over(w.rowsBetween(-(rows - 1), 0)))}
+    return rolling(df, keys, order, rows - 1, build, bucket, block)
 
 
 def cross_source_fill(primary: DataFrame, reference: DataFrame,

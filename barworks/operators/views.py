@@ -35,27 +35,29 @@ def daily_returns(bars: DataFrame, as_of: Column, years: int = 2,
 
 
 def risk_metrics(bars: DataFrame, as_of: Column, lookback_days: int = 252,
-                 out_days: int = 30, window_rows: int = 252,
-                 parity: bool = False) -> DataFrame:
+                 out_days: int = 30, window_rows: int = 252, parity: bool = False,
+                 bucket: Column | None = None, block: int | None = None) -> DataFrame:
     """Per symbol and day over the last ``lookback_days`` of returns:
     annualised volatility, 5% VaR, annualised return and Sharpe, rolling over
     ``window_rows`` rows; last ``out_days`` kept.  ``parity=True`` gives the
-    reference's constant placeholders (0.16, -0.05, 0.08)."""
+    reference's constant placeholders (0.16, -0.05, 0.08).  ``bucket`` /
+    ``block`` switch to the split plan (segmented lag + halo blocks)."""
+    from ..functions.series import rolling
     b = bars.filter(F.col("date") >= F.date_sub(as_of, lookback_days))
-    w = Window.partitionBy("symbol").orderBy("date")
-    r = b.select("symbol", "date",
-                 safe_div(F.col("close") - F.lag("close").over(w), F.lag("close").over(w))
+    b = with_prev(b, ["symbol"], ["date"], ["close"], bucket)
+    r = b.select("symbol", "date", safe_div(F.col("close") - F.col("prev_close"), "prev_close")
                  .alias("daily_return")).filter(F.col("daily_return").isNotNull())
     if parity:
         r = r.select("symbol", "date", F.lit(0.16).alias("annualized_volatility"),
                      F.lit(-0.05).alias("var_95"), F.lit(0.08).alias("annualized_return"))
     else:
-        rw = w.rowsBetween(-(window_rows - 1), 0)
-        r = r.select("symbol", "date",
-                     (F.stddev_samp("daily_return").over(rw) * F.sqrt(F.lit(252.0)))
-                     .alias("annualized_volatility"),
-                     F.percentile("daily_return", 0.05).over(rw).alias("var_95"),
-                     (F.avg("daily_return").over(rw) * 252).alias("annualized_return"))
+        def build(w):
+            rw = w.rowsBetween(-(window_rows - 1), 0)
+            return {"annualized_volatility": F.stddev_samp("daily_return").over(rw) * F.sqrt(F.lit(252.0)),
+                    "var_95": F.percentile("daily_return", 0.05).over(rw),
+                    "annualized_return": F.avg("daily_return").over(rw) * 252}
+        r = rolling(r, ["symbol"], ["date"], window_rows - 1, build, bucket, block) \
+            .select("symbol", "date", "annualized_volatility", "var_95", "annualized_return")
     return (r.filter(F.col("date") >= F.date_sub(as_of, out_days))
              .withColumn("sharpe_ratio", safe_div("annualized_return", "annualized_volatility")))
 

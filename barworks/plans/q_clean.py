@@ -204,6 +204,15 @@ def volume_rolling_median(spark, sf_dir):
     return C.volume_rolling_median(fx.vendor_a(spark, sf_dir))
 
 
+@query("volume_rolling_median_split", _ROLL.format(src="vendor_a"), ("vendor_a",), doubles=D)
+def volume_rolling_median_split(spark, sf_dir):
+    """C31 on the halo-block plan: 12-row blocks, each prefixed with the 9
+    rows before it, so the fixture crosses block boundaries."""
+    from pyspark.sql import functions as F
+    return C.volume_rolling_median(fx.vendor_a(spark, sf_dir), bucket=F.date_trunc("week", "date"),
+                                   block=12)
+
+
 @query("cross_source_fill", "SELECT a.* REPLACE (" + ", ".join(
     f"coalesce(a.{c}, b.{c}) AS {c}" for c in PRICES) +
     ") FROM vendor_a a LEFT JOIN bars_b b USING (symbol, date)", ("vendor_a", "bars_b"), doubles=D)

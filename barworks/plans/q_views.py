@@ -68,6 +68,15 @@ def risk_metrics(spark, sf_dir):
     return Vw.risk_metrics(b, Vw.latest(b, "date"))
 
 
+@query("risk_metrics_split", _RISK_SQL, ("bars",),
+       doubles="annualized_volatility var_95 annualized_return sharpe_ratio")
+def risk_metrics_split(spark, sf_dir):
+    """W3 on the split plan: weekly segments for the lag, 16-row halo blocks
+    for the 252-row rolling frame (tiny blocks so the fixture crosses many)."""
+    b = fx.bars(spark, sf_dir)
+    return Vw.risk_metrics(b, Vw.latest(b, "date"), bucket=F.date_trunc("week", "date"), block=300)
+
+
 @query("strategy_metrics", """
 SELECT strategy_id, symbol, CAST(backtest_date AS DATE) AS date,
        avg(sharpe_ratio) AS avg_sharpe_ratio, avg(total_return) AS avg_total_return,

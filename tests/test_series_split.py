@@ -45,3 +45,14 @@ def test_first_n_matches_window(spark):
     w = Window.partitionBy("symbol").orderBy("v", "t")
     exp = df.withColumn("rank", F.row_number().over(w)).filter("rank <= 5")
     _same(got, exp, ["v", "rank"])
+
+
+def test_rolling_halo_blocks_equal_plain(spark):
+    df = _series(spark, 3, 150)
+
+    def build(w):
+        return {"m": F.percentile("v", 0.5).over(w.rowsBetween(-6, 0)),
+                "l": F.lag("v", 7).over(w), "s": F.sum("v").over(w.rowsBetween(-7, 0))}
+    plain = S.rolling(df, ["symbol"], ["t"], 7, build)
+    split = S.rolling(df, ["symbol"], ["t"], 7, build, bucket=F.floor(F.col("t") / 20), block=9)
+    _same(plain, split, ["m", "l", "s"])
