@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS
-from ..functions.series import fill, interpolate_linear
+from ..functions.series import fill, interpolate_linear, interpolate_local
 
 KEYS = ("symbol",)
 ORDER = ("date", "load_seq")
@@ -66,6 +66,17 @@ def fill_linear(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, o
     return interpolate_linear(df, keys, order, _present(df, cols), bucket)
 
 
+def fill_cubic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER) -> DataFrame:
+    """C13 (re-aimed): local cubic through two known points on each side."""
+    return interpolate_local(df, keys, order, _present(df, cols), 3)
+
+
+def fill_quadratic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS,
+                   order=ORDER) -> DataFrame:
+    """C29 (re-aimed): local quadratic through the three nearest known points."""
+    return interpolate_local(df, keys, order, _present(df, cols), 2)
+
+
 def _stat_fill(df: DataFrame, cols, keys, agg: Callable[[str], Column]) -> DataFrame:
     cols = _present(df, cols)
     stats = df.groupBy(*keys).agg(*[agg(c).alias("_s_" + c) for c in cols])
@@ -98,6 +109,7 @@ IMPUTERS: dict[str, Callable[..., DataFrame]] = {
     "forward_fill": fill_forward,
     "backward_fill": fill_backward,
     "linear": fill_linear,
+    "polynomial": fill_cubic,
     "mean": fill_mean,
     "median": fill_median,
     "mode": fill_mode,
@@ -283,6 +295,8 @@ def tiered_impute(df: DataFrame, method: str = "linear", reference: DataFrame |
         out = cross_source_fill(df, reference, cols, keys)
     elif method == "market_average":
         out = market_average_fill(df, cols)
+    elif method == "spline":
+        out = fill_quadratic(df, cols, keys, order)
     else:
         out = fill_linear(df, cols, keys, order, bucket)
     if "volume" in df.columns:

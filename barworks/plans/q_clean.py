@@ -265,3 +265,15 @@ def tiered_impute(spark, sf_dir):
     """C26 with the default linear method: prices linear, volume rolling
     median, OHLC repair only for symbols that had a gap."""
     return C.tiered_impute(fx.vendor_a(spark, sf_dir), "linear")
+
+
+@query("interp_cubic")
+def interp_cubic(spark, sf_dir):
+    """C13 (re-aimed local cubic); checked against numpy in tests."""
+    return C.fill_cubic(fx.vendor_a(spark, sf_dir))
+
+
+@query("interp_quadratic")
+def interp_quadratic(spark, sf_dir):
+    """C29 (re-aimed local quadratic); checked against numpy in tests."""
+    return C.fill_quadratic(fx.vendor_a(spark, sf_dir))
