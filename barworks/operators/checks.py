@@ -12,7 +12,7 @@ is no second pass and no join between issues and summary.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +52,19 @@ ISSUE_SCHEMA = ("symbol string, source string, issue_type string, severity strin
 
 @dataclass(frozen=True)
 class Check:
-    """One issue kind: a count over the group and an optional gate on the group."""
+    """One issue kind, declared as Spark SQL expressions:
+
+    * ``count``    - aggregate over the group's rows (``count_if(...)``)
+    * ``severity`` - over the aggregated row (a literal or a CASE)
+    * ``gate``     - optional extra condition over the aggregated row
+
+    Declaring checks as expression text keeps the plan identical to the
+    Column-API form while building it in one call per expression."""
     issue_type: str
-    severity: str | Callable[[dict], Column]
+    severity: str
     column: str | None
-    count: Callable[[], Column]          # aggregate expression (per group)
-    gate: Callable[[dict], Column] | None = None  # over aggregated columns
+    count: str
+    gate: str | None = None
 
     def action(self) -> str | None:
         a = ACTIONS.get(self.issue_type)
@@ -68,55 +75,51 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
+def _q(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "\\'") + "'"
+
+
 def price_checks(has_volume: bool = True) -> list[Check]:
     """V6-V15 in the order the reference emits them."""
     out: list[Check] = []
     for c in PRICE_COLUMNS:
-        out.append(Check("negative_prices", "error", c, lambda c=c: F.count_if(_c(c) < 0)))
-        out.append(Check("extremely_low_prices", "warning", c,
-                         lambda c=c: F.count_if(_c(c) < MIN_PRICE)))
-        out.append(Check("extremely_high_prices", "warning", c,
-                         lambda c=c: F.count_if(_c(c) > MAX_PRICE)))
+        out.append(Check("negative_prices", "'error'", c, f"count_if({c} < 0)"))
+        out.append(Check("extremely_low_prices", "'warning'", c, f"count_if({c} < {MIN_PRICE})"))
+        out.append(Check("extremely_high_prices", "'warning'", c, f"count_if({c} > {MAX_PRICE})"))
     out += [
-        Check("high_less_than_open", "error", None, lambda: F.count_if(_c("high") < _c("open"))),
-        Check("high_less_than_close", "error", None, lambda: F.count_if(_c("high") < _c("close"))),
-        Check("low_greater_than_open", "error", None, lambda: F.count_if(_c("low") > _c("open"))),
-        Check("low_greater_than_close", "error", None, lambda: F.count_if(_c("low") > _c("close"))),
+        Check("high_less_than_open", "'error'", None, "count_if(high < open)"),
+        Check("high_less_than_close", "'error'", None, "count_if(high < close)"),
+        Check("low_greater_than_open", "'error'", None, "count_if(low > open)"),
+        Check("low_greater_than_close", "'error'", None, "count_if(low > close)"),
     ]
     if has_volume:
         out += [
-            Check("negative_volume", "error", "volume", lambda: F.count_if(_c("volume") < 0)),
-            Check("suspiciously_high_volume", "warning", "volume",
-                  lambda: F.count_if(_c("volume") > _c("_med_volume") * VOLUME_MEDIAN_MULTIPLE),
-                  gate=lambda g: (g["_n"] > VOLUME_MEDIAN_MIN_ROWS) & (g["_med"] > 0)),
+            Check("negative_volume", "'error'", "volume", "count_if(volume < 0)"),
+            Check("suspiciously_high_volume", "'warning'", "volume",
+                  f"count_if(volume > _med_volume * {VOLUME_MEDIAN_MULTIPLE})",
+                  gate=f"_n > {VOLUME_MEDIAN_MIN_ROWS} AND _med > 0"),
         ]
-    out.append(Check("extreme_daily_change", "warning", None,
-                     lambda: F.count_if(_c("_chg") > MAX_DAILY_CHANGE),
-                     gate=lambda g: g["_n"] > 1))
+    out.append(Check("extreme_daily_change", "'warning'", None,
+                     f"count_if(_chg > {MAX_DAILY_CHANGE})", gate="_n > 1"))
     return out
 
 
 def missing_checks() -> list[Check]:
     """V16 per price column (share of rows) and V17 date gaps."""
-    out = []
-    for c in PRICE_COLUMNS:
-        out.append(Check(
-            "missing_price_data",
-            lambda g, c=c: F.when(g["_nulls_" + c] * 100 / g["_n"] > MISSING_ERROR_PCT,
-                                  F.lit("error")).otherwise(F.lit("warning")),
-            c, lambda c=c: F.count_if(_c(c).isNull())))
-    out.append(Check("date_gaps", "warning", None,
-                     lambda: F.count_if(F.datediff(_c("date"), _c("_prev_date")) > MAX_DATE_GAP_DAYS),
-                     gate=lambda g: g["_n"] > 1))
+    out = [Check("missing_price_data",
+                 f"CASE WHEN _nulls_{c} * 100 / _n > {MISSING_ERROR_PCT} THEN 'error' ELSE 'warning' END",
+                 c, f"count_if({c} IS NULL)") for c in PRICE_COLUMNS]
+    out.append(Check("date_gaps", "'warning'", None,
+                     f"count_if(datediff(date, _prev_date) > {MAX_DATE_GAP_DAYS})", gate="_n > 1"))
     return out
 
 
 def structure_checks() -> list[Check]:
     """V2/V3: a column absent from a vendor frame is all NULL after
-    ``unionByName(allowMissingColumns=True)``."""
-    out = [Check("missing_columns", "critical", c, lambda c=c: F.count_if(_c(c).isNotNull()))
+    ``unionByName(allowMissingColumns=True)``; the count is of present values."""
+    out = [Check("missing_columns", "'critical'", c, f"count({c})")
            for c in ("open", "high", "low", "close", "volume")]
-    out.append(Check("missing_date", "error", "date", lambda: F.count_if(_c("date").isNotNull())))
+    out.append(Check("missing_date", "'error'", "date", "count(date)"))
     return out
 
 
@@ -126,34 +129,27 @@ def _enrich(bars: DataFrame, keys: Sequence[str], order: Sequence[str],
     b = with_prev(bars, keys, order, ["close", "date"], bucket)
     med = bars.groupBy(*keys).agg(F.percentile("volume", 0.5).alias("_med_volume"))
     b = b.join(med, list(keys), "left")
-    prev, cur = _c("prev_close"), _c("close")
-    chg = (F.when(prev.isNull() | cur.isNull(), F.lit(None).cast("double"))
-            .when(prev == 0, F.when(cur != 0, F.lit(float("inf"))))
-            .otherwise(F.abs((cur - prev) / prev)))
-    return b.withColumn("_chg", chg).withColumnRenamed("prev_date", "_prev_date")
+    chg = ("CASE WHEN prev_close IS NULL OR close IS NULL THEN CAST(NULL AS DOUBLE) "
+           "WHEN prev_close = 0 THEN CASE WHEN close <> 0 THEN double('inf') END "
+           "ELSE abs((close - prev_close) / prev_close) END")
+    return b.selectExpr("*", f"{chg} AS _chg").withColumnRenamed("prev_date", "_prev_date")
 
 
 def _assemble(agg: DataFrame, keys: Sequence[str], checks: Sequence[Check],
               counts: Sequence[str]) -> DataFrame:
-    g = {c: _c(c) for c in agg.columns}
     items = []
     for name, chk in zip(counts, checks):
-        n = _c(name)
-        if chk.issue_type in ("missing_columns", "missing_date"):
-            fire = n == 0
-            n = F.lit(None).cast("bigint")
-        else:
-            fire = n > 0
-        if chk.gate is not None:
-            fire = fire & chk.gate(g)
-        sev = chk.severity(g) if callable(chk.severity) else F.lit(chk.severity)
-        items.append(F.when(fire, F.struct(
-            F.lit(chk.issue_type).alias("issue_type"), sev.alias("severity"),
-            F.lit(chk.column).cast("string").alias("column"),
-            n.cast("bigint").alias("affected_rows"),
-            F.lit(chk.action()).cast("string").alias("suggested_action"))))
-    arr = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return agg.select(*keys, _c("_n").alias("data_rows"), arr.alias("issues"))
+        structural = chk.issue_type in ("missing_columns", "missing_date")
+        fire = f"{name} = 0" if structural else f"{name} > 0"
+        if chk.gate:
+            fire += f" AND ({chk.gate})"
+        rows = "CAST(NULL AS BIGINT)" if structural else f"CAST({name} AS BIGINT)"
+        items.append(
+            f"CASE WHEN {fire} THEN named_struct('issue_type', '{chk.issue_type}', "
+            f"'severity', {chk.severity}, 'column', {_q(chk.column)}, 'affected_rows', {rows}, "
+            f"'suggested_action', {_q(chk.action())}) END")
+    arr = f"filter(array({', '.join(items)}), x -> x IS NOT NULL)"
+    return agg.selectExpr(*keys, "_n AS data_rows", f"{arr} AS issues")
 
 
 def validate_bars(bars: DataFrame, checks: Sequence[Check] | None = None,
@@ -165,10 +161,10 @@ def validate_bars(bars: DataFrame, checks: Sequence[Check] | None = None,
                   else structure_checks() + price_checks() + missing_checks())
     b = _enrich(bars, keys, order, bucket)
     counts = [f"_k{i}" for i in range(len(checks))]
-    aggs = [chk.count().alias(n) for chk, n in zip(checks, counts)]
-    aggs += [F.count(F.lit(1)).alias("_n"), F.first("_med_volume").alias("_med")]
-    aggs += [F.count_if(_c(c).isNull()).alias("_nulls_" + c) for c in PRICE_COLUMNS]
-    agg = b.groupBy(*keys).agg(*aggs)
+    aggs = [f"{chk.count} AS {n}" for chk, n in zip(checks, counts)]
+    aggs += ["count(1) AS _n", "first(_med_volume) AS _med"]
+    aggs += [f"count_if({c} IS NULL) AS _nulls_{c}" for c in PRICE_COLUMNS]
+    agg = b.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
     return _assemble(agg, keys, checks, counts)
 
 
@@ -180,15 +176,13 @@ def summarize(validated: DataFrame, keys: Sequence[str] = ("symbol", "source"),
               strict: bool = False) -> DataFrame:
     """V26 summary: counts by severity, rows, verdict (no critical; strict: no error)."""
     def n(sev):
-        return F.size(F.filter("issues", lambda x: x.severity == sev))
-    crit, err = n("critical"), n("error")
-    valid = (crit == 0) & (err == 0) if strict else (crit == 0)
-    return validated.select(
-        *keys, F.size("issues").cast("bigint").alias("total_issues"),
-        crit.cast("bigint").alias("critical_issues"), err.cast("bigint").alias("error_issues"),
-        n("warning").cast("bigint").alias("warning_issues"),
-        n("info").cast("bigint").alias("info_issues"),
-        _c("data_rows"), valid.alias("is_valid"))
+        return f"CAST(size(filter(issues, x -> x.severity = '{sev}')) AS BIGINT)"
+    valid = f"{n('critical')} = 0" + (f" AND {n('error')} = 0" if strict else "")
+    return validated.selectExpr(
+        *keys, "CAST(size(issues) AS BIGINT) AS total_issues",
+        f"{n('critical')} AS critical_issues", f"{n('error')} AS error_issues",
+        f"{n('warning')} AS warning_issues", f"{n('info')} AS info_issues",
+        "data_rows", f"{valid} AS is_valid")
 
 
 # Quality grades, best to worst, with their rank.

@@ -27,63 +27,62 @@ FUTURE_SECONDS = 300
 LEVELS = ("info", "warning", "error", "critical")
 
 
-def _r(check: str, level: str, valid: bool, field: str, value: Column | None = None) -> Column:
-    return F.struct(F.lit(check).alias("check"), F.lit(level).alias("level"),
-                    F.lit(valid).alias("is_valid"), F.lit(field).alias("field"),
-                    (value if value is not None else F.lit(None)).cast("double").alias("value"))
+def _r(check: str, level: str, valid: bool, field: str, value: str = "NULL") -> str:
+    return (f"named_struct('check', '{check}', 'level', '{level}', 'is_valid', {str(valid).lower()}, "
+            f"'field', '{field}', 'value', CAST({value} AS DOUBLE))")
 
 
 def flatten_ticks(ticks: DataFrame) -> DataFrame:
     """Quote rows with the ``ohlc`` struct lifted to columns."""
-    return ticks.select("*", *[F.col(f"ohlc.{c}").alias(c) for c in ("open", "high", "low", "close")])
+    return ticks.selectExpr("*", *[f"ohlc.{c} AS {c}" for c in ("open", "high", "low", "close")])
 
 
-def _limit(category: Column) -> Column:
-    out = F.lit(DEFAULT_LIMIT)
-    for k, v in CIRCUIT_LIMITS.items():
-        out = F.when(category == k, F.lit(v)).otherwise(out)
-    return out
+def _limit_sql(category: str = "category") -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}D" for k, v in CIRCUIT_LIMITS.items())
+    return f"CASE {category} {cases} ELSE {DEFAULT_LIMIT}D END"
 
 
 def tick_results(ticks: DataFrame, as_of: Column) -> DataFrame:
-    """Per record the array ``results`` of all checks, gates applied."""
+    """Per record the array ``results`` of all checks, gates applied
+    (declared as expression text; ``as_of`` is materialised as a column first
+    because subqueries may not sit inside the array filter)."""
     t = flatten_ticks(ticks).withColumn("_as_of", as_of)
     if "avg_volume" not in t.columns:
         avg = t.groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
         t = t.join(avg, "symbol", "left")
-    o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
-    full = o.isNotNull() & h.isNotNull() & lo.isNotNull() & c.isNotNull() & v.isNotNull()  # T3
-    pmax, pmin = F.greatest(o, h, lo, c), F.least(o, h, lo, c)
-    prev = F.col("previous_close")
-    chg = F.abs(F.try_divide(c - prev, prev))
-    gap = F.abs(F.try_divide(o - prev, prev))
-    tod = time_of_day("ts")
-    in_session = (((tod >= REGULAR_START) & (tod <= REGULAR_END))
-                  | ((tod >= PRE_MARKET_START) & (tod < REGULAR_START))
-                  | ((tod >= POST_MARKET_START) & (tod <= POST_MARKET_END)))
+    full = ("open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL "
+            "AND volume IS NOT NULL")                                                    # T3
+    pmax, pmin = "greatest(open, high, low, close)", "least(open, high, low, close)"
+    chg = "abs(try_divide(close - previous_close, previous_close))"
+    gap = "abs(try_divide(open - previous_close, previous_close))"
+    tod = "date_format(ts, 'HH:mm:ss.SSSSSS')"
+    in_session = (f"(({tod} >= '{REGULAR_START}' AND {tod} <= '{REGULAR_END}') OR "
+                  f"({tod} >= '{PRE_MARKET_START}' AND {tod} < '{REGULAR_START}') OR "
+                  f"({tod} >= '{POST_MARKET_START}' AND {tod} <= '{POST_MARKET_END}'))")
     checks = [
-        F.when(F.col("symbol").isNull(), _r("required_fields", "error", False, "symbol")),      # T1
-        F.when(F.col("ts").isNull(), _r("required_fields", "error", False, "timestamp")),
-        F.when(full & (h < F.greatest(o, c)), _r("ohlc", "error", False, "high", h)),             # T4
-        F.when(full & (lo > F.least(o, c)), _r("ohlc", "error", False, "low", lo)),
-        F.when(full & (pmin <= 0), _r("ohlc", "error", False, "price", pmin)),
-        F.when(full & (pmax > MAX_PRICE), _r("price_range", "warning", False, "price", pmax)),     # T5
-        F.when(full & (pmin < MIN_PRICE), _r("price_range", "error", False, "price", pmin)),
-        F.when(v < 0, _r("volume", "error", False, "volume", v)),                                 # T6
-        F.when(F.col("avg_volume").isNotNull() & (v > F.col("avg_volume") * VOLUME_SPIKE),
-               _r("volume", "warning", True, "volume", v)),
-        F.when(c.isNotNull() & (prev > 0) & (chg >= _limit(F.col("category"))),                   # T7
-               _r("circuit_breaker", "critical", True, "circuit_breaker", chg)),
-        F.when(F.col("ts") > F.col("_as_of") + F.make_dt_interval(secs=F.lit(FUTURE_SECONDS)),               # T8
-               _r("timestamp", "warning", False, "timestamp")),
-        F.when(is_weekend("ts"), _r("market_hours", "info", True, "market_hours"))                # T9
-         .when(F.col("ts").isNotNull() & ~in_session,
-               _r("market_hours", "warning", True, "market_hours")),
-        F.when(o.isNotNull() & (prev > 0) & (gap > GAP_THRESHOLD),                                # T10
-               _r("price_gap", "warning", True, "price_gap", gap)),
+        ("symbol IS NULL", _r("required_fields", "error", False, "symbol")),               # T1
+        ("ts IS NULL", _r("required_fields", "error", False, "timestamp")),
+        (f"{full} AND high < greatest(open, close)", _r("ohlc", "error", False, "high", "high")),  # T4
+        (f"{full} AND low > least(open, close)", _r("ohlc", "error", False, "low", "low")),
+        (f"{full} AND {pmin} <= 0", _r("ohlc", "error", False, "price", pmin)),
+        (f"{full} AND {pmax} > {MAX_PRICE}", _r("price_range", "warning", False, "price", pmax)),  # T5
+        (f"{full} AND {pmin} < {MIN_PRICE}", _r("price_range", "error", False, "price", pmin)),
+        ("volume < 0", _r("volume", "error", False, "volume", "volume")),                  # T6
+        (f"avg_volume IS NOT NULL AND volume > avg_volume * {VOLUME_SPIKE}",
+         _r("volume", "warning", True, "volume", "volume")),
+        (f"close IS NOT NULL AND previous_close > 0 AND {chg} >= {_limit_sql()}",          # T7
+         _r("circuit_breaker", "critical", True, "circuit_breaker", chg)),
+        (f"ts > _as_of + make_dt_interval(0, 0, 0, {FUTURE_SECONDS})",                     # T8
+         _r("timestamp", "warning", False, "timestamp")),
+        ("weekday(ts) >= 5", _r("market_hours", "info", True, "market_hours")),           # T9
+        (f"NOT (weekday(ts) >= 5) AND ts IS NOT NULL AND NOT {in_session}",
+         _r("market_hours", "warning", True, "market_hours")),
+        (f"open IS NOT NULL AND previous_close > 0 AND {gap} > {GAP_THRESHOLD}",           # T10
+         _r("price_gap", "warning", True, "price_gap", gap)),
     ]
-    res = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return t.select("event_id", "symbol", "ts", res.alias("results"))
+    items = ", ".join(f"CASE WHEN {cond} THEN {res} END" for cond, res in checks)
+    return t.selectExpr("event_id", "symbol", "ts",
+                        f"filter(array({items}), x -> x IS NOT NULL) AS results")
 
 
 def tick_issues(results: DataFrame) -> DataFrame:
@@ -92,27 +91,20 @@ def tick_issues(results: DataFrame) -> DataFrame:
                   .select("event_id", "symbol", "ts", "r.*")
 
 
-def _level_is(level: str):
-    # one-argument lambda: F.filter passes (element, index) to two-argument ones
-    return lambda x: x.level == level
-
-
 def tick_summary(results: DataFrame) -> DataFrame:
     """T12 + T13 per record: totals, passed/failed, counts by level, success
     rate (0 when no results) and the verdict (no failure, no critical)."""
-    r = F.col("results")
-
-    def n(pred):
-        return F.size(F.filter(r, pred)).cast("bigint")
-    total = F.size(r).cast("bigint")
-    passed = n(lambda x: x.is_valid)
-    failed = n(lambda x: ~x.is_valid)
-    crit = n(lambda x: x.level == "critical")
-    return results.select(
-        "event_id", "symbol", total.alias("total_checks"), passed.alias("passed"),
-        failed.alias("failed"), *[n(_level_is(lv)).alias(f"{lv}_count") for lv in LEVELS],
-        F.when(total > 0, passed * 100.0 / total).otherwise(F.lit(0.0)).alias("success_rate"),
-        ((failed == 0) & (crit == 0)).alias("is_valid"))
+    def n(pred: str) -> str:
+        return f"CAST(size(filter(results, x -> {pred})) AS BIGINT)"
+
+    def level(lv: str) -> str:
+        return n(f"x.level = '{lv}'")
+    total, passed, failed = "CAST(size(results) AS BIGINT)", n("x.is_valid"), n("NOT x.is_valid")
+    return results.selectExpr(
+        "event_id", "symbol", f"{total} AS total_checks", f"{passed} AS passed",
+        f"{failed} AS failed", *[f"{level(lv)} AS {lv}_count" for lv in LEVELS],
+        f"CASE WHEN {total} > 0 THEN {passed} * 100.0D / {total} ELSE 0.0D END AS success_rate",
+        f"{failed} = 0 AND {level('critical')} = 0 AS is_valid")
 
 
 def raw_type_issues(raw: DataFrame, numeric=("last_price", "volume", "previous_close")) -> DataFrame:

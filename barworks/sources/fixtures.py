@@ -34,13 +34,11 @@ def bars_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
     return (e.groupBy(F.col("user_id").alias("uid"), F.to_date("ts").alias("date"))
-             .agg(F.min_by("value", "ts").alias("open"),
-                  F.max("value").alias("high"),
-                  F.min("value").alias("low"),
-                  F.max_by("value", "ts").alias("close"),
-                  (F.count(F.lit(1)) * 100).cast("double").alias("volume"),
-                  F.min("event_id").alias("load_seq"))
-             .withColumn("symbol", F.concat(F.lit("S"), F.col("uid"))))
+             .agg(*[F.expr(x) for x in (
+                 "min_by(value, ts) AS open", "max(value) AS high", "min(value) AS low",
+                 "max_by(value, ts) AS close", "CAST(count(1) * 100 AS DOUBLE) AS volume",
+                 "min(event_id) AS load_seq")])
+             .selectExpr("*", "concat('S', uid) AS symbol"))
 
 
 BAR_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "load_seq"]
@@ -51,19 +49,18 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty(b: DataFrame) -> DataFrame:
-    k = F.col("load_seq")
-    d = b.select(
+    d = b.selectExpr(
         "uid", "symbol", "date",
-        F.when(k % 11 == 0, -F.col("open")).otherwise(F.col("open")).alias("open"),
-        F.when(k % 13 == 0, F.col("low")).otherwise(F.col("high")).alias("high"),
-        F.when(k % 13 == 0, F.col("high")).otherwise(F.col("low")).alias("low"),
-        F.when(k % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("close")).alias("close"),
-        F.when(k % 19 == 0, F.lit(None).cast("double"))
-         .when(k % 17 == 0, F.lit(0.0))
-         .when(k % 101 == 0, F.col("volume") * 100000)
-         .otherwise(F.col("volume")).alias("volume"),
+        "CASE WHEN load_seq % 11 = 0 THEN -open ELSE open END AS open",
+        "CASE WHEN load_seq % 13 = 0 THEN low ELSE high END AS high",
+        "CASE WHEN load_seq % 13 = 0 THEN high ELSE low END AS low",
+        "CASE WHEN load_seq % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE close END AS close",
+        "CASE WHEN load_seq % 19 = 0 THEN CAST(NULL AS DOUBLE) WHEN load_seq % 17 = 0 THEN 0.0D "
+        "WHEN load_seq % 101 = 0 THEN volume * 100000 ELSE volume END AS volume",
         "load_seq")
-    dup = d.filter(k % 23 == 0).withColumn("load_seq", k + DUPLICATE_OFFSET)
+    dup = d.filter("load_seq % 23 = 0").selectExpr(
+        "uid", "symbol", "date", "open", "high", "low", "close", "volume",
+        f"load_seq + {DUPLICATE_OFFSET} AS load_seq")
     return d.unionByName(dup)
 
 
@@ -85,12 +82,11 @@ def vendor_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second vendor: drops load_seq % 29 = 0 and uid % 10 = 3, scales close and volume."""
     b = bars_uid(spark, sf_dir)
-    k = F.col("load_seq")
-    return (b.filter((k % 29 != 0) & (F.col("uid") % 10 != 3))
-             .withColumn("close", F.col("close") * (1 + (k % 10) / 100.0))
-             .withColumn("volume", F.col("volume") * (1 + (k % 4) / 10.0))
-             .withColumn("source", F.lit(SECONDARY_SOURCE))
-             .select(*BAR_COLUMNS, "source"))
+    return (b.filter("load_seq % 29 <> 0 AND uid % 10 <> 3")
+             .selectExpr("symbol", "date", "open", "high", "low",
+                         "close * (1 + (load_seq % 10) / 100.0D) AS close",
+                         "volume * (1 + (load_seq % 4) / 10.0D) AS volume", "load_seq",
+                         f"'{SECONDARY_SOURCE}' AS source"))
 
 
 def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
