@@ -49,7 +49,9 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty(b: DataFrame) -> DataFrame:
-    d = b.selectExpr(
+    """Inject the faults; rows with load_seq % 23 = 0 get a second copy
+    (load_seq + 1e9) generated in the same pass (explode, no union re-scan)."""
+    return b.selectExpr(
         "uid", "symbol", "date",
         "CASE WHEN load_seq % 11 = 0 THEN -open ELSE open END AS open",
         "CASE WHEN load_seq % 13 = 0 THEN low ELSE high END AS high",
@@ -57,11 +59,8 @@ def _dirty(b: DataFrame) -> DataFrame:
         "CASE WHEN load_seq % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE close END AS close",
         "CASE WHEN load_seq % 19 = 0 THEN CAST(NULL AS DOUBLE) WHEN load_seq % 17 = 0 THEN 0.0D "
         "WHEN load_seq % 101 = 0 THEN volume * 100000 ELSE volume END AS volume",
-        "load_seq")
-    dup = d.filter("load_seq % 23 = 0").selectExpr(
-        "uid", "symbol", "date", "open", "high", "low", "close", "volume",
-        f"load_seq + {DUPLICATE_OFFSET} AS load_seq")
-    return d.unionByName(dup)
+        f"explode(CASE WHEN load_seq % 23 = 0 THEN array(load_seq, load_seq + {DUPLICATE_OFFSET}) "
+        "ELSE array(load_seq) END) AS load_seq")
 
 
 def bars_dirty(spark: SparkSession, sf_dir: str, keep_uid: bool = False) -> DataFrame:
