@@ -109,10 +109,10 @@ def tick_summary(results: DataFrame) -> DataFrame:
 
 def raw_type_issues(raw: DataFrame, numeric=("last_price", "volume", "previous_close")) -> DataFrame:
     """T2 over landed text fields: a value present that does not parse."""
-    checks = [F.when(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(),
-                     _r("data_types", "error", False, c)) for c in numeric if c in raw.columns]
+    checks = [f"CASE WHEN {c} IS NOT NULL AND try_cast({c} AS DOUBLE) IS NULL "
+              f"THEN {_r('data_types', 'error', False, c)} END" for c in numeric if c in raw.columns]
     if "ts" in raw.columns:
-        checks.append(F.when(F.col("ts").isNotNull() & F.try_to_timestamp(F.col("ts")).isNull(),
-                             _r("timestamp", "error", False, "timestamp")))
-    res = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return raw.select("symbol", F.explode(res).alias("r")).select("symbol", "r.*")
+        checks.append("CASE WHEN ts IS NOT NULL AND try_to_timestamp(ts) IS NULL "
+                      f"THEN {_r('timestamp', 'error', False, 'timestamp')} END")
+    res = f"filter(array({', '.join(checks)}), x -> x IS NOT NULL)"
+    return raw.selectExpr("symbol", f"explode({res}) AS r").select("symbol", "r.*")

@@ -139,11 +139,8 @@ def _has_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
                  partition_by: str | None = "date") -> None:
     """Create an empty partitioned table of ``schema`` when it is missing."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
+    if _exists(spark, path):
         return
-    except Exception:  # noqa: BLE001
-        pass
     empty = spark.createDataFrame([], schema)
     w = empty.write.mode("errorifexists")
     if partition_by:
@@ -267,6 +264,12 @@ def expire_partitions(spark: SparkSession, path: str, cutoff, partition_by: str
     return old
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values: Iterable) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

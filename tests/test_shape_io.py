@@ -104,3 +104,70 @@ def test_seed_bars(spark):
     assert b.count() == 30
     r = b.filter("symbol = 'Y'").orderBy("timestamp").first()
     assert (r["open"], r["high"], r["low"], r["close"], r["volume"]) == (110, 115, 105, 112, 1000)
+
+
+def test_read_range_prunes_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bars_pq")
+    rows = [("A", dt.date(2024, 1, d), float(d), d) for d in range(1, 11)]
+    S.write_table(_bars(spark, rows), path, "overwrite")
+    df = S.read_bars(spark, path, start="2024-01-03", end="2024-01-05", symbol="A")
+    assert sorted(r["date"].day for r in df.collect()) == [3, 4, 5]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,A)]" in plan
+
+
+def test_appends_stamp_and_ensure(spark, tmp_dir):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("signal_id", T.LongType()), T.StructField("date", T.DateType()),
+                           T.StructField("confidence", T.DoubleType()),
+                           T.StructField("created_at", T.TimestampNTZType())])
+    path = os.path.join(tmp_dir, "signals")
+    S.ensure_table(spark, path, schema)
+    S.ensure_table(spark, path, schema)                      # second call is a no-op
+    src = spark.createDataFrame([(1, dt.date(2024, 1, 2), "0.5")], "signal_id long, date date, confidence string")
+    stamp = F.lit("2024-01-02 10:00:00").cast("timestamp_ntz")
+    S.append_table(src, path, schema, stamp)
+    r = spark.read.parquet(path).first()
+    assert r["confidence"] == 0.5 and r["created_at"] == dt.datetime(2024, 1, 2, 10)
+
+
+def test_daily_append_and_backup(spark, tmp_dir):
+    raw = spark.createDataFrame([("A", "2024-01-02", "1.5", "2", "1", "1.8", "10"),
+                                 ("A", "bad", "1", "1", "1", "1", "1"),
+                                 ("B", "2024-01-02", "x", "2", "1", None, "3")],
+                                "symbol string, date string, open string, high string, low string, "
+                                "close string, volume string")
+    path = os.path.join(tmp_dir, "daily")
+    S.daily_append(raw, path, F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
+    got = spark.read.parquet(path).collect()
+    assert [(r["symbol"], r["close"]) for r in got] == [("A", 1.8)]  # bad date and NULL close dropped
+    bak = os.path.join(tmp_dir, "bak")
+    S.backup_json(spark.read.parquet(path), bak)
+    assert spark.read.json(bak).count() == 1
+
+
+def test_upsert_backtest_defaults(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bt")
+    res = spark.createDataFrame([(7, None, 12.0)], "backtest_id long, total_trades long, win_rate double")
+    t0 = F.lit("2024-01-02 10:00:00").cast("timestamp_ntz")
+    S.upsert_backtest(spark, path, res, "paper", t0)
+    res2 = spark.createDataFrame([(7, 5, 50.0)], "backtest_id long, total_trades long, win_rate double")
+    S.upsert_backtest(spark, path, res2, "paper", F.lit("2024-01-02 11:00:00").cast("timestamp_ntz"))
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 1 and rows[0]["total_trades"] == 5 and rows[0]["initial_capital"] == 100000.0
+
+
+def test_trading_universe(spark):
+    a = spark.createDataFrame([("X",), ("Y",)], "symbol string")
+    b = spark.createDataFrame([("Y",), ("Z",)], "symbol string")
+    c = spark.createDataFrame([("Q",)], "symbol string")
+    got = sorted(r[0] for r in S.trading_universe({"n50": a, "next50": b}, ["n50", "next50"], c).collect())
+    assert got == ["Q", "X", "Y", "Z"]
+
+
+def test_raw_type_issues(spark):
+    from barworks.operators import ticks as T
+    raw = spark.createDataFrame([("A", "12.5", "abc", "2024-01-02 10:00:00"), ("B", "x", "5", "not a time")],
+                                "symbol string, last_price string, volume string, ts string")
+    got = sorted((r["symbol"], r["field"]) for r in T.raw_type_issues(raw).collect())
+    assert got == [("A", "volume"), ("B", "last_price"), ("B", "timestamp")]
