@@ -156,15 +156,15 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback:
     return u.withColumns(build(w)).filter(~F.col("_halo")).drop("_rpos", "_blk", "_halo")
 
 
-def _lagrange(points: list[Column], x: Column) -> Column:
-    """Value at ``x`` of the polynomial through ``points`` (structs with v, p)."""
+def _lagrange(points: list[tuple[str, str]], x: str) -> str:
+    """Expression text: the polynomial through ``points`` ((v, p) pairs) at ``x``."""
     total = None
-    for i, pi in enumerate(points):
-        term = pi.v
-        for j, pj in enumerate(points):
+    for i, (vi, pi) in enumerate(points):
+        term = vi
+        for j, (_, pj) in enumerate(points):
             if i != j:
-                term = term * (x - pj.p) / (pi.p - pj.p)
-        total = term if total is None else total + term
+                term = f"(({term}) * ({x} - {pj}) / ({pi} - {pj}))"
+        total = term if total is None else f"({total} + {term})"
     return total
 
 
@@ -179,45 +179,45 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     Each known row carries its own previous/next known point, so one forward
     and one backward fill deliver the two nearest known points on each side
-    without a self-join."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
-    b = df.withColumn("_pos", F.row_number().over(w))
-    out_cols = {}
+    without a self-join.  Declared as expression text (one projection per
+    step)."""
+    w = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} "
+         f"ORDER BY {', '.join(f'`{o}`' for o in order)}")
+    b = df.selectExpr("*", f"row_number() OVER ({w}) AS _pos")
+    b = b.selectExpr("*", *[f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{c}`, 'p', _pos) END "
+                            f"AS _k_{c}" for c in cols])
+    b = b.selectExpr("*", *[
+        f"last(_k_{c}, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _kb_{c}"
+        for c in cols], *[
+        f"first(_k_{c}, true) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _ka_{c}"
+        for c in cols])
+    b = b.selectExpr("*", *[
+        f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{c}`, 'p', _pos, 'q', _kb_{c}) END AS _pf_{c}"
+        for c in cols], *[
+        f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{c}`, 'p', _pos, 'q', _ka_{c}) END AS _nf_{c}"
+        for c in cols])
+    b = b.selectExpr("*", *[
+        f"last(_pf_{c}, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _P1_{c}"
+        for c in cols], *[
+        f"first(_nf_{c}, true) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _N1_{c}"
+        for c in cols])
+    out = {}
     for c in cols:
-        kp = F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p")))
-        b = b.withColumn("_k_" + c, kp)
-        b = b.withColumns({
-            "_kb_" + c: F.last("_k_" + c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-            "_ka_" + c: F.first("_k_" + c, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
-        b = b.withColumns({
-            "_pf_" + c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p"),
-                                                              F.col("_kb_" + c).alias("q"))),
-            "_nf_" + c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p"),
-                                                              F.col("_ka_" + c).alias("q")))})
-        b = b.withColumns({
-            "_P1_" + c: F.last("_pf_" + c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "_N1_" + c: F.first("_nf_" + c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
-        p1, n1 = F.col("_P1_" + c), F.col("_N1_" + c)
-        p2, n2 = F.col("_P1_" + c + ".q"), F.col("_N1_" + c + ".q")
-        x = F.col("_pos")
-        lin = _lagrange([p1, n1], x)
+        p1, n1 = (f"_P1_{c}.v", f"_P1_{c}.p"), (f"_N1_{c}.v", f"_N1_{c}.p")
+        p2, n2 = (f"_P1_{c}.q.v", f"_P1_{c}.q.p"), (f"_N1_{c}.q.v", f"_N1_{c}.q.p")
+        has_p2, has_n2 = f"_P1_{c}.q IS NOT NULL", f"_N1_{c}.q IS NOT NULL"
+        lin = _lagrange([p1, n1], "_pos")
         if degree == 3:
-            val = (F.when(p2.isNotNull() & n2.isNotNull(), _lagrange([p2, p1, n1, n2], x))
-                    .when(n2.isNotNull(), _lagrange([p1, n1, n2], x))
-                    .when(p2.isNotNull(), _lagrange([p2, p1, n1], x))
-                    .otherwise(lin))
-            edge = F.lit(None).cast("double")
-            trailing = F.lit(None).cast("double")
+            val = (f"CASE WHEN {has_p2} AND {has_n2} THEN {_lagrange([p2, p1, n1, n2], '_pos')} "
+                   f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} "
+                   f"WHEN {has_p2} THEN {_lagrange([p2, p1, n1], '_pos')} ELSE {lin} END")
+            trailing = "CAST(NULL AS DOUBLE)"
         else:
-            use_p2 = p2.isNotNull() & (n2.isNull() | ((x - p2.p) <= (n2.p - x)))
-            val = (F.when(use_p2, _lagrange([p2, p1, n1], x))
-                    .when(n2.isNotNull(), _lagrange([p1, n1, n2], x))
-                    .otherwise(lin))
-            edge = F.lit(None).cast("double")
-            trailing = p1.v
-        out_cols[c] = (F.when(F.col(c).isNotNull(), F.col(c))
-                        .when(p1.isNull(), edge)
-                        .when(n1.isNull(), trailing)
-                        .otherwise(val))
-    tmp = [p + c for c in cols for p in ("_k_", "_kb_", "_ka_", "_pf_", "_nf_", "_P1_", "_N1_")]
-    return b.withColumns(out_cols).drop("_pos", *tmp)
+            use_p2 = f"{has_p2} AND (NOT {has_n2} OR (_pos - _P1_{c}.q.p) <= (_N1_{c}.q.p - _pos))"
+            val = (f"CASE WHEN {use_p2} THEN {_lagrange([p2, p1, n1], '_pos')} "
+                   f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} ELSE {lin} END")
+            trailing = f"_P1_{c}.v"
+        out[c] = (f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN _P1_{c} IS NULL THEN CAST(NULL AS DOUBLE) "
+                  f"WHEN _N1_{c} IS NULL THEN {trailing} ELSE {val} END")
+    keep = [f"`{x}`" if x not in out else f"{out[x]} AS `{x}`" for x in df.columns]
+    return b.selectExpr(*keep)

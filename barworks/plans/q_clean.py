@@ -267,13 +267,64 @@ def tiered_impute(spark, sf_dir):
     return C.tiered_impute(fx.vendor_a(spark, sf_dir), "linear")
 
 
-@query("interp_cubic")
+def _lag_sql(points: list[tuple[str, str]], x: str) -> str:
+    """Lagrange value at x through (v, p) points, in the operator's evaluation order."""
+    terms = []
+    for i, (vi, pi) in enumerate(points):
+        t = vi
+        for j, (_, pj) in enumerate(points):
+            if i != j:
+                t = f"(({t}) * ({x} - {pj}) / ({pi} - {pj}))"
+        terms.append(t)
+    out = terms[0]
+    for t in terms[1:]:
+        out = f"({out} + {t})"
+    return out
+
+
+def _local_sql(src: str, degree: int, cols=OHLCV) -> str:
+    w = "PARTITION BY symbol ORDER BY date, load_seq"
+    k = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN {{'v': {c}, 'p': pos}} END AS k_{c}" for c in cols)
+    kb = ", ".join(f"last_value(k_{c} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND "
+                   f"1 PRECEDING) AS kb_{c}, first_value(k_{c} IGNORE NULLS) OVER ({w} ROWS BETWEEN "
+                   f"1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ka_{c}" for c in cols)
+    pk = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN {{'v': {c}, 'p': pos, 'q': kb_{c}}} END AS pf_{c}, "
+                   f"CASE WHEN {c} IS NOT NULL THEN {{'v': {c}, 'p': pos, 'q': ka_{c}}} END AS nf_{c}"
+                   for c in cols)
+    ff = ", ".join(f"last_value(pf_{c} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND "
+                   f"CURRENT ROW) AS P1_{c}, first_value(nf_{c} IGNORE NULLS) OVER ({w} ROWS BETWEEN "
+                   f"CURRENT ROW AND UNBOUNDED FOLLOWING) AS N1_{c}" for c in cols)
+    rep = []
+    for c in cols:
+        p1, n1 = (f"P1_{c}.v", f"P1_{c}.p"), (f"N1_{c}.v", f"N1_{c}.p")
+        p2, n2 = (f"P1_{c}.q.v", f"P1_{c}.q.p"), (f"N1_{c}.q.v", f"N1_{c}.q.p")
+        lin = _lag_sql([p1, n1], "pos")
+        if degree == 3:
+            val = (f"CASE WHEN P1_{c}.q IS NOT NULL AND N1_{c}.q IS NOT NULL THEN "
+                   f"{_lag_sql([p2, p1, n1, n2], 'pos')} WHEN N1_{c}.q IS NOT NULL THEN "
+                   f"{_lag_sql([p1, n1, n2], 'pos')} WHEN P1_{c}.q IS NOT NULL THEN "
+                   f"{_lag_sql([p2, p1, n1], 'pos')} ELSE {lin} END")
+            trailing = "CAST(NULL AS DOUBLE)"
+        else:
+            use_p2 = (f"P1_{c}.q IS NOT NULL AND (N1_{c}.q IS NULL OR "
+                      f"(pos - P1_{c}.q.p) <= (N1_{c}.q.p - pos))")
+            val = (f"CASE WHEN {use_p2} THEN {_lag_sql([p2, p1, n1], 'pos')} "
+                   f"WHEN N1_{c}.q IS NOT NULL THEN {_lag_sql([p1, n1, n2], 'pos')} ELSE {lin} END")
+            trailing = f"P1_{c}.v"
+        rep.append(f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN P1_{c} IS NULL THEN CAST(NULL AS DOUBLE) "
+                   f"WHEN N1_{c} IS NULL THEN {trailing} ELSE {val} END AS {c}")
+    return (f"SELECT symbol, date, {', '.join(rep)}, load_seq, source FROM ("
+            f"SELECT *, {ff} FROM (SELECT *, {pk} FROM (SELECT *, {kb} FROM (SELECT *, {k} FROM ("
+            f"SELECT *, row_number() OVER ({w}) AS pos FROM {src})))))")
+
+
+@query("interp_cubic", _local_sql("vendor_a", 3), ("vendor_a",), doubles=D)
 def interp_cubic(spark, sf_dir):
-    """C13 (re-aimed local cubic); checked against numpy in tests."""
+    """C13 (re-aimed local cubic through two known points on each side)."""
     return C.fill_cubic(fx.vendor_a(spark, sf_dir))
 
 
-@query("interp_quadratic")
+@query("interp_quadratic", _local_sql("vendor_a", 2), ("vendor_a",), doubles=D)
 def interp_quadratic(spark, sf_dir):
-    """C29 (re-aimed local quadratic); checked against numpy in tests."""
+    """C29 (re-aimed local quadratic through the three nearest known points)."""
     return C.fill_quadratic(fx.vendor_a(spark, sf_dir))
