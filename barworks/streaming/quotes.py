@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..operators.shape import flatten_quotes, market_open
 from ..session import checkpoint_dir
-from ..sources.io import with_symbols
+from ..sources.io import _exists, with_symbols
 
 QUOTE_FIELDS = ("last_price", "volume")
 
@@ -50,20 +50,25 @@ def tick_intake(raw: DataFrame, instruments: DataFrame, symbols: DataFrame | Non
 
 
 def _merge_latest(batch: DataFrame, path: str, key: str, order: str) -> None:
-    """Merge a micro-batch into a keyed latest-value table (idempotent)."""
+    """Merge a micro-batch into a keyed latest-value table (idempotent: a
+    replayed batch yields the same table).  The merged result is staged next
+    to the table and swapped in, because a plan may not overwrite its input."""
     spark = batch.sparkSession
     fresh = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("r")) \
                  .select("r.*")
-    try:
-        current = spark.read.parquet(path)
-        both = current.unionByName(fresh)
-        w = Window.partitionBy(key).orderBy(F.col(order).desc())
-        fresh = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        pass
+    if not _exists(spark, path):
+        fresh.write.mode("overwrite").parquet(path)
+        return
+    both = spark.read.parquet(path).unionByName(fresh)
+    w = Window.partitionBy(key).orderBy(F.col(order).desc())
+    merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    _swap(merged, path)
+
+
+def _swap(df: DataFrame, path: str) -> None:
     staged = f"{path}.b{uuid.uuid4().hex}"
-    fresh.write.mode("errorifexists").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(staged)
+    df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
 
 
 def latest_quotes(stream: DataFrame, table_path: str, checkpoint: str,
@@ -111,19 +116,16 @@ def daily_signal_counts(signals: DataFrame, watermark: str = "1 day") -> DataFra
 
 
 def _merge_rows(batch: DataFrame, path: str, keys: list[str], batch_id: int) -> None:
-    """Update-mode rows replace earlier rows of the same key (batch id wins)."""
+    """Update-mode rows replace earlier rows of the same key (batch id wins;
+    a replayed batch first drops its own earlier output)."""
     spark = batch.sparkSession
     fresh = batch.withColumn("_batch", F.lit(batch_id))
-    try:
-        current = spark.read.parquet(path)
-        both = current.filter(F.col("_batch") != batch_id).unionByName(fresh)
-        w = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())
-        fresh = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    except Exception:  # noqa: BLE001
-        pass
-    staged = f"{path}.b{uuid.uuid4().hex}"
-    fresh.write.mode("errorifexists").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    if not _exists(spark, path):
+        fresh.write.mode("overwrite").parquet(path)
+        return
+    both = spark.read.parquet(path).filter(F.col("_batch") != batch_id).unionByName(fresh)
+    w = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())
+    _swap(both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"), path)
 
 
 def run_daily_signal_counts(signals: DataFrame, table_path: str, checkpoint: str,

@@ -30,3 +30,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "quality" in df.columns
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_batch_merges_are_idempotent(spark, tmp_dir):
+    import datetime as dt
+    import os
+    path = os.path.join(tmp_dir, "counts")
+    b0 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 1), (dt.date(2024, 1, 1), "B", 2)],
+                               "date date, ticker string, n long")
+    b1 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 5)], "date date, ticker string, n long")
+    K._merge_rows(b0, path, ["date", "ticker"], 0)
+    K._merge_rows(b1, path, ["date", "ticker"], 1)
+    first = sorted((r["ticker"], r["n"]) for r in spark.read.parquet(path).collect())
+    K._merge_rows(b1, path, ["date", "ticker"], 1)          # replay of batch 1
+    again = sorted((r["ticker"], r["n"]) for r in spark.read.parquet(path).collect())
+    assert first == again == [("A", 5), ("B", 2)]
+    q = os.path.join(tmp_dir, "latest")
+    quotes = spark.createDataFrame([("A", 1, 10.0), ("A", 2, 11.0), ("B", 1, 7.0)],
+                                   "symbol string, ts long, last_price double")
+    K._merge_latest(quotes, q, "symbol", "ts")
+    K._merge_latest(quotes, q, "symbol", "ts")
+    assert sorted((r[0], r[2]) for r in spark.read.parquet(q).collect()) == [("A", 11.0), ("B", 7.0)]
