@@ -28,6 +28,36 @@ def month_bucket(order_col: str = "date") -> Column:
     return F.date_trunc("month", F.col(order_col))
 
 
+# Session settings that switch every series operator to the split plan:
+#   spark.barworks.series.split = none | day | week | month | year
+#   spark.barworks.series.block = <rows per halo block>   (row-bounded frames)
+SPLIT_CONF = "spark.barworks.series.split"
+BLOCK_CONF = "spark.barworks.series.block"
+_UNITS = ("day", "week", "month", "quarter", "year")
+
+
+def _resolve(df: DataFrame, order: Sequence[str], bucket: Column | None) -> Column | None:
+    """An explicit bucket wins; else the session's split unit over the first
+    (date or timestamp) order column; else None (one window per key)."""
+    if bucket is not None:
+        return bucket
+    unit = (df.sparkSession.conf.get(SPLIT_CONF, "none") or "none").lower()
+    if unit not in _UNITS:
+        return None
+    first = order[0]
+    kind = df.schema[first].dataType.typeName() if first in df.columns else ""
+    if kind not in ("date", "timestamp", "timestamp_ntz"):
+        return None
+    return F.date_trunc(unit, F.col(first))
+
+
+def _resolve_block(df: DataFrame, block: int | None) -> int | None:
+    if block is not None:
+        return block
+    v = df.sparkSession.conf.get(BLOCK_CONF, None)
+    return int(v) if v else None
+
+
 def _w(keys, order, bucketed: bool):
     parts = list(keys) + ([_B] if bucketed else [])
     return Window.partitionBy(*parts).orderBy(*[F.col(o) for o in order])
@@ -37,6 +67,7 @@ def with_prev(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               cols: Sequence[str], bucket: Column | None = None,
               prefix: str = "prev_") -> DataFrame:
     """Add ``prefix+c`` = value of ``c`` on the previous row of the key's series."""
+    bucket = _resolve(df, order, bucket)
     if bucket is None:
         w = _w(keys, order, False)
         return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})
@@ -60,6 +91,7 @@ def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add each ``name -> expr`` as the last (forward) or next (backward)
     non-NULL value of ``expr`` along the series, current row included."""
     fwd = direction == "forward"
+    bucket = _resolve(df, order, bucket)
     tmp = {"_v_" + n: e for n, e in exprs.items()}
     b = df.withColumns(tmp)
     if bucket is None:
@@ -93,6 +125,7 @@ def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   name: str = "pos", bucket: Column | None = None) -> DataFrame:
     """1-based row position along the series (row_number, split-safe)."""
+    bucket = _resolve(df, order, bucket)
     if bucket is None:
         return df.withColumn(name, F.row_number().over(_w(keys, order, False)))
     b = df.withColumn(_B, bucket)
@@ -142,6 +175,9 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback:
     at most ``block + lookback`` rows; halo rows are dropped afterwards.
     Exact: every kept row sees the same frame as in one window per key.
     Without ``block`` it is one window per key."""
+    block = _resolve_block(df, block)
+    if block is not None and block <= lookback:
+        block = lookback + 1 + block  # a session-wide block smaller than this frame
     if block is None:
         w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
         return df.withColumns(build(w))

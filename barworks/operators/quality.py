@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.exprs import safe_div
+from ..functions.series import with_prev
 
 # Thresholds of the daily quality checks.
 MIN_SYMBOLS_UPDATED = 50
@@ -68,9 +68,9 @@ def updated_on(bars: DataFrame, day: Column) -> DataFrame:
 def date_gaps(bars: DataFrame, as_of: Column, days: int = GAP_LOOKBACK_DAYS,
               gap: int = GAP_DAYS) -> DataFrame:
     """Per symbol, gaps longer than ``gap`` days within the last ``days``."""
-    b = bars.filter(F.col("date") >= F.date_sub(as_of, days))
-    w = Window.partitionBy("symbol").orderBy("date")
-    g = b.select("symbol", F.datediff("date", F.lag("date").over(w)).alias("gap_days"))
+    b = bars.filter(F.col("date") >= F.date_sub(as_of, days)).select("symbol", "date")
+    b = with_prev(b, ["symbol"], ["date"], ["date"])
+    g = b.select("symbol", F.datediff("date", "prev_date").alias("gap_days"))
     return g.filter(F.col("gap_days") > gap).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("gap_count"))
 

@@ -39,3 +39,20 @@ def test_query_matches_oracle(spark, con, name):
     srows = sorted(tuple(_norm(r[c]) for c in order) for r in sdf.collect())
     drows = sorted(tuple(_norm(r[dcols.index(c)]) for c in order) for r in rel.fetchall())
     assert srows == drows
+
+
+SPLIT_SET = ["daily_returns", "risk_metrics", "issue_summary", "clean_bars", "fill_linear",
+             "volume_rolling_median", "tiered_impute", "integrity", "date_gaps", "strategy_signals"]
+
+
+@pytest.mark.parametrize("name", SPLIT_SET)
+def test_split_plan_matches_oracle(spark, con, name):
+    """The session-wide split plan (weekly segments, 16-row halo blocks) gives
+    the same rows as the SQL twin."""
+    spark.conf.set("spark.barworks.series.split", "week")
+    spark.conf.set("spark.barworks.series.block", "16")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.unset("spark.barworks.series.split")
+        spark.conf.unset("spark.barworks.series.block")
