@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import PRICE_COLUMNS, time_of_day, is_weekend
+from ..functions.quantiles import group_percentiles
 from ..functions.series import with_prev
 
 # Thresholds of the bar checks.
@@ -127,7 +128,7 @@ def _enrich(bars: DataFrame, keys: Sequence[str], order: Sequence[str],
             bucket: Column | None) -> DataFrame:
     """Row helpers: previous close/date along the series and the group's median volume."""
     b = with_prev(bars, keys, order, ["close", "date"], bucket)
-    med = bars.groupBy(*keys).agg(F.percentile("volume", 0.5).alias("_med_volume"))
+    med = group_percentiles(bars, keys, "volume", [0.5], ["_med_volume"])
     b = b.join(med, list(keys), "left")
     chg = ("CASE WHEN prev_close IS NULL OR close IS NULL THEN CAST(NULL AS DOUBLE) "
            "WHEN prev_close = 0 THEN CASE WHEN close <> 0 THEN double('inf') END "

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS
+from ..functions.quantiles import group_percentiles, multi_percentiles
 from ..functions.series import fill, interpolate_linear, interpolate_local
 
 KEYS = ("symbol",)
@@ -77,14 +78,21 @@ def fill_quadratic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS
     return interpolate_local(df, keys, order, _present(df, cols), 2)
 
 
-def _stat_fill(df: DataFrame, cols, keys, agg: Callable[[str], Column]) -> DataFrame:
+def _stat_fill(df: DataFrame, cols, keys, agg: Callable[[str], Column] | None = None,
+               stats: DataFrame | None = None) -> DataFrame:
     cols = _present(df, cols)
-    stats = df.groupBy(*keys).agg(*[agg(c).alias("_s_" + c) for c in cols])
+    if stats is None:
+        stats = df.groupBy(*keys).agg(*[agg(c).alias("_s_" + c) for c in cols])
     out = df.join(stats, list(keys), "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col("_s_" + c)) for c in cols}) \
               .drop(*["_s_" + c for c in cols])
 
 
+def _medians(df: DataFrame, cols, keys) -> DataFrame:
+    """Per-key exact medians of every column, one row per key."""
+    return multi_percentiles(df, keys, {c: ([0.5], ["_s_" + c]) for c in cols})
+
+
 def fill_mean(df, cols=OHLCV_COLUMNS, keys=KEYS):
     """C14: per-symbol column mean."""
     return _stat_fill(df, cols, keys, F.avg)
@@ -92,7 +100,8 @@ def fill_mean(df, cols=OHLCV_COLUMNS, keys=KEYS):
 
 def fill_median(df, cols=OHLCV_COLUMNS, keys=KEYS):
     """Per-symbol exact median (linear between ranks)."""
-    return _stat_fill(df, cols, keys, lambda c: F.percentile(c, 0.5))
+    cols = _present(df, cols)
+    return _stat_fill(df, cols, keys, stats=_medians(df, cols, keys))
 
 
 def fill_mode(df, cols=OHLCV_COLUMNS, keys=KEYS):
@@ -133,28 +142,21 @@ def impute(df: DataFrame, method: str = "forward_fill",
 # -- outliers (C18-C20) ----------------------------------------------------
 
 def _bounds(df, cols, keys, method, threshold):
-    aggs = []
-    for c in cols:
-        if method == "iqr":
-            q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))
-            aggs.append(q.alias("_q_" + c))
-        elif method == "zscore":
-            aggs += [F.avg(c).alias("_m_" + c), F.stddev_samp(c).alias("_s_" + c)]
-        else:
-            aggs.append(F.percentile(c, F.array(F.lit(LOW_QUANTILE), F.lit(HIGH_QUANTILE)))
-                        .alias("_q_" + c))
-    stats = df.groupBy(*keys).agg(*aggs)
+    if method == "zscore":
+        stats = df.groupBy(*keys).agg(*[a for c in cols for a in (
+            F.avg(c).alias("_m_" + c), F.stddev_samp(c).alias("_s_" + c))])
+        return stats.select(*keys, *[x for c in cols for x in (
+            (F.col("_m_" + c) - threshold * F.col("_s_" + c)).alias("_lo_" + c),
+            (F.col("_m_" + c) + threshold * F.col("_s_" + c)).alias("_hi_" + c))])
+    ps = (0.25, 0.75) if method == "iqr" else (LOW_QUANTILE, HIGH_QUANTILE)
+    stats = multi_percentiles(df, keys, {c: (ps, ["_a_" + c, "_b_" + c]) for c in cols})
     sel = list(keys)
     for c in cols:
+        a, b = F.col("_a_" + c), F.col("_b_" + c)
         if method == "iqr":
-            q1, q3 = F.col("_q_" + c)[0], F.col("_q_" + c)[1]
-            sel += [(q1 - threshold * (q3 - q1)).alias("_lo_" + c),
-                    (q3 + threshold * (q3 - q1)).alias("_hi_" + c)]
-        elif method == "zscore":
-            m, s = F.col("_m_" + c), F.col("_s_" + c)
-            sel += [(m - threshold * s).alias("_lo_" + c), (m + threshold * s).alias("_hi_" + c)]
+            sel += [(a - threshold * (b - a)).alias("_lo_" + c), (b + threshold * (b - a)).alias("_hi_" + c)]
         else:
-            sel += [F.col("_q_" + c)[0].alias("_lo_" + c), F.col("_q_" + c)[1].alias("_hi_" + c)]
+            sel += [a.alias("_lo_" + c), b.alias("_hi_" + c)]
     return stats.select(*sel)
 
 
@@ -211,8 +213,7 @@ def negative_prices(df: DataFrame, method: str = "absolute", keys=KEYS, order=OR
 
 def _volume_to_median(df: DataFrame, keys=KEYS) -> DataFrame:
     """NULL or non-positive volume -> median of the positive volumes, 1000 if none."""
-    med = (df.filter(F.col("volume") > 0).groupBy(*keys)
-             .agg(F.percentile("volume", 0.5).alias("_med")))
+    med = group_percentiles(df, keys, "volume", [0.5], ["_med"], where="volume > 0")
     out = df.join(med, list(keys), "left")
     v = F.col("volume")
     return out.withColumn("volume", F.when(v.isNull() | (v <= 0),
