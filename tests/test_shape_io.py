@@ -171,3 +171,13 @@ def test_raw_type_issues(spark):
                                 "symbol string, last_price string, volume string, ts string")
     got = sorted((r["symbol"], r["field"]) for r in T.raw_type_issues(raw).collect())
     assert got == [("A", "volume"), ("B", "last_price"), ("B", "timestamp")]
+
+
+def test_rename_and_custom_impute(spark):
+    from barworks.operators import clean as C
+    df = spark.createDataFrame([("A", 1.0, None)], "tradingsymbol string, average_price double, close double")
+    r = P.rename_portfolio(df, {"tradingsymbol": "symbol", "average_price": "avg_price"})
+    assert r.columns == ["symbol", "avg_price", "close"]
+    filled = C.impute(r, "custom", custom=lambda c: F.coalesce(c, F.lit(-1.0)))
+    assert filled.first()["close"] == -1.0
+    assert C.impute(r, "custom").first()["close"] is None      # no function: unchanged

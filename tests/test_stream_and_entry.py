@@ -51,3 +51,18 @@ def test_batch_merges_are_idempotent(spark, tmp_dir):
     K._merge_latest(quotes, q, "symbol", "ts")
     K._merge_latest(quotes, q, "symbol", "ts")
     assert sorted((r[0], r[2]) for r in spark.read.parquet(q).collect()) == [("A", 11.0), ("B", 7.0)]
+
+
+def test_live_signals_stream(spark, tmp_dir):
+    import datetime as dt
+    import os
+    src = os.path.join(tmp_dir, "sig_in")
+    rows = [(1, "S1", dt.datetime(2024, 1, 2, 10), 0.5), (1, "S1", dt.datetime(2024, 1, 2, 11), 0.7),
+            (2, "S2", dt.datetime(2024, 1, 2, 10), 0.1)]
+    spark.createDataFrame(rows, "signal_id long, symbol string, timestamp timestamp_ntz, confidence double") \
+         .write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out, ck = os.path.join(tmp_dir, "live"), os.path.join(tmp_dir, "ck")
+    K.live_signals(stream, out, ck).awaitTermination()
+    got = {r["signal_id"]: r["confidence"] for r in spark.read.parquet(out).collect()}
+    assert got == {1: 0.7, 2: 0.1}
