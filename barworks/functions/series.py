@@ -85,6 +85,29 @@ def with_prev(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.drop(_B, "_first", "_prev_tail", *["_lag_" + c for c in cols])
 
 
+def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+              cols: Sequence[str], bucket: Column | None = None,
+              prefix: str = "next_") -> DataFrame:
+    """Add ``prefix+c`` = value of ``c`` on the next row of the key's series."""
+    bucket = _resolve(df, order, bucket)
+    if bucket is None:
+        w = _w(keys, order, False)
+        return df.withColumns({prefix + c: F.lead(c).over(w) for c in cols})
+    b = df.withColumn(_B, bucket)
+    w = _w(keys, order, True)
+    b = b.withColumn("_last", F.row_number().over(
+        Window.partitionBy(*keys, _B).orderBy(*[F.col(o).desc() for o in order])) == 1)
+    b = b.withColumns({"_lead_" + c: F.lead(c).over(w) for c in cols})
+    heads = (b.groupBy(*keys, _B)
+              .agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_head")))
+    heads = heads.withColumn(
+        "_next_head", F.lead("_head").over(Window.partitionBy(*keys).orderBy(_B))).drop("_head")
+    b = b.join(heads, [*keys, _B], "left")
+    out = b.withColumns({prefix + c: F.when(F.col("_last"), F.col("_next_head." + c))
+                         .otherwise(F.col("_lead_" + c)) for c in cols})
+    return out.drop(_B, "_last", "_next_head", *["_lead_" + c for c in cols])
+
+
 def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str],
          exprs: dict[str, Column], direction: str = "forward",
          bucket: Column | None = None) -> DataFrame:
@@ -216,7 +239,9 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Each known row carries its own previous/next known point, so one forward
     and one backward fill deliver the two nearest known points on each side
     without a self-join.  Declared as expression text (one projection per
-    step)."""
+    step).  On the split plan the same steps run on the segmented helpers."""
+    if _resolve(df, order, None) is not None:
+        return _interpolate_local_split(df, keys, order, cols, degree)
     w = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} "
          f"ORDER BY {', '.join(f'`{o}`' for o in order)}")
     b = df.selectExpr("*", f"row_number() OVER ({w}) AS _pos")
@@ -257,3 +282,41 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   f"WHEN _N1_{c} IS NULL THEN {trailing} ELSE {val} END")
     keep = [f"`{x}`" if x not in out else f"{out[x]} AS `{x}`" for x in df.columns]
     return b.selectExpr(*keep)
+
+
+def _local_value(c: str, degree: int) -> str:
+    p1, n1 = (f"_P1_{c}.v", f"_P1_{c}.p"), (f"_N1_{c}.v", f"_N1_{c}.p")
+    p2, n2 = (f"_P1_{c}.q.v", f"_P1_{c}.q.p"), (f"_N1_{c}.q.v", f"_N1_{c}.q.p")
+    has_p2, has_n2 = f"_P1_{c}.q IS NOT NULL", f"_N1_{c}.q IS NOT NULL"
+    lin = _lagrange([p1, n1], "_pos")
+    if degree == 3:
+        val = (f"CASE WHEN {has_p2} AND {has_n2} THEN {_lagrange([p2, p1, n1, n2], '_pos')} "
+               f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} "
+               f"WHEN {has_p2} THEN {_lagrange([p2, p1, n1], '_pos')} ELSE {lin} END")
+        trailing = "CAST(NULL AS DOUBLE)"
+    else:
+        use_p2 = f"{has_p2} AND (NOT {has_n2} OR (_pos - _P1_{c}.q.p) <= (_N1_{c}.q.p - _pos))"
+        val = (f"CASE WHEN {use_p2} THEN {_lagrange([p2, p1, n1], '_pos')} "
+               f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} ELSE {lin} END")
+        trailing = f"_P1_{c}.v"
+    return (f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN _P1_{c} IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"WHEN _N1_{c} IS NULL THEN {trailing} ELSE {val} END")
+
+
+def _interpolate_local_split(df: DataFrame, keys, order, cols, degree: int) -> DataFrame:
+    """The local polynomial on segmented scans: row position, the known point
+    strictly before / after each row (inclusive fill, then the previous /
+    next row's value) and the forward / backward fill of the packed points."""
+    b = with_position(df, keys, order, "_pos")
+    known = {f"_k_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p")))
+             for c in cols}
+    b = fill(b, keys, order, {f"_fk_{c}": known[f"_k_{c}"] for c in cols}, "forward")
+    b = fill(b, keys, order, {f"_bk_{c}": known[f"_k_{c}"] for c in cols}, "backward")
+    b = with_prev(b, keys, order, [f"_fk_{c}" for c in cols], prefix="_kb")
+    b = with_next(b, keys, order, [f"_bk_{c}" for c in cols], prefix="_ka")
+    pack = lambda c, q: F.when(F.col(c).isNotNull(), F.struct(
+        F.col(c).alias("v"), F.col("_pos").alias("p"), F.col(q).alias("q")))
+    b = fill(b, keys, order, {f"_P1_{c}": pack(c, f"_kb_fk_{c}") for c in cols}, "forward")
+    b = fill(b, keys, order, {f"_N1_{c}": pack(c, f"_ka_bk_{c}") for c in cols}, "backward")
+    keep = [f"`{x}`" if x not in cols else f"{_local_value(x, degree)} AS `{x}`" for x in df.columns]
+    return b.selectExpr(*keep)

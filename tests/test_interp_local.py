@@ -56,3 +56,27 @@ def test_local_polynomials_match_numpy(spark):
             for i, e in enumerate(exp):
                 g = got[(s, i)]
                 assert (g is None and e is None) or abs(g - e) < 1e-6, (deg, s, i, g, e)
+
+
+def test_local_polynomials_split_plan(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from barworks.functions.series import SPLIT_CONF
+    rnd = random.Random(5)
+    rows = []
+    for s in ("A", "B"):
+        for i in range(60):
+            v = None if rnd.random() < 0.4 else round(rnd.uniform(10, 20), 2)
+            rows.append((s, dt.date(2024, 1, 1) + dt.timedelta(days=i), v, i))
+    df = spark.createDataFrame(rows, "symbol string, date date, close double, load_seq long")
+    for fn in (C.fill_cubic, C.fill_quadratic):
+        plain = {(r["symbol"], r["load_seq"]): r["close"] for r in fn(df, ["close"]).collect()}
+        spark.conf.set(SPLIT_CONF, "week")
+        try:
+            split = {(r["symbol"], r["load_seq"]): r["close"] for r in fn(df, ["close"]).collect()}
+        finally:
+            spark.conf.unset(SPLIT_CONF)
+        assert plain.keys() == split.keys()
+        for k in plain:
+            a, b = plain[k], split[k]
+            assert (a is None and b is None) or abs(a - b) < 1e-9, (k, a, b)

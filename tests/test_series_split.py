@@ -28,6 +28,8 @@ def test_prev_fill_position_interp_split_equal(spark):
     bucket = F.floor(F.col("t") / 7)
     _same(S.with_prev(df, ["symbol"], ["t"], ["v"]), S.with_prev(df, ["symbol"], ["t"], ["v"], bucket),
           ["prev_v"])
+    _same(S.with_next(df, ["symbol"], ["t"], ["v"]), S.with_next(df, ["symbol"], ["t"], ["v"], bucket),
+          ["next_v"])
     for d in ("forward", "backward"):
         _same(S.fill(df, ["symbol"], ["t"], {"f": F.col("v")}, d),
               S.fill(df, ["symbol"], ["t"], {"f": F.col("v")}, d, bucket), ["f"])
