@@ -101,9 +101,14 @@ def quote_polling(stream: DataFrame, table_path: str, backup_path: str, checkpoi
 def daily_signal_counts(signals: DataFrame, watermark: str = "1 day") -> DataFrame:
     """K5: per day and ticker counts of a signal stream (watermarked window)."""
     a = F.col("action")
-    # event time must be a zoned timestamp; the session clock is UTC, so the
-    # instant (and its day) equals the exchange-naive value
-    ev = signals.withColumn("_et", F.col("timestamp").cast("timestamp"))
+    # The event time must be a zoned timestamp.  The naive wall-clock value is
+    # read as UTC explicitly (not through the session zone), so the 1-day
+    # windows - aligned to the epoch - are the wall-clock days, and the day
+    # label is taken from epoch seconds: independent of the session zone.
+    wall = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    ev = signals.withColumn("_et", F.to_timestamp(F.concat(wall, F.lit("Z")),
+                                                  "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
     return (ev.withWatermark("_et", watermark)
                    .groupBy(F.window("_et", "1 day").alias("w"), F.col("symbol").alias("ticker"))
                    .agg(F.count(F.lit(1)).alias("signal_count"),
@@ -111,7 +116,7 @@ def daily_signal_counts(signals: DataFrame, watermark: str = "1 day") -> DataFra
                         F.count_if(a == "BUY").alias("buy_signals"),
                         F.count_if(a == "SELL").alias("sell_signals"),
                         F.count_if(a == "HOLD").alias("hold_signals"))
-                   .select(F.to_date(F.col("w.start")).alias("date"), "ticker", "signal_count",
+                   .select(day.alias("date"), "ticker", "signal_count",
                            "avg_confidence", "buy_signals", "sell_signals", "hold_signals"))
 
 

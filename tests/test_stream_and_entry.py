@@ -66,3 +66,18 @@ def test_live_signals_stream(spark, tmp_dir):
     K.live_signals(stream, out, ck).awaitTermination()
     got = {r["signal_id"]: r["confidence"] for r in spark.read.parquet(out).collect()}
     assert got == {1: 0.7, 2: 0.1}
+
+
+def test_daily_counts_independent_of_session_zone(spark):
+    import datetime as dt
+    rows = [(1, "S1", dt.datetime(2024, 1, 2, 23, 30), "BUY", 0.5),
+            (2, "S1", dt.datetime(2024, 1, 3, 0, 30), "SELL", 0.7)]
+    df = spark.createDataFrame(rows, "signal_id long, symbol string, timestamp timestamp_ntz, "
+                                     "action string, confidence double")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = sorted((r["date"].day, r["signal_count"]) for r in K.daily_signal_counts(df).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == [(2, 1), (3, 1)]
