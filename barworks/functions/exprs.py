@@ -55,3 +55,16 @@ def day_pct_change(cur: str | Column, prev: str | Column) -> Column:
              .when((p == 0) & (c != 0), F.lit(float("inf")))
              .when(p == 0, F.lit(None).cast("double"))
              .otherwise(F.abs((c - p) / p)))
+
+
+def dedupe(df: DataFrame, key, by: str, last: bool = False) -> DataFrame:
+    """One row per ``key``: the row with the smallest (or largest) ``by``.
+
+    A hash aggregate of ``min_by`` / ``max_by`` over the whole row: partial
+    aggregation drops duplicates map-side and no sort is needed (a
+    ``row_number`` window would shuffle and sort every row)."""
+    key = list(key)
+    rest = [c for c in df.columns if c not in key]
+    pick = F.max_by if last else F.min_by
+    out = df.groupBy(*key).agg(pick(F.struct(*rest), F.col(by)).alias("_r"))
+    return out.select(*key, *[F.col("_r." + c).alias(c) for c in rest]).select(*df.columns)

@@ -47,6 +47,7 @@ ACTIONS = {
     "empty_dataframe": "Check data source connectivity and symbol validity",
 }
 
+# Columns of an issue row (after ``issues_of``).
 ISSUE_SCHEMA = ("symbol string, source string, issue_type string, severity string, "
                 "column string, affected_rows bigint, suggested_action string")
 

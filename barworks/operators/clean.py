@@ -12,9 +12,8 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS
+from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS, dedupe
 from ..functions.quantiles import group_percentiles, multi_percentiles
 from ..functions.series import fill, interpolate_linear, interpolate_local
 
@@ -243,9 +242,7 @@ def clean_bars(df: DataFrame, keys=KEYS, order=ORDER, bucket: Column | None = No
 
 def keep_first(df: DataFrame, key: Sequence[str], by: str, last: bool = False) -> DataFrame:
     """One row per key, the first (or last) by ``by``."""
-    o = F.col(by).desc() if last else F.col(by).asc()
-    w = Window.partitionBy(*key).orderBy(o)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return dedupe(df, key, by, last)
 
 
 def clean_pipeline(df: DataFrame, method: str = "forward_fill", outliers: str | None = "iqr",

@@ -11,9 +11,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.exprs import is_weekend, safe_div, time_of_day
+from ..functions.exprs import dedupe, is_weekend, safe_div, time_of_day
 
 # The exchange session bounds (inclusive) of the trading-session label.
 PRE_MARKET_START = "09:00:00.000000"
@@ -78,8 +77,7 @@ def unpivot_wide(df: DataFrame, date_col: str = "Date", sep: str = "_",
 def keep_last_per_date(df: DataFrame, keys: Sequence[str] = ("symbol", "date"),
                        seq: str = "load_seq") -> DataFrame:
     """The last landed row per duplicate (symbol, date)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(seq).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return dedupe(df, keys, seq, last=True)
 
 
 SEGMENT_COLUMNS = ["symbol", "date", "timestamp", "open", "high", "low", "close", "volume",

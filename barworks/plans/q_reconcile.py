@@ -5,7 +5,6 @@ from __future__ import annotations
 from ..operators import reconcile as R
 from ..sources import fixtures as fx
 from .q_checks import validation_ctes
-from .q_clean import _TIERED  # noqa: F401  (shape reference for the imputer SQL)
 from .q_clean import _linear, _ROLL
 from .registry import query
 

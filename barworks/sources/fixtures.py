@@ -72,10 +72,9 @@ def bars_dirty(spark: SparkSession, sf_dir: str, keep_uid: bool = False) -> Data
 
 def vendor_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary vendor: dirty bars, de-duplicated (first load_seq per day), minus uid % 10 = 7."""
+    from ..functions.exprs import dedupe
     d = bars_dirty(spark, sf_dir, keep_uid=True).filter(F.col("uid") % 10 != 7)
-    w = Window.partitionBy("symbol", "date").orderBy("load_seq")
-    return (d.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-             .select(*BAR_COLUMNS, "source"))
+    return dedupe(d.select(*BAR_COLUMNS, "source"), ["symbol", "date"], "load_seq")
 
 
 def bars_b(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,6 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..session import checkpoint_dir
 
@@ -182,9 +181,9 @@ def backup_json(df: DataFrame, path: str, partition_by: str = "date") -> None:
 # -- upsert / delete / retention on Parquet (S9, S10, S14-S16) -------------
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str = "load_seq") -> DataFrame:
-    """S9 core: last write wins per business key."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """S9 core: last write wins per business key (hash aggregate of max_by)."""
+    from ..functions.exprs import dedupe
+    return dedupe(df, keys, order, last=True)
 
 
 def _stage(df: DataFrame, name: str) -> DataFrame:
