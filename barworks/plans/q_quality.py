@@ -84,8 +84,7 @@ GROUP BY symbol, date HAVING count(*) > 1"""
 @query("duplicate_keys", _DUPS, ("bars_dirty",))
 def duplicate_keys(spark, sf_dir):
     """A7."""
-    b = fx.bars_dirty(spark, sf_dir)
-    return Q.duplicate_keys(b, latest(b, "date"))
+    return Q.duplicate_keys(fx.bars_dirty(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
 
 
 @query("quality_checks", """
@@ -97,8 +96,7 @@ UNION ALL SELECT 'duplicate_groups', count(*), count(*) = 0 FROM dups""", ("bars
        extra=[("gaps", _GAPS.format(src="bars_dirty")), ("dups", _DUPS)])
 def quality_checks(spark, sf_dir):
     """A8."""
-    b = fx.bars_dirty(spark, sf_dir)
-    return Q.quality_checks(b, latest(b, "date"))
+    return Q.quality_checks(fx.bars_dirty(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
 
 
 @query("latest_date", """

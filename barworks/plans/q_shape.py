@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import shape as P
-from ..operators.views import latest
+from ..operators.views import latest  # noqa: F401  (recent_rows)
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .registry import query
@@ -116,8 +116,7 @@ SELECT * FROM bars WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 14 DAY"
        doubles=D)
 def symbol_range(spark, sf_dir):
     """Open-ended date range over every symbol (start = as_of - 14 days)."""
-    b = fx.bars(spark, sf_dir)
-    return P.date_range(b, start=F.date_sub(latest(b, "date"), 14))
+    return P.date_range(fx.bars(spark, sf_dir), start=F.date_sub(fx.event_day_as_of(spark, sf_dir), 14))
 
 
 @query("recent_rows", """

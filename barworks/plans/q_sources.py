@@ -77,8 +77,7 @@ SELECT * FROM bars_dirty WHERE date >= (SELECT max(date) FROM bars_dirty) - INTE
        ("bars_dirty",), doubles=D)
 def retention(spark, sf_dir):
     """Keep the last 10 days."""
-    b = fx.bars_dirty(spark, sf_dir)
-    return S.drop_older(b, latest(b, "date"), 10, "date")
+    return S.drop_older(fx.bars_dirty(spark, sf_dir), fx.event_day_as_of(spark, sf_dir), 10, "date")
 
 
 @query("table_stats", """

@@ -58,9 +58,8 @@ _TR = "\nUNION ALL\n".join(
 
 
 def _results(spark, sf_dir):
-    t = fx.ticks(spark, sf_dir)
-    as_of = t.agg(F.max(F.to_date("ts"))).scalar().cast("timestamp_ntz")
-    return T.tick_results(t, as_of)
+    as_of = fx.event_day_as_of(spark, sf_dir).cast("timestamp_ntz")
+    return T.tick_results(fx.ticks(spark, sf_dir), as_of)
 
 
 @query("tick_issues", _TR, ("ticks",), doubles="value", extra=[("tb", _TB)])

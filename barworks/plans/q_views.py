@@ -25,8 +25,7 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date)""", ("bars",),
        doubles="close prev_close daily_return volume")
 def daily_returns(spark, sf_dir):
     """W1."""
-    b = fx.bars(spark, sf_dir)
-    return Vw.daily_returns(b, Vw.latest(b, "date"))
+    return Vw.daily_returns(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
 
 
 @query("daily_returns_split", """
@@ -39,8 +38,8 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date)""", ("bars",),
        doubles="close prev_close daily_return volume")
 def daily_returns_split(spark, sf_dir):
     """W1 with the series split into weekly buckets (the hot-symbol plan)."""
-    b = fx.bars(spark, sf_dir)
-    return Vw.daily_returns(b, Vw.latest(b, "date"), bucket=F.date_trunc("week", "date"))
+    return Vw.daily_returns(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir),
+                            bucket=F.date_trunc("week", "date"))
 
 
 _RISK_SQL = """
@@ -64,8 +63,7 @@ WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 30 DAY"""
        doubles="annualized_volatility var_95 annualized_return sharpe_ratio")
 def risk_metrics(spark, sf_dir):
     """W3 real form: rolling 252-row volatility, 5% VaR, return, Sharpe."""
-    b = fx.bars(spark, sf_dir)
-    return Vw.risk_metrics(b, Vw.latest(b, "date"))
+    return Vw.risk_metrics(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
 
 
 @query("risk_metrics_split", _RISK_SQL, ("bars",),
@@ -73,8 +71,8 @@ def risk_metrics(spark, sf_dir):
 def risk_metrics_split(spark, sf_dir):
     """W3 on the split plan: weekly segments for the lag, 16-row halo blocks
     for the 252-row rolling frame (tiny blocks so the fixture crosses many)."""
-    b = fx.bars(spark, sf_dir)
-    return Vw.risk_metrics(b, Vw.latest(b, "date"), bucket=F.date_trunc("week", "date"), block=300)
+    return Vw.risk_metrics(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir),
+                           bucket=F.date_trunc("week", "date"), block=300)
 
 
 @query("strategy_metrics", """
@@ -239,8 +237,7 @@ WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 90 DAY""", ("bars",),
        doubles="open high low close volume")
 def hot_tier(spark, sf_dir):
     """P12."""
-    b = fx.bars(spark, sf_dir)
-    return Vw.hot_tier(b, Vw.latest(b, "date"))
+    return Vw.hot_tier(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
 
 
 @query("table_counts", """
@@ -255,7 +252,7 @@ def table_counts(spark, sf_dir):
     b, s = fx.bars(spark, sf_dir), fx.signals(spark, sf_dir)
     sd = F.to_date("timestamp")
     return Vw.table_counts({
-        "price_data": (b, F.col("date") >= F.date_sub(Vw.latest(b, "date"), 30)),
+        "price_data": (b, F.col("date") >= F.date_sub(fx.event_day_as_of(spark, sf_dir), 30)),
         "signals": (s, sd >= F.date_sub(s.agg(F.max(sd)).scalar(), 30))})
 
 
@@ -265,4 +262,5 @@ FROM bars WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 7 DAY""", ("bars
 def table_metrics(spark, sf_dir):
     """A17."""
     b = fx.bars(spark, sf_dir)
-    return Vw.table_metrics(b, F.col("date") >= F.date_sub(Vw.latest(b, "date"), 7), "ohlcv_data")
+    return Vw.table_metrics(b, F.col("date") >= F.date_sub(fx.event_day_as_of(spark, sf_dir), 7),
+                            "ohlcv_data")

@@ -249,3 +249,11 @@ def segment_of(symbol: str = "symbol") -> Column:
 def both_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary and secondary vendor bars in one frame (``source`` tells them apart)."""
     return vendor_a(spark, sf_dir).unionByName(bars_b(spark, sf_dir))
+
+
+def event_day_as_of(spark: SparkSession, sf_dir: str) -> Column:
+    """Newest event day as a scalar subquery over a one-column scan of events.
+
+    Equal to the newest date of ``bars``, ``bars_dirty`` and ``ticks`` (they keep
+    every event day), but without re-running their aggregate or join."""
+    return table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).scalar()
