@@ -83,16 +83,27 @@ def duplicate_keys(bars: DataFrame, as_of: Column, days: int = DUPLICATE_LOOKBAC
 
 
 def quality_checks(bars: DataFrame, as_of: Column) -> DataFrame:
-    """The three daily checks as one issues frame with a pass flag."""
-    up = updated_on(bars, F.date_sub(as_of, 1)).select(
-        F.lit("symbols_updated_yesterday").alias("check_name"),
-        F.col("symbols_updated_yesterday").alias("value"),
-        (~F.col("below_threshold")).alias("passed"))
-    gaps = date_gaps(bars, as_of).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("symbols_with_gaps").alias("check_name"), "value", (F.col("value") == 0).alias("passed"))
-    dups = duplicate_keys(bars, as_of).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("duplicate_groups").alias("check_name"), "value", (F.col("value") == 0).alias("passed"))
-    return up.unionByName(gaps).unionByName(dups)
+    """The three daily checks as one issues frame with a pass flag.
+
+    All three come from ONE count per (symbol, date) over the last 30 days:
+    symbols with a row on the day before as_of, (symbol, date) groups with
+    more than one row in the last 7 days, and symbols with a gap of more than
+    3 days between consecutive distinct dates (duplicate rows only add
+    zero-day gaps, so distinct dates give the same gaps as rows)."""
+    recent = bars.filter(F.col("date") >= F.date_sub(as_of, GAP_LOOKBACK_DAYS))
+    days = recent.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("_n"))
+    days = with_prev(days, ["symbol"], ["date"], ["date"])
+    per = days.groupBy("symbol").agg(
+        F.max(F.col("date") == F.date_sub(as_of, 1)).alias("_upd"),
+        F.count_if((F.col("_n") > 1) & (F.col("date") >= F.date_sub(as_of, DUPLICATE_LOOKBACK_DAYS)))
+         .alias("_dups"),
+        F.count_if(F.datediff("date", "prev_date") > GAP_DAYS).alias("_gaps"))
+    t = per.agg(F.count_if("_upd").alias("upd"), F.count_if(F.col("_gaps") > 0).alias("gaps"),
+                F.sum("_dups").cast("bigint").alias("dups"))
+    return t.selectExpr(
+        f"stack(3, 'symbols_updated_yesterday', upd, upd >= {MIN_SYMBOLS_UPDATED}, "
+        "'symbols_with_gaps', gaps, gaps = 0, 'duplicate_groups', dups, dups = 0) "
+        "AS (check_name, value, passed)")
 
 
 def latest_date(bars: DataFrame) -> DataFrame:

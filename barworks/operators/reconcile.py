@@ -31,32 +31,28 @@ def _ratio(num: Column, den: Column) -> Column:
 
 
 def compare_sources(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
-    """Per symbol of either side: coverage flags and discrepancy aggregates."""
-    sa = a.select("symbol").distinct().withColumn("in_a", F.lit(True))
-    sb = b.select("symbol").distinct().withColumn("in_b", F.lit(True))
-    syms = sa.join(sb, "symbol", "full")
-    j = (a.select("symbol", "date", F.col("close").alias("ca"), F.col("volume").alias("va"))
-          .join(b.select("symbol", "date", F.col("close").alias("cb"), F.col("volume").alias("vb")),
-                ["symbol", "date"], "inner"))
+    """Per symbol of either side: coverage flags and discrepancy aggregates,
+    from ONE full outer join on (symbol, date) and one aggregate (the
+    coverage flags are counts of each side's rows, the discrepancies come
+    from the rows present on both sides)."""
+    ja = a.select("symbol", "date", F.col("close").alias("ca"), F.col("volume").alias("va"),
+                  F.lit(True).alias("_a"))
+    jb = b.select("symbol", "date", F.col("close").alias("cb"), F.col("volume").alias("vb"),
+                  F.lit(True).alias("_b"))
+    j = ja.join(jb, ["symbol", "date"], "full")
+    both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
     pd_ = _ratio(F.abs(F.col("ca") - F.col("cb")), F.col("ca"))
     vd = _ratio(F.abs(F.col("va") - F.col("vb")), F.col("va") + 1)
-    big_p = F.when(pd_ > tolerance, pd_)
-    big_v = F.when(vd > VOLUME_TOLERANCE, vd)
-    agg = j.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("common_dates"),
+    big_p = F.when(both & (pd_ > tolerance), pd_)
+    big_v = F.when(both & (vd > VOLUME_TOLERANCE), vd)
+    return j.groupBy("symbol").agg(
+        (F.count("_a") > 0).alias("in_a"), (F.count("_b") > 0).alias("in_b"),
+        F.count_if(both).alias("common_dates"),
         F.count(big_p).alias("price_count"),
         (F.max(big_p) * 100).alias("price_max_pct"),
         (F.avg(big_p) * 100).alias("price_avg_pct"),
         F.count(big_v).alias("volume_count"),
         (F.max(big_v) * 100).alias("volume_max_pct"))
-    out = syms.join(agg, "symbol", "left")
-    return out.select("symbol", F.coalesce("in_a", F.lit(False)).alias("in_a"),
-                      F.coalesce("in_b", F.lit(False)).alias("in_b"),
-                      F.coalesce("common_dates", F.lit(0)).alias("common_dates"),
-                      F.coalesce("price_count", F.lit(0)).alias("price_count"),
-                      "price_max_pct", "price_avg_pct",
-                      F.coalesce("volume_count", F.lit(0)).alias("volume_count"),
-                      "volume_max_pct")
 
 
 def _issue(kind: str, severity: str, rows: Column, diff: Column) -> Column:
