@@ -61,7 +61,7 @@ def _lit(v):
 def issues_sql(src: str, kinds: tuple[str, ...]) -> tuple[str, list[tuple[str, str]]]:
     specs = [s for s in _specs() if s[6] in kinds]
     aggs = ", ".join(f"{s[3]} AS k{i}" for i, s in enumerate(specs))
-    extra = [("enr", _ENRICH.format(src=src)), ("enr2", _CHG.replace("FROM enr", "FROM enr")),
+    extra = [("enr", _ENRICH.format(src=src)), ("enr2", _CHG),
              ("agg", f"SELECT symbol, source, count(*) AS n, any_value(med) AS med, {aggs} "
                      f"FROM enr2 GROUP BY symbol, source")]
     parts = []
