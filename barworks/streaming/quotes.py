@@ -54,6 +54,8 @@ def _merge_latest(batch: DataFrame, path: str, key: str, order: str) -> None:
     replayed batch yields the same table).  The merged result is staged next
     to the table and swapped in, because a plan may not overwrite its input."""
     spark = batch.sparkSession
+    if batch.isEmpty():          # e.g. the no-data batch that only advances the watermark
+        return
     fresh = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("r")) \
                  .select("r.*")
     if not _exists(spark, path):
@@ -90,6 +92,8 @@ def quote_polling(stream: DataFrame, table_path: str, backup_path: str, checkpoi
     """K3: every trigger flatten quotes (P5), keep market hours (P16), back up
     as JSON per day (S17) and append to the table (S7)."""
     def batch(df: DataFrame, _id: int) -> None:
+        if df.isEmpty():
+            return
         flat = flatten_quotes(df).filter(market_open("ts")).withColumn("date", F.to_date("ts"))
         flat.write.mode("append").partitionBy("date").json(backup_path)
         flat.write.mode("append").partitionBy("date").parquet(table_path)
@@ -124,6 +128,8 @@ def _merge_rows(batch: DataFrame, path: str, keys: list[str], batch_id: int) ->
     """Update-mode rows replace earlier rows of the same key (batch id wins;
     a replayed batch first drops its own earlier output)."""
     spark = batch.sparkSession
+    if batch.isEmpty():
+        return
     fresh = batch.withColumn("_batch", F.lit(batch_id))
     if not _exists(spark, path):
         fresh.write.mode("overwrite").parquet(path)
