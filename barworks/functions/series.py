@@ -108,37 +108,44 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.drop(_B, "_last", "_next_head", *["_lead_" + c for c in cols])
 
 
+def _running(keys, order, bucketed: bool, forward: bool, extra=()):
+    """A running frame (unbounded preceding .. current row).  Backward scans
+    use the reversed order: Spark evaluates a frame that ends at UNBOUNDED
+    FOLLOWING by re-aggregating the rest of the partition for every row
+    (quadratic), while a running frame is one pass."""
+    parts = list(keys) + ([_B] if bucketed else []) + list(extra)
+    o = [F.col(c).asc() if forward else F.col(c).desc() for c in order]
+    return Window.partitionBy(*parts).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str],
          exprs: dict[str, Column], direction: str = "forward",
          bucket: Column | None = None) -> DataFrame:
     """Add each ``name -> expr`` as the last (forward) or next (backward)
-    non-NULL value of ``expr`` along the series, current row included."""
+    non-NULL value of ``expr`` along the series, current row included.
+    Both directions are running ``last(ignorenulls)`` scans (backward over
+    the reversed order), so each is linear in the series length."""
     fwd = direction == "forward"
     bucket = _resolve(df, order, bucket)
     tmp = {"_v_" + n: e for n, e in exprs.items()}
     b = df.withColumns(tmp)
     if bucket is None:
-        w = _w(keys, order, False)
-        frame = (w.rowsBetween(Window.unboundedPreceding, 0) if fwd
-                 else w.rowsBetween(0, Window.unboundedFollowing))
-        agg = F.last if fwd else F.first
-        out = b.withColumns({n: agg("_v_" + n, ignorenulls=True).over(frame) for n in exprs})
+        frame = _running(keys, order, False, fwd)
+        out = b.withColumns({n: F.last("_v_" + n, ignorenulls=True).over(frame) for n in exprs})
         return out.drop(*tmp)
     b = b.withColumn(_B, bucket)
-    w = _w(keys, order, True)
-    frame = (w.rowsBetween(Window.unboundedPreceding, 0) if fwd
-             else w.rowsBetween(0, Window.unboundedFollowing))
-    agg = F.last if fwd else F.first
-    b = b.withColumns({"_in_" + n: agg("_v_" + n, ignorenulls=True).over(frame) for n in exprs})
+    frame = _running(keys, order, True, fwd)
+    b = b.withColumns({"_in_" + n: F.last("_v_" + n, ignorenulls=True).over(frame) for n in exprs})
     pick = F.max_by if fwd else F.min_by
     ordkey = F.struct(*order)
     edges = b.groupBy(*keys, _B).agg(*[
         pick(F.col("_v_" + n), F.when(F.col("_v_" + n).isNotNull(), ordkey)).alias("_e_" + n)
         for n in exprs])
-    wk = Window.partitionBy(*keys).orderBy(_B)
-    wk = (wk.rowsBetween(Window.unboundedPreceding, -1) if fwd
-          else wk.rowsBetween(1, Window.unboundedFollowing))
-    edges = edges.select(*keys, _B, *[agg("_e_" + n, ignorenulls=True).over(wk).alias("_c_" + n)
+    # carry across buckets: the nearest earlier (forward) / later (backward)
+    # bucket edge, a running scan over the small per-bucket table
+    wk = Window.partitionBy(*keys).orderBy(F.col(_B).asc() if fwd else F.col(_B).desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*keys, _B, *[F.last("_e_" + n, ignorenulls=True).over(wk).alias("_c_" + n)
                                       for n in exprs])
     b = b.join(edges, [*keys, _B], "left")
     out = b.withColumns({n: F.coalesce(F.col("_in_" + n), F.col("_c_" + n)) for n in exprs})
@@ -244,13 +251,17 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return _interpolate_local_split(df, keys, order, cols, degree)
     w = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} "
          f"ORDER BY {', '.join(f'`{o}`' for o in order)}")
+    # reversed order: "next known" scans become running frames (linear, not
+    # the per-row re-aggregation of an UNBOUNDED FOLLOWING frame)
+    wr = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} "
+          f"ORDER BY {', '.join(f'`{o}` DESC' for o in order)}")
     b = df.selectExpr("*", f"row_number() OVER ({w}) AS _pos")
     b = b.selectExpr("*", *[f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{c}`, 'p', _pos) END "
                             f"AS _k_{c}" for c in cols])
     b = b.selectExpr("*", *[
         f"last(_k_{c}, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _kb_{c}"
         for c in cols], *[
-        f"first(_k_{c}, true) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS _ka_{c}"
+        f"last(_k_{c}, true) OVER ({wr} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _ka_{c}"
         for c in cols])
     b = b.selectExpr("*", *[
         f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{c}`, 'p', _pos, 'q', _kb_{c}) END AS _pf_{c}"
@@ -260,7 +271,7 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     b = b.selectExpr("*", *[
         f"last(_pf_{c}, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _P1_{c}"
         for c in cols], *[
-        f"first(_nf_{c}, true) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _N1_{c}"
+        f"last(_nf_{c}, true) OVER ({wr} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _N1_{c}"
         for c in cols])
     out = {}
     for c in cols:

@@ -343,3 +343,18 @@ def seed_bars(spark: SparkSession, symbols: Sequence[str], hours: int = 10,
                     (100 + base).cast("double").alias("open"), (105 + base).cast("double").alias("high"),
                     (95 + base).cast("double").alias("low"), (102 + base).cast("double").alias("close"),
                     (1000 * (F.col("j") + 1)).cast("double").alias("volume"))
+
+
+def seed_daily_bars(spark: SparkSession, n_symbols: int = 250, n_days: int = 4685,
+                    start: str = "2010-01-01") -> DataFrame:
+    """S22's value rule laid out as daily bars (symbol i, day j): a like-sized
+    load (250 x 4,685 = 1,171,250 bars) generated by ``spark.range``."""
+    i = F.col("id") % n_symbols
+    j = (F.col("id") / n_symbols).cast("long")
+    base = (10 * i + j).cast("double")
+    return spark.range(n_symbols * n_days).select(
+        F.concat(F.lit("Y"), i).alias("symbol"),
+        F.date_add(F.lit(start).cast("date"), j.cast("int")).alias("date"),
+        (100 + base).alias("open"), (105 + base).alias("high"), (95 + base).alias("low"),
+        (102 + base).alias("close"), (1000 * (j % 10 + 1)).cast("double").alias("volume"),
+        F.col("id").alias("load_seq"), F.lit("seed").alias("source"))
