@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .tables import table
 
@@ -108,9 +107,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     side is already hash-partitioned for it.
     """
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
-    b = bars_uid(spark, sf_dir)
-    b = b.withColumn("previous_close",
-                     F.lag("close").over(Window.partitionBy("uid").orderBy("date")))
+    from ..functions.series import with_prev
+    b = with_prev(bars_uid(spark, sf_dir), ["uid"], ["date"], ["close"], prefix="previous_")
     cat = F.lit(None).cast("string")
     for ev, c in CATEGORY_BY_EVENT.items():
         cat = F.when(F.col("event_type") == ev, F.lit(c)).otherwise(cat)

@@ -181,3 +181,12 @@ def test_rename_and_custom_impute(spark):
     filled = C.impute(r, "custom", custom=lambda c: F.coalesce(c, F.lit(-1.0)))
     assert filled.first()["close"] == -1.0
     assert C.impute(r, "custom").first()["close"] is None      # no function: unchanged
+
+
+def test_read_csv_landing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "landing_csv")
+    rows = [("A", dt.date(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 100.0, d, "csv") for d in range(1, 6)]
+    spark.createDataFrame(rows, S.BARS_SCHEMA).write.option("header", "true").csv(path)
+    df = S.read_bars(spark, path, fmt="csv", start="2024-01-02", end="2024-01-03")
+    assert df.schema == S.BARS_SCHEMA or [f.name for f in df.schema] == [f.name for f in S.BARS_SCHEMA]
+    assert sorted(r["date"].day for r in df.collect()) == [2, 3]
