@@ -186,13 +186,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str = "load_seq")
     return dedupe(df, keys, order, last=True)
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
+def _stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` under the shared checkpoint folder and read it back: cuts
-    the lineage to the table being rewritten and survives executor loss."""
+    the lineage to the table being rewritten and survives executor loss.
+    Returns the staged frame and its path (removed once swapped in)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem of its URI."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _swap_partitions(staged: DataFrame, path: str, partition_by: str) -> None:
@@ -217,7 +225,9 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[s
     touched = incoming.select(partition_by).distinct()
     affected = current.join(touched, partition_by, "left_semi")
     merged = latest_per_key(affected.unionByName(incoming.select(*current.columns)), keys, order)
-    _swap_partitions(_stage(merged, "upsert"), path, partition_by)
+    staged, where = _stage(merged, "upsert")
+    _swap_partitions(staged, path, partition_by)
+    remove_path(spark, where)
 
 
 def upsert_backtest(spark: SparkSession, path: str, results: DataFrame, mode: str,
@@ -242,11 +252,12 @@ def delete_where(spark: SparkSession, path: str, cond: Column, partition_by: str
     hit = current.filter(cond).select(partition_by).distinct()
     affected = current.join(hit, partition_by, "left_semi")
     keep = affected.filter(~F.coalesce(cond, F.lit(False)))
-    staged = _stage(keep, "delete")
+    staged, where = _stage(keep, "delete")
     remaining = staged.select(partition_by).distinct()
     emptied = [r[0] for r in hit.join(remaining, partition_by, "left_anti").collect()]
     _swap_partitions(staged, path, partition_by)
     _drop_partitions(spark, path, partition_by, emptied)
+    remove_path(spark, where)
 
 
 def drop_older(df: DataFrame, as_of: Column, days: int, col: str = "created_at") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..operators.shape import flatten_quotes, market_open
 from ..session import checkpoint_dir
-from ..sources.io import _exists, with_symbols
+from ..sources.io import _exists, remove_path, with_symbols
 
 QUOTE_FIELDS = ("last_price", "volume")
 
@@ -68,9 +68,11 @@ def _merge_latest(batch: DataFrame, path: str, key: str, order: str) -> None:
 
 
 def _swap(df: DataFrame, path: str) -> None:
+    """Stage the merged table next to it, swap it in, drop the staged copy."""
     staged = f"{path}.b{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(staged)
     df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
+    remove_path(df.sparkSession, staged)
 
 
 def latest_quotes(stream: DataFrame, table_path: str, checkpoint: str,

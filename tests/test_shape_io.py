@@ -190,3 +190,16 @@ def test_read_csv_landing(spark, tmp_dir):
     df = S.read_bars(spark, path, fmt="csv", start="2024-01-02", end="2024-01-03")
     assert df.schema == S.BARS_SCHEMA or [f.name for f in df.schema] == [f.name for f in S.BARS_SCHEMA]
     assert sorted(r["date"].day for r in df.collect()) == [2, 3]
+
+
+def test_staging_is_cleaned_up(spark, tmp_dir):
+    from barworks.session import checkpoint_dir
+    path = os.path.join(tmp_dir, "bars_stage")
+    d1 = dt.date(2024, 1, 1)
+    S.write_table(_bars(spark, [("A", d1, 1.0, 1)]), path)
+    ck = checkpoint_dir(spark)
+    before = {n for n in os.listdir(ck) if n.startswith("stage-")} if os.path.isdir(ck) else set()
+    S.upsert(spark, path, _bars(spark, [("A", d1, 2.0, 5)]), ["symbol", "date"])
+    S.delete_where(spark, path, F.col("symbol") == "Z")
+    after = {n for n in os.listdir(ck) if n.startswith("stage-")}
+    assert after == before
