@@ -73,7 +73,7 @@ def with_prev(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})
     b = df.withColumn(_B, bucket)
     w = _w(keys, order, True)
-    b = b.withColumn("_first", F.row_number().over(w) == 1)
+    b = b.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
     b = b.withColumns({"_lag_" + c: F.lag(c).over(w) for c in cols})
     tails = (b.groupBy(*keys, _B)
               .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_tail")))
@@ -95,8 +95,8 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({prefix + c: F.lead(c).over(w) for c in cols})
     b = df.withColumn(_B, bucket)
     w = _w(keys, order, True)
-    b = b.withColumn("_last", F.row_number().over(
-        Window.partitionBy(*keys, _B).orderBy(*[F.col(o).desc() for o in order])) == 1)
+    # the bucket's last row has no successor; same window spec, no second sort
+    b = b.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
     b = b.withColumns({"_lead_" + c: F.lead(c).over(w) for c in cols})
     heads = (b.groupBy(*keys, _B)
               .agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_head")))
