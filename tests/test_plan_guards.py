@@ -17,6 +17,12 @@ def test_no_quadratic_frames_or_cartesian(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not QUADRATIC_FRAME.search(plan), name
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    # Python runs on executors only in the F1 pandas-strategy query
+    python_ops = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+    if name != "strategy_signals_pandas":
+        assert not any(op in plan for op in python_ops), name
+    else:
+        assert "FlatMapGroupsInPandas" in plan
 
 
 def test_guard_detects_the_quadratic_frame(spark):
