@@ -3,7 +3,7 @@
 Each function derives one logical table (bars, a second vendor, ticks,
 signals, trades, positions, backtests, logs) from the landed parquet so the
 work of every query grows with the input.  The same mappings exist as SQL
-in ``barworks.plans.oracle`` for the DuckDB cross-check.
+in ``barworks.plans.ctes`` for the DuckDB cross-check.
 """
 
 from __future__ import annotations
