@@ -14,6 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,70 +84,109 @@ def sums_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
                       else np.zeros(0, np.int64))
 
 
-def global_counts(blocks: DataFrame, entries: int) -> DataFrame:
+def pack(a: np.ndarray) -> bytes:
+    """An array as compressed bytes (ascending 64-bit keys are kept as differences)."""
+    if a.dtype == np.uint64:
+        a = np.diff(a, prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+
+
+def unpack(b: bytes, kind: type) -> np.ndarray:
+    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+    return np.cumsum(a, dtype=np.uint64) if kind is np.uint64 else a
+
+
+def block_number(n: int) -> int:
+    """A number for the n-th block of this task, unique in the job."""
+    return (TaskContext.get().partitionId() << 32) | n
+
+
+def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame]:
     """Per block and key, the key's count over all blocks.
 
-    ``blocks``: block_id long (unique), keys binary (uint64, ascending, distinct),
-    counts binary (uint32, same order).  ``entries``: about how many keys there
-    are in all blocks together.  Returns block_id, answers: array of (part, totals
-    uint32, flags uint8) whose concatenation by part is in the order of ``keys``.
-    flags: 1, another block holds the key too; 2, this block counts it (of those
-    with a count above 0, exactly one block has this bit).
+    ``blocks``: block_id long (unique), keys (``pack`` of uint64, ascending), counts
+    (``pack`` of uint32), classes (``pack`` of uint8 below 64, or null; a key has the
+    same class in all blocks).  ``entries``: about how many keys all blocks hold.
+
+    Returns (answers, classes).  answers: block_id, answers (array of part, totals,
+    flags, for ``answer_arrays``), in the order of the block's keys.  flags: 1, another
+    block holds the key too; 2, this block stands for the key (of the blocks that
+    count it above 0, exactly one).  classes: class, keys (distinct with a count above
+    0), singles (with a count of 1), total (sum of their counts).
     """
     bits = max(1, math.ceil(math.log2(max(2, entries / KEYS_PER_RANGE))))
 
     def deal(batches):
-        schema = pa.schema([("part", pa.int32()), ("block_id", pa.int64()),
-                            ("keys", pa.binary()), ("counts", pa.binary())])
-        for bid, kb, cb in rows_of(batches):
-            k, c = np.frombuffer(kb, np.uint64), np.frombuffer(cb, np.uint32)
+        schema = pa.schema([("part", pa.int32()), ("block_id", pa.int64()), ("keys", pa.binary()),
+                            ("counts", pa.binary()), ("classes", pa.binary())])
+        for bid, kb, cb, lb in rows_of(batches):
+            k, c = unpack(kb, np.uint64), unpack(cb, np.uint32)
+            cl = unpack(lb, np.uint8) if lb is not None else np.zeros(len(k), np.uint8)
             at = np.searchsorted(k, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             at = np.r_[at, len(k)]
-            out = [(int(p), bid, k[at[p]:at[p + 1]].tobytes(), c[at[p]:at[p + 1]].tobytes())
-                   for p in np.flatnonzero(at[1:] > at[:-1])]
-            for i in range(0, len(out), 4096):
-                yield batch_of(schema, out[i:i + 4096])
+            cuts = [(int(p), slice(at[p], at[p + 1])) for p in np.flatnonzero(at[1:] > at[:-1])]
+            for i in range(0, len(cuts), 256):
+                yield batch_of(schema, [(p, bid, pack(k[x]), pack(c[x]), pack(cl[x]))
+                                        for p, x in cuts[i:i + 256]])
 
     def total(table: pa.Table) -> pa.Table:
         rows = sorted(rows_of(table.to_batches()), key=lambda r: r[1])
-        n = [len(r[2]) // 8 for r in rows]
-        k = np.frombuffer(b"".join(r[2] for r in rows), np.uint64)
-        c = np.frombuffer(b"".join(r[3] for r in rows), np.uint32)
+        each = [unpack(r[2], np.uint64) for r in rows]
+        n = [len(x) for x in each]
+        k = np.concatenate(each)
+        c = np.concatenate([unpack(r[3], np.uint32) for r in rows])
+        cl = np.concatenate([unpack(r[4], np.uint8) for r in rows])
         order = np.argsort(k, kind="stable")
         s = k[order]
         new = np.r_[True, s[1:] != s[:-1]]
         first = np.flatnonzero(new)
         group = np.cumsum(new) - 1
         sc = c[order].astype(np.int64)
-        tot = np.minimum(np.add.reduceat(sc, first), 0xFFFFFFFF)
+        tot = np.add.reduceat(sc, first)
         size = np.diff(np.r_[first, len(s)])
-        # the first entry of a key that has a count above 0
-        at = np.where(sc > 0, np.arange(len(s)), len(s))
-        own = np.minimum.reduceat(at, first)
+        # the first entry of a key that has a count above 0 stands for it
+        own = np.minimum.reduceat(np.where(sc > 0, np.arange(len(s)), len(s)), first)
         totals, flags = np.empty(len(k), np.uint32), np.empty(len(k), np.uint8)
-        totals[order] = tot[group]
+        totals[order] = np.minimum(tot, 0xFFFFFFFF)[group]
         flags[order] = (size[group] > 1) | ((own[group] == np.arange(len(s))).astype(np.uint8) << 1)
+        kind, seen = cl[order][first], tot > 0
+        stats = np.stack([np.bincount(kind[seen], minlength=64), np.bincount(kind[tot == 1], minlength=64),
+                          np.bincount(kind, weights=tot, minlength=64).astype(np.int64)])
         ends = np.cumsum(n)
         return pa.table({
-            "block_id": pa.array([r[1] for r in rows], pa.int64()),
-            "part": pa.array([r[0] for r in rows], pa.int32()),
-            "totals": pa.array([totals[e - m:e].tobytes() for e, m in zip(ends, n)], pa.binary()),
-            "flags": pa.array([flags[e - m:e].tobytes() for e, m in zip(ends, n)], pa.binary()),
+            "block_id": pa.array([r[1] for r in rows] + [-1], pa.int64()),
+            "part": pa.array([r[0] for r in rows] + [rows[0][0]], pa.int32()),
+            "totals": pa.array([pack(totals[e - m:e]) for e, m in zip(ends, n)]
+                               + [stats.astype(np.int64).tobytes()], pa.binary()),
+            "flags": pa.array([pack(flags[e - m:e]) for e, m in zip(ends, n)] + [None], pa.binary()),
         })
 
-    dealt = blocks.select("block_id", "keys", "counts").mapInArrow(
-        deal, "part int, block_id long, keys binary, counts binary")
-    answers = dealt.groupBy("part").applyInArrow(
-        total, "block_id long, part int, totals binary, flags binary")
-    return answers.groupBy("block_id").agg(
+    def spread(batches):
+        schema = pa.schema([("class", pa.int32()), ("keys", pa.int64()), ("singles", pa.int64()),
+                            ("total", pa.int64())])
+        for (stats,) in rows_of(batches):
+            a = np.frombuffer(stats, np.int64).reshape(3, 64)
+            yield batch_of(schema, [(i, *map(int, a[:, i])) for i in range(64) if a[:, i].any()])
+
+    have = blocks if "classes" in blocks.columns else blocks.withColumn("classes", F.lit(None).cast("binary"))
+    dealt = have.select("block_id", "keys", "counts", "classes").mapInArrow(
+        deal, "part int, block_id long, keys binary, counts binary, classes binary")
+    raw = cut(dealt.groupBy("part").applyInArrow(
+        total, "block_id long, part int, totals binary, flags binary"))
+    answers = raw.where("block_id >= 0").groupBy("block_id").agg(
         F.sort_array(F.collect_list(F.struct("part", "totals", "flags"))).alias("answers"))
+    classes = raw.where("block_id < 0").select("totals").mapInArrow(
+        spread, "class int, keys long, singles long, total long").groupBy("class").agg(
+        *(F.sum(x).alias(x) for x in ("keys", "singles", "total")))
+    return answers, classes
 
 
 def answer_arrays(answers: list | None) -> tuple[np.ndarray, np.ndarray]:
     """Totals and flags of a block, in the order of its keys."""
-    answers = answers or []
-    return (np.frombuffer(b"".join(a["totals"] for a in answers), np.uint32),
-            np.frombuffer(b"".join(a["flags"] for a in answers), np.uint8))
+    if not answers:
+        return np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+    return (np.concatenate([unpack(a["totals"], np.uint32) for a in answers]),
+            np.concatenate([unpack(a["flags"], np.uint8) for a in answers]))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
