@@ -40,6 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def anew(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly, without a known partitioning by key.
+
+    A join side that is already partitioned by the key is not shuffled again, and
+    adaptive skew handling then cannot split the other side.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values."""
     for b in batches:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut
+from ._util import anew, cut
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -31,11 +31,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def anew(df: DataFrame) -> DataFrame:
-    """``df`` dealt out evenly, without a known partitioning by key."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def exact_groups(docs: DataFrame, digest=F.md5) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 per row of ``docs`` (doc_id, text).
 
