@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, license_scan, lm_scoring, token_counts
+from . import exact_dedup, jaccard_join, license_scan, lm_scoring, suffix_dedup, token_counts
 from ._util import documents
 
 #: The folder with the public vocabularies is found by this package (a parameter of the operators).
@@ -36,7 +36,12 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_exact_dedup, op5_lm_scoring, op6_ngram_jaccard_join, op8_license_scans)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_removed(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_exact_dedup, op5_lm_scoring, op6_ngram_jaccard_join, op8_license_scans,
+                                 op10_suffix_array_dedup)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
