@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, license_scan, lm_scoring, suffix_dedup, token_counts
+from . import decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, pieces, quality_classifier
+from . import suffix_dedup, token_counts
 from ._util import documents
 
 #: The folder with the public vocabularies is found by this package (a parameter of the operators).
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -16,6 +19,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.graded(documents(spark, sf_dir), labels).drop("text")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary(WORD_BPE))
 
@@ -24,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(documents(spark, sf_dir))
 
@@ -32,15 +44,28 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(documents(spark, sf_dir))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each leak: document, item, and how much of a passage of it was found."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.leaks(documents(spark, sf_dir), benchmark)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", "leak.item_id", "leak.cosine", "leak.share")
+
+
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(documents(spark, sf_dir), vocabulary(PIECES)).drop("text")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_removed(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_exact_dedup, op5_lm_scoring, op6_ngram_jaccard_join, op8_license_scans,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_exact_dedup, op4_html_extraction, op5_lm_scoring, op6_ngram_jaccard_join,
+                                 op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece,
                                  op10_suffix_array_dedup)}
 
 ORACLES = {
