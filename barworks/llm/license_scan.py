@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 
 #: Phrase and label.
 BASE = {
@@ -43,12 +43,10 @@ BASE = {
 
 #: Statement and label of the set join.
 TEMPLATES = {
-    "licensed under cc by 4.0": "cc-by-4.0",
     "licensed under cc by nc 4.0": "cc-by-nc-4.0",
     "licensed under cc by sa 4.0": "cc-by-sa-4.0",
     "licensed under the apache license version 2.0": "apache-2.0",
-    "this work is licensed under the gnu general public license version 3": "gpl-3.0",
-    "this work is licensed under the gnu general public license version 2": "gpl-2.0",
+    "this work is licensed under the gnu general public license": "gpl",
     "released under the mit license": "mit",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license v 2.0": "mpl-2.0",

@@ -35,7 +35,7 @@ SAMPLE = 12_000
 BITS = 18
 CUT, LEAST = 2, 0.5
 GRADES = 3
-L1, ROUNDS, RATE = 4e-3, 150, 0.3
+L1, ROUNDS, RATE = 4e-3, 400, 0.3
 #: A feature of fewer sampled texts has no weight.
 LEAST_TEXTS = 5
 _TOKENS = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -137,6 +137,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> list[tuple
 
 def graded(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` with expected_grade, tail and kept added (docs needs doc_id, text)."""
+    added = ("expected_grade", "tail", "kept")
+    docs = docs.drop(*added)
     rows = training_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, sample)
     grades = {g for _, g in rows}
     if len(grades) < 2:
@@ -157,9 +159,7 @@ def graded(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols],
                                              names=[*batch.schema.names, "expected_grade", "tail", "kept"])
 
-    added = ("expected_grade", "tail", "kept")
-    source = docs.drop(*(c for c in docs.columns if c in added))
-    schema = T.StructType(list(source.schema))
+    schema = T.StructType(list(docs.schema))
     for name, kind in zip(added, ("double", "double", "boolean")):
         schema = schema.add(name, kind)
-    return source.mapInArrow(score, schema)
+    return docs.mapInArrow(score, schema)
