@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from barworks.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # a frame from the current (or a later) row to UNBOUNDED FOLLOWING is
@@ -12,9 +12,9 @@ SF = "/root/testdata/sf0.001"
 QUADRATIC_FRAME = re.compile(r"RowFrame, (currentrow\$\(\)|\d+), unboundedfollowing\$\(\)")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_quadratic_frames_or_cartesian(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not QUADRATIC_FRAME.search(plan), name
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     # Python runs on executors only in the F1 pandas-strategy query
