@@ -64,14 +64,56 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_removed(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_exact_dedup, op4_html_extraction, op5_lm_scoring, op6_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_exact_dedup, op4_html_extraction,
+                                 op5_lm_scoring, op6_ngram_jaccard_join,
                                  op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece,
                                  op10_suffix_array_dedup)}
 
+def _license_sql() -> str:
+    """The license scan as SQL: every line against every template, phrases by the words that follow."""
+    up, low = license_scan._UP, license_scan._LOW
+    norm = f"trim(regexp_replace(translate(%s, '{up}', '{low}'), '{license_scan._GAP}', ' ', 'g'))"
+    phrases = []
+    for phrase, label in license_scan.BASE.items():
+        words = phrase.split()
+        test = " AND ".join([f"word = '{words[0]}'"] + [f"w{i} = '{w}'" for i, w in enumerate(words) if i])
+        phrases.append(f"SELECT rid, pos, '{label}' AS label FROM ahead WHERE {test}")
+    sets = [(label, license_scan._token_set(t)) for t, label in license_scan.TEMPLATES.items()]
+    tokens = ", ".join(f"({k}, '{label}', {len(ts)}, '{w}')" for k, (label, ts) in enumerate(sets) for w in ts)
+    return f"""
+WITH base AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT rid, doc_id, text, {norm % 'text'} AS norm FROM base),
+w AS (SELECT rid, unnest(string_split(norm, ' ')) AS word, generate_subscripts(string_split(norm, ' '), 1) - 1 AS pos
+      FROM t WHERE norm <> ''),
+ahead AS (SELECT rid, pos, word, lead(word, 1) OVER o AS w1, lead(word, 2) OVER o AS w2, lead(word, 3) OVER o AS w3
+          FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+places AS ({' UNION ALL '.join(phrases)}),
+found AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM places GROUP BY rid),
+template(tid, label, n, token) AS (VALUES {tokens}),
+lines AS (SELECT rid, lid, unnest(string_split({norm % 'line'}, ' ')) AS word FROM (
+          SELECT rid, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS lid FROM t)),
+hits AS (SELECT rid, lid, tid, any_value(label) AS label, count(DISTINCT word) / any_value(n) AS part
+         FROM lines JOIN template ON word = token GROUP BY rid, lid, tid
+         HAVING count(DISTINCT word) >= ceil({license_scan.THRESHOLD} * any_value(n) - 1e-9)),
+best AS (SELECT rid, max(part) AS part, count(*) AS n_matches FROM hits GROUP BY rid),
+base_names AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS names FROM places GROUP BY rid),
+all_names AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS names
+              FROM (SELECT rid, label FROM places UNION ALL SELECT rid, label FROM hits) GROUP BY rid)
+SELECT doc_id, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS n_words,
+       coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(b.names, '') AS base_labels,
+       coalesce(a.names, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0)::DOUBLE END AS score,
+       coalesce(n_matches, 0)::INTEGER AS n_matches
+FROM t LEFT JOIN found USING (rid) LEFT JOIN best USING (rid) LEFT JOIN base_names b USING (rid)
+     LEFT JOIN all_names a USING (rid)"""
+
+
 ORACLES = {
     "op3_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)""",
+    "op8_license_scans": _license_sql(),
 }
