@@ -15,7 +15,7 @@ FROM events e LEFT JOIN instruments i ON i.instrument_token = e.user_id + 100000
 
 
 @query("stream_latest_quote", """
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY event_id DESC) AS rn
                             FROM quotes) WHERE rn = 1""", ("instruments",),
        doubles="last_price volume", extra=[("quotes", _QUOTES)])
 def stream_latest_quote(spark, sf_dir):
@@ -23,9 +23,8 @@ def stream_latest_quote(spark, sf_dir):
     raw = K.raw_quotes(K.file_stream(spark, sf_dir, "events"))
     ticks = K.tick_intake(raw, fx.instruments(spark, sf_dir))
     out, ck = K.scratch(spark, "latest-quote"), K.scratch(spark, "ck-latest-quote")
-    q = K.latest_quotes(ticks, out, ck)
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    K.latest_quotes(ticks, out, ck, arrival="event_id").awaitTermination()
+    return K.taken(spark, out, ck)
 
 
 @query("stream_daily_signals", """
@@ -37,9 +36,8 @@ def stream_daily_signals(spark, sf_dir):
     """K5: daily signal counts maintained by a watermarked streaming aggregate."""
     sig = K.signal_records(K.file_stream(spark, sf_dir, "events"))
     out, ck = K.scratch(spark, "daily-signals"), K.scratch(spark, "ck-daily-signals")
-    q = K.run_daily_signal_counts(sig, out, ck)
-    q.awaitTermination()
-    return spark.read.parquet(out).drop("_batch")
+    K.run_daily_signal_counts(sig, out, ck).awaitTermination()
+    return K.taken(spark, out, ck)
 
 
 @query("stream_quote_polling", """
@@ -54,6 +52,5 @@ def stream_quote_polling(spark, sf_dir):
     raw = K.raw_quotes(K.file_stream(spark, sf_dir, "events"))
     ticks = K.tick_intake(raw, fx.instruments(spark, sf_dir))
     out, bak, ck = (K.scratch(spark, n) for n in ("quotes", "quotes-json", "ck-quotes"))
-    q = K.quote_polling(ticks, out, bak, ck)
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    K.quote_polling(ticks, out, bak, ck).awaitTermination()
+    return K.taken(spark, out, bak, ck).drop("batch")

@@ -43,13 +43,17 @@ def build_session(master: str | None = None, app: str = "barworks",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and staged rewrites.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset - local runs and tests - a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Without it, a session
+    on one machine (master ``local``, as in tests) gets a scratch folder; on a
+    cluster a machine's own folder would not be seen by the others, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="barworks-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -31,9 +31,11 @@ BARS_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
-# Defaults of a backtest row.
-BACKTEST_DEFAULTS = {"initial_capital": 100000.0, "final_value": 0.0, "total_return": 0.0,
-                     "total_trades": 0, "win_rate": 0.0}
+# Stored metrics of a backtest row with their defaults, and the names
+# under which a result carries two of them.
+BACKTEST_DEFAULTS = {"initial_capital": 100000.0, "final_value": 0.0, "total_return_pct": 0.0,
+                     "trades_count": 0, "win_rate_pct": 0.0}
+BACKTEST_NAMES = {"trades": "trades_count", "win_rate": "win_rate_pct"}
 
 # Write dispositions of the warehouse loader.
 WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
@@ -46,9 +48,11 @@ WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
 def read_bars(spark: SparkSession, path: str, fmt: str = "parquet",
               schema: T.StructType | None = BARS_SCHEMA, start=None, end=None,
               symbol: str | None = None) -> DataFrame:
-    """S1 / S6 read side: landed bars of a date range (partition-pruned)."""
+    """S1 / S6 read side: landed bars of a date range (partition-pruned).
+
+    ``schema`` None: as the files say; an empty table then cannot be read."""
     r = spark.read.format(fmt)
-    if schema is not None and fmt != "parquet":
+    if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
         r = r.option("header", "true")
@@ -99,13 +103,13 @@ def with_symbols(ticks: DataFrame, instruments: DataFrame, token: str = "instrum
 # -- writes (S6-S8, S11-S13, S17) ------------------------------------------
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: str | None = "date",
-                cluster_by: Sequence[str] = ("symbol",), fmt: str = "parquet",
-                files_per_partition: int = 8) -> None:
+                cluster_by: Sequence[str] = ("symbol",), fmt: str = "parquet") -> None:
     """A partitioned, clustered table write.
 
-    Rows are hash-distributed on (partition value, a bounded hash of the
-    clustering key) so one date never lands in a single task, then sorted
-    within partitions on the clustering columns for min/max skipping.
+    Rows are rebalanced on the partition value: adaptive execution splits a
+    large date into as many tasks as its bytes ask for and joins small ones,
+    so neither a hot date nor many thin ones decide the file sizes.  Within a
+    task rows are sorted on the clustering columns for min/max skipping.
     ``mode`` accepts the loader's dispositions; WRITE_EMPTY fails only when
     the table already holds rows.
     """
@@ -115,36 +119,51 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: st
         if _has_rows(spark, path, fmt):
             raise ValueError(f"table at {path} is not empty")
         mode = "overwrite"
-    w = df
-    if partition_by:
-        salt = F.pmod(F.hash(*[F.col(c) for c in cluster_by]), F.lit(files_per_partition)) \
-            if cluster_by else F.lit(0)
-        w = w.repartition(F.col(partition_by), salt)
-    if cluster_by:
-        w = w.sortWithinPartitions(*cluster_by)
+    w = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+    order = [c for c in (partition_by, *cluster_by) if c] if cluster_by else []
+    if order:
+        w = w.sortWithinPartitions(*order)
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(path)
 
 
-def _has_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        return not spark.read.format(fmt).load(path).isEmpty()
-    except Exception:  # noqa: BLE001 - a missing table has no rows
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the table's folder holds a data file (names with _ or . are markers)."""
+    if not _exists(spark, path):
         return False
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName()[0] not in "._":
+            return True
+    return False
+
+
+def _has_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """A missing table, or a folder without data files, has no rows; a table that
+    cannot be read is an error, never an empty one."""
+    return _has_files(spark, path) and not spark.read.format(fmt).load(path).isEmpty()
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
                  partition_by: str | None = "date") -> None:
-    """Create an empty partitioned table of ``schema`` when it is missing."""
+    """Make the table's folder when it is missing.  ``read_table`` with the
+    table's schema reads it from then on, with or without rows."""
     if _exists(spark, path):
         return
-    empty = spark.createDataFrame([], schema)
-    w = empty.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    if partition_by and partition_by not in schema.fieldNames():
+        raise ValueError(f"no column {partition_by} to partition by")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A maintained table by its schema; no rows when it holds no file yet."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def stamp(df: DataFrame, schema: T.StructType, loaded_at: Column, col: str = "created_at") -> DataFrame:
@@ -175,7 +194,7 @@ def daily_append(df: DataFrame, path: str, loaded_at: Column) -> None:
 
 def backup_json(df: DataFrame, path: str, partition_by: str = "date") -> None:
     """Daily JSON-lines backup, appended per date."""
-    df.write.mode("append").partitionBy(partition_by).json(path)
+    df.hint("rebalance", F.col(partition_by)).write.mode("append").partitionBy(partition_by).json(path)
 
 
 # -- upsert / delete / retention on Parquet (S9, S10, S14-S16) -------------
@@ -213,30 +232,75 @@ def _swap_partitions(staged: DataFrame, path: str, partition_by: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
+    """Null-safe equality of ``cols``."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
+
+
+def _current(spark: SparkSession, path: str, partition_by: str, kind: T.DataType | None = None) -> DataFrame:
+    """The stored table; a partition column whose only value is null has no type of its own."""
+    df = spark.read.parquet(path)
+    if df.schema[partition_by].dataType == T.NullType():
+        df = df.withColumn(partition_by, F.lit(None).cast(kind or T.StringType()))
+    return df
+
+
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, partition_by: str,
+             name: str) -> None:
+    """Replace the partitions in ``touched`` by ``rows``: staged first, swapped in
+    by dynamic overwrite, and partitions left without rows removed (also the one
+    of the null value).  Running it again after a failure gives the same table."""
+    kind = rows.schema[partition_by].dataType
+    touched, where_t = _stage(touched.select(F.col(partition_by).cast(kind)), name + "-parts")
+    staged, where = _stage(rows, name)
+    remaining = staged.select(partition_by).distinct()
+    emptied = [r[0] for r in touched.join(remaining, _same(touched, remaining, [partition_by]),
+                                          "left_anti").collect()]  # partition values only
+    _swap_partitions(staged, path, partition_by)
+    _drop_partitions(spark, path, partition_by, emptied)
+    remove_path(spark, where)
+    remove_path(spark, where_t)
+
+
 def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
            order: str = "load_seq", partition_by: str = "date") -> None:
-    """Merge ``incoming`` into the table, last write wins per key.  Only
-    the partitions that ``incoming`` touches are read, merged and rewritten."""
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - new table
-        write_table(latest_per_key(incoming, keys, order), path, "append", partition_by, ())
+    """Merge ``incoming`` into the table, last write wins per key.
+
+    Rewritten are the partitions that ``incoming`` names and, when the key does
+    not include the partition column, those that hold one of its keys already.
+    Null keys and null partition values are values like any other."""
+    incoming = latest_per_key(incoming, keys, order)
+    if not _has_files(spark, path):
+        write_table(incoming, path, "append", partition_by, ())
         return
-    touched = incoming.select(partition_by).distinct()
-    affected = current.join(touched, partition_by, "left_semi")
-    merged = latest_per_key(affected.unionByName(incoming.select(*current.columns)), keys, order)
-    staged, where = _stage(merged, "upsert")
-    _swap_partitions(staged, path, partition_by)
-    remove_path(spark, where)
+    current = _current(spark, path, partition_by, incoming.schema[partition_by].dataType)
+    incoming = incoming.select(*current.columns)
+    touched = incoming.select(partition_by)
+    if partition_by not in keys:
+        new = incoming.select(*keys).distinct()
+        touched = touched.unionByName(current.join(new, _same(current, new, keys), "left_semi").select(partition_by))
+    touched = touched.distinct()
+    affected = current.join(touched, _same(current, touched, [partition_by]), "left_semi")
+    _rewrite(spark, path, latest_per_key(affected.unionByName(incoming), keys, order), touched, partition_by,
+             "upsert")
 
 
 def upsert_backtest(spark: SparkSession, path: str, results: DataFrame, mode: str,
                     loaded_at: Column) -> None:
-    """Defaults for missing metrics, metadata as JSON text, mode tag, then S9 on backtest_id."""
-    out = results.withColumns({k: F.coalesce(F.col(k), F.lit(v)) if k in results.columns else F.lit(v)
-                               for k, v in BACKTEST_DEFAULTS.items()})
-    if "metadata" in out.columns:
-        out = out.withColumn("metadata", F.to_json("metadata"))
+    """Defaults for missing metrics, metadata as JSON text, mode tag, then S9:
+    one row for each backtest_id whatever day it was saved before."""
+    out = results.withColumnsRenamed({k: v for k, v in BACKTEST_NAMES.items() if v not in results.columns})
+    out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) if k in out.columns else F.lit(v)
+                           for k, v in BACKTEST_DEFAULTS.items()})
+    if "metadata" not in out.columns:
+        out = out.withColumn("metadata", F.lit("{}"))
+    elif out.schema["metadata"].dataType != T.StringType():
+        out = out.withColumn("metadata", F.coalesce(F.to_json("metadata"), F.lit("{}")))
+    else:
+        out = out.withColumn("metadata", F.coalesce("metadata", F.lit("{}")))
     out = out.withColumns({"mode": F.lit(mode), "created_at": loaded_at,
                            "date": F.to_date(loaded_at), "load_seq": F.unix_micros(
                                loaded_at.cast("timestamp"))})
@@ -244,20 +308,19 @@ def upsert_backtest(spark: SparkSession, path: str, results: DataFrame, mode: st
 
 
 def delete_where(spark: SparkSession, path: str, cond: Column, partition_by: str = "date") -> None:
-    """Delete rows matching ``cond`` (NULL-safe: rows where it is NULL stay).
+    """Delete rows matching ``cond`` (rows where it is NULL stay).
 
     Only partitions holding a matching row are rewritten; a partition left
     empty is removed through the Hadoop FileSystem of the table path."""
-    current = spark.read.parquet(path)
+    current = _current(spark, path, partition_by)
     hit = current.filter(cond).select(partition_by).distinct()
-    affected = current.join(hit, partition_by, "left_semi")
-    keep = affected.filter(~F.coalesce(cond, F.lit(False)))
-    staged, where = _stage(keep, "delete")
-    remaining = staged.select(partition_by).distinct()
-    emptied = [r[0] for r in hit.join(remaining, partition_by, "left_anti").collect()]
-    _swap_partitions(staged, path, partition_by)
-    _drop_partitions(spark, path, partition_by, emptied)
-    remove_path(spark, where)
+    affected = current.join(hit, _same(current, hit, [partition_by]), "left_semi")
+    _rewrite(spark, path, affected.filter(without(cond)), hit, partition_by, "delete")
+
+
+def without(cond: Column) -> Column:
+    """The rows that a delete by ``cond`` leaves."""
+    return ~F.coalesce(cond, F.lit(False))
 
 
 def drop_older(df: DataFrame, as_of: Column, days: int, col: str = "created_at") -> DataFrame:
@@ -280,11 +343,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values: Iterable) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_by}={v}")
+        folder = "__HIVE_DEFAULT_PARTITION__" if v is None else v
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_by}={folder}")
         p.getFileSystem(conf).delete(p, True)
 
 

@@ -1,9 +1,9 @@
 """Structured Streaming for quotes and signals (K1-K6).
 
 Sources are file streams (Kafka in production works the same way: only the
-``readStream`` format changes).  Stateful results are kept exactly-once per
-micro-batch with ``foreachBatch`` merges that are idempotent (re-running a
-batch yields the same table), and every query keeps its offsets in a
+``readStream`` format changes).  Stateful results are kept with ``foreachBatch``
+merges that are idempotent: a replayed batch first drops what it wrote before, so
+running it again yields the same table.  Every query keeps its offsets in a
 checkpoint under the cluster's shared checkpoint folder.
 """
 
@@ -13,11 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..operators.shape import flatten_quotes, market_open
 from ..session import checkpoint_dir
-from ..sources.io import _exists, remove_path, with_symbols
+from ..sources.io import _exists, _is_folder, remove_path, with_symbols
 
 QUOTE_FIELDS = ("last_price", "volume")
 
@@ -29,14 +28,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def file_stream(spark: SparkSession, directory: str, name: str, fmt: str = "parquet",
                 max_files: int | None = None) -> DataFrame:
-    """A file stream over ``<directory>/<name>.<fmt>`` files; the schema comes
-    from the file footers (metadata only)."""
-    glob = f"{name}.{fmt}"
-    schema = spark.read.format(fmt).load(f"{directory.rstrip('/')}/{glob}").schema
-    r = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
+    """A file stream over the table ``<directory>/<name>.<fmt>``, one file or a
+    folder of part files; the schema comes from the footers (metadata only)."""
+    file = f"{name}.{fmt}"
+    path = f"{directory.rstrip('/')}/{file}"
+    r = spark.readStream.format(fmt).schema(spark.read.format(fmt).load(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(directory)
+    if _is_folder(spark, path):
+        return r.load(path)
+    # a stream's path has to be a folder; of its files only the one counts
+    return r.option("pathGlobFilter", file).load(directory)
 
 
 def tick_intake(raw: DataFrame, instruments: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
@@ -49,59 +51,113 @@ def tick_intake(raw: DataFrame, instruments: DataFrame, symbols: DataFrame | Non
     return out
 
 
-def _merge_latest(batch: DataFrame, path: str, key: str, order: str) -> None:
-    """Merge a micro-batch into a keyed latest-value table (idempotent: a
-    replayed batch yields the same table).  The merged result is staged next
-    to the table and swapped in, because a plan may not overwrite its input."""
-    spark = batch.sparkSession
-    if batch.isEmpty():          # e.g. the no-data batch that only advances the watermark
-        return
-    fresh = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("r")) \
-                 .select("r.*")
+#: Columns of a maintained table: the batch that wrote the row, its place among that batch's rows.
+ARRIVAL = ("_batch", "_at")
+
+
+def _rename(spark: SparkSession, a: str, b: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(a).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(a), path(b)):
+        raise OSError(f"could not rename {a} to {b}")
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    """Finish a swap that was cut short: the table is complete in one of its places."""
     if not _exists(spark, path):
-        fresh.write.mode("overwrite").parquet(path)
-        return
-    both = spark.read.parquet(path).unionByName(fresh)
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
-    merged = both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    _swap(merged, path)
+        for other in (f"{path}.next", f"{path}.prev"):
+            if _exists(spark, f"{other}/_SUCCESS"):
+                _rename(spark, other, path)
+                break
+    for other in (f"{path}.next", f"{path}.prev"):
+        remove_path(spark, other)
 
 
 def _swap(df: DataFrame, path: str) -> None:
-    """Stage the merged table next to it, swap it in, drop the staged copy."""
-    staged = f"{path}.b{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(staged)
-    df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
-    remove_path(df.sparkSession, staged)
+    """Write the new table beside the old one, then change places by renaming: at any
+    moment one of the two is complete, and ``_recover`` finds it."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}.next")
+    if _exists(spark, path):
+        _rename(spark, path, f"{path}.prev")
+    _rename(spark, f"{path}.next", path)
+    remove_path(spark, f"{path}.prev")
+
+
+def _merge(batch: DataFrame, path: str, keys: list[str], batch_id: int, arrival: str | None = None) -> None:
+    """Keep the row of each key that arrived last: the later batch, within a batch the
+    larger ``arrival`` (a sequence or time of the feed; without one, the place in the
+    batch).  Rows of this batch that an earlier run of it wrote go first."""
+    spark = batch.sparkSession
+    _recover(spark, path)
+    at = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    fresh = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_at", at)
+    if _exists(spark, path):
+        fresh = spark.read.parquet(path).filter(F.col("_batch") != batch_id).unionByName(fresh)
+    columns = [c for c in fresh.columns if c not in keys]
+    merged = fresh.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*ARRIVAL)).alias("r")).select(*keys, "r.*")
+    _swap(merged, path)
+
+
+def maintained(spark: SparkSession, path: str) -> DataFrame:
+    """A table kept by ``_merge``, without its bookkeeping columns."""
+    return spark.read.parquet(path).drop(*ARRIVAL)
+
+
+def taken(spark: SparkSession, path: str, *others: str) -> DataFrame:
+    """The rows of a scratch table, kept in a checkpoint (cleaned when unreferenced); its
+    folder and ``others`` are removed."""
+    checkpoint_dir(spark)
+    rows = maintained(spark, path).checkpoint()
+    for p in (path, *others):
+        remove_path(spark, p)
+    return rows
+
+
+def latest_per(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], arrival: str | None = None,
+               available_now: bool = True, interval: str = "60 seconds"):
+    """A keyed table of the last arrival per key, merged batch by batch.  A batch without
+    rows (one that only advances a watermark) leaves the table as it is."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            _merge(df, table_path, keys, batch_id, arrival)
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
 
 def latest_quotes(stream: DataFrame, table_path: str, checkpoint: str,
-                  key: str = "symbol", order: str = "ts", available_now: bool = True):
+                  key: str = "symbol", arrival: str | None = None, available_now: bool = True):
     """Latest quote per symbol, last arrival wins, kept in a table."""
-    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, _id: _merge_latest(df, table_path, key, order))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
-    return w.start()
+    return latest_per(stream, table_path, checkpoint, [key], arrival, available_now)
 
 
 def live_signals(stream: DataFrame, table_path: str, checkpoint: str):
     """K4: live signal document per signal_id (latest write wins)."""
-    return latest_quotes(stream, table_path, checkpoint, key="signal_id", order="timestamp")
+    return latest_per(stream, table_path, checkpoint, ["signal_id"], "timestamp")
+
+
+def portfolio_status(stream: DataFrame, table_path: str, checkpoint: str):
+    """K4: the one current portfolio document (a constant key), stamped by the caller."""
+    return latest_per(stream.withColumn("document_id", F.lit("current")), table_path, checkpoint, ["document_id"])
 
 
 def quote_polling(stream: DataFrame, table_path: str, backup_path: str, checkpoint: str,
                   available_now: bool = True):
     """K3: every trigger flatten quotes (P5), keep market hours (P16), back up
-    as JSON per day (S17) and append to the table (S7)."""
-    def batch(df: DataFrame, _id: int) -> None:
-        if df.isEmpty():
-            return
+    as JSON per day (S17) and append to the table (S7).
+
+    Each batch owns a folder ``batch=<id>`` of the table and of the backup and
+    overwrites it, so a replayed batch is stored once."""
+    def batch(df: DataFrame, batch_id: int) -> None:
         flat = flatten_quotes(df).filter(market_open("ts")).withColumn("date", F.to_date("ts"))
-        flat.write.mode("append").partitionBy("date").json(backup_path)
-        flat.write.mode("append").partitionBy("date").parquet(table_path)
+        flat = flat.hint("rebalance", F.col("date")).persist()
+        try:
+            flat.write.mode("overwrite").partitionBy("date").json(f"{backup_path}/batch={batch_id}")
+            flat.write.mode("overwrite").partitionBy("date").parquet(f"{table_path}/batch={batch_id}")
+        finally:
+            flat.unpersist()
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
-    return w.start()
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")).start()
 
 
 def daily_signal_counts(signals: DataFrame, watermark: str = "1 day") -> DataFrame:
@@ -126,29 +182,17 @@ def daily_signal_counts(signals: DataFrame, watermark: str = "1 day") -> DataFra
                            "avg_confidence", "buy_signals", "sell_signals", "hold_signals"))
 
 
-def _merge_rows(batch: DataFrame, path: str, keys: list[str], batch_id: int) -> None:
-    """Update-mode rows replace earlier rows of the same key (batch id wins;
-    a replayed batch first drops its own earlier output)."""
-    spark = batch.sparkSession
-    if batch.isEmpty():
-        return
-    fresh = batch.withColumn("_batch", F.lit(batch_id))
-    if not _exists(spark, path):
-        fresh.write.mode("overwrite").parquet(path)
-        return
-    both = spark.read.parquet(path).filter(F.col("_batch") != batch_id).unionByName(fresh)
-    w = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())
-    _swap(both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"), path)
-
-
 def run_daily_signal_counts(signals: DataFrame, table_path: str, checkpoint: str,
                             available_now: bool = True):
     """K5 as a running query: update mode merged into a keyed table per batch."""
     agg = daily_signal_counts(signals)
-    w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, i: _merge_rows(df, table_path, ["date", "ticker"], i)))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="24 hours")
-    return w.start()
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            _merge(df, table_path, ["date", "ticker"], batch_id)
+
+    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(batch)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="24 hours")).start()
 
 
 def new_dates_only(batch: DataFrame, table: DataFrame) -> DataFrame:

@@ -148,13 +148,65 @@ def test_daily_append_and_backup(spark, tmp_dir):
 
 def test_upsert_backtest_defaults(spark, tmp_dir):
     path = os.path.join(tmp_dir, "bt")
-    res = spark.createDataFrame([(7, None, 12.0)], "backtest_id long, total_trades long, win_rate double")
+    res = spark.createDataFrame([(7, None, 12.0), (8, 1, None)], "backtest_id long, trades long, win_rate double")
     t0 = F.lit("2024-01-02 10:00:00").cast("timestamp_ntz")
     S.upsert_backtest(spark, path, res, "paper", t0)
-    res2 = spark.createDataFrame([(7, 5, 50.0)], "backtest_id long, total_trades long, win_rate double")
-    S.upsert_backtest(spark, path, res2, "paper", F.lit("2024-01-02 11:00:00").cast("timestamp_ntz"))
-    rows = spark.read.parquet(path).collect()
-    assert len(rows) == 1 and rows[0]["total_trades"] == 5 and rows[0]["initial_capital"] == 100000.0
+    first = {r["backtest_id"]: r for r in spark.read.parquet(path).collect()}
+    assert first[7]["trades_count"] == 0 and first[8]["win_rate_pct"] == 0.0 and first[7]["metadata"] == "{}"
+    res2 = spark.createDataFrame([(7, 5, 50.0)], "backtest_id long, trades long, win_rate double")
+    S.upsert_backtest(spark, path, res2, "paper", F.lit("2024-01-03 11:00:00").cast("timestamp_ntz"))  # another day
+    rows = {r["backtest_id"]: r for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == 2 and rows[7]["trades_count"] == 5
+    assert rows[7]["initial_capital"] == 100000.0 and rows[7]["total_return_pct"] == 0.0
+    S.upsert_backtest(spark, path, res, "paper", F.lit("2024-01-04 11:00:00").cast("timestamp_ntz"))
+    assert sorted((r["backtest_id"], r["date"].day) for r in spark.read.parquet(path).collect()) == [(7, 4), (8, 4)]
+
+
+def test_null_partition_is_kept_and_rewritten(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "nulls")
+    d1 = dt.date(2024, 1, 1)
+    S.write_table(_bars(spark, [("A", None, 1.0, 1), ("B", None, 2.0, 2), ("A", d1, 3.0, 3)]), path)
+    S.upsert(spark, path, _bars(spark, [("C", None, 4.0, 4), ("B", None, 20.0, 5)]), ["symbol", "date"])
+    got = lambda: sorted((r["symbol"], str(r["date"]), r["close"]) for r in spark.read.parquet(path).collect())
+    assert got() == [("A", "2024-01-01", 3.0), ("A", "None", 1.0), ("B", "None", 20.0), ("C", "None", 4.0)]
+    S.delete_where(spark, path, F.col("symbol") == "A")
+    assert got() == [("B", "None", 20.0), ("C", "None", 4.0)]
+    S.delete_where(spark, path, F.col("close") > 10)
+    S.delete_where(spark, path, F.col("symbol") == "C")
+    assert not [n for n in os.listdir(path) if n.startswith("date=")]
+
+
+def test_unreadable_table_is_not_empty(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "broken")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    df = _bars(spark, [("A", dt.date(2024, 1, 1), 1.0, 1)])
+    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
+        S.write_table(df, path, "WRITE_EMPTY")
+    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
+        S.upsert(spark, path, df, ["symbol", "date"])
+    assert os.listdir(path) == ["part-0.parquet"]
+
+
+def test_ensured_table_reads_empty(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "empty")
+    S.ensure_table(spark, path, S.BARS_SCHEMA)
+    assert S.read_table(spark, path, S.BARS_SCHEMA).count() == 0
+    assert S.read_bars(spark, path, start="2024-01-01").count() == 0
+    S.write_table(_bars(spark, [("A", dt.date(2024, 1, 1), 1.0, 1)]), path, "WRITE_EMPTY")
+    assert S.read_table(spark, path, S.BARS_SCHEMA).first()["symbol"] == "A"
+
+
+def test_checkpoint_dir_is_never_machine_local_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from barworks.session import checkpoint_dir
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(
+        master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
 
 
 def test_trading_universe(spark):

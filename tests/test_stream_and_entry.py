@@ -39,18 +39,71 @@ def test_batch_merges_are_idempotent(spark, tmp_dir):
     b0 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 1), (dt.date(2024, 1, 1), "B", 2)],
                                "date date, ticker string, n long")
     b1 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 5)], "date date, ticker string, n long")
-    K._merge_rows(b0, path, ["date", "ticker"], 0)
-    K._merge_rows(b1, path, ["date", "ticker"], 1)
-    first = sorted((r["ticker"], r["n"]) for r in spark.read.parquet(path).collect())
-    K._merge_rows(b1, path, ["date", "ticker"], 1)          # replay of batch 1
-    again = sorted((r["ticker"], r["n"]) for r in spark.read.parquet(path).collect())
+    K._merge(b0, path, ["date", "ticker"], 0)
+    K._merge(b1, path, ["date", "ticker"], 1)
+    first = sorted((r["ticker"], r["n"]) for r in K.maintained(spark, path).collect())
+    K._merge(b1, path, ["date", "ticker"], 1)          # replay of batch 1
+    again = sorted((r["ticker"], r["n"]) for r in K.maintained(spark, path).collect())
     assert first == again == [("A", 5), ("B", 2)]
+
+
+def test_last_arrival_wins(spark, tmp_dir):
+    """A later arrival with an older time replaces the quote; the feed's sequence orders a batch."""
+    import os
     q = os.path.join(tmp_dir, "latest")
-    quotes = spark.createDataFrame([("A", 1, 10.0), ("A", 2, 11.0), ("B", 1, 7.0)],
-                                   "symbol string, ts long, last_price double")
-    K._merge_latest(quotes, q, "symbol", "ts")
-    K._merge_latest(quotes, q, "symbol", "ts")
-    assert sorted((r[0], r[2]) for r in spark.read.parquet(q).collect()) == [("A", 11.0), ("B", 7.0)]
+    schema = "symbol string, seq long, ts long, last_price double"
+    K._merge(spark.createDataFrame([("A", 2, 9, 11.0), ("A", 1, 3, 10.0), ("B", 3, 1, 7.0)], schema), q, ["symbol"], 0, "seq")
+    K._merge(spark.createDataFrame([("A", 4, 5, 12.0)], schema), q, ["symbol"], 1, "seq")
+    assert sorted((r[0], r[3]) for r in K.maintained(spark, q).collect()) == [("A", 12.0), ("B", 7.0)]
+
+
+def test_swap_cut_short_is_finished(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "t")
+    schema = "k string, n long"
+    K._merge(spark.createDataFrame([("A", 1)], schema), path, ["k"], 0)
+    os.rename(path, path + ".prev")            # stopped between the two renames
+    K._merge(spark.createDataFrame([("B", 2)], schema), path, ["k"], 1)
+    assert sorted((r["k"], r["n"]) for r in K.maintained(spark, path).collect()) == [("A", 1), ("B", 2)]
+    assert os.listdir(tmp_dir) == ["t"]
+
+
+def test_streams_read_a_folder_of_part_files(spark, tmp_dir):
+    import os
+    import shutil
+    import __spark_entry__ as entry
+    spark.read.parquet(f"{SF}/events.parquet").repartition(4).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    for name in os.listdir(SF):
+        if name != "events.parquet":
+            shutil.copy(f"{SF}/{name}", tmp_dir)
+    for name in ("stream_latest_quote", "stream_daily_signals", "stream_quote_polling"):
+        one, many = (entry.queries()[name](spark, d) for d in (SF, tmp_dir))
+        assert one.count() == many.count() > 0 and one.exceptAll(many).isEmpty()
+
+
+def test_replayed_poll_is_stored_once(spark, tmp_dir):
+    """The offsets of a finished batch are lost: it runs again and overwrites its own folder."""
+    import os
+    import shutil
+    raw = K.raw_quotes(K.file_stream(spark, SF, "events"))
+    ticks = K.tick_intake(raw, fx.instruments(spark, SF))
+    out, bak, ck = (os.path.join(tmp_dir, n) for n in ("out", "bak", "ck"))
+    K.quote_polling(ticks, out, bak, ck).awaitTermination()
+    n = spark.read.parquet(out).count()
+    shutil.rmtree(ck)
+    K.quote_polling(ticks, out, bak, ck).awaitTermination()
+    assert n > 0 and spark.read.parquet(out).count() == n and spark.read.json(bak).count() == n
+
+
+def test_portfolio_document(spark, tmp_dir):
+    import os
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([(1, 100.0), (2, 90.0)], "seq long, value double").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("seq long, value double").parquet(src)
+    out, ck = os.path.join(tmp_dir, "doc"), os.path.join(tmp_dir, "ck")
+    K.portfolio_status(stream, out, ck).awaitTermination()
+    rows = K.maintained(spark, out).collect()
+    assert len(rows) == 1 and rows[0]["document_id"] == "current" and rows[0]["value"] == 90.0
 
 
 def test_live_signals_stream(spark, tmp_dir):
