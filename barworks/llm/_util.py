@@ -50,9 +50,11 @@ def anew(df: DataFrame) -> DataFrame:
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of Arrow batches as tuples of Python values."""
+    """The rows of Arrow batches as tuples of Python values, one at a time (a row may be a large block)."""
     for b in batches:
-        yield from zip(*(c.to_pylist() for c in b.columns))
+        columns = b.columns
+        for i in range(b.num_rows):
+            yield tuple(c[i].as_py() for c in columns)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text_at: int = 1,
@@ -94,14 +96,20 @@ def sums_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def pack(a: np.ndarray) -> bytes:
-    """An array as compressed bytes (ascending 64-bit keys are kept as differences)."""
+    """An array as compressed bytes, one byte plane after the other.
+
+    64-bit unsigned arrays are ascending keys and are kept as differences.
+    """
     if a.dtype == np.uint64:
         a = np.diff(a, prepend=np.uint64(0))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(b: bytes, kind: type) -> np.ndarray:
-    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(size, -1)
+    a = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
     return np.cumsum(a, dtype=np.uint64) if kind is np.uint64 else a
 
 
@@ -114,29 +122,26 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
     """Per block and key, the key's count over all blocks.
 
     ``blocks``: block_id long (unique), keys (``pack`` of uint64, ascending), counts
-    (``pack`` of uint32), classes (``pack`` of uint8 below 64, or null; a key has the
-    same class in all blocks).  ``entries``: about how many keys all blocks hold.
+    (``pack`` of uint32).  ``entries``: about how many keys all blocks hold.
 
     Returns (answers, classes).  answers: block_id, answers (array of part, totals,
     flags, for ``answer_arrays``), in the order of the block's keys.  flags: 1, another
     block holds the key too; 2, this block stands for the key (of the blocks that
-    count it above 0, exactly one).  classes: class, keys (distinct with a count above
-    0), singles (with a count of 1), total (sum of their counts).
+    count it above 0, exactly one).  classes: class (bits of the total: 1 is a total of
+    1, 2 of 2 or 3, and so on), keys (distinct), total (sum of their totals).
     """
     bits = max(1, math.ceil(math.log2(max(2, entries / KEYS_PER_RANGE))))
 
     def deal(batches):
         schema = pa.schema([("part", pa.int32()), ("block_id", pa.int64()), ("keys", pa.binary()),
-                            ("counts", pa.binary()), ("classes", pa.binary())])
-        for bid, kb, cb, lb in rows_of(batches):
+                            ("counts", pa.binary())])
+        for bid, kb, cb in rows_of(batches):
             k, c = unpack(kb, np.uint64), unpack(cb, np.uint32)
-            cl = unpack(lb, np.uint8) if lb is not None else np.zeros(len(k), np.uint8)
             at = np.searchsorted(k, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             at = np.r_[at, len(k)]
             cuts = [(int(p), slice(at[p], at[p + 1])) for p in np.flatnonzero(at[1:] > at[:-1])]
             for i in range(0, len(cuts), 256):
-                yield batch_of(schema, [(p, bid, pack(k[x]), pack(c[x]), pack(cl[x]))
-                                        for p, x in cuts[i:i + 256]])
+                yield batch_of(schema, [(p, bid, pack(k[x]), pack(c[x])) for p, x in cuts[i:i + 256]])
 
     def total(table: pa.Table) -> pa.Table:
         rows = sorted(rows_of(table.to_batches()), key=lambda r: r[1])
@@ -144,7 +149,6 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
         n = [len(x) for x in each]
         k = np.concatenate(each)
         c = np.concatenate([unpack(r[3], np.uint32) for r in rows])
-        cl = np.concatenate([unpack(r[4], np.uint8) for r in rows])
         order = np.argsort(k, kind="stable")
         s = k[order]
         new = np.r_[True, s[1:] != s[:-1]]
@@ -158,9 +162,10 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
         totals, flags = np.empty(len(k), np.uint32), np.empty(len(k), np.uint8)
         totals[order] = np.minimum(tot, 0xFFFFFFFF)[group]
         flags[order] = (size[group] > 1) | ((own[group] == np.arange(len(s))).astype(np.uint8) << 1)
-        kind, seen = cl[order][first], tot > 0
-        stats = np.stack([np.bincount(kind[seen], minlength=64), np.bincount(kind[tot == 1], minlength=64),
+        kind = np.frexp(tot.astype(np.float64))[1]
+        stats = np.stack([np.bincount(kind, minlength=64),
                           np.bincount(kind, weights=tot, minlength=64).astype(np.int64)])
+        stats[:, 0] = 0  # keys without a count
         ends = np.cumsum(n)
         return pa.table({
             "block_id": pa.array([r[1] for r in rows] + [-1], pa.int64()),
@@ -171,22 +176,20 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
         })
 
     def spread(batches):
-        schema = pa.schema([("class", pa.int32()), ("keys", pa.int64()), ("singles", pa.int64()),
-                            ("total", pa.int64())])
+        schema = pa.schema([("class", pa.int32()), ("keys", pa.int64()), ("total", pa.int64())])
         for (stats,) in rows_of(batches):
-            a = np.frombuffer(stats, np.int64).reshape(3, 64)
+            a = np.frombuffer(stats, np.int64).reshape(2, 64)
             yield batch_of(schema, [(i, *map(int, a[:, i])) for i in range(64) if a[:, i].any()])
 
-    have = blocks if "classes" in blocks.columns else blocks.withColumn("classes", F.lit(None).cast("binary"))
-    dealt = have.select("block_id", "keys", "counts", "classes").mapInArrow(
-        deal, "part int, block_id long, keys binary, counts binary, classes binary")
+    dealt = blocks.select("block_id", "keys", "counts").mapInArrow(
+        deal, "part int, block_id long, keys binary, counts binary")
     raw = cut(dealt.groupBy("part").applyInArrow(
         total, "block_id long, part int, totals binary, flags binary"))
     answers = raw.where("block_id >= 0").groupBy("block_id").agg(
         F.sort_array(F.collect_list(F.struct("part", "totals", "flags"))).alias("answers"))
     classes = raw.where("block_id < 0").select("totals").mapInArrow(
-        spread, "class int, keys long, singles long, total long").groupBy("class").agg(
-        *(F.sum(x).alias(x) for x in ("keys", "singles", "total")))
+        spread, "class int, keys long, total long").groupBy("class").agg(F.sum("keys").alias("keys"),
+                                                                        F.sum("total").alias("total"))
     return answers, classes
 
 

@@ -9,19 +9,18 @@ word ``u`` has an arc for each word seen after it, with weight
 and a failure arc to the root with weight ``log10 f(u)``; the root's arcs have the
 unigram weights ``log10 p(w)``, ``p(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1))``, which
 leave mass for one unknown word.  All weights leaving a state through its arcs and
-failure arc sum to one.  ``f(u)`` depends on the class of ``c(u)`` (its power of two):
-the share of the class's bigram tokens whose bigram occurs once, the leave-one-out
-estimate of how often an unseen word follows.
+failure arc sum to one.  ``f(u) = (1 + c(u)) ** -fall``: ``fall`` is chosen so that the
+failures this expects over all training tokens are as many as the bigrams that occur
+once, the leave-one-out count of tokens whose bigram is new.
 
 A text is read once from left to right: the state is the last word (the end mark
 before the first); an arc adds its weight; without one, the failure arc's weight is
 added and the root's arc taken; an unknown word leads to the root.
 
-Distribution.  Documents are packed into blocks of tokens.  Word counts, then bigram
-counts, are added up over all blocks by ``global_counts``; each block gets back the
+Distribution.  Documents are packed into blocks of tokens.  Word counts and bigram
+counts are added up over all blocks by ``global_counts``; each block gets back the
 counts of its own words and bigrams, that is, the part of the automaton its texts can
-reach, and its texts are traversed there.  Bigrams with a word that no other block
-holds are counted in place.  Keys are 64-bit hashes of words and word pairs.
+reach, and its texts are traversed there.  Keys are 64-bit hashes of words and pairs.
 
 Defined cases: null text counts as empty (the end mark alone); the crc32 of a null id
 is that of the empty text; without training documents N and V are 0 and all tokens
@@ -43,6 +42,8 @@ from pyspark.sql import functions as F
 from ._util import answer_arrays, batch_of, block_number, chunks, cut, global_counts, mix64, pack, rows_of, unpack
 
 FOLDS, HELD_OUT = 5, 1
+#: Characters of a block.
+BLOCK = 6 << 20
 END = b""
 
 
@@ -70,116 +71,105 @@ def tokenised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return rank[np.concatenate(parts)], np.array(lens, np.int32), h[order]
 
 
-class Pairs:
-    """The distinct bigrams of a block: ids, hashes, training counts."""
-
-    def __init__(self, tokens, lens, held, hashes, counts, totals, flags):
-        self.end = int(np.searchsorted(hashes, np.uint64(xxhash.xxh3_64_intdigest(END))))
-        v = len(hashes)
-        prev = np.empty(len(tokens), np.int64)
-        prev[0] = self.end  # all texts end with the mark, so it precedes each first token
-        prev[1:] = tokens[:-1]
-        self.prev = prev
-        pair, self.at = np.unique(prev * v + tokens, return_inverse=True)
-        self.u, self.w = pair // v, pair % v
-        train = np.repeat(~held, lens)
-        self.count = np.bincount(self.at[train], minlength=len(pair))
-        # only bigrams of words that other blocks hold can occur elsewhere
-        shared = (flags[self.u] & 1 & flags[self.w]).astype(bool)
-        key = mix64(hashes[self.u] ^ mix64(hashes[self.w] + np.uint64(0x9E3779B9)))
-        self.sent = np.flatnonzero(shared)
-        self.sent = self.sent[np.argsort(key[self.sent], kind="stable")]
-        self.key = key[self.sent]
-        self.kind = np.frexp(totals[self.u].astype(np.float64))[1].astype(np.uint8)
-        self.alone = ~shared
+def pairs_of(tokens: np.ndarray, hashes: np.ndarray) -> tuple:
+    """Distinct bigrams of a block by ascending hash: first, second, hash; and each token's bigram."""
+    prev = np.empty(len(tokens), np.int64)
+    # all texts end with the mark, so it precedes each first token
+    prev[0] = np.searchsorted(hashes, np.uint64(xxhash.xxh3_64_intdigest(END)))
+    prev[1:] = tokens[:-1]
+    pair, at = np.unique(prev * len(hashes) + tokens, return_inverse=True)
+    u, w = pair // len(hashes), pair % len(hashes)
+    key = mix64(hashes[u] ^ mix64(hashes[w] + np.uint64(0x9E3779B9)))
+    order = np.argsort(key, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return u[order], w[order], key[order], place[at]
+
+
+def failure_fall(words: list[tuple[int, int]], once: int) -> float:
+    """The exponent of ``f``: (distinct words, their tokens) by class, bigrams that occur once."""
+    low, high = 0.01, 5.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        if sum(total * (1 + total / n) ** -mid for n, total in words) > once:
+            low = mid
+        else:
+            high = mid
+    return low
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def to_blocks(batches):
         schema = pa.schema([("block_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()),
                             ("tokens", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary()),
-                            ("n_keys", pa.int64()), ("n_train", pa.int64())])
-        for n, rows in enumerate(chunks(batches)):
+                            ("all_counts", pa.binary()), ("n_train", pa.int64())])
+        for n, rows in enumerate(chunks(batches, limit=BLOCK)):
             tokens, lens, hashes = tokenised([t for _, t in rows])
             train = np.repeat([not held_out(i) for i, _ in rows], lens)
             counts = np.bincount(tokens[train], minlength=len(hashes)).astype(np.uint32)
-            yield batch_of(schema, [(block_number(n), [i for i, _ in rows], pack(lens), pack(tokens),
-                                     pack(hashes), pack(counts), len(hashes), int(train.sum()))])
+            every = np.bincount(tokens, minlength=len(hashes)).astype(np.uint32)
+            rank = np.empty(len(hashes), np.int32)  # frequent words get small numbers, which pack well
+            rank[np.argsort(every, kind="stable")[::-1]] = np.arange(len(hashes), dtype=np.int32)
+            yield batch_of(schema, [(block_number(n), [i for i, _ in rows], pack(lens), pack(rank[tokens]),
+                                     pack(hashes), pack(counts), pack(every), int(train.sum()))])
+
+    def load(ids, lens, tokens, keys, every):
+        word = np.argsort(unpack(every, np.uint32), kind="stable")[::-1]
+        held = np.array([held_out(i) for i in ids], bool)
+        return unpack(lens, np.int32), word[unpack(tokens, np.int32)], unpack(keys, np.uint64), held
 
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         to_blocks, "block_id long, ids array<long>, lens binary, tokens binary, keys binary, counts binary, "
-                   "n_keys long, n_train long")
-    # dealt by block once, so that later joins on the block move only the answers
-    blocks = cut(blocks.repartition(parts, "block_id"))
-    n_keys, n_train = blocks.agg(F.sum("n_keys"), F.sum("n_train")).first()
-    words, word_stats = global_counts(blocks, n_keys or 0)
-    n_words = sum(r["keys"] for r in word_stats.collect())
+                   "all_counts binary, n_train long"))
+    # every text is in one block, so a block has no more distinct words or pairs than tokens
+    n_train, n_bytes = blocks.agg(F.sum("n_train"), F.sum(F.octet_length("tokens"))).first()
     n_train = n_train or 0
-    known = blocks.join(words, "block_id").withColumnRenamed("answers", "words")
-
-    def parse(ids, lens, tokens, keys, counts, words):
-        lens, tokens = unpack(lens, np.int32), unpack(tokens, np.int32)
-        hashes, counts = unpack(keys, np.uint64), unpack(counts, np.uint32)
-        held = np.array([held_out(i) for i in ids], bool)
-        totals, flags = answer_arrays(words)
-        return lens, held, totals, Pairs(tokens, lens, held, hashes, counts, totals, flags), tokens
+    words, word_classes = global_counts(blocks, (n_bytes or 0) // 8)
 
     def to_pairs(batches):
-        schema = pa.schema([("block_id", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
-                            ("classes", pa.binary()), ("n_keys", pa.int64()), ("alone", pa.binary())])
+        schema = pa.schema([("block_id", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
         for bid, *row in rows_of(batches):
-            _, _, _, p, _ = parse(*row)
-            mine = p.alone & (p.count > 0)
-            alone = np.stack([np.bincount(p.kind[mine & (p.count == 1)], minlength=64),
-                              np.bincount(p.kind[mine], weights=p.count[mine], minlength=64).astype(np.int64)])
-            yield batch_of(schema, [(bid, pack(p.key), pack(p.count[p.sent].astype(np.uint32)),
-                                     pack(p.kind[p.sent]), len(p.key), alone.astype(np.int64).tobytes())])
-
-    def spread(batches):
-        schema = pa.schema([("class", pa.int32()), ("singles", pa.int64()), ("total", pa.int64())])
-        for (alone,) in rows_of(batches):
-            a = np.frombuffer(alone, np.int64).reshape(2, 64)
-            yield batch_of(schema, [(i, *map(int, a[:, i])) for i in range(64) if a[:, i].any()])
-
-    needs = ["block_id", "ids", "lens", "tokens", "keys", "counts", "words"]
-    pairs = cut(known.select(needs).mapInArrow(
-        to_pairs, "block_id long, keys binary, counts binary, classes binary, n_keys long, alone binary"))
-    counted, stats = global_counts(pairs, pairs.agg(F.sum("n_keys")).first()[0] or 0)
-    once, total = np.zeros(64), np.zeros(64)
-    alone = pairs.select("alone").mapInArrow(spread, "class int, singles long, total long")
-    for r in alone.unionByName(stats.drop("keys")).groupBy("class").agg(
-            F.sum("singles").alias("singles"), F.sum("total").alias("total")).collect():
-        once[r["class"]], total[r["class"]] = r["singles"], r["total"]
-    fail = (once + 1) / (total + 2)  # stays within (0, 1)
-    floor = n_train + 0.5 * (n_words + 1)
+            lens, tokens, hashes, held = load(*row)
+            _, _, key, at = pairs_of(tokens, hashes)
+            counts = np.bincount(at[np.repeat(~held, lens)], minlength=len(key))
+            yield batch_of(schema, [(bid, pack(key), pack(counts.astype(np.uint32)))])
+
+    text = ["ids", "lens", "tokens", "keys", "all_counts"]
+    pairs, pair_classes = global_counts(blocks.select("block_id", *text).mapInArrow(
+        to_pairs, "block_id long, keys binary, counts binary"), (n_bytes or 0) // 3)
+    known = [(r["keys"], r["total"]) for r in word_classes.orderBy("class").collect()]
+    once = pair_classes.where("class = 1").agg(F.sum("keys")).first()[0] or 0
+    fall = failure_fall(known, once)
+    floor = n_train + 0.5 * (sum(n for n, _ in known) + 1)
 
     def score(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                             ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                             ("score", pa.float64())])
-        for _, ids, *row, answers in rows_of(batches):
-            lens, held, totals, p, tokens = parse(ids, *row)
-            c = totals.astype(np.float64)
+        for ids, *row, for_words, for_pairs in rows_of(batches):
+            lens, tokens, hashes, held = load(ids, *row)
+            c = answer_arrays(for_words)[0].astype(np.float64)
+            seen = answer_arrays(for_pairs)[0].astype(np.float64)
+            u, w, _, at = pairs_of(tokens, hashes)
             unigram = (c + 0.5) / floor
-            seen = p.count.astype(np.float64)
-            got = answer_arrays(answers)[0]
-            seen[p.sent] = got
-            # arcs of the automaton's part that this block reaches
-            f = fail[p.kind]
-            state = c[p.u] > 0
-            inner = np.where(state, (1 - f) * seen / np.maximum(c[p.u], 1) + f * unigram[p.w], unigram[p.w])
-            weight = np.log10(inner)
+            # arcs of the automaton's part that this block reaches: from a word's state, else from the root
+            f = (1 + c[u]) ** -fall
+            weight = np.log10(np.where(c[u] > 0, (1 - f) * seen / np.maximum(c[u], 1) + f * unigram[w], unigram[w]))
             starts = np.r_[0, np.cumsum(lens)[:-1]]
             base = np.add.reduceat(np.log10(unigram)[tokens], starts)
-            known_n = np.add.reduceat((totals[tokens] > 0).astype(np.int64), starts)
-            model = np.add.reduceat(weight[p.at], starts)
+            n_known = np.add.reduceat((c[tokens] > 0).astype(np.int64), starts)
+            model = np.add.reduceat(weight[at], starts)
             yield batch_of(schema, [(i, bool(h), int(n), int(k), n_train, float(b), float(m)) for i, h, n, k, b, m
-                                    in zip(ids, held, lens, known_n, base, model)])
-
-    return known.select(needs).join(counted, "block_id", "left").select(*needs, "answers").mapInArrow(
+                                    in zip(ids, held, lens, n_known, base, model)])
+
+    # the answers meet first, so that the blocks are moved once; the number of parts is given, as a
+    # part made from several small ones would hold many blocks
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    answers = words.withColumnRenamed("answers", "for_words").join(
+        pairs.withColumnRenamed("answers", "for_pairs"), "block_id").repartition(parts, "block_id")
+    return blocks.select("block_id", *text).repartition(parts, "block_id").join(answers, "block_id").select(
+        *text, "for_words", "for_pairs").mapInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double")
