@@ -12,6 +12,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS, dedupe
 from ..functions.quantiles import group_percentiles, multi_percentiles
@@ -33,6 +34,13 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
+def value_columns(df: DataFrame, keys, order, numeric: bool = False) -> list[str]:
+    """Every column (or every numeric one) that is neither key nor order."""
+    own = {*keys, *order, "date"}
+    return [f.name for f in df.schema if f.name not in own
+            and (not numeric or isinstance(f.dataType, T.NumericType))]
+
+
 # -- fills (C2, C10, C11, C27) ---------------------------------------------
 
 def fill_forward(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER,
@@ -128,13 +136,16 @@ IMPUTERS: dict[str, Callable[..., DataFrame]] = {
 
 def impute(df: DataFrame, method: str = "forward_fill",
            custom: Callable[[Column], Column] | None = None, **kw) -> DataFrame:
-    """C9 dispatcher.  ``custom`` (F2) maps each column expression to its
+    """C9 dispatcher over every column (``cols`` narrows it; interpolations and
+    averages over every numeric one).  ``custom`` (F2) maps each column expression to its
     replacement; without it CUSTOM passes the frame through unchanged."""
     if method == "custom":
         if custom is None:
             return df
-        cols = _present(df, OHLCV_COLUMNS)
-        return df.withColumns({c: custom(F.col(c)) for c in cols})
+        return df.withColumns({c: custom(F.col(c)) for c in value_columns(df, KEYS, ORDER, numeric=True)})
+    if method != "none":
+        kw.setdefault("cols", value_columns(df, kw.get("keys", KEYS), kw.get("order", ORDER),
+                                            numeric=method not in ("forward_fill", "backward_fill", "mode")))
     return IMPUTERS[method](df, **kw)
 
 
@@ -160,14 +171,15 @@ def _bounds(df, cols, keys, method, threshold):
 
 
 def cap_outliers(df: DataFrame, method: str = "iqr", threshold: float | None = None,
-                 cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS) -> DataFrame:
+                 cols: Sequence[str] | None = None, keys=KEYS, order=ORDER) -> DataFrame:
     """C18 iqr (q1 - t*iqr, q3 + t*iqr), C19 zscore (mean +- t*sample std),
-    C20 quantile (1% / 99%); unknown method -> unchanged."""
+    C20 quantile (1% / 99%) on ``cols``, every numeric column by default;
+    unknown method -> unchanged."""
     if method not in ("iqr", "zscore", "quantile"):
         return df
     if threshold is None:
         threshold = IQR_THRESHOLD if method == "iqr" else ZSCORE_THRESHOLD
-    cols = _present(df, cols)
+    cols = value_columns(df, keys, order, numeric=True) if cols is None else _present(df, cols)
     out = df.join(_bounds(df, cols, keys, method, threshold), list(keys), "left")
     capped = {}
     for c in cols:
@@ -223,7 +235,7 @@ def _volume_to_median(df: DataFrame, keys=KEYS) -> DataFrame:
 def clean_bars(df: DataFrame, keys=KEYS, order=ORDER, bucket: Column | None = None) -> DataFrame:
     """C2 fill -> C3 abs of non-positive prices -> C4 swap -> C5 raise/lower
     -> C6 volume -> C7 keep the first row per (symbol, date)."""
-    out = fill_forward(df, OHLCV_COLUMNS, keys, order, bucket)
+    out = fill_forward(df, value_columns(df, keys, order), keys, order, bucket)
     out = out.withColumns({c: F.when(F.col(c) <= 0, F.abs(c)).otherwise(F.col(c))
                            for c in PRICE_COLUMNS})
     swap = F.col("high") < F.col("low")
@@ -273,7 +285,12 @@ def volume_rolling_median(df: DataFrame, keys=KEYS, order=ORDER, rows: int = VOL
 
 def cross_source_fill(primary: DataFrame, reference: DataFrame,
                       cols: Sequence[str] = PRICE_COLUMNS, keys=KEYS) -> DataFrame:
-    """NULL price -> the other vendor's value on the same date."""
+    """NULL price -> the other vendor's value on the same date (the first one
+    by ``load_seq`` if that vendor has the date twice, else the least)."""
+    if "load_seq" in reference.columns:
+        reference = keep_first(reference, [*keys, "date"], "load_seq")
+    else:
+        reference = reference.groupBy(*keys, "date").agg(*[F.min(c).alias(c) for c in cols])
     ref = reference.select(*keys, "date", *[F.col(c).alias("_r_" + c) for c in cols])
     out = primary.join(ref, [*keys, "date"], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col("_r_" + c)) for c in cols}) \

@@ -18,10 +18,16 @@ PRICE_TOLERANCE = 0.05
 VOLUME_TOLERANCE = 0.20
 REC_SINGLE = "Use single available source"
 REC_RECENT = "Use most recent source"
-REC_PRIMARY = "Prefer primary source data (more accurate for the home market)"
+REC_PRIMARY = "Prefer KiteConnect data (more accurate for Indian markets)"
 REC_AGREE = "Both sources agree - either can be used"
 REASON_EMPTY = "Insufficient data for comparison"
 REASON_NO_OVERLAP = "No overlapping dates"
+# Suggested actions of the cross-source issues.
+CROSS_ACTIONS = {
+    "insufficient_data_for_cross_validation": "Ensure both data sources have data for comparison",
+    "no_common_dates": "Check date ranges and formatting",
+    "price_discrepancy": "Investigate price differences between {a} and {b}",
+}
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -55,12 +61,16 @@ def compare_sources(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLERAN
         (F.max(big_v) * 100).alias("volume_max_pct"))
 
 
-def _issue(kind: str, severity: str, rows: Column, diff: Column) -> Column:
+def _issue(kind: str, severity: str, rows: Column, diff: Column, names: tuple[str, str]) -> Column:
+    action = CROSS_ACTIONS.get(kind)
     return F.struct(F.lit(kind).alias("issue_type"), F.lit(severity).alias("severity"),
-                    rows.cast("bigint").alias("affected_rows"), diff.alias("avg_diff_pct"))
+                    rows.cast("bigint").alias("affected_rows"),
+                    F.lit(action and action.format(a=names[0], b=names[1])).cast("string").alias("suggested_action"),
+                    diff.alias("avg_diff_pct"))
 
 
-def cross_validate(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
+def cross_validate(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLERANCE,
+                   names: tuple[str, str] = ("kiteconnect", "yahoo_finance")) -> DataFrame:
     """Issue rows per symbol (insufficient data, no common dates,
     price discrepancy with the mean excess %, volume discrepancy)."""
     c = compare_sources(a, b, tolerance)
@@ -69,13 +79,13 @@ def cross_validate(a: DataFrame, b: DataFrame, tolerance: float = PRICE_TOLERANC
     null_d = F.lit(None).cast("double")
     items = F.array(
         F.when(~both, _issue("insufficient_data_for_cross_validation", "warning",
-                             F.lit(None), null_d)),
+                             F.lit(None), null_d, names)),
         F.when(both & (F.col("common_dates") == 0),
-               _issue("no_common_dates", "error", F.lit(None), null_d)),
+               _issue("no_common_dates", "error", F.lit(None), null_d, names)),
         F.when(has & (F.col("price_count") > 0),
-               _issue("price_discrepancy", "warning", F.col("price_count"), F.col("price_avg_pct"))),
+               _issue("price_discrepancy", "warning", F.col("price_count"), F.col("price_avg_pct"), names)),
         F.when(has & (F.col("volume_count") > 0),
-               _issue("volume_discrepancy", "info", F.col("volume_count"), null_d)))
+               _issue("volume_discrepancy", "info", F.col("volume_count"), null_d, names)))
     return (c.select("symbol", F.explode(F.filter(items, lambda x: x.isNotNull())).alias("i"))
              .select("symbol", "i.*"))
 
@@ -122,26 +132,43 @@ def _graded_pair(primary: DataFrame, secondary: DataFrame) -> DataFrame:
         pick(1, "quality").alias("q_b"), pick(1, "is_valid").alias("ok_b"))
 
 
-def select_preferred(primary: DataFrame, secondary: DataFrame) -> DataFrame:
-    """The primary when it is valid, else the secondary when present."""
-    g = _graded_pair(primary, secondary)
-    use_a = F.coalesce(F.col("ok_a"), F.lit(False))
-    pick = g.select("symbol",
+def _choice(g: DataFrame, use_a: Column) -> DataFrame:
+    """One row per symbol: the chosen side with its source and grade."""
+    return g.select("symbol", F.when(use_a, 0).otherwise(1).alias("_side"),
                     F.when(use_a, F.col("src_a")).otherwise(F.col("src_b")).alias("source"),
                     F.when(use_a, F.col("q_a")).otherwise(F.col("q_b")).alias("quality"))
-    return pick.filter(F.col("source").isNotNull())
+
+
+def _choose(primary: DataFrame, secondary: DataFrame, strategy: str) -> DataFrame:
+    """symbol, _side, source, quality of the side that a strategy takes.
+
+    preferred: the primary when valid, else the secondary when present; best_quality:
+    the better grade, ties to the primary; redundant and primary_only: the primary;
+    secondary_only: the secondary."""
+    g = _graded_pair(primary, secondary)
+    has_a, has_b = F.col("src_a").isNotNull(), F.col("src_b").isNotNull()
+    if strategy == "preferred":
+        return _choice(g, F.coalesce(F.col("ok_a"), F.lit(False))).filter(F.col("source").isNotNull())
+    if strategy == "best_quality":
+        ra = F.coalesce(_rank(F.col("q_a")), F.lit(1))
+        rb = F.coalesce(_rank(F.col("q_b")), F.lit(1))
+        return _choice(g, has_a & ((ra >= rb) | ~has_b))
+    if strategy in ("redundant", "primary_only"):
+        return _choice(g.filter(has_a), F.lit(True))
+    if strategy == "secondary_only":
+        return _choice(g.filter(has_b), F.lit(False))
+    raise ValueError(f"unknown strategy {strategy}")
+
+
+def select_preferred(primary: DataFrame, secondary: DataFrame) -> DataFrame:
+    """The primary when it is valid, else the secondary when present."""
+    return _choose(primary, secondary, "preferred").drop("_side")
 
 
 def select_best(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """Higher grade wins (excellent 5 .. unusable 1, missing = unusable),
     ties go to the primary."""
-    g = _graded_pair(primary, secondary)
-    ra = F.coalesce(_rank(F.col("q_a")), F.lit(1))
-    rb = F.coalesce(_rank(F.col("q_b")), F.lit(1))
-    use_a = F.col("src_a").isNotNull() & ((ra >= rb) | F.col("src_b").isNull())
-    return g.select("symbol",
-                    F.when(use_a, F.col("src_a")).otherwise(F.col("src_b")).alias("source"),
-                    F.when(use_a, F.col("q_a")).otherwise(F.col("q_b")).alias("quality"))
+    return _choose(primary, secondary, "best_quality").drop("_side")
 
 
 def select_redundant(primary: DataFrame, secondary: DataFrame) -> DataFrame:
@@ -151,22 +178,26 @@ def select_redundant(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     return ga.join(rep, "symbol", "inner")
 
 
-def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear") -> DataFrame:
-    """Choose per symbol (J3), impute the fair/poor choices (C26),
-    re-validate and re-grade them; everything else passes through.
+def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear",
+                 strategy: str = "preferred", impute_missing: bool = True) -> DataFrame:
+    """Choose a side per symbol by ``strategy`` (J3-J5 or one side only), impute the
+    fair/poor choices (C26), re-validate and re-grade them; everything else passes
+    through.  Without ``impute_missing`` the choices stay as they are.
 
-    The chosen bars feed three branches and the imputed subset two, so both
-    are written once as reliable checkpoints (the shared folder named by
-    ``spark.checkpoint.dir``): the plan stays small and a lost executor
-    recomputes from the checkpoint, not from the raw scans."""
+    The choice (one row per symbol) is written once as a reliable checkpoint; the bars
+    are read again from their source, so nothing large is written."""
     from ..session import checkpoint_dir
     checkpoint_dir(primary.sparkSession)
-    sel = select_preferred(primary, secondary)
-    both = primary.unionByName(secondary, allowMissingColumns=True)
-    chosen = both.join(sel, ["symbol", "source"], "inner").checkpoint()
+    sel = _choose(primary, secondary, strategy).checkpoint()
+    both = (primary.withColumn("_side", F.lit(0))
+            .unionByName(secondary.withColumn("_side", F.lit(1)), allowMissingColumns=True))
+    # the side tells the vendors apart even when their source names are the same
+    chosen = both.join(sel.select("symbol", "_side", "quality"), ["symbol", "_side"], "inner").drop("_side")
+    if not impute_missing:
+        return chosen.withColumn("imputed", F.lit(False))
     weak = F.col("quality").isin("fair", "poor")
     keep = chosen.filter(~weak).withColumn("imputed", F.lit(False))
-    fix = tiered_impute(chosen.filter(weak).drop("quality"), method).checkpoint()
+    fix = tiered_impute(chosen.filter(weak).drop("quality"), method)
     regrade = grades(fix).select("symbol", "source", "quality")
     fixed = fix.join(regrade, ["symbol", "source"], "left").withColumn("imputed", F.lit(True))
     return keep.unionByName(fixed)

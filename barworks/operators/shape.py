@@ -36,21 +36,32 @@ TAKE_PROFIT = 0.15
 TICKER_SUFFIX = r"\.NS$"
 
 
-def normalise_name(name: str) -> str:
-    """Lower-case; blanks and dots to '_'; a ('Close', 'X') pair keeps its first level."""
+def normalise_name(name: str, ticker: str | None = None) -> str:
+    """Lower-case; blanks and dots to '_'; a ('Close', 'X') pair keeps its first level;
+    a ``ticker`` at the end of the name is taken off."""
     m = re.match(r"^\('([^']*)',.*\)$", name)
     if m:
         name = m.group(1)
-    return re.sub(r"[ .]", "_", name.strip().lower())
+    plain = lambda t: re.sub(r"[ .]", "_", t.strip().lower())
+    name = plain(name)
+    return name.removesuffix("_" + plain(ticker)) if ticker else name
 
 
 def standardize(df: DataFrame, symbol: str | Column | None = None,
                 suffix: str = TICKER_SUFFIX) -> DataFrame:
-    """Normalised names, parsed date, ticker suffix stripped, symbol added."""
-    out = df.toDF(*[normalise_name(c) for c in df.columns])
+    """Normalised names, parsed date, ticker suffix stripped, symbol added.
+
+    A ``date`` column of text or days becomes a date; a column of timestamps, or one
+    named ``datetime`` or ``timestamp``, keeps its time of day.  What cannot be read
+    is NULL."""
+    ticker = symbol if isinstance(symbol, str) else None
+    out = df.toDF(*[normalise_name(c, ticker) for c in df.columns])
     for cand in ("date", "datetime", "timestamp"):
         if cand in out.columns:
-            out = out.withColumn("date", F.to_date(F.col(cand).cast("string")))
+            kind = out.schema[cand].dataType.typeName()
+            timed = cand != "date" or kind.startswith("timestamp")
+            value = F.col(cand) if kind.startswith("timestamp") or kind == "date" else F.col(cand).cast("string")
+            out = out.withColumn("date", value.try_cast("timestamp_ntz" if timed else "date"))
             break
     if symbol is not None:
         out = out.withColumn("symbol", symbol if isinstance(symbol, Column) else F.lit(symbol))

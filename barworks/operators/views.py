@@ -17,20 +17,17 @@ def latest(df: DataFrame, column: str) -> Column:
     return df.agg(F.max(column)).scalar()
 
 
-def sector_of(symbol: str = "symbol") -> Column:
-    """Sector of a mapped symbol ``S<n>``: ``SEC<n % 7>``."""
-    return F.concat(F.lit("SEC"), F.substring(F.col(symbol), 2, 32).cast("bigint") % 7)
-
-
 def daily_returns(bars: DataFrame, as_of: Column, years: int = 2,
                   bucket: Column | None = None) -> DataFrame:
     """Filter to the last ``years`` first, then lag - so the first kept row
-    of each symbol has a NULL previous close, as in the reference view."""
+    of each symbol has a NULL previous close, as in the reference view.  The
+    sector is the table's own column, NULL when it has none."""
+    sector = F.col("sector") if "sector" in bars.columns else F.lit(None).cast("string")
     b = bars.filter(F.col("date") >= F.add_months(as_of, -12 * years))
     b = with_prev(b, ["symbol"], ["date"], ["close"], bucket)
     return b.select("symbol", "date", "close", "prev_close",
                     safe_div(F.col("close") - F.col("prev_close"), "prev_close").alias("daily_return"),
-                    "volume", sector_of().alias("sector"))
+                    "volume", sector.alias("sector"))
 
 
 def risk_metrics(bars: DataFrame, as_of: Column, lookback_days: int = 252,

@@ -36,15 +36,18 @@ LEFT JOIN {p}j j ON j.symbol = coalesce(sa.symbol, sb.symbol)"""
 
 _CV = """
 SELECT symbol, 'insufficient_data_for_cross_validation' AS issue_type, 'warning' AS severity,
-       CAST(NULL AS BIGINT) AS affected_rows, CAST(NULL AS DOUBLE) AS avg_diff_pct
+       CAST(NULL AS BIGINT) AS affected_rows,
+       'Ensure both data sources have data for comparison' AS suggested_action,
+       CAST(NULL AS DOUBLE) AS avg_diff_pct
 FROM cmp WHERE NOT (in_a AND in_b)
 UNION ALL
-SELECT symbol, 'no_common_dates', 'error', NULL, NULL FROM cmp WHERE in_a AND in_b AND common_dates = 0
+SELECT symbol, 'no_common_dates', 'error', NULL, 'Check date ranges and formatting', NULL FROM cmp WHERE in_a AND in_b AND common_dates = 0
 UNION ALL
-SELECT symbol, 'price_discrepancy', 'warning', price_count, price_avg_pct FROM cmp
+SELECT symbol, 'price_discrepancy', 'warning', price_count,
+       'Investigate price differences between kiteconnect and yahoo_finance', price_avg_pct FROM cmp
 WHERE in_a AND in_b AND common_dates > 0 AND price_count > 0
 UNION ALL
-SELECT symbol, 'volume_discrepancy', 'info', volume_count, NULL FROM cmp
+SELECT symbol, 'volume_discrepancy', 'info', volume_count, NULL, NULL FROM cmp
 WHERE in_a AND in_b AND common_dates > 0 AND volume_count > 0"""
 
 

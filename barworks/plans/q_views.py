@@ -25,7 +25,8 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date)""", ("bars",),
        doubles="close prev_close daily_return volume")
 def daily_returns(spark, sf_dir):
     """W1."""
-    return Vw.daily_returns(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir))
+    return Vw.daily_returns(fx.bars(spark, sf_dir).withColumn("sector", fx.sector_of()),
+                            fx.event_day_as_of(spark, sf_dir))
 
 
 @query("daily_returns_split", """
@@ -38,7 +39,8 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date)""", ("bars",),
        doubles="close prev_close daily_return volume")
 def daily_returns_split(spark, sf_dir):
     """W1 with the series split into weekly buckets (the hot-symbol plan)."""
-    return Vw.daily_returns(fx.bars(spark, sf_dir), fx.event_day_as_of(spark, sf_dir),
+    return Vw.daily_returns(fx.bars(spark, sf_dir).withColumn("sector", fx.sector_of()),
+                            fx.event_day_as_of(spark, sf_dir),
                             bucket=F.date_trunc("week", "date"))
 
 
