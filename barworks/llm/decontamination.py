@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,9 @@ from pyspark.sql import types as T
 from ._util import batch_of, chunks, rows_of
 
 RUN, PASSAGE, RANK, BLOCK = 32, 64, 128, 4096
-COSINE, COPY, PARAPHRASE, STRETCH = 0.5, 0.8, 0.6, 1.5
+COSINE, COPY, PARAPHRASE, STRETCH = 0.4, 0.8, 0.6, 1.5
+#: Words in more than this share of the documents have no weight, but for the rarest of each passage.
+COMMON, RAREST = 0.2, 8
 POWER_ROUNDS = 2
 _DROP = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -159,13 +162,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float
 
 def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: float, found) -> DataFrame:
     spark = docs.sparkSession
-    vocabulary = sorted({w for _, p, _ in parts for w in p})
+    freq, total = document_frequencies(docs, {w for _, p, _ in parts for w in p})
+    weighed = {w for w, n in freq.items() if n <= COMMON * total}
+    for _, p, _ in parts:
+        weighed.update(sorted(set(p), key=lambda w: (freq.get(w, 0), w))[:RAREST])
+    vocabulary = sorted({w for _, p, _ in parts for w in p} & weighed)
     number = {w: i for i, w in enumerate(vocabulary)}
-    freq, total = document_frequencies(docs, set(vocabulary))
     idf = np.log((1 + total) / (1 + np.array([freq.get(w, 0) for w in vocabulary]))) + 0.1
     rows = []
     for _, p, _ in parts:
-        c, n = np.unique([number[w] for w in p], return_counts=True)
+        c, n = np.unique([number[w] for w in p if w in number], return_counts=True)
         w = n * idf[c]
         rows.append((c.tolist(), (w / np.linalg.norm(w)).tolist()))
     matrix = spark.createDataFrame(rows, "cols array<int>, weights array<double>")
@@ -177,19 +183,15 @@ def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: flo
 
     def search(batches):
         number, fold, target, parts = state.value
-        find = number.get
+        find, none = number.get, repeat(-1)
 
         def windows(texts):
             """Latent sums of all runs of the texts, and where each text's runs start."""
-            ids, bounds, runs = [], [0], []
-            for words in texts:
-                got = [find(w, -1) for w in words]
-                ids += got
-                runs.append(-(-len(got) // RUN))
-                # every text starts a new run
-                ids += [-1] * (-len(got) % RUN)
-                bounds.append(bounds[-1] + runs[-1])
-            a = np.array(ids, np.int32)
+            runs = [-(-len(words) // RUN) for words in texts]  # every text starts a new run
+            bounds = [0, *np.cumsum(runs).tolist()]
+            a = np.full(bounds[-1] * RUN, -1, np.int32)
+            for words, b in zip(texts, bounds):
+                a[b * RUN:b * RUN + len(words)] = np.fromiter(map(find, words, none), np.int32, len(words))
             sums = np.zeros((len(a) // RUN, fold.shape[1]), np.float32)
             for lo in range(0, len(sums), 2048):
                 hi = min(len(sums), lo + 2048)
@@ -217,12 +219,17 @@ def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: flo
                         wide[:-2] += own[2:]
                         norm = np.linalg.norm(wide, axis=1, keepdims=True)
                         cos = wide @ target.T / np.maximum(norm, 1e-6)
-                        for k, j in np.argwhere(cos >= cosine):
+                        at, near, known = -1, [], set()
+                        for k, j in np.argwhere(cos >= cosine).tolist():
                             item, part, last = parts[j]
                             if hits.get(item, (0, 0))[1] >= 1:
                                 continue
-                            # a passage may reach over the window's ends
-                            near = words[max(0, (k - 1) * RUN):(k + 4) * RUN]
+                            if k != at:  # a passage may reach over the window's ends
+                                at, near = k, words[max(0, (k - 1) * RUN):(k + 4) * RUN]
+                                known = set(near)
+                            # no more words can be in common than occur in both
+                            if sum(map(known.__contains__, part)) < PARAPHRASE * len(part):
+                                continue
                             share = matches(part, last, near)
                             if share > hits.get(item, (0, 0))[1]:
                                 hits[item] = (float(cos[k, j]), share)
