@@ -2,11 +2,12 @@
 
 Spark's ``percentile`` aggregate is exact and partially aggregated, but its
 final merge holds every distinct value of a group in one task.  With
-``spark.barworks.quantile.split = true`` the groups are instead ranked by a
-range-partitioned sort: a hot key's value range spans many partitions, the
-partition ids are pinned by a reliable checkpoint (so a recomputation cannot
-move rows between partitions), per-(key, partition) counts give each
-partition its rank offset, and only the rows at the two ranks around each
+``spark.barworks.quantile.split = true`` equal values are counted first (so a
+value repeated a million times is one row), and the (key, value) counts are
+ranked by a range-partitioned sort: a hot key's values span many partitions,
+the partition ids are pinned by a reliable checkpoint (so a recomputation
+cannot move rows between partitions), per-(key, partition) sums give each
+partition its rank offset, and only the values at the two ranks around each
 requested percentage are kept.  Interpolation is the same as ``percentile``'s
 (linear between the ranks ``floor`` and ``ceil`` of (n - 1) * p).
 """
@@ -61,21 +62,25 @@ def _ranked_percentiles(df, keys, col, percentages, names, where):
     spark = df.sparkSession
     checkpoint_dir(spark)
     n_parts = int(spark.conf.get(PARTITIONS_CONF, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (base.repartitionByRange(n_parts, *keys, "_v")
+    ranged = (base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+                  .repartitionByRange(n_parts, *keys, "_v")
                   .withColumn("_pid", F.spark_partition_id())
                   .checkpoint())
-    sizes = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = ranged.groupBy(*keys, "_pid").agg(F.sum("_m").alias("_c"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     sizes = sizes.select(*keys, "_pid",
                          F.coalesce(F.sum("_c").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                     F.lit(0)).alias("_off"),
                          F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    w = Window.partitionBy(*keys, "_pid").orderBy("_v")
+    w = Window.partitionBy(*keys, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (ranged.join(sizes, [*keys, "_pid"])
-                    .withColumn("_rank", F.col("_off") + F.row_number().over(w) - 1))
+                    .withColumn("_last", F.col("_off") + F.sum("_m").over(w) - 1)
+                    .withColumn("_first", F.col("_last") - F.col("_m") + 1))
     pos = [((F.col("_n") - 1) * F.lit(p)) for p in percentages]
-    wanted = F.array(*[F.floor(x) for x in pos], *[F.ceil(x) for x in pos])
-    picked = ranked.filter(F.array_contains(wanted, F.col("_rank")))
+    wanted = F.array_distinct(F.array(*[F.floor(x) for x in pos], *[F.ceil(x) for x in pos]))
+    # a value stands at all ranks from its first to its last
+    picked = (ranked.withColumn("_rank", F.explode(F.filter(wanted, lambda r: (r >= F.col("_first"))
+                                                            & (r <= F.col("_last"))))))
     agg = picked.groupBy(*keys).agg(F.first("_n").alias("_n"),
                                     F.map_from_entries(F.collect_list(F.struct("_rank", "_v")))
                                     .alias("_at"))

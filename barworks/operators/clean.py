@@ -111,9 +111,21 @@ def fill_median(df, cols=OHLCV_COLUMNS, keys=KEYS):
     return _stat_fill(df, cols, keys, stats=_medians(df, cols, keys))
 
 
+def _modes(df: DataFrame, cols, keys) -> DataFrame:
+    """Per-key modes: equal values are counted first, then the most frequent (the
+    smallest on ties) is one maximum, so no task holds the values of a key."""
+    out = None
+    for c in cols:
+        counts = df.filter(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_n"))
+        part = counts.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(c).alias("v")))["v"].alias("_s_" + c))
+        out = part if out is None else out.join(part, list(keys), "full")
+    return out
+
+
 def fill_mode(df, cols=OHLCV_COLUMNS, keys=KEYS):
     """Per-symbol most frequent value, the smallest on ties."""
-    return _stat_fill(df, cols, keys, lambda c: F.mode(c, True))
+    cols = _present(df, cols)
+    return _stat_fill(df, cols, keys, stats=_modes(df, cols, keys))
 
 
 def fill_zero(df, cols=OHLCV_COLUMNS):

@@ -85,3 +85,18 @@ def test_tick_checks(spark):
     summ = {r["event_id"]: r for r in T.tick_summary(res).collect()}
     assert summ[2]["critical_count"] == 1 and not summ[2]["is_valid"]   # valid result but critical
     assert summ[3]["failed"] == 1 and not summ[3]["is_valid"]
+
+
+def test_missing_column_stops_the_pass(spark):
+    """Later findings don't count once a column is missing; hours and cross-source ones do otherwise."""
+    from barworks.operators import checks as V
+    import datetime as dt
+    rows = [("A", "x", dt.date(2024, 1, d), -1.0, 2.0, 1.0, None, 5.0, d) for d in range(1, 4)]
+    rows += [("B", "x", dt.date(2024, 1, d), 1.0, 2.0, 1.0, 1.5, 5.0, d) for d in range(1, 4)]
+    bars = spark.createDataFrame(rows, "symbol string, source string, date date, open double, high double, low double, "
+                                       "close double, volume double, load_seq long")
+    more = spark.createDataFrame([("A", "weekend_data", "info"), ("B", "weekend_data", "info"),
+                                  ("B", "no_common_dates", "error")], "symbol string, issue_type string, severity string")
+    got = {r["symbol"]: r for r in V.grade(V.summarize(V.with_further_issues(V.validate_bars(bars), more))).collect()}
+    assert got["A"]["critical_issues"] == 1 and got["A"]["total_issues"] == 1 and got["A"]["quality"] == "unusable"
+    assert got["B"]["info_issues"] == 1 and got["B"]["error_issues"] == 1 and got["B"]["quality"] == "fair"
