@@ -15,8 +15,8 @@ def _cte(name: str, sql: str, *deps: str) -> None:
 
 _cte("bars_uid", """
 SELECT user_id AS uid, CAST(ts AS DATE) AS date,
-       min_by(value, ts) AS open, max(value) AS high, min(value) AS low,
-       max_by(value, ts) AS close, CAST(count(*) * 100 AS DOUBLE) AS volume,
+       first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low,
+       last(value ORDER BY ts, event_id) AS close, CAST(count(*) * 100 AS DOUBLE) AS volume,
        min(event_id) AS load_seq, concat('S', user_id) AS symbol
 FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 

@@ -34,8 +34,8 @@ def bars_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
     return (e.groupBy(F.col("user_id").alias("uid"), F.to_date("ts").alias("date"))
              .agg(*[F.expr(x) for x in (
-                 "min_by(value, ts) AS open", "max(value) AS high", "min(value) AS low",
-                 "max_by(value, ts) AS close", "CAST(count(1) * 100 AS DOUBLE) AS volume",
+                 "min_by(value, struct(ts, event_id)) AS open", "max(value) AS high", "min(value) AS low",
+                 "max_by(value, struct(ts, event_id)) AS close", "CAST(count(1) * 100 AS DOUBLE) AS volume",
                  "min(event_id) AS load_seq")])
              .selectExpr("*", "concat('S', uid) AS symbol"))
 
