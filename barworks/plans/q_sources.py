@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import checks as V
 from ..operators.views import latest
 from ..sources import fixtures as fx
 from ..sources import io as S
+from ..streaming import quotes as K
 from .q_checks import validation_ctes
 from .registry import query
 
@@ -69,7 +71,7 @@ SELECT * FROM bars_dirty WHERE NOT coalesce(symbol = 'S7' AND date = DATE '2024-
 def delete_symbol(spark, sf_dir):
     """S14 as a rule: every row except symbol S7 on 2024-01-15 (NULL-safe)."""
     cond = (F.col("symbol") == "S7") & (F.col("date") == F.lit("2024-01-15").cast("date"))
-    return fx.bars_dirty(spark, sf_dir).filter(~F.coalesce(cond, F.lit(False)))
+    return fx.bars_dirty(spark, sf_dir).filter(S.without(cond))
 
 
 @query("retention", """
@@ -96,3 +98,62 @@ def table_stats(spark, sf_dir):
                           "paper_trades": fx.paper_trades(spark, sf_dir),
                           "manual_trades": fx.manual_trades(spark, sf_dir),
                           "backtest_results": fx.backtest_results(spark, sf_dir)})
+
+
+# -- maintained tables: written, changed in place, read back -----------------
+
+def _kept(spark, name: str, work) -> DataFrame:
+    """Run ``work(path)`` on a scratch table of the shared folder and keep its rows."""
+    path = K.scratch(spark, name)
+    work(path)
+    return K.taken(spark, path)
+
+
+@query("table_upsert", """
+SELECT symbol, date, open, high, low, CASE WHEN load_seq % 3 = 0 THEN close + 1 ELSE close END AS close, volume,
+       CASE WHEN load_seq % 3 = 0 THEN load_seq + 1000000000 ELSE load_seq END AS load_seq
+FROM bars""", ("bars",), doubles=D)
+def table_upsert(spark, sf_dir):
+    """S7 + S9 + S13: a new table, loaded when empty, and a third of its rows written again."""
+    bars = fx.bars(spark, sf_dir).select("symbol", "date", "open", "high", "low", "close", "volume", "load_seq")
+    again = bars.filter("load_seq % 3 = 0").withColumns(
+        {"close": F.col("close") + 1, "load_seq": F.col("load_seq") + 1_000_000_000})
+
+    def work(path):
+        S.ensure_table(spark, path, bars.schema)
+        S.write_table(bars, path, "WRITE_EMPTY")
+        S.upsert(spark, path, again, ["symbol", "date"])
+    return _kept(spark, "table-upsert", work).select(*bars.columns)
+
+
+@query("table_delete", """
+SELECT * FROM bars WHERE NOT (symbol = 'S7') AND NOT (date = (SELECT min(date) FROM bars))""",
+       ("bars",), doubles=D)
+def table_delete(spark, sf_dir):
+    """One symbol deleted from every day, then a whole day, which leaves no partition."""
+    bars = fx.bars(spark, sf_dir)
+    first = bars.agg(F.min("date")).first()[0]
+
+    def work(path):
+        S.write_table(bars, path)
+        S.delete_where(spark, path, F.col("symbol") == "S7")
+        S.delete_where(spark, path, F.col("date") == F.lit(first))
+    return _kept(spark, "table-delete", work).select(*bars.columns)
+
+
+@query("table_backtests", """
+SELECT backtest_id, strategy_id, coalesce(total_return_pct, 0.0) AS total_return_pct,
+       CASE WHEN success THEN 7 ELSE 0 END AS trades_count, '{}' AS metadata, 'paper' AS mode,
+       CASE WHEN success THEN DATE '2024-03-02' ELSE DATE '2024-03-01' END AS date
+FROM backtest_results""", ("backtest_results",), doubles="total_return_pct")
+def table_backtests(spark, sf_dir):
+    """Results saved one day, the successful ones saved again the next: one row for each."""
+    results = fx.backtest_results(spark, sf_dir).select("backtest_id", "strategy_id", "total_return_pct", "success")
+    day = lambda d: F.lit(f"2024-03-0{d} 10:00:00").cast("timestamp_ntz")
+
+    def work(path):
+        S.upsert_backtest(spark, path, results.drop("success"), "paper", day(1))
+        S.upsert_backtest(spark, path, results.filter("success").drop("success").withColumn("trades", F.lit(7)),
+                          "paper", day(2))
+    return _kept(spark, "table-backtests", work).select(
+        "backtest_id", "strategy_id", "total_return_pct", "trades_count", "metadata", "mode", "date")
