@@ -34,12 +34,13 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._util import BLOCK_BYTES
-
 MARK = "▁"
+#: Bytes of text whose segments are indexed together.
+BLOCK = 6 << 20
 _SEGMENTS = re.compile(" *[^ ]+| +").findall
 _NEVER = np.int64(1) << 40
 
@@ -172,22 +173,25 @@ def segment_pieces(segments: list[bytes], model: Model) -> tuple[np.ndarray, np.
     alone = (t & 0xC0 != 0x80) & (t != 0xFF)
     own = kind < model.first_merged
     alone[start[own]] = False
-    char = np.cumsum((t & 0xC0) != 0x80) - 1
-    by_byte = np.flatnonzero(alone[np.flatnonzero((t & 0xC0) != 0x80)][char] & (t != 0xFF)) if n else np.zeros(0, int)
+    leads = np.flatnonzero((t & 0xC0) != 0x80)
+    by_byte = np.flatnonzero(np.repeat(alone[leads], np.diff(np.r_[leads, n])) & (t != 0xFF))
     kind = np.concatenate([kind, t[by_byte].astype(np.int32)])
     start = np.concatenate([start, by_byte.astype(np.int32)])
     # edges by the offset of their end in the segment
     end = start + size[kind]
     offset = (np.arange(n) - begin[of]).astype(np.int32)[start] + size[kind]
     small = offset.astype(np.uint16) if lens.max(initial=0) < 1 << 16 else offset
-    order = np.argsort(small, kind="stable")
-    kind, start, end, offset = kind[order], start[order], end[order], offset[order]
+    order = np.argsort(small, kind="stable").astype(np.int32)
+    del small, end
+    kind, start, offset = kind[order], start[order], offset[order]
+    del order
     last = np.full(n + 1, -1, np.int32)
     rounds = np.flatnonzero(np.r_[True, offset[1:] != offset[:-1], True]) if len(offset) else np.zeros(1, int)
     first = np.zeros(n + 1, bool)
     first[begin] = True
     for lo, hi in zip(rounds[:-1], rounds[1:]):
-        k, s, e = kind[lo:hi], start[lo:hi], end[lo:hi]
+        k, s = kind[lo:hi], start[lo:hi]
+        e = s + size[k]
         good = first[s]
         check = np.flatnonzero(~good & (last[s] >= 0))
         if len(check):
@@ -247,20 +251,20 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def add(batches):
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            held = np.cumsum([len(t or "") for t in text])
+            column = batch.column(batch.schema.get_field_index("text"))
+            held = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             # rows in parts of bounded text
-            cuts = np.flatnonzero(np.diff(held // BLOCK_BYTES)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(text)]):
-                part = text[lo:hi]
+            cuts = np.flatnonzero(np.diff(held // BLOCK)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                part = column.slice(lo, hi - lo).to_pylist()
                 ids, sizes = encode_batch(part, m)
                 ends = np.r_[0, np.cumsum(sizes)]
                 whole = ids.tolist()
                 right = [decode(whole[a:b], m) == (t or "").replace(MARK, " ")
                          for t, a, b in zip(part, ends, ends[1:])]
-                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(lo, hi - lo).columns, pa.array(sizes, pa.int64()), column, pa.array(right)],
+                    [*batch.slice(lo, hi - lo).columns, pa.array(sizes, pa.int64()), listed, pa.array(right)],
                     names=[*batch.schema.names, *added])
 
     return source.mapInArrow(add, schema)
