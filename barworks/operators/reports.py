@@ -103,12 +103,17 @@ def error_pattern(error_type: str | Column, message: str | Column) -> Column:
 
 def error_patterns(log: DataFrame, top: int = TOP_PATTERNS) -> DataFrame:
     """Count, first / last seen and up to three example messages per
-    pattern; the ``top`` patterns by count (ties: earliest first seen)."""
+    pattern; the ``top`` patterns by count (ties: earliest first seen).
+
+    Those few rows are kept in a checkpoint, as two joins use them and each would
+    read all messages again to find them."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(log.sparkSession)
     keyed = log.withColumn("pattern", error_pattern("error_type", "message"))
     agg = keyed.groupBy("pattern").agg(F.count(F.lit(1)).alias("count"),
                                        F.min("timestamp").alias("first_seen"),
                                        F.max("timestamp").alias("last_seen"))
-    best = agg.orderBy(F.col("count").desc(), F.col("first_seen"), F.col("pattern")).limit(top)
+    best = agg.orderBy(F.col("count").desc(), F.col("first_seen"), F.col("pattern")).limit(top).checkpoint()
     ex = first_n(keyed.join(best.select("pattern"), "pattern", "left_semi"), ["pattern"],
                  [F.col("timestamp"), F.col("message")], EXAMPLES_KEPT)
     examples = ex.groupBy("pattern").agg(F.sort_array(F.collect_list(

@@ -42,13 +42,15 @@ def _limit_sql(category: str = "category") -> str:
     return f"CASE {category} {cases} ELSE {DEFAULT_LIMIT}D END"
 
 
-def tick_results(ticks: DataFrame, as_of: Column) -> DataFrame:
+def tick_results(ticks: DataFrame, as_of: Column, volumes: DataFrame | None = None) -> DataFrame:
     """Per record the array ``results`` of all checks, gates applied
     (declared as expression text; ``as_of`` is materialised as a column first
-    because subqueries may not sit inside the array filter)."""
+    because subqueries may not sit inside the array filter).  ``volumes`` (symbol,
+    volume): where the symbol averages come from, when that is cheaper to read
+    than the quotes with all that was joined to them."""
     t = flatten_ticks(ticks).withColumn("_as_of", as_of)
     if "avg_volume" not in t.columns:
-        avg = t.groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
+        avg = (t if volumes is None else volumes).groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
         t = t.join(avg, "symbol", "left")
     full = ("open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL "
             "AND volume IS NOT NULL")                                                    # T3

@@ -59,7 +59,7 @@ _TR = "\nUNION ALL\n".join(
 
 def _results(spark, sf_dir):
     as_of = fx.event_day_as_of(spark, sf_dir).cast("timestamp_ntz")
-    return T.tick_results(fx.ticks(spark, sf_dir), as_of)
+    return T.tick_results(fx.ticks(spark, sf_dir), as_of, fx.tick_volumes(spark, sf_dir))
 
 
 @query("tick_issues", _TR, ("ticks",), doubles="value", extra=[("tb", _TB)])

@@ -122,6 +122,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "volume", "category", "previous_close")
 
 
+def tick_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbol and volume of every quote, from two columns of the events."""
+    e = table(spark, sf_dir, "events", "user_id", "props")
+    return e.select(F.concat(F.lit("S"), "user_id").alias("symbol"), (_k() * 100).alias("volume"))
+
+
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
     et = F.col("event_type")
