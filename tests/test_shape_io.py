@@ -255,3 +255,65 @@ def test_staging_is_cleaned_up(spark, tmp_dir):
     S.delete_where(spark, path, F.col("symbol") == "Z")
     after = {n for n in os.listdir(ck) if n.startswith("stage-")}
     assert after == before
+
+
+def test_catalogue_tables_take_rows(spark, tmp_dir):
+    from barworks.sources import schemas as Sc
+    for name in Sc.TABLES:
+        path, schema = os.path.join(tmp_dir, name), Sc.schema(name)
+        S.ensure_table(spark, path, schema)
+        assert S.read_table(spark, path, schema).count() == 0
+    path, schema = os.path.join(tmp_dir, "paper_trades"), Sc.schema("paper_trades")
+    stamp = F.lit("2024-01-02 10:00:00").cast("timestamp")
+    row = spark.createDataFrame([("t1", "s1", "A", "BUY", "3", 10.0)],
+                                "trade_id string, signal_id string, symbol string, action string, quantity string, entry_price double")
+    S.append_table(row.withColumn("date", F.to_date(stamp)), path, schema, stamp)
+    got = S.read_table(spark, path, schema).first()
+    assert got["quantity"] == 3 and got["created_at"] is not None and got["date"] == dt.date(2024, 1, 2)
+
+
+def test_intraday_names_and_times(spark):
+    df = spark.createDataFrame([("2024-01-02 09:15:00", 1.0), ("2024-01-02 09:16:00", 2.0), ("bad", 3.0)],
+                               "Datetime string, `Close RELIANCE.NS` double")
+    out = P.standardize(df, "RELIANCE.NS")
+    assert out.columns[1] == "close"
+    got = [r["date"] for r in out.orderBy("close").collect()]
+    assert got == [dt.datetime(2024, 1, 2, 9, 15), dt.datetime(2024, 1, 2, 9, 16), None]
+
+
+def test_daily_returns_of_real_symbols(spark):
+    from barworks.operators import views as Vw
+    rows = [("RELIANCE", dt.date(2024, 1, d), float(d), 1.0) for d in (1, 2, 3)]
+    bars = spark.createDataFrame(rows, "symbol string, date date, close double, volume double")
+    got = Vw.daily_returns(bars.withColumn("load_seq", F.lit(1)), F.lit("2024-01-03").cast("date")).collect()
+    assert len(got) == 3 and all(r["sector"] is None for r in got)
+
+
+def test_cross_source_fill_keeps_rows(spark):
+    from barworks.operators import clean as C
+    d = dt.date(2024, 1, 1)
+    schema = "symbol string, date date, open double, high double, low double, close double, load_seq long"
+    mine = spark.createDataFrame([("A", d, None, 2.0, 1.0, 1.5, 1)], schema)
+    other = spark.createDataFrame([("A", d, 7.0, 2.0, 1.0, 1.5, 1), ("A", d, 9.0, 2.0, 1.0, 1.5, 2)], schema)
+    got = C.cross_source_fill(mine, other).collect()
+    assert len(got) == 1 and got[0]["open"] == 7.0
+
+
+def test_clean_fills_every_column(spark):
+    from barworks.operators import clean as C
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, adj_close double, load_seq long"
+    rows = [("A", dt.date(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 10.0, v, d) for d, v in ((1, None), (2, 4.0), (3, None))]
+    got = [r["adj_close"] for r in C.clean_bars(spark.createDataFrame(rows, schema)).orderBy("date").collect()]
+    assert got == [4.0, 4.0, 4.0]
+
+
+def test_tiered_fetch_tells_equal_source_names_apart(spark):
+    from barworks.operators import reconcile as R
+    schema = "symbol string, source string, date date, open double, high double, low double, close double, volume double, load_seq long"
+    row = lambda c, q: [("A", "x", dt.date(2024, 1, d), c, c + 1, c - 1, c, 10.0, q + d) for d in range(1, 4)]
+    a, b = spark.createDataFrame(row(10.0, 0), schema), spark.createDataFrame(row(20.0, 10), schema)
+    for strategy, close in (("preferred", 10.0), ("best_quality", 10.0), ("redundant", 10.0), ("primary_only", 10.0),
+                            ("secondary_only", 20.0)):
+        got = R.tiered_fetch(a, b, strategy=strategy).collect()
+        assert [r["close"] for r in got] == [close] * 3, strategy
+    assert not any(r["imputed"] for r in R.tiered_fetch(a, b, impute_missing=False).collect())
