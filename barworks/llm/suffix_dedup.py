@@ -228,7 +228,6 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
 
     ``text_column``: also give the kept bytes, as a binary column of that name.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def to_blocks(batches):
         schema = pa.schema([("block_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()),
@@ -245,8 +244,7 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
 
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         to_blocks, "block_id long, ids array<long>, lens binary, data binary, keys binary, counts binary, n_keys long")
-    # dealt by block once, so that later joins on the block move only the answers
-    blocks = cut(blocks.repartition(parts, "block_id"))
+    blocks = cut(blocks)
     answers, _ = global_counts(blocks, blocks.agg(F.sum("n_keys")).first()[0] or 0)
     answers = cut(answers)
 
@@ -254,15 +252,22 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
         return Pieces(unpack(data, np.uint8).tobytes(), unpack(lens, np.int64))
 
     def to_bucket(batches):
+        """Pieces for the suffix buckets; hashes of the windows of pieces whose core is too frequent for one."""
         schema = pa.schema([("core", pa.int64()), ("block_id", pa.int64()), ("lo", pa.int32()),
-                            ("open", pa.bool_()), ("piece", pa.binary())])
+                            ("open", pa.bool_()), ("piece", pa.binary()), ("keys", pa.binary()),
+                            ("counts", pa.binary())])
         for bid, lens, data, got in rows_of(batches):
             p = load(lens, data)
             _, open_, stands, much = p.judged(got, hot)
             send = np.flatnonzero((open_ | stands) & ~much)
             for i in range(0, len(send), 4096):
                 yield batch_of(schema, [(int(p.core[j].view(np.int64)), bid, int(p.lo[j]), bool(open_[j]),
-                                         p.text[p.lo[j]:p.hi[j] + SPAN].tobytes()) for j in send[i:i + 4096]])
+                                         p.text[p.lo[j]:p.hi[j] + SPAN].tobytes(), None, None)
+                                        for j in send[i:i + 4096]])
+            pick = np.flatnonzero((open_ | stands) & much)
+            if len(pick):
+                k, c = np.unique(p.hash.at(_starts(p, pick), SPAN, 3), return_counts=True)
+                yield batch_of(schema, [(None, bid, None, None, None, pack(k), pack(c.astype(np.uint32)))])
 
     def sort_bucket(table: pa.Table) -> pa.Table:
         schema = pa.schema([("block_id", pa.int64()), ("lo", pa.int32()), ("bits", pa.binary())])
@@ -284,30 +289,20 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
             flush()
         return pa.Table.from_batches([batch_of(schema, out)])
 
-    def to_windows(batches):
-        """Hashes of the windows of pieces whose core is too frequent for one task."""
-        schema = pa.schema([("block_id", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-        for bid, lens, data, got in rows_of(batches):
-            p = load(lens, data)
-            _, open_, stands, much = p.judged(got, hot)
-            pick = np.flatnonzero((open_ | stands) & much)
-            if len(pick):
-                k, c = np.unique(p.hash.at(_starts(p, pick), SPAN, 3), return_counts=True)
-                yield batch_of(schema, [(bid, pack(k), pack(c.astype(np.uint32)))])
-
     def _starts(p, pick):
         n = p.hi[pick] - p.lo[pick] + 1
         return np.repeat(p.lo[pick] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
 
     with_counts = blocks.join(answers, "block_id", "left")
-    need = with_counts.select("block_id", "lens", "data", "answers")
-    sent = cut(need.mapInArrow(to_bucket, "core long, block_id long, lo int, open boolean, piece binary"))
+    sent = cut(with_counts.select("block_id", "lens", "data", "answers").mapInArrow(
+        to_bucket, "core long, block_id long, lo int, open boolean, piece binary, keys binary, counts binary"))
+    windows = sent.where("keys is not null").select("block_id", "keys", "counts")
+    single, _ = global_counts(windows, 1 << 20)
+    sent = sent.where("piece is not null").select("core", "block_id", "lo", "open", "piece")
     tasks = max(1, -(-sent.count() // PIECES_PER_TASK))
     found = (sent.withColumn("bucket", F.pmod(F.xxhash64("core"), F.lit(tasks)))
              .groupBy("bucket").applyInArrow(sort_bucket, "block_id long, lo int, bits binary")
              .groupBy("block_id").agg(F.collect_list(F.struct("lo", "bits")).alias("found")))
-    windows = cut(need.mapInArrow(to_windows, "block_id long, keys binary, counts binary"))
-    single, _ = global_counts(windows, 1 << 20)
     single = single.withColumnRenamed("answers", "single")
 
     def finish(batches):
