@@ -8,8 +8,9 @@ result is the expected grade and the tail probability ``P(grade >= CUT)``, which
 selection compares with ``LEAST``.
 
 The model is fitted on a bounded sample of labelled documents (``SAMPLE`` rows with
-the smallest hash of their id), with an L1 penalty, so that words without bearing get
-no weight and long texts don't add up noise.  All documents are scored, whole.
+the smallest hash of their id).  An L1 penalty chooses the features, so that words
+without bearing get no weight and long texts don't add up noise; the weights of the
+chosen ones are then fitted without it.  All documents are scored, whole.
 
 Defined cases: null text counts as empty; label rows with a null in any column are
 ignored, of several rows for an id the lowest grade counts; when the sample holds
@@ -32,12 +33,15 @@ from pyspark.sql import types as T
 from ._util import batch_of, chunks
 
 SAMPLE = 12_000
-BITS = 18
+BITS = 20
 CUT, LEAST = 2, 0.5
 GRADES = 3
-L1, ROUNDS, RATE = 4e-3, 400, 0.3
+#: The L1 penalty is this over the root of the number of sampled texts.
+PENALTY, ROUNDS, RATE = 0.04, 400, 0.3
 #: A feature of fewer sampled texts has no weight.
 LEAST_TEXTS = 5
+#: And one that the penalty leaves less weight.
+LEAST_WEIGHT = 0.1
 _TOKENS = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 
@@ -93,24 +97,29 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
     t = np.log(share / (1 - share)) + 1e-3 * np.arange(GRADES - 1)
     gt = np.full(GRADES - 1, 1e-8)
     rows_of_grade = [np.flatnonzero(y == k) for k in range(GRADES)]
-    for _ in range(ROUNDS):
-        s = np.bincount(row, weights=w[col], minlength=n)
-        edge = np.concatenate([[-np.inf], t, [np.inf]])
-        hi, lo = _sigmoid(edge[y + 1] - s), _sigmoid(edge[y] - s)
-        p = np.maximum(hi - lo, 1e-9)
-        ds = (1 - hi - lo) / n
-        dt = np.zeros(GRADES - 1)
-        for k in range(GRADES - 1):
-            a, b = rows_of_grade[k], rows_of_grade[k + 1]
-            dt[k] = ((-hi * (1 - hi) / p)[a].sum() + (lo * (1 - lo) / p)[b].sum()) / n
-        g = np.bincount(col, weights=ds[row], minlength=len(used))
-        gw += g * g
-        gt += dt * dt
-        rate = RATE / np.sqrt(gw)
-        w = w - rate * g
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * L1, 0)
-        t = np.maximum.accumulate(t - RATE / np.sqrt(gt) * dt)
-    weights = np.zeros(1 << BITS)
+    for penalty in (PENALTY / np.sqrt(n), 0.0):  # the penalty chooses the features, whose weights are then fitted without it
+        for _ in range(ROUNDS):
+            s = np.bincount(row, weights=w[col], minlength=n)
+            edge = np.concatenate([[-np.inf], t, [np.inf]])
+            hi, lo = _sigmoid(edge[y + 1] - s), _sigmoid(edge[y] - s)
+            p = np.maximum(hi - lo, 1e-9)
+            ds = (1 - hi - lo) / n
+            dt = np.zeros(GRADES - 1)
+            for k in range(GRADES - 1):
+                a, b = rows_of_grade[k], rows_of_grade[k + 1]
+                dt[k] = ((-hi * (1 - hi) / p)[a].sum() + (lo * (1 - lo) / p)[b].sum()) / n
+            g = np.bincount(col, weights=ds[row], minlength=len(used))
+            gw += g * g
+            gt += dt * dt
+            rate = RATE / np.sqrt(gw)
+            w = w - rate * g
+            w = np.sign(w) * np.maximum(np.abs(w) - rate * penalty, 0)
+            t = np.maximum.accumulate(t - RATE / np.sqrt(gt) * dt)
+        chosen = np.abs(w) > LEAST_WEIGHT
+        have = chosen[col]
+        row, col, used, w = row[have], (np.cumsum(chosen) - 1)[col[have]], used[chosen], w[chosen]
+        gw = np.full(len(used), 1e-8)
+    weights = np.zeros(1 << BITS, np.float32)
     weights[used] = w
     return weights, t
 

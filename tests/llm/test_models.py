@@ -25,7 +25,7 @@ def labels(spark, rows):
 def test_classifier_finds_the_words_that_matter(spark):
     random.seed(1)
     rows, marks = [], []
-    for i in range(600):
+    for i in range(2300):
         words = [f"w{random.randint(0, 300)}" for _ in range(60)]
         kind = i % 3
         if kind == 0:
@@ -34,9 +34,9 @@ def test_classifier_finds_the_words_that_matter(spark):
             words = [w + "***" for w in words]
         rows.append((i, " ".join(words)))
         marks.append((i, int(kind != 1), int(kind == 0)))
-    got = C.graded(frame(spark, rows), labels(spark, marks[:400])).collect()
+    got = C.graded(frame(spark, rows), labels(spark, marks[:2000])).collect()
     by = {r["doc_id"]: r for r in got}
-    held = range(400, 600)
+    held = range(2000, 2300)
     assert all(by[i]["kept"] == (i % 3 == 2) for i in held)
     assert all(0 <= r["expected_grade"] <= 2 and 0 <= r["tail"] <= 1 and r["kept"] == (r["tail"] >= C.LEAST) for r in got)
     mean = [np.mean([by[i]["expected_grade"] for i in held if i % 3 == k]) for k in range(3)]
