@@ -7,18 +7,20 @@ Keys of a set.  Two sets that link share a key:
 * light sets (size up to a boundary): every subset of the fixed size that a partner
   of a feasible light size forces them to share;
 * heavy sets, and light ones that a heavy set can reach: the inverted-list keys, that
-  is, the ``n - ceil(0.85 n) + 1`` first shingles, rare ones first (by a fixed-size
-  table of hashed counts over the whole corpus, then by hash).
+  is, the ``n - ceil(0.85 n) + LISTS`` first shingles, rare ones first (by a fixed-size
+  table of hashed counts over the whole corpus, then by hash), of which a linked set
+  shares ``LISTS`` or more.
 The boundary is the largest size up to which enumerating subsets costs no more than
 scanning lists, summed over the sizes as counted in the corpus.
 
-Linking without pairs inside groups.  Equal sets are one class.  Keys that one class
-alone holds are dropped (``global_counts``).  Then rounds: every class meets at most
-one partner, the most typical member of another component in its lists that shares
-most keys with it; the pair is verified and the components grow.  When a round links
-nothing more (or after ``ROUNDS``), all pairs that share a key, pass the length and
-positional filters and still lie in different components are verified, so no link
-between components is lost; pairs inside a component need no check.
+Linking without pairs inside groups.  Equal sets are one class.  Keys that one
+document alone holds are dropped (``global_counts``), and documents left with too few.
+Then rounds: every class meets at most one partner, the most typical member of another
+component in its lists that shares most keys with it; the pair is verified and the
+components grow.  When a round links nothing more (or after ``ROUNDS``), all pairs in
+different components that pass the filters are verified, so no link between components
+is lost; pairs inside a component need no check.  The filters: sizes, and for list keys
+the number of shared ones (compared by 32 bits).  A pair comes out of one list only.
 
 Defined cases: null or blank texts have the empty set, n_shingles 0 and are their own
 component; rows with the same id are one document that has the links of all its
@@ -42,9 +44,15 @@ from ._util import (anew, answer_arrays, batch_of, block_number, chunks, compone
 from .lm_scoring import tokenised
 
 WORDS, PERCENT = 4, 85
-ROUNDS = 3
+ROUNDS = 2
+#: List keys of a document that are carried along to its lists at most.
+CARRIED = 96
+#: Characters of a block; bits of the table that spares documents without candidates.
+BLOCK, SPARE_BITS = 2 << 20, 24
+#: List keys that linked sets share at least (fewer if the sets are smaller).
+LISTS = 8
 #: Bits of the table of hashed counts, its slices, the largest size for subsets, the cost of scanning one list.
-TABLE_BITS, SLICES, MOST_LIGHT, SCAN = 20, 64, 24, 4
+TABLE_BITS, SLICES, MOST_LIGHT, SCAN = 22, 64, 24, 4
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
@@ -96,13 +104,13 @@ def boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
 
 
 def keys_of(s: np.ndarray, freq: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Keys, positions (-1 for subsets) and how common the set's shingles are."""
+    """Keys, their positions (-1 for subsets) and how common the set's shingles are."""
     n = len(s)
     f = freq[s >> np.uint64(64 - TABLE_BITS)]
     order = np.lexsort((s, f))
     keys, at = [], []
     if n > light or 100 * n >= percent * (light + 1):
-        head = s[order[:n - need(n, percent) + 1]]
+        head = s[order[:n - need(n, percent) + min(LISTS, need(n, percent))]]
         keys.append(head)
         at.append(np.arange(len(head)))
     if n <= light:
@@ -119,25 +127,26 @@ def corpus_table(docs: DataFrame, words: int) -> tuple[np.ndarray, dict[int, int
 
     def count(batches):
         schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
-        table, sizes = np.zeros(1 << TABLE_BITS, np.int64), np.zeros(width, np.int64)
-        for rows in chunks(batches):
+        table, sizes = np.zeros(1 << TABLE_BITS, np.int32), np.zeros(width, np.int32)
+        for rows in chunks(batches, limit=BLOCK):
             sets = shingle_sets([t for _, t in rows], words)
-            table += np.bincount((np.concatenate(sets) >> np.uint64(64 - TABLE_BITS)).astype(np.int64),
-                                 minlength=len(table))
+            cell, times = np.unique((np.concatenate(sets) >> np.uint64(64 - TABLE_BITS)).astype(np.int32),
+                                    return_counts=True)
+            table[cell] += times
             sizes += np.bincount([min(len(s), MOST_LIGHT + 1) for s in sets], minlength=width)
         if sizes.any():
             yield batch_of(schema, [(i, pack(table[i * width:(i + 1) * width])) for i in range(SLICES)]
                            + [(SLICES, pack(sizes))])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(unpack(b, np.int64) for b in table["counts"].to_pylist())
-        return pa.table({"slice": table["slice"][:1].cast(pa.int32()), "counts": pa.array([pack(total)], pa.binary())})
+        total = sum(unpack(b, np.int32).astype(np.int64) for b in table["counts"].to_pylist())
+        return pa.table({"slice": table["slice"][:1].cast(pa.int32()), "counts": pa.array([pack(np.minimum(total, 2**31 - 1).astype(np.int32))], pa.binary())})
 
     shape = "slice int, counts binary"
-    got = {r["slice"]: unpack(r["counts"], np.int64) for r in
+    got = {r["slice"]: unpack(r["counts"], np.int32) for r in
            docs.mapInArrow(count, shape).groupBy("slice").applyInArrow(add, shape).collect()}
     if not got:
-        return np.zeros(1 << TABLE_BITS, np.int64), {}
+        return np.zeros(1 << TABLE_BITS, np.int32), {}
     sizes = {n: int(got[SLICES][n]) for n in range(1, MOST_LIGHT + 1)}
     return np.concatenate([got[i] for i in range(SLICES)]), sizes
 
@@ -147,13 +156,13 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table, sizes = corpus_table(docs, words)
     light = boundary(sizes, percent)
-    shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.int32))  # TABLE_BITS fix its size
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # TABLE_BITS fix its size
 
     def to_blocks(batches):
         schema = pa.schema([("block_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()),
                             ("prints", pa.binary()), ("commons", pa.binary()), ("n_keys", pa.binary()),
                             ("keys", pa.binary()), ("spots", pa.binary()), ("total", pa.int64())])
-        for b, rows in enumerate(chunks(batches)):
+        for b, rows in enumerate(chunks(batches, limit=BLOCK)):
             seen, prints, commons, n_keys, keys, spots, sizes = set(), [], [], [], [], [], []
             for (doc_id, _), s in zip(rows, shingle_sets([t for _, t in rows], words)):
                 sizes.append(len(s))
@@ -198,13 +207,19 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             totals, _ = answer_arrays(answers)
             if not len(k):
                 continue
-            n_keys = unpack(n_keys, np.int32)
+            n_keys, sizes, spots = unpack(n_keys, np.int32), unpack(sizes, np.int32), unpack(spots, np.int32)
             row = np.repeat(np.arange(len(n_keys)), n_keys)
-            use = np.flatnonzero(totals[np.searchsorted(np.unique(k), k)] > 1)
-            row, spots = row[use], unpack(spots, np.int32)[use]
+            live = totals[np.searchsorted(np.unique(k), k)] > 1
+            least = np.minimum(LISTS, -(-percent * sizes // 100))
+            lists = np.bincount(row[live & (spots >= 0)], minlength=len(sizes)) >= np.maximum(least, 1)
+            subsets = np.bincount(row[live & (spots < 0)], minlength=len(sizes)) > 0
+            # two linked sets meet in one of these; the last list keys only told whether to drop the set
+            early = spots <= (sizes - -(-percent * sizes // 100))[row]
+            use = np.flatnonzero(live & (lists | subsets)[row] & early)
+            row, spots = row[use], spots[use]
             who = np.array([-1 if i is None else i for i in ids], np.int64)
             out = pa.RecordBatch.from_arrays(
-                [pa.array(k[use].view(np.int64)), pa.array(who[row]), pa.array(unpack(sizes, np.int32)[row]),
+                [pa.array(k[use].view(np.int64)), pa.array(who[row]), pa.array(sizes[row]),
                  pa.array(spots), pa.array(unpack(commons, np.float32)[row])], schema=schema)
             for i in range(0, len(use), 1 << 16):
                 yield out.slice(i, 1 << 16)
@@ -228,57 +243,94 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     postings = cut(postings.join(anew(postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")), "key")
                    .drop("c"))
 
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - SPARE_BITS).cast("int")
+
+    def sieve(ids: DataFrame):
+        """A bit table of fixed size with the cells of ``ids``: what it lets through is joined
+        exactly afterwards, what it stops needn't be moved."""
+
+        def to_bits(table: pa.Table) -> pa.Table:
+            bits = np.zeros(1 << 15, bool)
+            bits[table["cell"].to_numpy() & 0x7FFF] = True
+            return pa.table({"slice": table["slice"][:1],
+                             "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+        bits = np.zeros((1 << SPARE_BITS) // 8, np.uint8)
+        for r in (ids.select(cell.alias("cell")).distinct().withColumn("slice", F.shiftright("cell", 15))
+                  .groupBy("slice").applyInArrow(to_bits, "slice int, bits binary").collect()):
+            bits[r["slice"] << 12:(r["slice"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+        shared_bits = docs.sparkSession.sparkContext.broadcast(bits)  # SPARE_BITS fix its size
+
+        def let_through(batch: pa.RecordBatch) -> pa.RecordBatch:
+            at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            return batch.filter(pa.array((shared_bits.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+
+        return let_through
+
     # the full sets of the documents that still have a key in common with another
     wanted = postings.select("doc_id").distinct()
+    some = sieve(wanted)
 
     def to_sets(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("set", pa.binary())])
-        for part in chunks(batches):
-            yield batch_of(schema, [(i, s.tobytes()) for (i, _), s in
-                                    zip(part, shingle_sets([t for _, t in part], words))])
+        for batch in batches:
+            for part in chunks([some(batch)], limit=BLOCK):
+                yield batch_of(schema, [(r[0], pack(s)) for r, s in
+                                        zip(part, shingle_sets([r[1] for r in part], words))])
 
-    sets = cut(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-               .mapInArrow(to_sets, "doc_id long, set binary"))
+    sets = cut(docs.where("doc_id is not null").select("doc_id", "text", cell).mapInArrow(
+        to_sets, "doc_id long, set binary").join(wanted, "doc_id", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The linked ones of distinct ``pairs`` (a, b)."""
+        ends = sieve(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
+
+        def pick(batches):
+            for batch in batches:
+                yield ends(batch).select(["doc_id", "set"])
 
         def compare(batches):
             schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
             for batch in batches:
                 out = []
                 for a, b, x, y in rows_of([batch]):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    x, y = unpack(x, np.uint64), unpack(y, np.uint64)
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     if both and 100 * both >= percent * (len(x) + len(y) - both):
                         out.append((a, b))
                 yield batch_of(schema, out)
 
-        x = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x"))
-        y = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+        used = sets.select("doc_id", "set", cell).mapInArrow(pick, "doc_id long, set binary")
+        return (pairs.join(used.withColumnsRenamed({"doc_id": "a", "set": "x"}), "a")
+                .join(used.withColumnsRenamed({"doc_id": "b", "set": "y"}), "b").select("a", "b", "x", "y")
+                .mapInArrow(compare, "a long, b long"))
+
+    def fits(n: str, m: str) -> F.Column:
+        """Length filter."""
+        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+    def bound(n: str, m: str) -> F.Column:
+        """Postings' list keys that linked sets of these sizes share at least.
 
-    def feasible(n: str, m: str, i: str, j: str) -> F.Column:
-        """Length filter, and for list keys the positional filter."""
-        least = F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
-        most = F.least(F.col(n) - F.greatest(F.col(i), F.lit(0)), F.col(m) - F.greatest(F.col(j), F.lit(0)))
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (most >= least)
+        All common shingles up to the smaller of the two last of these keys are shared ones;
+        of the others there are at most as many as one set has after them."""
+        low = [F.ceil(percent * F.col(c) / 100) for c in (n, m)]
+        shared = F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
+        return F.greatest(F.lit(1), shared - F.greatest(*low) + 1)
 
     links = tried = None
     labelled = postings.withColumn("component", F.col("doc_id"))
     for _ in range(ROUNDS):
-        # the most typical member of a list, and the most typical one of another component
-        each = labelled.groupBy("key", "component").agg(F.max(F.struct("common", "doc_id", "n", "at")).alias("top"))
-        first = each.groupBy("key").agg(F.max(F.struct("top", "component")).alias("t0"))
-        tops = (each.join(first, "key").where(F.col("component") != F.col("t0.component"))
-                .groupBy("key", "t0").agg(F.max("top").alias("t1"))
-                .select("key", F.col("t0.component").alias("c0"), F.col("t0.top").alias("t0"), "t1"))
-        met = labelled.join(anew(tops), "key").withColumn(
-            "top", F.when(F.col("component") == F.col("c0"), F.col("t1")).otherwise(F.col("t0")))
-        met = met.select("doc_id", "n", "at", F.col("top.doc_id").alias("with"), F.col("top.n").alias("m"),
-                         F.col("top.at").alias("j")).where(feasible("n", "m", "at", "j"))
-        best = met.groupBy("doc_id", "with").agg(F.count("*").alias("c")).groupBy("doc_id").agg(
-            F.max(F.struct("c", "with")).alias("best"))
+        # the most typical member of each list, for the members of other components
+        tops = (labelled.groupBy("key").agg(F.max(F.struct("common", "doc_id", "n", "component")).alias("top"),
+                                            F.min("component").alias("lo"), F.max("component").alias("hi"))
+                .where("lo <> hi").drop("lo", "hi"))
+        met = (labelled.join(anew(tops), "key").where(F.col("component") != F.col("top.component"))
+               .select("doc_id", "n", "at", F.col("top.doc_id").alias("with"), F.col("top.n").alias("m"))
+               .where(fits("n", "m")))
+        # keys led by another member aren't counted here, so a pair is tried from a few shared keys on
+        best = (met.groupBy("doc_id", "with").agg(F.count("*").alias("c"), F.min("at").alias("at"))
+                .where("at < 0 or c > 3").groupBy("doc_id").agg(F.max(F.struct("c", "with")).alias("best")))
         pairs = best.select(F.least("doc_id", "best.with").alias("a"), F.greatest("doc_id", "best.with").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -289,17 +341,30 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             break
         links = new if links is None else cut(links.unionByName(new))
         labels = components(links)
-        labelled = cut(postings.join(anew(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left")
-                       .withColumn("component", F.coalesce("component", "doc_id")))
+        labelled = (postings.join(anew(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left")
+                    .withColumn("component", F.coalesce("component", "doc_id")))
+        # lists within one component have nothing more to tell
+        mixed = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .where("lo <> hi").select("key"))
+        labelled = cut(labelled.join(anew(mixed), "key"))
+        postings = labelled.drop("component")
     # all that is left: pairs in a common list whose components differ
-    mixed = labelled.join(anew(labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                               .where("lo <> hi").select("key")), "key")
-    mixed = cut(mixed)
-    x = mixed.select("key", *(F.col(c).alias(c + "_a") for c in ("doc_id", "n", "at", "component")))
-    y = mixed.select("key", *(F.col(c).alias(c + "_b") for c in ("doc_id", "n", "at", "component")))
-    rest = (x.join(y, "key").where("doc_id_a < doc_id_b and component_a <> component_b")
-            .where(feasible("n_a", "n_b", "at_a", "at_b"))
-            .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
+    # with a document's list keys at hand, a pair comes out of one list only, that of its first shared
+    # key, and only if it shares enough of them; long lists aren't carried, their pairs are counted
+    own = (labelled.where("at >= 0").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("own"))
+           .where(F.size("own") <= CARRIED)
+           .select("doc_id", F.transform("own", lambda x: F.shiftright(x["key"], 32).cast("int")).alias("own")))
+    mixed = labelled.drop("common").join(anew(own), "doc_id", "left")
+    x, y = (mixed.select("key", *(F.col(c).alias(c + side) for c in ("doc_id", "n", "at", "component", "own")))
+            for side in ("_a", "_b"))
+    both = F.array_intersect("own_a", "own_b")
+    once = (F.get(both, 0) == F.shiftright("key", 32).cast("int")) & (F.size(both) >= bound("n_a", "n_b"))
+    rest = (x.join(y, "key").where("doc_id_a < doc_id_b and component_a <> component_b").where(fits("n_a", "n_b"))
+            .where((F.col("at_a") < 0) | F.col("own_a").isNull() | F.col("own_b").isNull() | once)
+            .groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"), "n_a", "n_b")
+            .agg(F.count("*").alias("c"), F.min("at_a").alias("at"),
+                 F.count_if(F.col("own_a").isNotNull() & F.col("own_b").isNotNull()).alias("sure"))
+            .where((F.col("at") < 0) | (F.col("sure") > 0) | (F.col("c") >= bound("n_a", "n_b"))).select("a", "b"))
     if tried is not None:
         rest = rest.join(tried, ["a", "b"], "left_anti")
     new = verified(cut(rest))
