@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Bytes of text whose segments are indexed together.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 _SEGMENTS = re.compile(" *[^ ]+| +").findall
 _NEVER = np.int64(1) << 40
 
