@@ -1,8 +1,11 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, a template is a short license statement; both are sets
-of words.  A template matches a block when the block holds at least ``threshold`` of
-its words.  The join is exact:
+A block is a line of a text, or a window of its words whatever the line ends (twice
+as long as the longest template, from every so many words, so that a statement wrapped
+over lines lies inside one); a template is a short license statement; both are sets of
+words.  A template matches a block when the block holds at least ``threshold`` of its
+words; n_matches counts the lines of each template, and 1 for one that only windows
+hold.  The join is exact:
 
 * tokens are ordered by their frequency over all documents, rarest first;
 * prefix filter: a block that holds ``need = ceil(threshold * |T|)`` words of T holds
@@ -10,7 +13,8 @@ its words.  The join is exact:
 * length filter: the block has at least ``need`` distinct words;
 * positional filter: when the rarest common word is at position i of T (from 0), at
   most ``|T| - i`` words are common;
-* what is left is compared as sets.
+* what is left is compared as sets;
+* the whole text goes through the same filters first, as it holds what its blocks hold.
 
 The templates are a fixed, small table (a parameter), so they travel as literals in
 the plan; the documents are scanned twice (frequencies, join) and never shuffled.
@@ -63,9 +67,13 @@ def words_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, _UP, _LOW), _GAP, " "))
 
 
+def words_of_template(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
 def _token_set(text: str) -> list[str]:
     """Distinct words of an ASCII template."""
-    return sorted(set("".join(c if c.isalnum() else " " for c in text.lower()).split()))
+    return sorted(set(words_of_template(text)))
 
 
 def _ored(parts: list[Column]) -> Column:
@@ -87,11 +95,11 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, base: d
     freq = token_frequencies(docs, sorted({w for _, ts in sets for w in ts}))
     text = F.coalesce(F.col("text"), F.lit(""))
 
-    def block_hits(line: Column) -> Column:
-        """Templates that the block matches: array of (label, containment)."""
-        own = F.array_distinct(F.split(line, " "))
+    def block_hits(words: Column) -> Column:
+        """Templates that the block matches: array of (template, label, containment)."""
+        own = F.array_distinct(words)
         found = []
-        for label, tokens in sets:
+        for k, (label, tokens) in enumerate(sets):
             order = sorted(tokens, key=lambda w: (freq[w], w))
             n, need = len(order), math.ceil(threshold * len(order) - 1e-9)
             common = F.size(F.array_intersect(own, F.array(*map(F.lit, order))))
@@ -100,7 +108,8 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, base: d
             bound = reduce(lambda e, iw: F.when(F.array_contains(own, iw[1]), n - iw[0]).otherwise(e),
                            reversed(list(enumerate(prefix))), F.lit(0))
             found.append(F.when((F.size(own) >= need) & (bound >= need),
-                                F.when(common >= need, F.struct(F.lit(label).alias("label"),
+                                F.when(common >= need, F.struct(F.lit(k).alias("template"),
+                                                                F.lit(label).alias("label"),
                                                                 (common / n).alias("part")))))
         return F.filter(F.array(*found), lambda x: x.isNotNull())
 
@@ -108,7 +117,12 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, base: d
                    [:len(ts) - math.ceil(threshold * len(ts) - 1e-9) + 1]})
     has_rare = lambda line: _ored([F.concat(F.lit(" "), line, F.lit(" ")).contains(f" {w} ") for w in rare])
     lines = F.transform(F.split(text, "\n"), words_line)
-    hits = F.flatten(F.transform(F.filter(lines, has_rare), block_hits))
+    hits = F.flatten(F.transform(F.filter(lines, has_rare), lambda x: block_hits(F.split(x, " "))))
+    step = max((len(words_of_template(t)) for t in templates), default=1)
+    all_words = F.split(F.col("words"), " ")
+    windows = F.transform(F.sequence(F.lit(1), F.size(all_words), F.lit(step)),
+                          lambda i: F.slice(all_words, i, 2 * step))
+    wide = F.flatten(F.transform(windows, block_hits))
 
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                      words_line(text).alias("words"))
@@ -126,15 +140,20 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, base: d
         labels.append(F.when(there, F.lit(label)))
     n = F.length("words") - F.length(F.replace(F.col("words"), F.lit(" "), F.lit(""))) + 1
     df = df.withColumn("n_words", F.when(F.col("words") == "", 0).otherwise(n).cast("long"))
-    df = df.withColumn("hits", F.when(has_rare(F.col("words")), hits))
+    df = df.withColumn("whole", F.when(has_rare(F.col("words")), block_hits(all_words)))
+    there = F.size("whole") > 0
+    df = df.withColumn("hits", F.when(there, hits)).withColumn("wide", F.when(there, wide))
     base_labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*labels))))
-    own_labels = F.coalesce(F.transform("hits", lambda x: x["label"]), F.array().cast("array<string>"))
+    either = F.concat("hits", "wide")
+    own_labels = F.coalesce(F.transform(either, lambda x: x["label"]), F.array().cast("array<string>"))
     score = F.when(F.size(base_labels) > 0, F.lit(1.0)).otherwise(
-        F.coalesce(F.array_max(F.transform("hits", lambda x: x["part"])), F.lit(0.0)))
+        F.coalesce(F.array_max(F.transform(either, lambda x: x["part"])), F.lit(0.0)))
+    # templates that no line holds
+    wrapped = F.array_except(F.transform("wide", lambda x: x["template"]), F.transform("hits", lambda x: x["template"]))
     return df.select(
         "doc_id", "n_words", reduce(lambda a, b: a + b, places).cast("long").alias("n_base"),
         F.least(*firsts).cast("long").alias("first_word"),
         F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_join(base_labels, ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat(base_labels, own_labels))), ",").alias("labels"),
-        score.cast("double").alias("score"), F.coalesce(F.size("hits"), F.lit(0)).alias("n_matches"))
+        score.cast("double").alias("score"), F.coalesce(F.size("hits") + F.size(wrapped), F.lit(0)).alias("n_matches"))

@@ -137,3 +137,22 @@ def test_license_join_loses_nothing(spark):
 @pytest.mark.parametrize("run", [lambda d: T.token_counts(d, Q.vocabulary(Q.WORD_BPE)), X.exact_groups, L.license_scan])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).collect() == []
+
+
+WRAPPED = [("# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software", "mit"),
+           ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+           ("Redistribution and use\nin source and binary\nforms, with or without\nmodification, are\npermitted", "bsd"),
+           ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", "mpl-2.0")]
+
+
+@pytest.mark.parametrize("before", [0, 1, 11, 16, 17, 18, 33, 34, 35, 100])
+def test_wrapped_statements(spark, before):
+    """A statement over several lines is found wherever it starts, and counts once."""
+    fill = "\n".join(f"w{i}" for i in range(before))
+    rows = [(i, f"{fill}\n{text}\n{fill}") for i, (text, _) in enumerate(WRAPPED)]
+    apart = [(i + 10, f"\n{fill} {fill} {fill}\n".join(text.split())) for i, (text, _) in enumerate(WRAPPED)]
+    got = {r["doc_id"]: r for r in L.license_scan(frame(spark, rows + (apart if before > 99 else []))).collect()}
+    for i, (_, label) in enumerate(WRAPPED):
+        assert (got[i]["labels"], got[i]["score"], got[i]["n_matches"]) == (label, 1.0, 1)
+        if before > 99:  # words far from each other are no statement
+            assert (got[i + 10]["labels"], got[i + 10]["score"], got[i + 10]["n_matches"]) == ("", 0.0, 0)
