@@ -27,6 +27,9 @@ from barworks.session import checkpoint_dir
 #: The classifier, the similarity join and the retrieval can't be written as SQL.
 ORACLE_SQL = None
 
+#: Near copies share this percentage of their shingles of so many words (op6 has its own values).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _marked(docs: DataFrame) -> DataFrame:
     """doc_id, text and the whole row, so that added columns can't clash with the row's."""
@@ -47,7 +50,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_join.similar_components(docs)
+    found = jaccard_join.similar_components(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 

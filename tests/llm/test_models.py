@@ -205,6 +205,18 @@ def test_pipeline(spark):
     assert got == brute_pipeline(spark, SF)
 
 
+def test_near_copies_of_five_words(spark):
+    """The stage's rule is 80 % of five-word shingles: two words in a hundred replaced are 0.811."""
+    random.seed(3)
+    texts = [[f"w{random.randrange(10 ** 6)}" for _ in range(100)] for _ in range(20)]
+    near = [[*w[:30], "x", *w[31:70], "y", *w[71:]] for w in texts]
+    far = [[*w[:20], "x", *w[21:50], "y", *w[51:80], "z", *w[81:]] for w in texts]
+    rows = [(100 * k + i, " ".join(w)) for k, part in enumerate((texts, near, far)) for i, w in enumerate(part)]
+    got = {r["doc_id"] for r in corpus_pipeline.near(spark, frame(spark, rows), SF).collect()}
+    assert got == {d for d, _, c in brute_components(rows, 5, 80) if d == c}
+    assert not got & set(range(100, 120)) and set(range(20)) <= got and set(range(200, 220)) <= got
+
+
 def test_pipeline_stages_take_odd_documents(spark):
     base = spark.read.parquet(f"{SF}/documents.parquet")
     rows = frame(spark, EDGES, clash=False)
