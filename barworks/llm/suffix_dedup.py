@@ -255,19 +255,19 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
         """Pieces for the suffix buckets; hashes of the windows of pieces whose core is too frequent for one."""
         schema = pa.schema([("core", pa.int64()), ("block_id", pa.int64()), ("lo", pa.int32()),
                             ("open", pa.bool_()), ("piece", pa.binary()), ("keys", pa.binary()),
-                            ("counts", pa.binary())])
+                            ("counts", pa.binary()), ("n_keys", pa.int64())])
         for bid, lens, data, got in rows_of(batches):
             p = load(lens, data)
             _, open_, stands, much = p.judged(got, hot)
             send = np.flatnonzero((open_ | stands) & ~much)
             for i in range(0, len(send), 4096):
                 yield batch_of(schema, [(int(p.core[j].view(np.int64)), bid, int(p.lo[j]), bool(open_[j]),
-                                         p.text[p.lo[j]:p.hi[j] + SPAN].tobytes(), None, None)
+                                         p.text[p.lo[j]:p.hi[j] + SPAN].tobytes(), None, None, None)
                                         for j in send[i:i + 4096]])
             pick = np.flatnonzero((open_ | stands) & much)
             if len(pick):
                 k, c = np.unique(p.hash.at(_starts(p, pick), SPAN, 3), return_counts=True)
-                yield batch_of(schema, [(None, bid, None, None, None, pack(k), pack(c.astype(np.uint32)))])
+                yield batch_of(schema, [(None, bid, None, None, None, pack(k), pack(c.astype(np.uint32)), len(k))])
 
     def sort_bucket(table: pa.Table) -> pa.Table:
         schema = pa.schema([("block_id", pa.int64()), ("lo", pa.int32()), ("bits", pa.binary())])
@@ -295,9 +295,10 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
 
     with_counts = blocks.join(answers, "block_id", "left")
     sent = cut(with_counts.select("block_id", "lens", "data", "answers").mapInArrow(
-        to_bucket, "core long, block_id long, lo int, open boolean, piece binary, keys binary, counts binary"))
-    windows = sent.where("keys is not null").select("block_id", "keys", "counts")
-    single, _ = global_counts(windows, 1 << 20)
+        to_bucket, "core long, block_id long, lo int, open boolean, piece binary, keys binary, counts binary, "
+                   "n_keys long"))
+    windows = sent.where("keys is not null").select("block_id", "keys", "counts", "n_keys")
+    single, _ = global_counts(windows, windows.agg(F.sum("n_keys")).first()[0] or 0)
     sent = sent.where("piece is not null").select("core", "block_id", "lo", "open", "piece")
     tasks = max(1, -(-sent.count() // PIECES_PER_TASK))
     found = (sent.withColumn("bucket", F.pmod(F.xxhash64("core"), F.lit(tasks)))

@@ -125,6 +125,20 @@ def test_removed_bytes_of_the_table_over_several_blocks(spark, monkeypatch):
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in got)
 
 
+def test_windows_of_hot_cores_are_spread_by_their_number(spark, monkeypatch):
+    counted = []
+    once = S.global_counts
+
+    def spy(blocks, entries):
+        counted.append((entries, sum(len(S.unpack(r["keys"], np.uint64)) for r in blocks.select("keys").collect())))
+        return once(blocks, entries)
+
+    monkeypatch.setattr(S, "global_counts", spy)
+    S.repeated_removed(frame(spark, repeated_texts(3)), hot=2)
+    assert len(counted) == 2 and counted[1][1] > 0
+    assert all(entries == held for entries, held in counted)
+
+
 def test_difference_cover():
     m = S.COVER_MOD
     off = S._offsets()
