@@ -125,7 +125,7 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
     (``pack`` of uint32).  ``entries``: about how many keys all blocks hold.
 
     Returns (answers, classes).  answers: block_id, answers (array of part, totals,
-    flags, for ``answer_arrays``), in the order of the block's keys.  flags: 1, another
+    flags, for ``answer_arrays``; totals are whole, up to 2^63), in the order of the block's keys.  flags: 1, another
     block holds the key too; 2, this block stands for the key (of the blocks that
     count it above 0, exactly one).  classes: class (bits of the total: 1 is a total of
     1, 2 of 2 or 3, and so on), keys (distinct), total (sum of their totals).
@@ -159,8 +159,8 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
         size = np.diff(np.r_[first, len(s)])
         # the first entry of a key that has a count above 0 stands for it
         own = np.minimum.reduceat(np.where(sc > 0, np.arange(len(s)), len(s)), first)
-        totals, flags = np.empty(len(k), np.uint32), np.empty(len(k), np.uint8)
-        totals[order] = np.minimum(tot, 0xFFFFFFFF)[group]
+        totals, flags = np.empty(len(k), np.int64), np.empty(len(k), np.uint8)
+        totals[order] = tot[group]
         flags[order] = (size[group] > 1) | ((own[group] == np.arange(len(s))).astype(np.uint8) << 1)
         kind = np.frexp(tot.astype(np.float64))[1]
         stats = np.stack([np.bincount(kind, minlength=64),
@@ -194,10 +194,15 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
 
 
 def answer_arrays(answers: list | None) -> tuple[np.ndarray, np.ndarray]:
-    """Totals and flags of a block, in the order of its keys."""
+    """Totals (in 32 bits where all of a part fit, which takes less memory) and flags of a block, in the order of its keys."""
     if not answers:
         return np.zeros(0, np.uint32), np.zeros(0, np.uint8)
-    return (np.concatenate([unpack(a["totals"], np.uint32) for a in answers]),
+
+    def totals(b: bytes) -> np.ndarray:
+        a = unpack(b, np.int64)
+        return a.astype(np.uint32) if a.max(initial=0) <= 0xFFFFFFFF else a
+
+    return (np.concatenate([totals(a["totals"]) for a in answers]),
             np.concatenate([unpack(a["flags"], np.uint8) for a in answers]))
 
 

@@ -4,6 +4,9 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
+
+from barworks.llm import _util as U
 from barworks.llm import lm_scoring as M
 from barworks.llm._util import documents
 
@@ -60,6 +63,18 @@ def test_scores_of_the_table_over_several_blocks(spark, monkeypatch):
     assert sum(w[6] for w in held) > sum(w[5] for w in held)  # the model beats its base on texts it hasn't seen
 
 
+def test_totals_above_32_bits(spark):
+    """Counts over all blocks are whole: two blocks that hold a word 4,294,967,000 times each."""
+    most = 4_294_967_000
+    keys = np.array([5, 7, 1 << 63], np.uint64)
+    rows = [(b, bytearray(U.pack(keys)), bytearray(U.pack(np.array([most, 1 + b, 0], np.uint32)))) for b in range(2)]
+    blocks = spark.createDataFrame(rows, "block_id long, keys binary, counts binary")
+    answers, classes = U.global_counts(blocks, 6)
+    for r in answers.collect():
+        assert U.answer_arrays(r["answers"])[0].tolist() == [2 * most, 3, 0]
+    assert {(r["keys"], r["total"]) for r in classes.collect()} == {(1, 2 * most), (1, 3)}
+
+
 def test_weights_of_a_state_sum_to_one():
     _, (p, step, one) = brute([(2, "a b a c"), (3, "b a b d")])
     unknown = p(b"never")
