@@ -1,6 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Benchmark items are cut into passages of at most ``PASSAGE`` words.  Word weights
+1. Benchmark items are cut into passages of at most ``PASSAGE`` words: one after the
+   other, and overlapping ones at every ``STRIDE``-th word and at the item's end, so that
+   any ``PASSAGE`` words of an item share ``COPY`` of them with a passage.  Word weights
    are inverse document frequencies over all documents (one counting pass).
 2. A randomised SVD of the weighted passage-by-word matrix gives the latent space: the
    matrix stays in Spark, each round multiplies it with a thin matrix and adds up the
@@ -11,8 +13,9 @@
 4. For window and passage pairs above ``COSINE``, the longest common subsequence of the
    item's passage and the text around the window decides: at least ``COPY`` of the
    passage's words, or at least ``PARAPHRASE`` of them and at least ``COPY`` of the answer,
-   which is the passage's last sentence.  The words must lie within ``STRETCH`` times the
-   passage's length.
+   which is the item's last sentence.  The words must lie within ``STRETCH`` times the
+   passage's length; an answer beyond the passage's ends, as far away as in the item,
+   times ``STRETCH``.
 
 The benchmark is the stated query set: it is taken in blocks of ``BLOCK`` passages, so what
 a task holds is bounded; documents are never shuffled.
@@ -36,7 +39,7 @@ from pyspark.sql import types as T
 
 from ._util import batch_of, chunks, rows_of
 
-RUN, PASSAGE, RANK, BLOCK = 32, 64, 128, 4096
+RUN, PASSAGE, STRIDE, RANK, BLOCK = 32, 64, 24, 128, 4096
 COSINE, COPY, PARAPHRASE, STRETCH = 0.4, 0.8, 0.6, 1.5
 #: Words in more than this share of the documents have no weight, but for the rarest of each passage.
 COMMON, RAREST = 0.2, 8
@@ -49,17 +52,19 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(None, _DROP).split()
 
 
-def passages(items: list[tuple[int, str]]) -> list[tuple[int, list[bytes], int]]:
-    """(item, words, where the answer starts) of every passage."""
+def passages(items: list[tuple[int, str]]) -> list[tuple[int, list[bytes], list[bytes], int, int]]:
+    """(item, words, the item's answer, words of the answer's way before and after the passage) of every passage."""
     out = []
     for item, text in items:
         words = words_of(text)
         last = re.split(r"(?<=[.!?])\s+", (text or "").strip())[-1]
         answer = max(0, len(words) - len(words_of(last)))
-        for at in range(0, max(1, len(words)), PASSAGE):
+        starts = {at for at in range(0, len(words), PASSAGE) if at == 0 or len(words) - at >= 8}
+        if len(words) > PASSAGE:
+            starts |= {*range(0, len(words) - PASSAGE, STRIDE), len(words) - PASSAGE}
+        for at in sorted(starts):
             part = words[at:at + PASSAGE]
-            if part and (len(part) >= 8 or at == 0):
-                out.append((item, part, max(0, min(answer - at, len(part)))))
+            out.append((item, part, words[answer:], max(0, at - answer), len(words) - at - len(part)))
     return out
 
 
@@ -77,19 +82,32 @@ def common(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def matches(part: list[bytes], answer: int, near: list[bytes]) -> float:
-    """The share of the passage found near, or 0 when that is no leak."""
+def spots(near: list[bytes], wide: int, step: int) -> list[list[bytes]]:
+    """Overlapping stretches of ``wide`` words."""
+    return [near[at:at + wide] for at in range(0, max(1, len(near) - wide + step), step)]
+
+
+def matches(part: list[bytes], answer: list[bytes], near: list[bytes], beyond: list[bytes] | None = None) -> float:
+    """The share of the passage found near, or 0 when that is no leak.
+
+    ``beyond``: the text to look for the answer in, if the passage doesn't hold all of it.
+    """
     n = len(part)
     if common(part, near) < PARAPHRASE * n:
         return 0.0
     wide = math.ceil(STRETCH * n)
     step = max(1, n // 8)
-    best = 0.0
-    for at in range(0, max(1, len(near) - wide + step), step):
-        spot = near[at:at + wide]
+    answered = lambda spot: common(answer, spot) >= COPY * len(answer) > 0
+    best, there = 0.0, None
+    for spot in spots(near, wide, step):
         got = common(part, spot)
-        if got >= COPY * n or got >= PARAPHRASE * n and common(part[answer:], spot) >= COPY * (n - answer) > 0:
-            best = max(best, got / n)
+        if got < PARAPHRASE * n or got / n <= best:
+            continue
+        if got < COPY * n and beyond is not None and there is None:
+            reach = max(wide, math.ceil(STRETCH * len(answer)))
+            there = any(map(answered, spots(beyond, reach, step)))
+        if got >= COPY * n or (answered(spot) if beyond is None else there):
+            best = got / n
     return best
 
 
@@ -154,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float
                                       T.StructField("share", T.DoubleType())]))
     out = docs.drop("leaks").withColumn("leaks", F.lit(None).cast(found))
     rows = [(r["item_id"], r["text"]) for r in items.toLocalIterator()]
-    parts = sorted(passages(rows), key=lambda p: (p[0] is None, p[0] or 0, p[1]))
+    parts = sorted(passages(rows), key=lambda p: (p[0] is None, p[0] or 0, p[1:]))
     for at in range(0, len(parts), BLOCK):
         out = _search(out, docs, parts[at:at + BLOCK], rank, cosine, found)
     return out.withColumn("leaks", F.coalesce("leaks", F.array().cast(found)))
@@ -162,15 +180,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float
 
 def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: float, found) -> DataFrame:
     spark = docs.sparkSession
-    freq, total = document_frequencies(docs, {w for _, p, _ in parts for w in p})
+    freq, total = document_frequencies(docs, {w for _, p, *_ in parts for w in p})
     weighed = {w for w, n in freq.items() if n <= COMMON * total}
-    for _, p, _ in parts:
+    for _, p, *_ in parts:
         weighed.update(sorted(set(p), key=lambda w: (freq.get(w, 0), w))[:RAREST])
-    vocabulary = sorted({w for _, p, _ in parts for w in p} & weighed)
+    vocabulary = sorted({w for _, p, *_ in parts for w in p} & weighed)
     number = {w: i for i, w in enumerate(vocabulary)}
     idf = np.log((1 + total) / (1 + np.array([freq.get(w, 0) for w in vocabulary]))) + 0.1
     rows = []
-    for _, p, _ in parts:
+    for _, p, *_ in parts:
         c, n = np.unique([number[w] for w in p if w in number], return_counts=True)
         w = n * idf[c]
         rows.append((c.tolist(), (w / np.linalg.norm(w)).tolist()))
@@ -221,7 +239,7 @@ def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: flo
                         cos = wide @ target.T / np.maximum(norm, 1e-6)
                         at, near, known = -1, [], set()
                         for k, j in np.argwhere(cos >= cosine).tolist():
-                            item, part, last = parts[j]
+                            item, part, last, ahead, behind = parts[j]
                             if hits.get(item, (0, 0))[1] >= 1:
                                 continue
                             if k != at:  # a passage may reach over the window's ends
@@ -230,7 +248,11 @@ def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: flo
                             # no more words can be in common than occur in both
                             if sum(map(known.__contains__, part)) < PARAPHRASE * len(part):
                                 continue
-                            share = matches(part, last, near)
+                            beyond = None
+                            if ahead or behind:
+                                beyond = words[max(0, (k - 1) * RUN - math.ceil(STRETCH * ahead)):
+                                               (k + 4) * RUN + math.ceil(STRETCH * behind)]
+                            share = matches(part, last, near, beyond)
                             if share > hits.get(item, (0, 0))[1]:
                                 hits[item] = (float(cos[k, j]), share)
                     answer.append((old or []) + [{"item_id": i, "cosine": c, "share": s}

@@ -122,6 +122,26 @@ def test_leaks(spark):
     assert {(r["doc_id"], r["l"]["item_id"]) for r in got} == want
 
 
+def test_leaks_of_parts_of_long_items(spark):
+    """Any 64 words in a row of an item are found, and paraphrases by the item's answer wherever they are cut."""
+    random.seed(11)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(random.randint(3, 8)))
+    fill = lambda n: [word() for _ in range(n)]
+    bench = [(i, " ".join([*fill(n - 3), fill(1)[0] + ".", *fill(2)]) + ".") for i, n in enumerate([128, 131, 150, 200])]
+    rows, want = [], set()
+    for item, text in bench:
+        w = text.split()
+        for at in range(len(w) - 63):
+            rows.append((1000 * item + at, " ".join([*fill(at % 50), *w[at:at + 64], *fill(70)])))
+            want.add((1000 * item + at, item))
+        loose = [x if k % 4 or k > len(w) - 4 else word() for k, x in enumerate(w)]
+        rows.append((1000 * item + 900, " ".join(fill(40) + loose + fill(40))))
+        rows.append((1000 * item + 901, " ".join(fill(40) + loose[:-2] + fill(40))))  # without the answer
+        want.add((1000 * item + 900, item))
+    got = D.leaks(frame(spark, rows), items(spark, bench)).select("doc_id", F.explode("leaks").alias("l")).collect()
+    assert {(r["doc_id"], r["l"]["item_id"]) for r in got} == want
+
+
 def test_leaks_in_blocks_of_items_and_edges(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK", 2)
     bench = [(1, "one two three four five six seven eight nine"), (1, "one two three four five six seven eight nine"),
