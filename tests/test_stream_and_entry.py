@@ -134,3 +134,28 @@ def test_daily_counts_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert got == [(2, 1), (3, 1)]
+
+
+def test_entry_without_the_text_folders(tmp_dir):
+    """The entry imports on a copy without the text operators, with and without the pipeline file,
+    and when only an empty folder of the package is left."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    from barworks.plans import QUERIES
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for k, (pipeline, folder) in enumerate([(False, False), (True, False), (True, True)]):
+        copy = os.path.join(tmp_dir, f"repo{k}")
+        shutil.copytree(os.path.join(root, "barworks"), os.path.join(copy, "barworks"),
+                        ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        shutil.copy(os.path.join(root, "__spark_entry__.py"), copy)
+        source = os.path.join(root, "corpus_pipeline.py")
+        if pipeline and os.path.exists(source):
+            shutil.copy(source, copy)
+        if folder:
+            os.makedirs(os.path.join(copy, "barworks", "llm", "__pycache__"))
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        got = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, check=True)
+        assert got.stdout.split() == [str(len(QUERIES))] * 2
