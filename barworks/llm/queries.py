@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, pieces, quality_classifier
-from . import suffix_dedup, token_counts
+from . import decontamination, exact_dedup, html_text, importance, jaccard_join, license_scan, lm_scoring, pieces
+from . import quality_classifier, suffix_dedup, token_counts
 from ._util import documents
 
 #: The folder with the public vocabularies is found by this package (a parameter of the operators).
@@ -64,10 +64,16 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_removed(documents(spark, sf_dir))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resampled(documents(spark, sf_dir), benchmark)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_exact_dedup, op4_html_extraction,
                                  op5_lm_scoring, op6_ngram_jaccard_join,
                                  op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece,
-                                 op10_suffix_array_dedup)}
+                                 op10_suffix_array_dedup, op11_importance_resampling)}
+
 
 def _license_sql() -> str:
     """The license scan as SQL: every line against every template, phrases by the words that follow."""
