@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_text, importance, jaccard_join, license_scan, lm_scoring, pieces
-from . import quality_classifier, suffix_dedup, token_counts
+from . import collocations, decontamination, exact_dedup, html_text, importance, jaccard_join, license_scan
+from . import lm_scoring, pieces, quality_classifier, suffix_dedup, token_counts
 from ._util import documents
 
 #: The folder with the public vocabularies is found by this package (a parameter of the operators).
@@ -69,10 +69,16 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(documents(spark, sf_dir), benchmark)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text")
+    return collocations.collocations(docs)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3_exact_dedup, op4_html_extraction,
                                  op5_lm_scoring, op6_ngram_jaccard_join,
                                  op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece,
-                                 op10_suffix_array_dedup, op11_importance_resampling)}
+                                 op10_suffix_array_dedup, op11_importance_resampling,
+                                 op13_phrase_collocations)}
 
 
 def _license_sql() -> str:
@@ -115,6 +121,34 @@ FROM t LEFT JOIN found USING (rid) LEFT JOIN best USING (rid) LEFT JOIN base_nam
      LEFT JOIN all_names a USING (rid)"""
 
 
+#: Collocations: all n-grams as text; HUGEINT holds the products.
+_PHRASES = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase FROM (
+          SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS size))),
+f AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(words[1:k], ' ') AS lpart,
+                array_to_string(words[k + 1:], ' ') AS rpart
+         FROM (SELECT lang, phrase, f, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+               FROM f WHERE size > 1)),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, s.n,
+                  ((1000::HUGEINT * c.a * s.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.lpart
+                       JOIN f r ON r.lang = c.lang AND r.phrase = c.rpart JOIN sizes s ON s.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, unnest([array_to_string(words[1:size - 1], ' '), array_to_string(words[2:], ' ')]) AS phrase, f
+           FROM (SELECT lang, size, f, string_split(phrase, ' ') AS words FROM f WHERE size > 2)),
+within AS (SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank,
+       b.phrase, b.a, b.l, b.r, b.n, b.score
+FROM best b LEFT JOIN within w USING (lang, phrase) WHERE w.f IS NULL OR w.f < b.a
+QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) <= 2000"""
+
 ORACLES = {
     "op3_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
@@ -122,4 +156,5 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)""",
     "op8_license_scans": _license_sql(),
+    "op13_phrase_collocations": _PHRASES,
 }
