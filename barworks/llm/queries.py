@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import collocations, decontamination, exact_dedup, html_text, importance, jaccard_join, license_scan
-from . import lm_scoring, pieces, quality_classifier, suffix_dedup, token_counts
+from . import lm_scoring, pieces, quality_classifier, sharding, suffix_dedup, token_counts
 from ._util import documents
 
 #: The folder with the public vocabularies is found by this package (a parameter of the operators).
@@ -69,6 +69,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(documents(spark, sf_dir), benchmark)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts differ by one at most: the shards' capacities add up to the number of rows."""
+    return sharding.sharded(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text")
     return collocations.collocations(docs)
@@ -78,7 +85,7 @@ QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_token_counts, op3
                                  op5_lm_scoring, op6_ngram_jaccard_join,
                                  op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece,
                                  op10_suffix_array_dedup, op11_importance_resampling,
-                                 op13_phrase_collocations)}
+                                 op12_sharding, op13_phrase_collocations)}
 
 
 def _license_sql() -> str:
