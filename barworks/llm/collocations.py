@@ -16,8 +16,9 @@ of longer n-grams are made and sent only where the shorter ones turned out frequ
 over colliding fingerprints is never too small, so nothing frequent is lost.
 
 Verification.  Only n-grams with a frequent fingerprint become text.  Within a block all
-occurrences of a fingerprint are compared, word by word, with the first one, and the blocks'
-counts are added up once more by the text itself, so counts are exact whatever collides.
+occurrences of a fingerprint are compared, word by word, with the first one; the blocks send
+their phrases, packed by ranges of fingerprints, and each range adds the counts up once more
+by the text itself.  So counts are exact whatever collides, and no other text is written.
 
 Defined cases: null text counts as empty, a null language as ``und``; repeated rows count
 again; an empty table, or one without frequent phrases, gives an empty result; very long
@@ -33,6 +34,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +51,11 @@ LEAD = 2000
 COVER = 100
 UNKNOWN = "und"
 #: Bytes of a block.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Phrase lengths whose fingerprints are counted in one round.
-ROUNDS = ((1,), (2,), (3,), (4, 5))
+ROUNDS = ((1, 2), (3, 4, 5))
+#: Words of the corpus for each range of fingerprints whose phrases one task adds up.
+WORDS_PER_RANGE = 1 << 21
 
 #: The texts' bytes: letters in lower case, a line end for each splitting character, spaces.
 _BYTES = bytes(b | 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b
@@ -115,7 +119,9 @@ class Block:
         #: words that this block counts, and not the one before
         self.new = np.arange(len(self.ids)) - first[self.piece] >= skips[self.piece]
         self.lang = of[self.piece]
-        self.print_ = word_prints(self.words)[self.ids]
+        there, self.back = powers(_WORD_BASE, len(self.ids))
+        self.prefix = np.zeros(len(self.ids) + 1, np.uint64)
+        np.cumsum(word_prints(self.words)[self.ids] * there, dtype=np.uint64, out=self.prefix[1:])
         salts = [mix64(np.frombuffer(x.encode() + bytes(8 - len(x.encode()) % 8), np.uint64)) for x in langs]
         self.salt = np.array([np.bitwise_xor.reduce(mix64(s + np.arange(1, len(s) + 1, dtype=np.uint64)))
                               for s in salts], np.uint64)
@@ -131,12 +137,12 @@ class Block:
                 for j in range(n - m + 1):
                     keep &= often[j:j + size]
         at = np.flatnonzero(keep)
-        h = polynomials(self.print_, _WORD_BASE, at, n)
+        h = (self.prefix[at + n] - self.prefix[at]) * self.back[at]
         return at, mix64(mix64(h + np.uint64(n)) ^ self.salt[self.lang[at]])
 
     def walk(self, answered: list, least: int):
         """With the rounds' answers so far: the next round's (keys, counts), or after the last
-        one the frequent n-grams, as (n, places, numbers of their keys, first place of each key)."""
+        one the frequent n-grams, as (n, places, numbers of their keys, first place and key of each number)."""
         known: dict[int, np.ndarray] = {}
         last = []
         for levels, answers in zip(ROUNDS, [*answered, None]):
@@ -156,31 +162,64 @@ class Block:
                 known[n] = np.zeros(len(self.ids), bool)
                 known[n][at[keep]] = True
                 keep &= self.new[at + n - 1]
-                last.append((n, at[keep], which[keep], places[first]))
+                last.append((n, at[keep], which[keep], places[first], keys))
         return last
 
-    def phrases(self, frequent: list) -> Iterator[tuple[str, str, int, int]]:
-        """lang, phrase, words, count of the frequent n-grams: occurrences compared with the first."""
-        for n, at, which, first in frequent:
+    def phrases(self, frequent: list) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """words, places, counts, keys of the frequent n-grams: occurrences compared with the first."""
+        for n, at, which, first, keys in frequent:
             model = first[which]
             same = self.lang[at] == self.lang[model]
             for j in range(n):
                 same &= self.ids[at + j] == self.ids[model + j]
             counts = np.bincount(which[same], minlength=len(first))
             some = np.flatnonzero(counts)
-            yield from self.texts(n, zip(first[some].tolist(), counts[some].tolist()))
-            odd: Counter = Counter()  # occurrences under a fingerprint of other words
-            place = {}
-            for i in at[~same].tolist():
-                k = (int(self.lang[i]), *self.ids[i:i + n].tolist())
-                odd[k] += 1
-                place[k] = i
-            yield from self.texts(n, ((place[k], c) for k, c in odd.items()))
-
-    def texts(self, n: int, places) -> Iterator[tuple[str, str, int, int]]:
-        for i, c in places:
-            words = b" ".join([self.words[k] for k in self.ids[i:i + n].tolist()])
-            yield self.langs[self.lang[i]], words.decode(), n, c
+            yield n, first[some], counts[some], keys[some]
+            if not same.all():  # occurrences under a fingerprint of other words
+                odd: Counter = Counter()
+                place = {}
+                for i, k in zip(at[~same].tolist(), which[~same].tolist()):
+                    words = (int(self.lang[i]), *self.ids[i:i + n].tolist())
+                    odd[words] += 1
+                    place[words] = i, k
+                at_, k = np.array(list(place.values())).T
+                yield n, at_, np.array([odd[w] for w in place]), keys[k]
+
+    def packed_phrases(self, frequent: list, bits: int) -> Iterator[tuple]:
+        """part, langs, lang numbers, texts, counts: this block's frequent phrases and, as empty
+        ones, its words by language, dealt by the upper bits of their keys."""
+        sizes = np.bincount(self.lang[self.new], minlength=len(self.langs))
+        words = pa.array(self.words, pa.binary())
+        texts, langs, counts = [pa.array([b""] * len(sizes), pa.binary())], [np.arange(len(sizes))], [sizes]
+        keys = [np.zeros(len(sizes), np.uint64)]
+        for n, at, c, k in self.phrases(frequent):
+            parts = [words.take(pa.array(self.ids[at + j])) for j in range(n)]
+            texts.append(parts[0] if n == 1 else pc.binary_join_element_wise(*parts, b" "))
+            langs.append(self.lang[at])
+            counts.append(c)
+            keys.append(k)
+        part = (np.concatenate(keys) >> np.uint64(64 - bits)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        text = pa.concat_arrays(texts).take(pa.array(order))
+        lang, count_ = np.concatenate(langs)[order].astype(np.int32), np.concatenate(counts)[order].astype(np.int64)
+        part = part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            data = zstandard.ZstdCompressor(level=1).compress(b"\n".join(text[a:b].to_pylist()))
+            yield int(part[a]), self.langs, pack(lang[a:b]), data, pack(count_[a:b])
+
+
+def merged(table: pa.Table, least: int) -> pa.Table:
+    """lang, phrase, n of one range's rows (langs, lang numbers, texts, counts): sums by the text."""
+    tables = []
+    for langs, of, texts, counts in rows_of(table.to_batches()):
+        text = pa.array(zstandard.ZstdDecompressor().decompress(texts).split(b"\n"), pa.binary())
+        lang = pa.DictionaryArray.from_arrays(pa.array(unpack(of, np.int32)), pa.array(langs, pa.string()))
+        tables.append(pa.table({"lang": lang.cast(pa.string()), "phrase": text,
+                                "n": pa.array(unpack(counts, np.int64))}))
+    found = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+    found = found.filter(pc.or_(pc.equal(pc.binary_length(found["phrase"]), 0), pc.greater_equal(found["n_sum"], least)))
+    return pa.table({"lang": found["lang"], "phrase": found["phrase"].cast(pa.string()), "n": found["n_sum"]})
 
 
 def parts_of(text: bytes, limit: int) -> Iterator[bytes]:
@@ -248,7 +287,7 @@ def packed(rows: Iterator[tuple], limit: int) -> Iterator[tuple]:
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, phrase, words, n for all phrases of ``docs`` (lang, text) that occur ``least`` times;
-    and one row for each language with words = 0, an empty phrase and the number of its words."""
+    and one row for each language with an empty phrase, words = 0 and the number of its words."""
 
     def to_blocks(batches):
         schema = pa.schema([("block_id", pa.int64()), ("n_words", pa.int64()), ("langs", pa.list_(pa.string())),
@@ -265,31 +304,28 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
         return keys
 
     def to_phrases(batches):
-        schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+        schema = pa.schema([("part", pa.int32()), ("langs", pa.list_(pa.string())), ("of", pa.binary()),
+                            ("texts", pa.binary()), ("counts", pa.binary())])
         for _, _, *row in rows_of(batches):
             block = Block(*row[:6])
-            sizes = np.bincount(block.lang[block.new], minlength=len(block.langs)).tolist()
-            out = [(x, "", 0, n) for x, n in zip(block.langs, sizes)]
-            for row in block.phrases(block.walk([row[6 + i:7 + i] for i in range(len(ROUNDS))], least)):
-                out.append(row)
-                if len(out) >= 50_000:
-                    yield batch_of(schema, out)
-                    out = []
-            yield batch_of(schema, out)
-
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # dealt by their number once: the answers of all rounds are then moved to the blocks
+            found = block.walk([row[6 + i:7 + i] for i in range(len(ROUNDS))], least)
+            for row in block.packed_phrases(found, bits):
+                yield batch_of(schema, [row])
+
     asked = cut(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text")
-                .mapInArrow(to_blocks, _PACKED).repartition(parts, "block_id"))
+                .mapInArrow(to_blocks, _PACKED))
     # a block has no more distinct n-grams of a length than words
     entries = asked.agg(F.sum("n_words")).first()[0] or 0
+    bits = max(1, (entries // WORDS_PER_RANGE).bit_length())
     for i in range(len(ROUNDS)):
         answers, _ = global_counts(asked.mapInArrow(keys_of(i), "block_id long, keys binary, counts binary"), entries)
         answers = answers.select(F.col("block_id").alias("_b"), F.col("answers").alias(f"round_{i}"))
         asked = asked.join(answers, F.col("block_id") == F.col("_b"), "left").drop("_b")
-    found = asked.mapInArrow(to_phrases, "lang string, phrase string, words int, n long")
-    found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return found.where((F.col("words") == 0) | (F.col("n") >= least))
+    found = asked.mapInArrow(to_phrases, "part int, langs array<string>, of binary, texts binary, counts binary")
+    found = found.groupBy("part").applyInArrow(lambda t: merged(t.select(["langs", "of", "texts", "counts"]), least),
+                                               "lang string, phrase string, n long")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return found.select("lang", "phrase", words.alias("words"), "n")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, lead: int = LEAD, cover: int = COVER) -> DataFrame:
