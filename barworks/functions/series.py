@@ -167,6 +167,36 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return b.withColumn(name, F.col("_rn") + F.col("_off")).drop(_B, "_rn", "_off")
 
 
+def with_place(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+               bucket: Column, name: str = "pos", prefix: str = "prev_") -> DataFrame:
+    """``with_position`` and ``with_prev`` in one: the 1-based row position and the previous
+    row's ``cols``, from one window per (keys, bucket), one summary and one join."""
+    b = df.withColumn(_B, bucket)
+    w = _w(keys, order, True)
+    b = b.withColumns({"_rn": F.row_number().over(w), **{"_lag_" + c: F.lag(c).over(w) for c in cols}})
+    ends = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"),
+                                    F.max(F.struct(*order, F.struct(*cols).alias("_tail"))).alias("_last"))
+    wk = Window.partitionBy(*keys).orderBy(_B)
+    ends = ends.select(*keys, _B, F.lag("_last._tail").over(wk).alias("_before"),
+                       F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    b = b.join(ends, [*keys, _B])
+    return b.withColumns({name: F.col("_rn") + F.col("_off"),
+                          **{prefix + c: F.when(F.col("_rn") == 1, F.col("_before." + c)).otherwise(F.col("_lag_" + c))
+                             for c in cols}}).select(*df.columns, name, *[prefix + c for c in cols])
+
+
+def in_blocks(df: DataFrame, keys: Sequence[str], pos: str, lookback: int, block: int, then) -> DataFrame:
+    """``then(df, w)`` over halo blocks: blocks of ``block`` rows by position ``pos``, each with copies of
+    the ``lookback`` rows before it, which are dropped afterwards.  ``w`` is the window of a block."""
+    if block <= lookback:
+        raise ValueError("block must exceed the lookback")
+    at, blk = F.col(pos) - 1, F.floor((F.col(pos) - 1) / block)
+    u = df.withColumn("_blk", F.explode(F.when(at % block >= block - lookback, F.array(blk, blk + 1))
+                                        .otherwise(F.array(blk))))
+    w = Window.partitionBy(*keys, "_blk").orderBy(pos)
+    return then(u, w).filter(F.col("_blk") == blk).drop("_blk")
+
+
 def interpolate_linear(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                        cols: Sequence[str], bucket: Column | None = None) -> DataFrame:
     """Linear interpolation by row position: leading gaps stay NULL, trailing
@@ -211,15 +241,8 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback:
     if block is None:
         w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
         return df.withColumns(build(w))
-    if block <= lookback:
-        raise ValueError("block must exceed the lookback")
     b = with_position(df, keys, order, "_rpos", bucket)
-    b = b.withColumn("_blk", F.floor((F.col("_rpos") - 1) / block)).withColumn("_halo", F.lit(False))
-    halo = (b.filter((F.col("_rpos") - 1) % block >= block - lookback)
-             .withColumn("_blk", F.col("_blk") + 1).withColumn("_halo", F.lit(True)))
-    u = b.unionByName(halo)
-    w = Window.partitionBy(*keys, "_blk").orderBy("_rpos")
-    return u.withColumns(build(w)).filter(~F.col("_halo")).drop("_rpos", "_blk", "_halo")
+    return in_blocks(b, keys, "_rpos", lookback, block, lambda u, w: u.withColumns(build(w))).drop("_rpos")
 
 
 def _lagrange(points: list[tuple[str, str]], x: str) -> str:
@@ -273,25 +296,7 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for c in cols], *[
         f"last(_nf_{c}, true) OVER ({wr} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _N1_{c}"
         for c in cols])
-    out = {}
-    for c in cols:
-        p1, n1 = (f"_P1_{c}.v", f"_P1_{c}.p"), (f"_N1_{c}.v", f"_N1_{c}.p")
-        p2, n2 = (f"_P1_{c}.q.v", f"_P1_{c}.q.p"), (f"_N1_{c}.q.v", f"_N1_{c}.q.p")
-        has_p2, has_n2 = f"_P1_{c}.q IS NOT NULL", f"_N1_{c}.q IS NOT NULL"
-        lin = _lagrange([p1, n1], "_pos")
-        if degree == 3:
-            val = (f"CASE WHEN {has_p2} AND {has_n2} THEN {_lagrange([p2, p1, n1, n2], '_pos')} "
-                   f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} "
-                   f"WHEN {has_p2} THEN {_lagrange([p2, p1, n1], '_pos')} ELSE {lin} END")
-            trailing = "CAST(NULL AS DOUBLE)"
-        else:
-            use_p2 = f"{has_p2} AND (NOT {has_n2} OR (_pos - _P1_{c}.q.p) <= (_N1_{c}.q.p - _pos))"
-            val = (f"CASE WHEN {use_p2} THEN {_lagrange([p2, p1, n1], '_pos')} "
-                   f"WHEN {has_n2} THEN {_lagrange([p1, n1, n2], '_pos')} ELSE {lin} END")
-            trailing = f"_P1_{c}.v"
-        out[c] = (f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN _P1_{c} IS NULL THEN CAST(NULL AS DOUBLE) "
-                  f"WHEN _N1_{c} IS NULL THEN {trailing} ELSE {val} END")
-    keep = [f"`{x}`" if x not in out else f"{out[x]} AS `{x}`" for x in df.columns]
+    keep = [f"`{x}`" if x not in cols else f"{_local_value(x, degree)} AS `{x}`" for x in df.columns]
     return b.selectExpr(*keep)
 
 

@@ -143,6 +143,13 @@ SELECT c_mktsegment AS segment, c_name AS symbol,
        c_custkey % 250 AS records
 FROM customer""")
 
+_cte("history", """
+SELECT concat('C', o_custkey % 50) AS symbol, CAST(o_orderdate AS DATE) AS date,
+       arg_min(o_totalprice, o_orderkey) / 997 AS open, max(o_totalprice) / 997 AS high,
+       min(o_totalprice) / 997 AS low, arg_max(o_totalprice, o_orderkey) / 997 AS close,
+       CAST(count(*) * 100 AS DOUBLE) AS volume, min(o_orderkey) AS load_seq
+FROM orders GROUP BY 1, 2""")
+
 _cte("instruments", """
 SELECT user_id + 1000000 AS instrument_token, concat('S', user_id) AS tradingsymbol,
        'NSE' AS exchange

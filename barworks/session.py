@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: ANSI stays on (so ratios use try_divide), one
 # UTC timeline, AQE for runtime coalescing and skew splitting.
@@ -59,3 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there on: steps that are
+    used more than once run once, and a lost executor does not repeat what came before."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

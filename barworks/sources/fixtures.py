@@ -266,3 +266,16 @@ def event_day_as_of(spark: SparkSession, sf_dir: str) -> Column:
 def sector_of(symbol: str = "symbol") -> Column:
     """Sector of a mapped symbol ``S<n>``: ``SEC<n % 7>``."""
     return F.concat(F.lit("SEC"), F.substring(F.col(symbol), 2, 32).cast("bigint") % 7)
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long daily series: per customer group and order day, the OHLC of the orders' totals
+    (in order of their keys) and 100 per order as volume.  Prices are totals over 997, so
+    that their means have no ties where results are rounded."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return (o.groupBy(F.concat(F.lit("C"), F.col("o_custkey") % 50).alias("symbol"),
+                      F.to_date("o_orderdate").alias("date"))
+             .agg(*[F.expr(x) for x in (
+                 "min_by(o_totalprice, o_orderkey) / 997 AS open", "max(o_totalprice) / 997 AS high",
+                 "min(o_totalprice) / 997 AS low", "max_by(o_totalprice, o_orderkey) / 997 AS close",
+                 "CAST(count(1) * 100 AS DOUBLE) AS volume", "min(o_orderkey) AS load_seq")]))
