@@ -150,6 +150,26 @@ SELECT concat('C', o_custkey % 50) AS symbol, CAST(o_orderdate AS DATE) AS date,
        CAST(count(*) * 100 AS DOUBLE) AS volume, min(o_orderkey) AS load_seq
 FROM orders GROUP BY 1, 2""")
 
+_cte("corporate_actions", """
+SELECT concat('C', o_custkey % 50) AS symbol, CAST(o_orderdate AS DATE) + 1 AS ex_date,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'split' ELSE 'dividend' END AS kind,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice / 99700 WHEN o_custkey % 3 = 0 THEN 0.5::DOUBLE
+            ELSE CAST(2 + o_custkey % 2 AS DOUBLE) END AS value
+FROM orders WHERE o_orderkey % 97 = 0""")
+
+_cte("holidays", """
+SELECT CAST(ts AS DATE) AS date FROM events GROUP BY 1 HAVING count(*) % 5 = 0""")
+
+_cte("portfolio_trades", """
+SELECT l_orderkey, l_suppkey AS portfolio_id, concat('P', l_partkey) AS symbol, CAST(l_shipdate AS DATE) AS date,
+       CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN -1 ELSE 1 END AS sign,
+       CAST(l_quantity AS DECIMAL(10, 0)) AS quantity,
+       CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * 100 // CAST(l_quantity AS BIGINT) AS DECIMAL(14, 0))
+         * CAST(0.0001 AS DECIMAL(4, 4)) AS price,
+       CAST(CAST(round(l_tax * 100) AS BIGINT) * CAST(round(l_extendedprice * 100) AS BIGINT) AS DECIMAL(14, 0))
+         * CAST(0.0001 AS DECIMAL(4, 4)) AS fees
+FROM lineitem""")
+
 _cte("instruments", """
 SELECT user_id + 1000000 AS instrument_token, concat('S', user_id) AS tradingsymbol,
        'NSE' AS exchange

@@ -279,3 +279,38 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "min_by(o_totalprice, o_orderkey) / 997 AS open", "max(o_totalprice) / 997 AS high",
                  "min(o_totalprice) / 997 AS low", "max_by(o_totalprice, o_orderkey) / 997 AS close",
                  "CAST(count(1) * 100 AS DOUBLE) AS volume", "min(o_orderkey) AS load_seq")]))
+
+
+def corporate_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits and dividends of ``history``: of every 97th order, on the day after it."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return o.filter("o_orderkey % 97 = 0").selectExpr(
+        "concat('C', o_custkey % 50) AS symbol", "date_add(to_date(o_orderdate), 1) AS ex_date",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'split' ELSE 'dividend' END AS kind",
+        "CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice / 99700 WHEN o_custkey % 3 = 0 THEN 0.5D "
+        "ELSE CAST(2 + o_custkey % 2 AS DOUBLE) END AS value")
+
+
+def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which the number of events is divisible by five."""
+    e = table(spark, sf_dir, "events", "ts")
+    return e.groupBy(F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n")).filter("n % 5 = 0").select("date")
+
+
+def portfolio_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades of portfolios; prices (cents times 100 over the quantity, whole) and fees with four decimals."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+               "l_extendedprice", "l_tax", "l_shipdate")
+    return li.selectExpr(
+        "l_orderkey", "l_suppkey AS portfolio_id", "concat('P', l_partkey) AS symbol", "to_date(l_shipdate) AS date",
+        "CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 'SELL' ELSE 'BUY' END AS side", "l_quantity AS quantity",
+        "CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * 100 div CAST(l_quantity AS BIGINT) AS DECIMAL(18, 0)) "
+        "* 0.0001BD AS price",
+        "CAST(CAST(round(l_tax * 100) AS BIGINT) * CAST(round(l_extendedprice * 100) AS BIGINT) AS DECIMAL(18, 0)) "
+        "* 0.0001BD AS fees")
+
+
+def daily_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price of the day's last trade (by order key and price) per symbol."""
+    return portfolio_trades(spark, sf_dir).groupBy("symbol", "date").agg(
+        F.max(F.struct("l_orderkey", "price")).alias("_m")).select("symbol", "date", F.col("_m.price").alias("price"))
