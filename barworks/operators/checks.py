@@ -82,8 +82,9 @@ def _q(v: str | None) -> str:
 
 
 def price_checks(has_volume: bool = True) -> list[Check]:
-    """V6-V15 in the order the reference emits them."""
-    out: list[Check] = []
+    """V5-V15 in the order the reference emits them."""
+    out: list[Check] = [Check("missing_price_columns", "'critical'", None,
+                              f"least({', '.join(f'count({c})' for c in PRICE_COLUMNS)})")]
     for c in PRICE_COLUMNS:
         out.append(Check("negative_prices", "'error'", c, f"count_if({c} < 0)"))
         out.append(Check("extremely_low_prices", "'warning'", c, f"count_if({c} < {MIN_PRICE})"))
@@ -141,7 +142,7 @@ def _assemble(agg: DataFrame, keys: Sequence[str], checks: Sequence[Check],
               counts: Sequence[str]) -> DataFrame:
     items = []
     for name, chk in zip(counts, checks):
-        structural = chk.issue_type in ("missing_columns", "missing_date")
+        structural = chk.issue_type in STRUCTURAL
         fire = f"{name} = 0" if structural else f"{name} > 0"
         if chk.gate:
             fire += f" AND ({chk.gate})"
@@ -151,7 +152,25 @@ def _assemble(agg: DataFrame, keys: Sequence[str], checks: Sequence[Check],
             f"'severity', {chk.severity}, 'column', {_q(chk.column)}, 'affected_rows', {rows}, "
             f"'suggested_action', {_q(chk.action())}) END")
     arr = f"filter(array({', '.join(items)}), x -> x IS NOT NULL)"
-    return agg.selectExpr(*keys, "_n AS data_rows", f"{arr} AS issues")
+    out = agg.selectExpr(*keys, "_n AS data_rows", f"{arr} AS issues")
+    return out.withColumn("issues", F.expr(_STOPPED))
+
+
+STRUCTURAL = ("missing_columns", "missing_price_columns", "missing_date", "invalid_data_type")
+# A missing column (V2) ends the validation after the structure checks; a missing price column
+# (V5) ends the price checks.
+_AFTER_PRICES = ("missing_price_data", "date_gaps")
+
+
+def _quoted(names: Sequence[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+_STOPPED = (
+    "CASE WHEN exists(issues, x -> x.issue_type = 'missing_columns') "
+    f"THEN filter(issues, x -> x.issue_type IN ({_quoted([t for t in STRUCTURAL if t != 'missing_price_columns'])})) "
+    "WHEN exists(issues, x -> x.issue_type = 'missing_price_columns') "
+    f"THEN filter(issues, x -> x.issue_type IN ({_quoted(STRUCTURAL + _AFTER_PRICES)})) ELSE issues END")
 
 
 def validate_bars(bars: DataFrame, checks: Sequence[Check] | None = None,
@@ -187,9 +206,6 @@ def summarize(validated: DataFrame, keys: Sequence[str] = ("symbol", "source"),
         "data_rows", f"{valid} AS is_valid")
 
 
-STRUCTURAL = ("missing_columns", "missing_price_columns", "missing_date", "invalid_data_type")
-
-
 def with_further_issues(validated: DataFrame, *further: DataFrame) -> DataFrame:
     """The issues of the market-hours check (V24), of the comparison with a reference
     source (V25) and the like, keyed by symbol, joined to a validation, so that the summary

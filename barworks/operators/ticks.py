@@ -1,13 +1,15 @@
 """Row-level quote validation.
 
-Every check is a ``when(cond, struct)``; the results of one record form an
-array (NULLs filtered), which is exploded for the issue rows (T11) and
-reduced in place for the per-record summary and verdict (T12-T13) - no
+Every check is a condition with a result.  The results of one record form an
+array (NULLs filtered), which is exploded for the issue rows (T11); the
+per-record summary and verdict (T12-T13) add up the conditions themselves.  No
 shuffle beyond the per-symbol average volume used by the spike check.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +27,25 @@ GAP_THRESHOLD = 0.10
 FUTURE_SECONDS = 300
 
 LEVELS = ("info", "warning", "error", "critical")
+_VERDICT = ("CASE WHEN total_checks > 0 THEN passed * 100.0D / total_checks ELSE 0.0D END AS success_rate",
+            "failed = 0 AND critical_count = 0 AS is_valid")
+
+
+@dataclass(frozen=True)
+class TickCheck:
+    """One result of the quote checks, declared as Spark SQL expressions."""
 
+    check: str
+    level: str
+    valid: bool
+    field: str
+    cond: str
+    value: str = "NULL"
+    message: str | None = None
 
-def _r(check: str, level: str, valid: bool, field: str, value: str = "NULL") -> str:
-    return (f"named_struct('check', '{check}', 'level', '{level}', 'is_valid', {str(valid).lower()}, "
-            f"'field', '{field}', 'value', CAST({value} AS DOUBLE))")
+    def struct(self) -> str:
+        return (f"named_struct('check', '{self.check}', 'level', '{self.level}', 'is_valid', {str(self.valid).lower()}, "
+                f"'field', '{self.field}', 'value', CAST({self.value} AS DOUBLE))")
 
 
 def flatten_ticks(ticks: DataFrame) -> DataFrame:
@@ -42,16 +58,8 @@ def _limit_sql(category: str = "category") -> str:
     return f"CASE {category} {cases} ELSE {DEFAULT_LIMIT}D END"
 
 
-def tick_results(ticks: DataFrame, as_of: Column, volumes: DataFrame | None = None) -> DataFrame:
-    """Per record the array ``results`` of all checks, gates applied
-    (declared as expression text; ``as_of`` is materialised as a column first
-    because subqueries may not sit inside the array filter).  ``volumes`` (symbol,
-    volume): where the symbol averages come from, when that is cheaper to read
-    than the quotes with all that was joined to them."""
-    t = flatten_ticks(ticks).withColumn("_as_of", as_of)
-    if "avg_volume" not in t.columns:
-        avg = (t if volumes is None else volumes).groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
-        t = t.join(avg, "symbol", "left")
+def tick_checks() -> list[TickCheck]:
+    """T1-T10 in the order of their run, gates applied.  The messages are kept for what a summary lists."""
     full = ("open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL "
             "AND volume IS NOT NULL")                                                    # T3
     pmax, pmin = "greatest(open, high, low, close)", "least(open, high, low, close)"
@@ -61,30 +69,48 @@ def tick_results(ticks: DataFrame, as_of: Column, volumes: DataFrame | None = No
     in_session = (f"(({tod} >= '{REGULAR_START}' AND {tod} <= '{REGULAR_END}') OR "
                   f"({tod} >= '{PRE_MARKET_START}' AND {tod} < '{REGULAR_START}') OR "
                   f"({tod} >= '{POST_MARKET_START}' AND {tod} <= '{POST_MARKET_END}'))")
-    checks = [
-        ("symbol IS NULL", _r("required_fields", "error", False, "symbol")),               # T1
-        ("ts IS NULL", _r("required_fields", "error", False, "timestamp")),
-        (f"{full} AND high < greatest(open, close)", _r("ohlc", "error", False, "high", "high")),  # T4
-        (f"{full} AND low > least(open, close)", _r("ohlc", "error", False, "low", "low")),
-        (f"{full} AND {pmin} <= 0", _r("ohlc", "error", False, "price", pmin)),
-        (f"{full} AND {pmax} > {MAX_PRICE}", _r("price_range", "warning", False, "price", pmax)),  # T5
-        (f"{full} AND {pmin} < {MIN_PRICE}", _r("price_range", "error", False, "price", pmin)),
-        ("volume < 0", _r("volume", "error", False, "volume", "volume")),                  # T6
-        (f"avg_volume IS NOT NULL AND volume > avg_volume * {VOLUME_SPIKE}",
-         _r("volume", "warning", True, "volume", "volume")),
-        (f"close IS NOT NULL AND previous_close > 0 AND {chg} >= {_limit_sql()}",          # T7
-         _r("circuit_breaker", "critical", True, "circuit_breaker", chg)),
-        (f"ts > _as_of + make_dt_interval(0, 0, 0, {FUTURE_SECONDS})",                     # T8
-         _r("timestamp", "warning", False, "timestamp")),
-        ("weekday(ts) >= 5", _r("market_hours", "info", True, "market_hours")),           # T9
-        (f"NOT (weekday(ts) >= 5) AND ts IS NOT NULL AND NOT {in_session}",
-         _r("market_hours", "warning", True, "market_hours")),
-        (f"open IS NOT NULL AND previous_close > 0 AND {gap} > {GAP_THRESHOLD}",           # T10
-         _r("price_gap", "warning", True, "price_gap", gap)),
+    c = TickCheck
+    return [
+        c("required_fields", "error", False, "symbol", "symbol IS NULL",                   # T1
+          message="Missing required field: symbol"),
+        c("required_fields", "error", False, "timestamp", "ts IS NULL", message="Missing required field: timestamp"),
+        c("ohlc", "error", False, "high", f"{full} AND high < greatest(open, close)", "high",  # T4
+          "High price below open or close"),
+        c("ohlc", "error", False, "low", f"{full} AND low > least(open, close)", "low", "Low price above open or close"),
+        *[c("ohlc", "error", False, x, f"{full} AND {x} <= 0", x, f"Non-positive price for {x}")
+          for x in ("open", "high", "low", "close")],
+        c("price_range", "warning", False, "price_range", f"{full} AND {pmax} > {MAX_PRICE}", pmax),  # T5
+        c("price_range", "error", False, "price_range", f"{full} AND {pmin} < {MIN_PRICE}", pmin,
+          "Extremely low price"),
+        c("volume", "error", False, "volume", "volume < 0", "volume", "Negative volume"),  # T6
+        c("volume", "warning", True, "volume", f"avg_volume IS NOT NULL AND volume > avg_volume * {VOLUME_SPIKE}", "volume"),
+        c("circuit_breaker", "critical", True, "circuit_breaker",                          # T7
+          f"close IS NOT NULL AND previous_close > 0 AND {chg} >= {_limit_sql()}", chg, "Circuit breaker limit reached"),
+        c("timestamp", "warning", False, "timestamp", f"ts > _as_of + make_dt_interval(0, 0, 0, {FUTURE_SECONDS})"),  # T8
+        c("market_hours", "info", True, "market_hours", "weekday(ts) >= 5"),               # T9
+        c("market_hours", "warning", True, "market_hours", f"NOT (weekday(ts) >= 5) AND ts IS NOT NULL AND NOT {in_session}"),
+        c("price_gap", "warning", True, "price_gap",                                       # T10
+          f"open IS NOT NULL AND previous_close > 0 AND {gap} > {GAP_THRESHOLD}", gap),
     ]
-    items = ", ".join(f"CASE WHEN {cond} THEN {res} END" for cond, res in checks)
-    return t.selectExpr("event_id", "symbol", "ts",
-                        f"filter(array({items}), x -> x IS NOT NULL) AS results")
+
+
+def _prepared(ticks: DataFrame, as_of: Column, volumes: DataFrame | None) -> DataFrame:
+    """Flat quotes with ``_as_of`` (a column first, because subqueries may not sit inside
+    the array filter) and the symbol's average volume.  ``volumes`` (symbol, volume): where
+    the averages come from, when that is cheaper to read than the quotes with all that was
+    joined to them."""
+    t = flatten_ticks(ticks).withColumn("_as_of", as_of)
+    if "avg_volume" not in t.columns:
+        avg = (t if volumes is None else volumes).groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
+        t = t.join(avg, "symbol", "left")
+    return t
+
+
+def tick_results(ticks: DataFrame, as_of: Column, volumes: DataFrame | None = None) -> DataFrame:
+    """Per record the array ``results`` of all check results (structs)."""
+    items = ", ".join(f"CASE WHEN {c.cond} THEN {c.struct()} END" for c in tick_checks())
+    return _prepared(ticks, as_of, volumes).selectExpr(
+        "event_id", "symbol", "ts", f"filter(array({items}), x -> x IS NOT NULL) AS results")
 
 
 def tick_issues(results: DataFrame) -> DataFrame:
@@ -94,27 +120,47 @@ def tick_issues(results: DataFrame) -> DataFrame:
 
 
 def tick_summary(results: DataFrame) -> DataFrame:
-    """T12 + T13 per record: totals, passed/failed, counts by level, success
-    rate (0 when no results) and the verdict (no failure, no critical)."""
+    """The counts and the verdict of ``quote_summary`` from rows of ``tick_results``."""
     def n(pred: str) -> str:
         return f"CAST(size(filter(results, x -> {pred})) AS BIGINT)"
-
-    def level(lv: str) -> str:
-        return n(f"x.level = '{lv}'")
-    total, passed, failed = "CAST(size(results) AS BIGINT)", n("x.is_valid"), n("NOT x.is_valid")
     return results.selectExpr(
-        "event_id", "symbol", f"{total} AS total_checks", f"{passed} AS passed",
-        f"{failed} AS failed", *[f"{level(lv)} AS {lv}_count" for lv in LEVELS],
-        f"CASE WHEN {total} > 0 THEN {passed} * 100.0D / {total} ELSE 0.0D END AS success_rate",
-        f"{failed} = 0 AND {level('critical')} = 0 AS is_valid")
+        "event_id", "symbol", "CAST(size(results) AS BIGINT) AS total_checks", f"{n('x.is_valid')} AS passed",
+        f"{n('NOT x.is_valid')} AS failed", *["{} AS {}_count".format(n(f"x.level = '{lv}'"), lv) for lv in LEVELS]
+    ).selectExpr("*", *_VERDICT)
+
+
+def quote_summary(ticks: DataFrame, as_of: Column, volumes: DataFrame | None = None) -> DataFrame:
+    """T12 + T13 per record: totals, passed / failed, counts by level, success rate (0
+    when no results), the verdict (no failure, no critical) and the messages of the critical
+    results and of the failed errors, in the checks' order.
+
+    The checks' conditions become flags that are added up; no array of results is built."""
+    checks = tick_checks()
+    t = _prepared(ticks, as_of, volumes).selectExpr(
+        "event_id", "symbol", *[f"coalesce({c.cond}, false) AS _f{i}" for i, c in enumerate(checks)])
+
+    def n(keep) -> str:
+        flags = [f"CAST(_f{i} AS BIGINT)" for i, c in enumerate(checks) if keep(c)]
+        return " + ".join(flags) or "0L"
+
+    def texts(keep) -> str:
+        listed = [f"CASE WHEN _f{i} THEN '{c.message}' END" for i, c in enumerate(checks) if keep(c)]
+        return f"array_compact(array({', '.join(listed)}))"
+
+    t = t.selectExpr(
+        "event_id", "symbol", f"{n(lambda c: True)} AS total_checks", f"{n(lambda c: c.valid)} AS passed",
+        f"{n(lambda c: not c.valid)} AS failed", *[f"{n(lambda c, lv=lv: c.level == lv)} AS {lv}_count" for lv in LEVELS],
+        f"{texts(lambda c: c.level == 'critical')} AS critical_issues",
+        f"{texts(lambda c: c.level == 'error' and not c.valid)} AS errors")
+    return t.selectExpr("*", *_VERDICT)
 
 
 def raw_type_issues(raw: DataFrame, numeric=("last_price", "volume", "previous_close")) -> DataFrame:
     """T2 over landed text fields: a value present that does not parse."""
     checks = [f"CASE WHEN {c} IS NOT NULL AND try_cast({c} AS DOUBLE) IS NULL "
-              f"THEN {_r('data_types', 'error', False, c)} END" for c in numeric if c in raw.columns]
+              f"THEN {TickCheck('data_types', 'error', False, c, '').struct()} END" for c in numeric if c in raw.columns]
     if "ts" in raw.columns:
         checks.append("CASE WHEN ts IS NOT NULL AND try_to_timestamp(ts) IS NULL "
-                      f"THEN {_r('timestamp', 'error', False, 'timestamp')} END")
+                      f"THEN {TickCheck('timestamp', 'error', False, 'timestamp', '').struct()} END")
     res = f"filter(array({', '.join(checks)}), x -> x IS NOT NULL)"
     return raw.selectExpr("symbol", f"explode({res}) AS r").select("symbol", "r.*")

@@ -46,6 +46,11 @@ _cte("bars_dirty", """
 SELECT symbol, date, open, high, low, close, volume, load_seq, source FROM bars_dirty_u""",
      "bars_dirty_u")
 
+_cte("bars_partial", """
+SELECT symbol, CASE WHEN uid % 9 = 6 THEN NULL ELSE date END AS date, CASE WHEN uid % 9 = 4 THEN NULL ELSE open END AS open,
+       high, low, close, CASE WHEN uid % 9 = 5 THEN NULL ELSE volume END AS volume, load_seq, source
+FROM bars_dirty_u""", "bars_dirty_u")
+
 _cte("vendor_a", """
 SELECT symbol, date, open, high, low, close, volume, load_seq, source FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY load_seq) AS rn

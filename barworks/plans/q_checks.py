@@ -31,6 +31,8 @@ def _specs():
     for c in ("open", "high", "low", "close", "volume"):
         s.append(("missing_columns", "'critical'", c, f"count({c})", "", V.ACTIONS["missing_columns"], "struct"))
     s.append(("missing_date", "'error'", "date", "count(date)", "", V.ACTIONS["missing_date"], "struct"))
+    s.append(("missing_price_columns", "'critical'", None, "least(count(open), count(high), count(low), count(close))",
+              "", None, "price"))
     for c in PRICES:
         s.append(("negative_prices", "'error'", c, f"count_if({c} < 0)", "",
                   V.ACTIONS["negative_prices"].format(col=c), "price"))
@@ -66,7 +68,7 @@ def issues_sql(src: str, kinds: tuple[str, ...]) -> tuple[str, list[tuple[str, s
                      f"FROM enr2 GROUP BY symbol, source")]
     parts = []
     for i, (it, sev, col, _, gate, act, kind) in enumerate(specs):
-        struct = it in ("missing_columns", "missing_date")
+        struct = it in ("missing_columns", "missing_date", "missing_price_columns")
         fire = f"k{i} = 0" if struct else f"k{i} > 0"
         if gate:
             fire += f" AND {gate}"
@@ -74,12 +76,17 @@ def issues_sql(src: str, kinds: tuple[str, ...]) -> tuple[str, list[tuple[str, s
         parts.append(f"SELECT symbol, source, '{it}' AS issue_type, {sev.format(i=i)} AS severity, "
                      f"{_lit(col)} AS \"column\", {aff} AS affected_rows, "
                      f"{_lit(act)} AS suggested_action FROM agg WHERE {fire}")
-    return "\nUNION ALL\n".join(parts), extra
+    # a missing column ends the validation, a missing price column the price checks
+    union = "\nUNION ALL\n".join(parts)
+    return f"""SELECT * FROM ({union}) WINDOW own AS (PARTITION BY symbol, source)
+QUALIFY CASE WHEN bool_or(issue_type = 'missing_columns') OVER own THEN issue_type IN ('missing_columns', 'missing_date')
+             WHEN bool_or(issue_type = 'missing_price_columns') OVER own
+             THEN issue_type IN ('missing_price_columns', 'missing_date', 'missing_price_data', 'date_gaps')
+             ELSE true END""", extra
 
 
-def _issues_query(kinds):
-    body, extra = issues_sql("bars_dirty", kinds)
-    return body, extra
+def _issues_query(kinds, src="bars_dirty"):
+    return issues_sql(src, kinds)
 
 
 _P_BODY, _P_EXTRA = _issues_query(("price",))
@@ -102,6 +109,24 @@ def issues_missing(spark, sf_dir):
 
 _A_BODY, _A_EXTRA = _issues_query(("struct", "price", "missing"))
 
+_V5_BODY, _V5_EXTRA = _issues_query(("price", "missing"), "bars_partial")
+
+
+@query("missing_price_columns", _V5_BODY, ("bars_partial",), extra=_V5_EXTRA)
+def missing_price_columns(spark, sf_dir):
+    """V5: price and missing-data checks where some symbols come without a column: a missing
+    price column is reported and ends the price checks."""
+    return V.issues_of(V.validate_bars(fx.bars_partial(spark, sf_dir), V.price_checks() + V.missing_checks()))
+
+
+_V2_BODY, _V2_EXTRA = _issues_query(("struct", "price", "missing"), "bars_partial")
+
+
+@query("missing_columns", _V2_BODY, ("bars_partial",), extra=_V2_EXTRA)
+def missing_columns(spark, sf_dir):
+    """V2, V3: all checks on the same bars: a missing column ends the validation, a missing date does not."""
+    return V.issues_of(V.validate_bars(fx.bars_partial(spark, sf_dir)))
+
 _SUMMARY_SQL = """
 SELECT a.symbol, a.source, CAST(coalesce(i.total, 0) AS BIGINT) AS total_issues,
        CAST(coalesce(i.crit, 0) AS BIGINT) AS critical_issues,

@@ -69,6 +69,13 @@ def bars_dirty(spark: SparkSession, sf_dir: str, keep_uid: bool = False) -> Data
     return d if keep_uid else d.drop("uid")
 
 
+def bars_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bars_dirty`` where some symbols lack a column: open (uid % 9 = 4), volume (5) or date (6)."""
+    return bars_dirty(spark, sf_dir, keep_uid=True).selectExpr(
+        "symbol", "CASE WHEN uid % 9 <> 6 THEN date END AS date", "CASE WHEN uid % 9 <> 4 THEN open END AS open",
+        "high", "low", "close", "CASE WHEN uid % 9 <> 5 THEN volume END AS volume", "load_seq", "source")
+
+
 def vendor_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary vendor: dirty bars, de-duplicated (first load_seq per day), minus uid % 10 = 7."""
     from ..functions.exprs import dedupe

@@ -100,3 +100,39 @@ def test_missing_column_stops_the_pass(spark):
     got = {r["symbol"]: r for r in V.grade(V.summarize(V.with_further_issues(V.validate_bars(bars), more))).collect()}
     assert got["A"]["critical_issues"] == 1 and got["A"]["total_issues"] == 1 and got["A"]["quality"] == "unusable"
     assert got["B"]["info_issues"] == 1 and got["B"]["error_issues"] == 1 and got["B"]["quality"] == "fair"
+
+
+def test_each_price_that_is_not_positive_is_reported(spark):
+    """T4 gives one result per price with its own field; T12 lists the messages in order."""
+    rows = [("A", dt.datetime(2024, 1, 3, 10, 0), 1, 1.0, (-1.0, 0.0, -2.0, 5.0), 10.0, "normal", None),
+            (None, None, 2, 1.0, (1.0, 2.0, 0.5, 1.5), -5.0, "index", 1.0),
+            ("B", dt.datetime(2024, 1, 3, 10, 0), 3, 1.0, (1.0, 2.0, 0.5, 1.5), 10.0, "normal", None)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, event_id long, last_price double, "
+                                     "ohlc struct<open:double,high:double,low:double,close:double>, "
+                                     "volume double, category string, previous_close double")
+    as_of = F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz")
+    found = [(r["check"], r["field"]) for r in T.tick_issues(T.tick_results(df, as_of)).filter("event_id = 1").collect()]
+    assert found == [("ohlc", "high"), ("ohlc", "open"), ("ohlc", "high"), ("ohlc", "low"), ("price_range", "price_range")]
+    got = {r["event_id"]: r for r in T.quote_summary(df, as_of).collect()}
+    assert got[1]["errors"] == ["High price below open or close", "Non-positive price for open",
+                                "Non-positive price for high", "Non-positive price for low", "Extremely low price"]
+    assert got[1]["failed"] == 5 and got[1]["critical_issues"] == []
+    assert got[2]["errors"] == ["Missing required field: symbol", "Missing required field: timestamp", "Negative volume"]
+    assert got[2]["critical_issues"] == ["Circuit breaker limit reached"]
+    assert got[3]["total_checks"] == 0 and got[3]["is_valid"] and got[3]["success_rate"] == 0.0
+    counts = ["event_id", "total_checks", "passed", "failed", "error_count", "critical_count", "success_rate", "is_valid"]
+    old = T.tick_summary(T.tick_results(df, as_of))
+    assert sorted(map(tuple, old.select(counts).collect())) == sorted(tuple(r[c] for c in counts) for r in got.values())
+
+
+def test_missing_price_column_ends_the_price_checks(spark):
+    rows = [("A", "x", dt.date(2024, 1, d), None, 1.0, 2.0, -1.0, 5.0, d) for d in range(1, 4)]
+    bars = spark.createDataFrame(rows, "symbol string, source string, date date, open double, high double, low double, "
+                                       "close double, volume double, load_seq long")
+    kinds = [r["issue_type"] for r in V.issues_of(V.validate_bars(bars, V.price_checks())).collect()]
+    assert kinds == ["missing_price_columns"]
+    kinds = [r["issue_type"] for r in V.issues_of(V.validate_bars(bars)).collect()]
+    assert kinds == ["missing_columns"]           # the structure checks end the validation before
+    dateless = bars.withColumn("open", F.lit(1.0)).withColumn("date", F.lit(None).cast("date"))
+    kinds = {r["issue_type"] for r in V.issues_of(V.validate_bars(dateless)).collect()}
+    assert {"missing_date", "negative_prices"} <= kinds and "missing_columns" not in kinds
