@@ -157,3 +157,26 @@ def table_backtests(spark, sf_dir):
                           "paper", day(2))
     return _kept(spark, "table-backtests", work).select(
         "backtest_id", "strategy_id", "total_return_pct", "trades_count", "metadata", "mode", "date")
+
+
+_SEGMENT = "CASE load_seq % 5 WHEN 0 THEN '001' WHEN 1 THEN 'A:B' WHEN 2 THEN 'x/y=%z' WHEN 3 THEN '1' END"
+
+
+@query("table_text_partitions", f"""
+SELECT symbol, date, CASE WHEN load_seq % 3 = 0 THEN close + 1 ELSE close END AS close,
+       CASE WHEN load_seq % 3 = 0 THEN load_seq + 1000000000 ELSE load_seq END AS load_seq, {_SEGMENT} AS segment
+FROM bars WHERE load_seq % 5 <> 1 AND symbol <> 'S7'""", ("bars",), doubles="close")
+def table_text_partitions(spark, sf_dir):
+    """S9 + S14 on a table partitioned by a text: values that look like numbers, hold characters
+    that paths escape, or are null; a third written again, one value and one symbol deleted."""
+    bars = fx.bars(spark, sf_dir).select("symbol", "date", "close", "load_seq", F.expr(_SEGMENT).alias("segment"))
+    again = bars.filter("load_seq % 3 = 0").withColumns(
+        {"close": F.col("close") + 1, "load_seq": F.col("load_seq") + 1_000_000_000})
+    path = K.scratch(spark, "table-text")
+    S.write_table(bars, path, partition_by="segment")
+    S.upsert(spark, path, again, ["symbol", "date", "segment"], partition_by="segment")
+    S.delete_where(spark, path, F.col("segment") == "A:B", "segment")
+    S.delete_where(spark, path, F.col("symbol") == "S7", "segment")
+    rows = S.stored(spark, path, "segment").checkpoint()
+    S.remove_path(spark, path)
+    return rows.select(*bars.columns)

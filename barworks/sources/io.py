@@ -10,6 +10,7 @@ with dynamic partition overwrite, so a lost executor only retries tasks.
 
 from __future__ import annotations
 
+import re
 import uuid
 from typing import Iterable, Sequence
 
@@ -240,12 +241,48 @@ def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
-def _current(spark: SparkSession, path: str, partition_by: str, kind: T.DataType | None = None) -> DataFrame:
-    """The stored table; a partition column whose only value is null has no type of its own."""
-    df = spark.read.parquet(path)
-    if df.schema[partition_by].dataType == T.NullType():
-        df = df.withColumn(partition_by, F.lit(None).cast(kind or T.StringType()))
-    return df
+def _folders(spark: SparkSession, path: str, partition_by: str) -> dict[str | None, str]:
+    """The table's partition folders by their value: the text as written (unescaped), None for null."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    out: dict[str | None, str] = {}
+    for f in fs.listStatus(p) if fs.exists(p) else []:
+        name = f.getPath().getName()
+        if f.isDirectory() and name.startswith(f"{utils.escapePathName(partition_by)}="):
+            value = name.split("=", 1)[1]
+            value = None if value == "__HIVE_DEFAULT_PARTITION__" else utils.unescapePathName(value)
+            out[value] = f.getPath().toString()
+    return out
+
+
+def _lossless(values: list[str], kind: T.DataType) -> bool:
+    """Whether the values' texts are those that ``kind`` writes."""
+    if isinstance(kind, T.DateType):
+        return all(re.fullmatch(r"\d{4}-\d\d-\d\d", v) for v in values)
+    if isinstance(kind, T.IntegralType):
+        return all(re.fullmatch(r"0|-?[1-9]\d*", v) for v in values)
+    return False
+
+
+def stored(spark: SparkSession, path: str, partition_by: str, kind: T.DataType | None = None) -> DataFrame:
+    """The stored table.  The partition column is read as the text of its folders and then
+    given its type: ``kind``, or without it a date or whole number when every value is
+    written like one, else text ("001" stays "001")."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")
+    try:
+        df = spark.read.parquet(path)
+        df.schema
+    finally:
+        spark.conf.set(name, before)
+    if kind is None:
+        values = [v for v in _folders(spark, path, partition_by) if v is not None]
+        fits = (k for k in (T.DateType(), T.LongType()) if values and _lossless(values, k))
+        kind = next(fits, T.StringType())
+    return df.withColumn(partition_by, F.col(partition_by).cast(kind))
 
 
 def _rewrite(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, partition_by: str,
@@ -257,8 +294,8 @@ def _rewrite(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame
     touched, where_t = _stage(touched.select(F.col(partition_by).cast(kind)), name + "-parts")
     staged, where = _stage(rows, name)
     remaining = staged.select(partition_by).distinct()
-    emptied = [r[0] for r in touched.join(remaining, _same(touched, remaining, [partition_by]),
-                                          "left_anti").collect()]  # partition values only
+    gone = touched.join(remaining, _same(touched, remaining, [partition_by]), "left_anti")
+    emptied = [r[0] for r in gone.select(F.col(partition_by).cast("string")).collect()]  # partition values only
     _swap_partitions(staged, path, partition_by)
     _drop_partitions(spark, path, partition_by, emptied)
     remove_path(spark, where)
@@ -276,7 +313,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[s
     if not _has_files(spark, path):
         write_table(incoming, path, "append", partition_by, ())
         return
-    current = _current(spark, path, partition_by, incoming.schema[partition_by].dataType)
+    current = stored(spark, path, partition_by, incoming.schema[partition_by].dataType)
     incoming = incoming.select(*current.columns)
     touched = incoming.select(partition_by)
     if partition_by not in keys:
@@ -308,11 +345,12 @@ def upsert_backtest(spark: SparkSession, path: str, results: DataFrame, mode: st
 
 
 def delete_where(spark: SparkSession, path: str, cond: Column, partition_by: str = "date") -> None:
-    """Delete rows matching ``cond`` (rows where it is NULL stay).
+    """Delete rows matching ``cond`` (rows where it is NULL stay).  The partition column has
+    the type that ``stored`` reads from its folders.
 
     Only partitions holding a matching row are rewritten; a partition left
     empty is removed through the Hadoop FileSystem of the table path."""
-    current = _current(spark, path, partition_by)
+    current = stored(spark, path, partition_by)
     hit = current.filter(cond).select(partition_by).distinct()
     affected = current.join(hit, _same(current, hit, [partition_by]), "left_semi")
     _rewrite(spark, path, affected.filter(without(cond)), hit, partition_by, "delete")
@@ -333,7 +371,7 @@ def expire_partitions(spark: SparkSession, path: str, cutoff, partition_by: str
     The list of partition values comes from the file index, not the rows."""
     parts = spark.read.parquet(path).select(partition_by).distinct()
     old = [r[0] for r in parts.filter(F.col(partition_by) < F.lit(cutoff).cast("date")).collect()]
-    _drop_partitions(spark, path, partition_by, old)
+    _drop_partitions(spark, path, partition_by, old)  # dates are written as they print
     return old
 
 
@@ -350,12 +388,12 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 
 
 def _drop_partitions(spark: SparkSession, path: str, partition_by: str, values: Iterable) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Remove the folders of these partition values, found by their unescaped names."""
+    folders = _folders(spark, path, partition_by)
     for v in values:
-        folder = "__HIVE_DEFAULT_PARTITION__" if v is None else v
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_by}={folder}")
-        p.getFileSystem(conf).delete(p, True)
+        folder = folders.get(v if v is None else str(v))
+        if folder is not None:
+            remove_path(spark, folder)
 
 
 # -- universe files (S18-S20) ----------------------------------------------

@@ -317,3 +317,32 @@ def test_tiered_fetch_tells_equal_source_names_apart(spark):
         got = R.tiered_fetch(a, b, strategy=strategy).collect()
         assert [r["close"] for r in got] == [close] * 3, strategy
     assert not any(r["imputed"] for r in R.tiered_fetch(a, b, impute_missing=False).collect())
+
+
+def test_upsert_and_delete_on_text_partitions(spark, tmp_dir):
+    """"001" stays a text, and a value that its folder escapes is found again."""
+    path = os.path.join(tmp_dir, "t")
+    schema = "segment string, k long, v string, load_seq long"
+    S.write_table(spark.createDataFrame([("001", 1, "a", 1), ("1", 1, "b", 1), ("A:B", 2, "c", 1), ("x=y/%", 3, "d", 1),
+                                         (None, 4, "e", 1)], schema), path, partition_by="segment", cluster_by=())
+    S.upsert(spark, path, spark.createDataFrame([("001", 1, "a2", 2), ("A:B", 2, "c2", 2), (None, 4, "e2", 2)], schema),
+             ["segment", "k"], partition_by="segment")
+
+    def rows():
+        return sorted(((r["segment"] or "", r["v"]) for r in S.stored(spark, path, "segment").collect()))
+    assert rows() == [("", "e2"), ("001", "a2"), ("1", "b"), ("A:B", "c2"), ("x=y/%", "d")]
+    S.delete_where(spark, path, F.col("segment").isin("A:B", "x=y/%"), "segment")
+    assert rows() == [("", "e2"), ("001", "a2"), ("1", "b")]
+    S.delete_where(spark, path, F.col("segment").isNull() | (F.col("segment") == "1"), "segment")
+    assert rows() == [("001", "a2")]
+    assert [n for n in os.listdir(path) if "=" in n] == ["segment=001"]
+
+
+def test_stored_partition_types(spark, tmp_dir):
+    from pyspark.sql import types as T
+    for name, values, kind in [("d", ["2024-01-02"], T.DateType()), ("n", ["7", "-3"], T.LongType()),
+                               ("t", ["7", "007"], T.StringType()), ("z", [None], T.StringType())]:
+        path = os.path.join(tmp_dir, name)
+        S.write_table(spark.createDataFrame([(v, 1) for v in values], "p string, n long"), path, partition_by="p", cluster_by=())
+        assert S.stored(spark, path, "p").schema["p"].dataType == kind
+        assert S.stored(spark, path, "p", T.StringType()).schema["p"].dataType == T.StringType()
