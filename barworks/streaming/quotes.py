@@ -1,10 +1,10 @@
 """Structured Streaming for quotes and signals (K1-K6).
 
 Sources are file streams (Kafka in production works the same way: only the
-``readStream`` format changes).  Stateful results are kept with ``foreachBatch``
-merges that are idempotent: a replayed batch first drops what it wrote before, so
-running it again yields the same table.  Every query keeps its offsets in a
-checkpoint under the cluster's shared checkpoint folder.
+``readStream`` format changes).  Stateful results are kept in keyed tables (``keyed``)
+by ``foreachBatch`` merges that are idempotent: a replayed batch starts from the version
+before it, so running it again yields the same table.  Every query keeps its offsets
+in a checkpoint under the cluster's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.shape import flatten_quotes, market_open
 from ..session import checkpoint_dir
 from ..sources.io import _exists, _is_folder, remove_path, with_symbols
+from .keyed import merge, table
 
 QUOTE_FIELDS = ("last_price", "volume")
 
@@ -51,57 +52,9 @@ def tick_intake(raw: DataFrame, instruments: DataFrame, symbols: DataFrame | Non
     return out
 
 
-#: Columns of a maintained table: the batch that wrote the row, its place among that batch's rows.
-ARRIVAL = ("_batch", "_at")
-
-
-def _rename(spark: SparkSession, a: str, b: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(a).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.rename(path(a), path(b)):
-        raise OSError(f"could not rename {a} to {b}")
-
-
-def _recover(spark: SparkSession, path: str) -> None:
-    """Finish a swap that was cut short: the table is complete in one of its places."""
-    if not _exists(spark, path):
-        for other in (f"{path}.next", f"{path}.prev"):
-            if _exists(spark, f"{other}/_SUCCESS"):
-                _rename(spark, other, path)
-                break
-    for other in (f"{path}.next", f"{path}.prev"):
-        remove_path(spark, other)
-
-
-def _swap(df: DataFrame, path: str) -> None:
-    """Write the new table beside the old one, then change places by renaming: at any
-    moment one of the two is complete, and ``_recover`` finds it."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.next")
-    if _exists(spark, path):
-        _rename(spark, path, f"{path}.prev")
-    _rename(spark, f"{path}.next", path)
-    remove_path(spark, f"{path}.prev")
-
-
-def _merge(batch: DataFrame, path: str, keys: list[str], batch_id: int, arrival: str | None = None) -> None:
-    """Keep the row of each key that arrived last: the later batch, within a batch the
-    larger ``arrival`` (a sequence or time of the feed; without one, the place in the
-    batch).  Rows of this batch that an earlier run of it wrote go first."""
-    spark = batch.sparkSession
-    _recover(spark, path)
-    at = F.col(arrival) if arrival else F.monotonically_increasing_id()
-    fresh = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_at", at)
-    if _exists(spark, path):
-        fresh = spark.read.parquet(path).filter(F.col("_batch") != batch_id).unionByName(fresh)
-    columns = [c for c in fresh.columns if c not in keys]
-    merged = fresh.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*ARRIVAL)).alias("r")).select(*keys, "r.*")
-    _swap(merged, path)
-
-
 def maintained(spark: SparkSession, path: str) -> DataFrame:
-    """A table kept by ``_merge``, without its bookkeeping columns."""
-    return spark.read.parquet(path).drop(*ARRIVAL)
+    """A table that a stream keeps: a keyed one, or plain Parquet files."""
+    return table(spark, path) if _exists(spark, f"{path}/versions") else spark.read.parquet(path)
 
 
 def taken(spark: SparkSession, path: str, *others: str) -> DataFrame:
@@ -120,7 +73,7 @@ def latest_per(stream: DataFrame, table_path: str, checkpoint: str, keys: list[s
     rows (one that only advances a watermark) leaves the table as it is."""
     def batch(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            _merge(df, table_path, keys, batch_id, arrival)
+            merge(df, table_path, keys, batch_id, arrival)
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
@@ -189,7 +142,7 @@ def run_daily_signal_counts(signals: DataFrame, table_path: str, checkpoint: str
 
     def batch(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            _merge(df, table_path, ["date", "ticker"], batch_id)
+            merge(df, table_path, ["date", "ticker"], batch_id)
 
     w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(batch)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="24 hours")).start()

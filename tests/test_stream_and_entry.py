@@ -2,7 +2,9 @@
 
 from barworks.sources import fixtures as fx
 from barworks.operators import views as Vw
+from barworks.streaming import keyed
 from barworks.streaming import quotes as K
+from barworks.streaming.keyed import merge
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,10 +41,10 @@ def test_batch_merges_are_idempotent(spark, tmp_dir):
     b0 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 1), (dt.date(2024, 1, 1), "B", 2)],
                                "date date, ticker string, n long")
     b1 = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 5)], "date date, ticker string, n long")
-    K._merge(b0, path, ["date", "ticker"], 0)
-    K._merge(b1, path, ["date", "ticker"], 1)
+    merge(b0, path, ["date", "ticker"], 0)
+    merge(b1, path, ["date", "ticker"], 1)
     first = sorted((r["ticker"], r["n"]) for r in K.maintained(spark, path).collect())
-    K._merge(b1, path, ["date", "ticker"], 1)          # replay of batch 1
+    merge(b1, path, ["date", "ticker"], 1)          # replay of batch 1
     again = sorted((r["ticker"], r["n"]) for r in K.maintained(spark, path).collect())
     assert first == again == [("A", 5), ("B", 2)]
 
@@ -52,20 +54,62 @@ def test_last_arrival_wins(spark, tmp_dir):
     import os
     q = os.path.join(tmp_dir, "latest")
     schema = "symbol string, seq long, ts long, last_price double"
-    K._merge(spark.createDataFrame([("A", 2, 9, 11.0), ("A", 1, 3, 10.0), ("B", 3, 1, 7.0)], schema), q, ["symbol"], 0, "seq")
-    K._merge(spark.createDataFrame([("A", 4, 5, 12.0)], schema), q, ["symbol"], 1, "seq")
+    merge(spark.createDataFrame([("A", 2, 9, 11.0), ("A", 1, 3, 10.0), ("B", 3, 1, 7.0)], schema), q, ["symbol"], 0, "seq")
+    merge(spark.createDataFrame([("A", 4, 5, 12.0)], schema), q, ["symbol"], 1, "seq")
     assert sorted((r[0], r[3]) for r in K.maintained(spark, q).collect()) == [("A", 12.0), ("B", 7.0)]
 
 
-def test_swap_cut_short_is_finished(spark, tmp_dir):
+def _files(path):
+    import os
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(os.path.join(path, "data"))
+            for f in names if f.startswith("part-")}
+
+
+def test_merge_cut_short_has_no_effect(spark, tmp_dir):
+    """Data without a manifest, and a manifest that was not written to its end, are no version."""
+    import os
+    path = os.path.join(tmp_dir, "t")
+    schema = "k string, n long"
+    merge(spark.createDataFrame([("A", 1)], schema), path, ["k"], 0)
+    spark.createDataFrame([("A", 9)], schema).write.parquet(os.path.join(path, "data", "1-cut"))
+    with open(os.path.join(path, "versions", "1.json"), "w") as f:
+        f.write('{"batch": 1, "files"')
+    assert [tuple(r) for r in keyed.table(spark, path).collect()] == [("A", 1)]
+    merge(spark.createDataFrame([("B", 2)], schema), path, ["k"], 1)
+    assert sorted(map(tuple, keyed.table(spark, path).collect())) == [("A", 1), ("B", 2)]
+    assert not os.path.exists(os.path.join(path, "data", "1-cut"))
+
+
+def test_one_key_rewrites_one_bucket(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "t")
+    schema = "k string, n long"
+    merge(spark.createDataFrame([(f"K{i}", i) for i in range(200)], schema), path, ["k"], 0, buckets=8)
+    first = _files(path)
+    merge(spark.createDataFrame([("K7", -7)], schema), path, ["k"], 1)
+    (_, before), (_, now) = keyed.versions(spark, path)
+    changed = [b for b in now["files"] if now["files"][b] != before["files"].get(b)]
+    assert len(before["files"]) == 8 and len(changed) == 1
+    kept = {f: t for f, t in _files(path).items() if f in first}
+    assert kept == first                                     # the version before is whole
+    assert {r["k"]: r["n"] for r in keyed.table(spark, path).collect()} == {f"K{i}": i if i != 7 else -7 for i in range(200)}
+    for i in range(2, 5):                                    # older versions go
+        merge(spark.createDataFrame([("K7", i)], schema), path, ["k"], i)
+    assert len(keyed.versions(spark, path)) == 2 and len(_files(path)) <= len(first) + 2
+
+
+def test_replay_starts_from_the_version_before(spark, tmp_dir):
+    """What an earlier run of the batch replaced is there again when the second run has fewer rows."""
     import os
     path = os.path.join(tmp_dir, "t")
     schema = "k string, n long"
-    K._merge(spark.createDataFrame([("A", 1)], schema), path, ["k"], 0)
-    os.rename(path, path + ".prev")            # stopped between the two renames
-    K._merge(spark.createDataFrame([("B", 2)], schema), path, ["k"], 1)
-    assert sorted((r["k"], r["n"]) for r in K.maintained(spark, path).collect()) == [("A", 1), ("B", 2)]
-    assert os.listdir(tmp_dir) == ["t"]
+    merge(spark.createDataFrame([("A", 1), ("B", 1), (None, 1)], schema), path, ["k"], 0)
+    merge(spark.createDataFrame([("A", 2), ("B", 2), ("C", 2)], schema), path, ["k"], 1)
+    merge(spark.createDataFrame([("A", 2), (None, 2)], schema), path, ["k"], 1)
+    got = {r["k"]: r["n"] for r in keyed.table(spark, path).collect()}
+    assert got == {"A": 2, "B": 1, None: 2}
+    merge(spark.createDataFrame([], schema), path, ["k"], 2)
+    assert {r["k"]: r["n"] for r in keyed.table(spark, path).collect()} == got
 
 
 def test_streams_read_a_folder_of_part_files(spark, tmp_dir):
@@ -117,7 +161,7 @@ def test_live_signals_stream(spark, tmp_dir):
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     out, ck = os.path.join(tmp_dir, "live"), os.path.join(tmp_dir, "ck")
     K.live_signals(stream, out, ck).awaitTermination()
-    got = {r["signal_id"]: r["confidence"] for r in spark.read.parquet(out).collect()}
+    got = {r["signal_id"]: r["confidence"] for r in K.maintained(spark, out).collect()}
     assert got == {1: 0.7, 2: 0.1}
 
 
