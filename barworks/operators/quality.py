@@ -42,7 +42,11 @@ def quality_by_symbol(bars: DataFrame) -> DataFrame:
 def quality_score(bars: DataFrame) -> DataFrame:
     """A5: share of symbols with NULL OHLC / zero volume and the score
     max(0, 100 - 50*share_null - 30*share_zero); no symbols -> score 0."""
-    q = quality_by_symbol(bars)
+    return score_of(quality_by_symbol(bars))
+
+
+def score_of(q: DataFrame) -> DataFrame:
+    """A5 from rows of A4, one per symbol."""
     s = q.agg(F.count(F.lit(1)).alias("total_symbols"),
               F.count_if(F.col("null_ohlc_count") > 0).alias("symbols_with_null_ohlc"),
               F.count_if(F.col("zero_volume_count") > 0).alias("symbols_with_zero_volume"))

@@ -145,3 +145,36 @@ def signal_performance(spark, sf_dir):
     s = fx.signals(spark, sf_dir)
     return Q.signal_performance(s, fx.paper_trades(spark, sf_dir), fx.manual_trades(spark, sf_dir),
                                 latest(s, "timestamp"))
+
+
+_RUN = "(dayofmonth(date) - 1) // 11"
+
+
+@query("ingestion_log", f"""
+SELECT run, min(first) AS start_date, max(last) AS end_date, CAST(sum(n) AS BIGINT) AS records_count, count(*) AS symbols_count,
+       greatest(0.0, 100 - 50.0 * count_if(nulls > 0) / count(*) - 30.0 * count_if(zeros > 0) / count(*)) AS run_score,
+       any_value(quality_score) AS quality_score, any_value(total_symbols) AS total_symbols, 'kiteconnect' AS source
+FROM (SELECT {_RUN} AS run, symbol, CAST(count(*) AS BIGINT) AS n, min(date) AS first, max(date) AS last,
+             count_if(open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL) AS nulls,
+             count_if(coalesce(volume, 0) = 0) AS zeros FROM bars_dirty GROUP BY ALL)
+JOIN (SELECT run, count(*) AS total_symbols,
+             greatest(0.0, 100 - 50.0 * count_if(nulls > 0) / count(*) - 30.0 * count_if(zeros > 0) / count(*)) AS quality_score
+      FROM (SELECT r.run, symbol, count_if(open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL) AS nulls,
+                   count_if(coalesce(volume, 0) = 0) AS zeros
+            FROM (SELECT unnest([0, 1, 2]) AS run) r JOIN bars_dirty ON {_RUN} <= r.run GROUP BY ALL)
+      GROUP BY run) USING (run)
+GROUP BY run""", ("bars_dirty",), doubles="run_score quality_score")
+def ingestion_log(spark, sf_dir):
+    """Quality score per ingestion run (the month in three runs): each run adds its own aggregates;
+    the score so far equals one pass over all rows up to the run."""
+    from ..operators import ingestion as G
+    from ..sources.io import remove_path
+    from ..streaming.quotes import scratch
+    bars = fx.bars_dirty(spark, sf_dir)
+    path = scratch(spark, "ingestion")
+    for run in range(3):
+        rows = bars.filter(F.expr("(dayofmonth(date) - 1) div 11") == run)
+        G.log_run(rows, path, run, F.current_timestamp(), fx.PRIMARY_SOURCE)
+    log = G.ingestion_log(spark, path).drop("created_at").checkpoint()
+    remove_path(spark, path)
+    return log

@@ -170,3 +170,29 @@ def test_ledger_against_a_loop(spark, bucket):
             before = cash + value
             seen += 1
     assert seen == len(got)
+
+
+def test_ingestion_log_equals_one_pass(spark, tmp_dir):
+    """After each run, and after a repeated one, the score is that of all rows so far."""
+    import os
+    from barworks.operators import ingestion as G
+    from barworks.operators import quality as Q
+    rnd = random.Random(6)
+    rows = [(f"S{rnd.randint(0, 9)}", day(n), *[rnd.choice([None, 1.0, 2.0, 3.0]) for _ in range(4)], rnd.choice([0.0, 5.0, None, 9.0]))
+            for n in range(12)]
+    df = spark.createDataFrame(rows, "symbol string, date date, open double, high double, low double, close double, volume double")
+    path = os.path.join(tmp_dir, "log")
+    parts = [df.filter(F.dayofmonth("date") % 3 == k) for k in range(3)] + [df.limit(0)]
+    for run, part in enumerate(parts):
+        G.log_run(part, path, run, F.lit("2024-01-02 03:04:05"), "x")
+    G.log_run(parts[1], path, 1, F.lit("2024-01-02 03:04:05"), "x")
+    log = {r["run"]: r for r in G.ingestion_log(spark, path).collect()}
+    assert sorted(log) == [0, 1, 2, 3] and log[3]["records_count"] == 0 and log[3]["run_score"] == 0.0
+    for run in range(4):
+        whole = df.limit(0)
+        for p in parts[:run + 1]:
+            whole = whole.unionByName(p)
+        want = Q.quality_score(whole).first()
+        assert log[run]["quality_score"] == pytest.approx(want["quality_score"])
+        assert log[run]["total_symbols"] == want["total_symbols"]
+    assert sum(r["records_count"] for r in log.values()) == 12
