@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import OHLCV_COLUMNS, PRICE_COLUMNS, dedupe
 from ..functions.quantiles import group_percentiles, multi_percentiles
+from ..functions.spline import interpolate_spline
 from ..functions.series import fill, interpolate_linear, interpolate_local
 
 KEYS = ("symbol",)
@@ -79,6 +80,12 @@ def fill_cubic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, or
     return interpolate_local(df, keys, order, _present(df, cols), 3)
 
 
+def fill_spline(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER,
+                bucket: Column | None = None) -> DataFrame:
+    """One cubic spline through all known values of a symbol."""
+    return interpolate_spline(df, keys, order, _present(df, cols), bucket)
+
+
 def fill_quadratic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS,
                    order=ORDER) -> DataFrame:
     """C29 (re-aimed): local quadratic through the three nearest known points."""
@@ -138,6 +145,7 @@ IMPUTERS: dict[str, Callable[..., DataFrame]] = {
     "backward_fill": fill_backward,
     "linear": fill_linear,
     "polynomial": fill_cubic,
+    "spline": fill_spline,
     "mean": fill_mean,
     "median": fill_median,
     "mode": fill_mode,

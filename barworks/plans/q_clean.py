@@ -328,3 +328,57 @@ def interp_cubic(spark, sf_dir):
 def interp_quadratic(spark, sf_dir):
     """C29 (re-aimed local quadratic through the three nearest known points)."""
     return C.fill_quadratic(fx.vendor_a(spark, sf_dir))
+
+
+# the tridiagonal system by a walk forward and a walk back over each symbol's known closes
+_KNOTS = """
+SELECT *, hp - hp * hp / hm AS c_first, hm - hp * hp / hm AS a_last, 6 * ((v2 - v) / hp - (v - v0) / hm) AS r FROM (
+  SELECT *, p - lag(p) OVER w AS hm, lead(p) OVER w - p AS hp, lag(v) OVER w AS v0, lead(v) OVER w AS v2
+  FROM (SELECT symbol, p, v, row_number() OVER (PARTITION BY symbol ORDER BY p) AS j, count(*) OVER (PARTITION BY symbol) AS n
+        FROM (SELECT symbol, close AS v, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date, load_seq) AS DOUBLE) AS p
+              FROM vendor_a) WHERE v IS NOT NULL)
+  WINDOW w AS (PARTITION BY symbol ORDER BY p))"""
+_ROWS_OF = """
+SELECT *, CASE WHEN j = 2 THEN 0 WHEN j = n - 1 THEN hm - hp * hp / hm ELSE hm END AS ea,
+       2 * (hm + hp) + CASE WHEN j = 2 THEN hm + hm * hm / hp ELSE 0 END + CASE WHEN j = n - 1 THEN hp + hp * hp / hm ELSE 0 END AS eb,
+       CASE WHEN j = n - 1 THEN 0 WHEN j = 2 THEN hp - hm * hm / hp ELSE hp END AS ec
+FROM knots WHERE n >= 4 AND j > 1 AND j < n"""
+_WALKED = """
+SELECT * FROM (WITH RECURSIVE there AS (
+  SELECT symbol, j, ec / eb AS c, r / eb AS d FROM equations WHERE j = 2
+  UNION ALL
+  SELECT e.symbol, e.j, e.ec / (e.eb - e.ea * t.c), (e.r - e.ea * t.d) / (e.eb - e.ea * t.c)
+  FROM there t JOIN equations e ON e.symbol = t.symbol AND e.j = t.j + 1),
+back AS (
+  SELECT t.symbol, t.j, t.d AS m FROM there t JOIN equations e USING (symbol, j) WHERE t.j = e.n - 1
+  UNION ALL
+  SELECT t.symbol, t.j, t.d - t.c * b.m FROM back b JOIN there t ON t.symbol = b.symbol AND t.j = b.j - 1)
+SELECT * FROM back)"""
+_BENT = """
+SELECT k.symbol, k.p, k.v, CASE
+  WHEN k.n < 3 THEN 0
+  WHEN k.n = 3 THEN 2 * any_value(CASE WHEN k.j = 2 THEN (k.v2 - k.v) / k.hp - (k.v - k.v0) / k.hm END) OVER (PARTITION BY k.symbol)
+                      / any_value(CASE WHEN k.j = 2 THEN k.hm + k.hp END) OVER (PARTITION BY k.symbol)
+  WHEN k.j = 1 THEN lead(w.m) OVER s + (lead(w.m) OVER s - lead(w.m, 2) OVER s) * k.hp / lead(k.hp) OVER s
+  WHEN k.j = k.n THEN lag(w.m) OVER s + (lag(w.m) OVER s - lag(w.m, 2) OVER s) * k.hm / lag(k.hm) OVER s
+  ELSE w.m END AS m
+FROM knots k LEFT JOIN walked w USING (symbol, j) WINDOW s AS (PARTITION BY k.symbol ORDER BY k.j)"""
+_SPLINE = """
+SELECT symbol, date, load_seq, CASE WHEN close IS NOT NULL THEN close WHEN z.p IS NOT NULL AND a.p IS NOT NULL THEN
+  (a.m * pow(z.p - p, 3) + z.m * pow(p - a.p, 3)) / (6 * (z.p - a.p)) + (a.v / (z.p - a.p) - a.m * (z.p - a.p) / 6) * (z.p - p)
+  + (z.v / (z.p - a.p) - z.m * (z.p - a.p) / 6) * (p - a.p) END AS close
+FROM (SELECT x.symbol, x.date, x.load_seq, x.close, x.p,
+             last_value(CASE WHEN b.p IS NOT NULL THEN {'p': b.p, 'v': b.v, 'm': b.m} END IGNORE NULLS) OVER (
+               PARTITION BY x.symbol ORDER BY x.p) AS a,
+             first_value(CASE WHEN b.p IS NOT NULL THEN {'p': b.p, 'v': b.v, 'm': b.m} END IGNORE NULLS) OVER (
+               PARTITION BY x.symbol ORDER BY x.p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS z
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date, load_seq) AS DOUBLE) AS p FROM vendor_a) x
+      LEFT JOIN bent b USING (symbol, p))"""
+
+
+@query("interp_spline", _SPLINE, ("vendor_a",), doubles="close",
+       extra=[("knots", _KNOTS), ("equations", _ROWS_OF), ("walked", _WALKED), ("bent", _BENT)])
+def interp_spline(spark, sf_dir):
+    """Gaps in the close from one cubic spline through all of a symbol's closes."""
+    bars = fx.vendor_a(spark, sf_dir).select("symbol", "date", "load_seq", "close")
+    return C.fill_spline(bars, ("close",), ["symbol"], ["date", "load_seq"])
