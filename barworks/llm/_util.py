@@ -9,6 +9,8 @@ into equal ranges, and each range answers the blocks that asked.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 
@@ -49,6 +51,32 @@ def anew(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def tidy(f):
+    """``f`` (over Arrow batches, or over the table of a group) that gives freed memory back to the
+    system when it is done: a worker that waits for its next task then holds what it needs."""
+    def give_back() -> None:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not with every C library
+            pass
+
+    def run(data):
+        out = f(data)
+        if isinstance(out, pa.Table):
+            give_back()
+            return out
+        return passed_on(out)
+
+    def passed_on(batches):
+        yield from batches
+        del batches
+        give_back()
+
+    return run
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values, one at a time (a row may be a large block)."""
     for b in batches:
@@ -182,9 +210,9 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
             yield batch_of(schema, [(i, *map(int, a[:, i])) for i in range(64) if a[:, i].any()])
 
     dealt = blocks.select("block_id", "keys", "counts").mapInArrow(
-        deal, "part int, block_id long, keys binary, counts binary")
+        tidy(deal), "part int, block_id long, keys binary, counts binary")
     raw = cut(dealt.groupBy("part").applyInArrow(
-        total, "block_id long, part int, totals binary, flags binary"))
+        tidy(total), "block_id long, part int, totals binary, flags binary"))
     answers = raw.where("block_id >= 0").groupBy("block_id").agg(
         F.sort_array(F.collect_list(F.struct("part", "totals", "flags"))).alias("answers"))
     classes = raw.where("block_id < 0").select("totals").mapInArrow(

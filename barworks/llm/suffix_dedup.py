@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import answer_arrays, batch_of, block_number, chunks, cut, global_counts, mix64, pack, rows_of, unpack
+from ._util import answer_arrays, batch_of, block_number, chunks, cut, global_counts, mix64, pack, rows_of, tidy, unpack
 
 SPAN, GRAM, STEP = 400, 256, 73
-BLOCK, BATCH, PIECES_PER_TASK, HOT = 4 << 20, 2 << 20, 20_000, 50_000
+BLOCK, BATCH, PIECES_PER_TASK, HOT = 4 << 20, 1 << 20, 20_000, 10_000
 #: A difference cover modulo COVER_MOD (every difference occurs).
 COVER_MOD = 64
 COVER = (1, 2, 3, 6, 15, 17, 35, 43, 60)
@@ -243,7 +243,7 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
                                      pack(counts.astype(np.uint32)), len(keys))])
 
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        to_blocks, "block_id long, ids array<long>, lens binary, data binary, keys binary, counts binary, n_keys long")
+        tidy(to_blocks), "block_id long, ids array<long>, lens binary, data binary, keys binary, counts binary, n_keys long")
     blocks = cut(blocks)
     answers, _ = global_counts(blocks, blocks.agg(F.sum("n_keys")).first()[0] or 0)
     answers = cut(answers)
@@ -295,14 +295,14 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
 
     with_counts = blocks.join(answers, "block_id", "left")
     sent = cut(with_counts.select("block_id", "lens", "data", "answers").mapInArrow(
-        to_bucket, "core long, block_id long, lo int, open boolean, piece binary, keys binary, counts binary, "
+        tidy(to_bucket), "core long, block_id long, lo int, open boolean, piece binary, keys binary, counts binary, "
                    "n_keys long"))
     windows = sent.where("keys is not null").select("block_id", "keys", "counts", "n_keys")
     single, _ = global_counts(windows, windows.agg(F.sum("n_keys")).first()[0] or 0)
     sent = sent.where("piece is not null").select("core", "block_id", "lo", "open", "piece")
     tasks = max(1, -(-sent.count() // PIECES_PER_TASK))
     found = (sent.withColumn("bucket", F.pmod(F.xxhash64("core"), F.lit(tasks)))
-             .groupBy("bucket").applyInArrow(sort_bucket, "block_id long, lo int, bits binary")
+             .groupBy("bucket").applyInArrow(tidy(sort_bucket), "block_id long, lo int, bits binary")
              .groupBy("block_id").agg(F.collect_list(F.struct("lo", "bits")).alias("found")))
     single = single.withColumnRenamed("answers", "single")
 
@@ -341,4 +341,4 @@ def repeated_removed(docs: DataFrame, hot: int = HOT, text_column: str | None =
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return (with_counts.join(found, "block_id", "left").join(single, "block_id", "left")
             .select("ids", "lens", "data", "answers", "found", "single")
-            .mapInArrow(finish, result + (f", {text_column} binary" if text_column else "")))
+            .mapInArrow(tidy(finish), result + (f", {text_column} binary" if text_column else "")))
