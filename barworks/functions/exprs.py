@@ -47,16 +47,6 @@ def is_weekend(ts: str | Column) -> Column:
     return F.weekday(col(ts)) >= 5  # Monday = 0
 
 
-def day_pct_change(cur: str | Column, prev: str | Column) -> Column:
-    """abs(cur/prev - 1) with the pandas edge cases of a shifted-series change:
-    NULL prev or cur -> NULL, prev 0 and cur <> 0 -> +inf, 0/0 -> NULL (NaN)."""
-    c, p = col(cur), col(prev)
-    return (F.when(p.isNull() | c.isNull(), F.lit(None).cast("double"))
-             .when((p == 0) & (c != 0), F.lit(float("inf")))
-             .when(p == 0, F.lit(None).cast("double"))
-             .otherwise(F.abs((c - p) / p)))
-
-
 def dedupe(df: DataFrame, key, by: str, last: bool = False) -> DataFrame:
     """One row per ``key``: the row with the smallest (or largest) ``by``.
 

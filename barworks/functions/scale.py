@@ -18,7 +18,7 @@ def largest_input(df: DataFrame) -> int:
     """Bytes of the largest leaf of the plan; an input of unknown size counts as very large."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    return max((int(s.toString()) for s in sizes), default=0)
+    return max((int(str(s)) for s in sizes), default=0)
 
 
 def is_small(df: DataFrame) -> bool:

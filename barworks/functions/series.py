@@ -268,7 +268,7 @@ def _lagrange(points: list[tuple[str, str]], x: str) -> str:
 
 
 def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                      cols: Sequence[str], degree: int = 3) -> DataFrame:
+                      cols: Sequence[str], degree: int = 3, bucket: Column | None = None) -> DataFrame:
     """C13 (degree 3) / C29 (degree 2): a gap takes the value of the local
     polynomial through the nearest known points by row position - two on each
     side for degree 3 (fewer near the ends), the two neighbours plus the
@@ -280,8 +280,8 @@ def interpolate_local(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and one backward fill deliver the two nearest known points on each side
     without a self-join.  Declared as expression text (one projection per
     step).  On the split plan the same steps run on the segmented helpers."""
-    if _resolve(df, order, None) is not None:
-        return _interpolate_local_split(df, keys, order, cols, degree)
+    if _resolve(df, order, bucket) is not None:
+        return _interpolate_local_split(df, keys, order, cols, degree, bucket)
     w = (f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} "
          f"ORDER BY {', '.join(f'`{o}`' for o in order)}")
     # reversed order: "next known" scans become running frames (linear, not
@@ -329,20 +329,21 @@ def _local_value(c: str, degree: int) -> str:
             f"WHEN _N1_{c} IS NULL THEN {trailing} ELSE {val} END")
 
 
-def _interpolate_local_split(df: DataFrame, keys, order, cols, degree: int) -> DataFrame:
+def _interpolate_local_split(df: DataFrame, keys, order, cols, degree: int,
+                             bucket: Column | None) -> DataFrame:
     """The local polynomial on segmented scans: row position, the known point
     strictly before / after each row (inclusive fill, then the previous /
     next row's value) and the forward / backward fill of the packed points."""
-    b = with_position(df, keys, order, "_pos")
+    b = with_position(df, keys, order, "_pos", bucket)
     known = {f"_k_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p")))
              for c in cols}
-    b = fill(b, keys, order, {f"_fk_{c}": known[f"_k_{c}"] for c in cols}, "forward")
-    b = fill(b, keys, order, {f"_bk_{c}": known[f"_k_{c}"] for c in cols}, "backward")
-    b = with_prev(b, keys, order, [f"_fk_{c}" for c in cols], prefix="_kb")
-    b = with_next(b, keys, order, [f"_bk_{c}" for c in cols], prefix="_ka")
+    b = fill(b, keys, order, {f"_fk_{c}": known[f"_k_{c}"] for c in cols}, "forward", bucket)
+    b = fill(b, keys, order, {f"_bk_{c}": known[f"_k_{c}"] for c in cols}, "backward", bucket)
+    b = with_prev(b, keys, order, [f"_fk_{c}" for c in cols], bucket, "_kb")
+    b = with_next(b, keys, order, [f"_bk_{c}" for c in cols], bucket, "_ka")
     pack = lambda c, q: F.when(F.col(c).isNotNull(), F.struct(
         F.col(c).alias("v"), F.col("_pos").alias("p"), F.col(q).alias("q")))
-    b = fill(b, keys, order, {f"_P1_{c}": pack(c, f"_kb_fk_{c}") for c in cols}, "forward")
-    b = fill(b, keys, order, {f"_N1_{c}": pack(c, f"_ka_bk_{c}") for c in cols}, "backward")
+    b = fill(b, keys, order, {f"_P1_{c}": pack(c, f"_kb_fk_{c}") for c in cols}, "forward", bucket)
+    b = fill(b, keys, order, {f"_N1_{c}": pack(c, f"_ka_bk_{c}") for c in cols}, "backward", bucket)
     keep = [f"`{x}`" if x not in cols else f"{_local_value(x, degree)} AS `{x}`" for x in df.columns]
     return b.selectExpr(*keep)

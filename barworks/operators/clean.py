@@ -75,9 +75,10 @@ def fill_linear(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, o
     return interpolate_linear(df, keys, order, _present(df, cols), bucket)
 
 
-def fill_cubic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER) -> DataFrame:
+def fill_cubic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER,
+               bucket: Column | None = None) -> DataFrame:
     """C13 (re-aimed): local cubic through two known points on each side."""
-    return interpolate_local(df, keys, order, _present(df, cols), 3)
+    return interpolate_local(df, keys, order, _present(df, cols), 3, bucket)
 
 
 def fill_spline(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, order=ORDER,
@@ -87,9 +88,9 @@ def fill_spline(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS, o
 
 
 def fill_quadratic(df: DataFrame, cols: Sequence[str] = OHLCV_COLUMNS, keys=KEYS,
-                   order=ORDER) -> DataFrame:
+                   order=ORDER, bucket: Column | None = None) -> DataFrame:
     """C29 (re-aimed): local quadratic through the three nearest known points."""
-    return interpolate_local(df, keys, order, _present(df, cols), 2)
+    return interpolate_local(df, keys, order, _present(df, cols), 2, bucket)
 
 
 def _stat_fill(df: DataFrame, cols, keys, agg: Callable[[str], Column] | None = None,
@@ -331,11 +332,11 @@ def tiered_impute(df: DataFrame, method: str = "linear", reference: DataFrame |
     elif method == "market_average":
         out = market_average_fill(df, cols)
     elif method == "spline":
-        out = fill_quadratic(df, cols, keys, order)
+        out = fill_quadratic(df, cols, keys, order, bucket)
     else:
         out = fill_linear(df, cols, keys, order, bucket)
     if "volume" in df.columns:
-        out = volume_rolling_median(out, keys, order)
+        out = volume_rolling_median(out, keys, order, bucket=bucket)
     tracked = [*cols] + (["volume"] if "volume" in df.columns else [])
     gaps = (df.groupBy(*keys)
               .agg(F.max(F.greatest(*[F.col(c).isNull() for c in tracked])).alias("_any_null")))

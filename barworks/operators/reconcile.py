@@ -182,7 +182,8 @@ def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear
                  strategy: str = "preferred", impute_missing: bool = True) -> DataFrame:
     """Choose a side per symbol by ``strategy`` (J3-J5 or one side only), impute the
     fair/poor choices (C26), re-validate and re-grade them; everything else passes
-    through.  Without ``impute_missing`` the choices stay as they are.
+    through.  Without ``impute_missing`` the choices stay as they are.  The method
+    ``cross_source`` fills from the vendor that was not chosen for the symbol.
 
     The choice (one row per symbol) is written once as a reliable checkpoint; the bars
     are read again from their source, so nothing large is written."""
@@ -197,7 +198,11 @@ def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear
         return chosen.withColumn("imputed", F.lit(False))
     weak = F.col("quality").isin("fair", "poor")
     keep = chosen.filter(~weak).withColumn("imputed", F.lit(False))
-    fix = tiered_impute(chosen.filter(weak).drop("quality"), method)
+    other = None
+    if method == "cross_source":
+        side = sel.select("symbol", (1 - F.col("_side")).alias("_side"))
+        other = both.join(side, ["symbol", "_side"], "left_semi").drop("_side")
+    fix = tiered_impute(chosen.filter(weak).drop("quality"), method, other)
     regrade = grades(fix).select("symbol", "source", "quality")
     fixed = fix.join(regrade, ["symbol", "source"], "left").withColumn("imputed", F.lit(True))
     return keep.unionByName(fixed)

@@ -165,8 +165,9 @@ def month_ranges(df: DataFrame, start: str = "start_date", end: str = "end_date"
 
 
 def date_range(df: DataFrame, start: Column | None = None, end: Column | None = None,
-               symbol: str | None = None, col: str = "date") -> DataFrame:
-    """Open-ended range select (ordering belongs to the output edge)."""
+               symbol: str | None = None, col: str = "date", newest_first: bool | None = None) -> DataFrame:
+    """Open-ended range select; ``newest_first`` True or False sorts by ``col`` (O1), None
+    leaves the order open."""
     out = df
     if symbol is not None:
         out = out.filter(F.col("symbol") == symbol)
@@ -174,12 +175,21 @@ def date_range(df: DataFrame, start: Column | None = None, end: Column | None =
         out = out.filter(F.col(col) >= start)
     if end is not None:
         out = out.filter(F.col(col) <= end)
-    return out
+    return in_order(out, col, newest_first)
+
+
+def in_order(df: DataFrame, by: str, newest_first: bool | None = True, then: Sequence[str] = ("symbol",)) -> DataFrame:
+    """O1: rows by ``by`` (a sort by ranges, NULLs last), newest or oldest first; rows of one time by ``then``."""
+    if newest_first is None:
+        return df
+    first = F.col(by).desc_nulls_last() if newest_first else F.col(by).asc_nulls_last()
+    return df.orderBy(first, *[c for c in then if c in df.columns and c != by])
 
 
-def recent_rows(df: DataFrame, as_of: Column, hours: int = 24, ts: str = "ts") -> DataFrame:
-    """Rows of the last ``hours`` before ``as_of``."""
-    return df.filter(F.col(ts) >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+def recent_rows(df: DataFrame, as_of: Column, hours: int = 24, ts: str = "ts",
+                newest_first: bool | None = None) -> DataFrame:
+    """Rows of the last ``hours`` before ``as_of``, newest first when asked for."""
+    return in_order(df.filter(F.col(ts) >= as_of - F.make_dt_interval(hours=F.lit(hours))), ts, newest_first)
 
 
 def normalise_source(source: str | Column = "source") -> Column:
@@ -207,13 +217,6 @@ def market_open(ts: str | Column = "ts") -> Column:
     return session_label(ts) == "regular"
 
 
-def performance_bucket(ret: str | Column = "total_return_pct") -> Column:
-    """P17 performance bucket."""
-    r = F.col(ret) if isinstance(ret, str) else ret
-    return (F.when(r > 15, "High Performer").when(r > 5, "Medium Performer")
-             .when(r > 0, "Low Performer").otherwise("Underperformer"))
-
-
 def trading_decisions(signals: DataFrame, ts: str = "timestamp") -> DataFrame:
     """P20: only each symbol's latest signal; buy if signal > 0.5 and
     confidence > 0.6, sell if signal < -0.5 and confidence > 0.6, else hold."""

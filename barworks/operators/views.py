@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
 from ..functions.series import with_prev
+from .shape import in_order
 
 
 def latest(df: DataFrame, column: str) -> Column:
@@ -122,12 +123,31 @@ def backtest_dashboard(bt: DataFrame) -> DataFrame:
     return sp.join(am, "strategy_id", "left")
 
 
-def successful_backtests(bt: DataFrame) -> DataFrame:
-    """P13 (ordering belongs to the output edge)."""
-    return bt.filter(F.col("success")).select(
+def successful_backtests(bt: DataFrame, newest_first: bool | None = None) -> DataFrame:
+    """P13; newest first when asked for (O1)."""
+    rows = bt.filter(F.col("success")).select(
         "backtest_id", "strategy_id", "ticker", "created_at", "total_return_pct", "sharpe_ratio",
         "max_drawdown_pct", "win_rate_pct", "outperformance_pct", "total_trades",
         "avg_confidence", "strategy_params")
+    return in_order(rows, "created_at", newest_first, ("backtest_id",))
+
+
+def strategy_validation(bt: DataFrame) -> DataFrame:
+    """Validation summary per strategy and quarter of its backtests: tickers, success rate (%), and of
+    the successful runs mean return, mean Sharpe ratio, worst drawdown, mean win rate and confidence.
+    Means are of decimals (six digits), so they don't depend on the order of the rows."""
+    ok = F.col("success")
+
+    def mean(c: Column) -> Column:
+        return safe_div(F.sum(c.cast("decimal(18, 6)")).cast("double"), F.count(c))
+    period = F.concat_ws("-Q", F.year("created_at"), F.quarter("created_at"))
+    return bt.groupBy(F.col("strategy_id").alias("strategy"), period.alias("time_period")).agg(
+        F.max(F.to_date("created_at")).alias("validation_date"), F.count_distinct("ticker").alias("num_tickers"),
+        safe_div(F.count_if(ok) * 100.0, F.count(F.lit(1))).alias("success_rate"),
+        *[f(F.when(ok, F.col(c))).alias(n) for n, c, f in (
+            ("avg_return", "total_return_pct", mean), ("avg_sharpe", "sharpe_ratio", mean),
+            ("max_drawdown", "max_drawdown_pct", F.max), ("win_rate", "win_rate_pct", mean))],
+        F.count(F.lit(1)).alias("total_backtest_runs"), mean(F.when(ok, F.col("avg_confidence"))).alias("confidence_score"))
 
 
 def sharpe_by_strategy(bt: DataFrame) -> DataFrame:

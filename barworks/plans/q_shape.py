@@ -16,7 +16,7 @@ D = "open high low close volume"
 def _vendor_frame(spark, sf_dir):
     """The second vendor as landed: vendor column names, text dates, suffixed tickers."""
     b = fx.bars_b(spark, sf_dir)
-    return b.select(F.concat("symbol", F.lit(".NS")).alias("Ticker"),
+    return b.select(P.add_suffix("symbol").alias("Ticker"),
                     F.date_format("date", "yyyy-MM-dd").alias("Date"),
                     F.col("open").alias("Open"), F.col("high").alias("High"),
                     F.col("low").alias("Low"), F.col("close").alias("Close"),

@@ -56,3 +56,17 @@ def test_split_plan_matches_oracle(spark, con, name):
     finally:
         spark.conf.unset("spark.barworks.series.split")
         spark.conf.unset("spark.barworks.series.block")
+
+
+LARGE_SET = ["daily_returns", "risk_metrics", "issue_summary", "clean_bars", "outliers_iqr", "fill_median", "interp_cubic",
+             "tiered_impute", "date_gaps", "strategy_signals", "tick_issues"]
+
+
+@pytest.mark.parametrize("name", LARGE_SET)
+def test_plan_for_a_large_input_matches_oracle(spark, con, name):
+    """What is chosen beyond a small input gives the same rows."""
+    spark.conf.set("spark.barworks.small.input", "0")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.unset("spark.barworks.small.input")
