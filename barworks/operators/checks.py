@@ -208,20 +208,21 @@ def summarize(validated: DataFrame, keys: Sequence[str] = ("symbol", "source"),
 
 def with_further_issues(validated: DataFrame, *further: DataFrame) -> DataFrame:
     """The issues of the market-hours check (V24), of the comparison with a reference
-    source (V25) and the like, keyed by symbol, joined to a validation, so that the summary
-    and the grade count them.  A missing column stops the pass: then only the findings on
+    source (V25) and the like, keyed by symbol (and source, when they carry one), joined to a
+    validation, so that the summary and the grade count them.  A missing column stops the pass: then only the findings on
     structure count."""
     fields = "issue_type string, severity string, column string, affected_rows bigint, suggested_action string"
     names = [f.split()[0] for f in fields.split(", ")]
     out = validated
     for df in further:
-        shaped = df.select("symbol", F.struct(*[
+        keys = ["symbol", *(["source"] if "source" in df.columns else [])]
+        shaped = df.select(*keys, F.struct(*[
             (F.col(n) if n in df.columns else F.lit(None)).cast("bigint" if n == "affected_rows" else "string").alias(n)
             for n in names]).alias("i"))
         # a handful of kinds per symbol
-        more = shaped.groupBy("symbol").agg(F.sort_array(F.collect_list("i")).alias("_more"))
+        more = shaped.groupBy(*keys).agg(F.sort_array(F.collect_list("i")).alias("_more"))
         none = F.array().cast("array<struct<" + ",".join(f.replace(" ", ":") for f in fields.split(", ")) + ">>")
-        out = (out.join(more, "symbol", "left")
+        out = (out.join(more, keys, "left")
                .withColumn("issues", F.concat("issues", F.coalesce("_more", none))).drop("_more"))
     stops = F.exists("issues", lambda x: (x["issue_type"] == "missing_columns") & (x["severity"] == "critical"))
     return out.withColumn("issues", F.when(stops, F.filter("issues", lambda x: x["issue_type"].isin(*STRUCTURAL)))

@@ -185,13 +185,13 @@ def tiered_fetch(primary: DataFrame, secondary: DataFrame, method: str = "linear
     through.  Without ``impute_missing`` the choices stay as they are.  The method
     ``cross_source`` fills from the vendor that was not chosen for the symbol.
 
-    The choice (one row per symbol) is written once as a reliable checkpoint; the bars
-    are read again from their source, so nothing large is written."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(primary.sparkSession)
-    sel = _choose(primary, secondary, strategy).checkpoint()
-    both = (primary.withColumn("_side", F.lit(0))
-            .unionByName(secondary.withColumn("_side", F.lit(1)), allowMissingColumns=True))
+    The bars of both vendors and the choice (one row per symbol) are written once as reliable
+    checkpoints: validation, imputation and the second validation read them from there."""
+    from ..session import cut
+    both = cut(primary.withColumn("_side", F.lit(0))
+               .unionByName(secondary.withColumn("_side", F.lit(1)), allowMissingColumns=True))
+    sel = cut(_choose(*(both.filter(F.col("_side") == side).select(*df.columns)
+                        for side, df in enumerate((primary, secondary))), strategy))
     # the side tells the vendors apart even when their source names are the same
     chosen = both.join(sel.select("symbol", "_side", "quality"), ["symbol", "_side"], "inner").drop("_side")
     if not impute_missing:

@@ -77,6 +77,13 @@ def _rows(spark: SparkSession, path: str, manifest: dict, buckets: list[int] | N
     return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
 
 
+def _buckets(spark: SparkSession, folder: str) -> list[int]:
+    """The buckets that a folder holds."""
+    fs, p = _fs(spark, folder)
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return [int(n.split("=")[1]) for n in names if n.startswith(f"{_BUCKET}=")]
+
+
 def merge(batch: DataFrame, path: str, keys: list[str], batch_id: int, arrival: str | None = None,
           buckets: int = BUCKETS) -> None:
     """Keep the row of each key that arrived last: the later batch, within a batch the larger
@@ -99,23 +106,20 @@ def merge(batch: DataFrame, path: str, keys: list[str], batch_id: int, arrival:
         return rows.select(*by, *keys, "r.*")
 
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
-    # one row per key, written once: its buckets are asked for before it is merged
-    stage = f"{path}/staged/{uuid.uuid4().hex}"
-    last(fresh).select(bucket, *keys, *columns).write.partitionBy(_BUCKET).parquet(stage)
-    fs, p = _fs(spark, stage)
-    touched = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(p)
-               if f.getPath().getName().startswith(f"{_BUCKET}=")]
-    files = dict(old["files"]) if old else {}
     schema = T.StructType([f for f in fresh.select(*keys, *columns).schema])
-    if touched:
-        new = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])).parquet(stage)
-        rows = new.select(_BUCKET, *keys, *columns)
-        if old and any(str(b) in files for b in touched):
+    files = dict(old["files"]) if old else {}
+    folder = f"data/{newest + 1}-{uuid.uuid4().hex[:8]}"
+    rows, stage = last(fresh).select(bucket, *keys, *columns), f"{path}/staged/{uuid.uuid4().hex}"
+    if files:  # one row per key, written once: its buckets are asked for before they are merged
+        rows.write.partitionBy(_BUCKET).parquet(stage)
+        touched = _buckets(spark, stage)
+        rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])).parquet(stage)
+        rows = rows.select(_BUCKET, *keys, *columns)
+        if any(str(b) in files for b in touched):
             before = _rows(spark, path, old, touched).select(bucket, *keys, *columns)
             rows = last(rows.unionByName(before).repartition(_BUCKET), _BUCKET)
-        folder = f"data/{newest + 1}-{uuid.uuid4().hex[:8]}"
-        rows.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{folder}")
-        files |= {str(b): f"{folder}/{_BUCKET}={b}" for b in touched}
+    rows.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{folder}")
+    files |= {str(b): f"{folder}/{_BUCKET}={b}" for b in _buckets(spark, f"{path}/{folder}")}
     _write(spark, path, newest + 1, {"batch": batch_id, "buckets": buckets, "keys": keys, "files": files,
                                      "schema": schema.jsonValue()})
     remove_path(spark, stage)

@@ -136,3 +136,13 @@ def test_missing_price_column_ends_the_price_checks(spark):
     dateless = bars.withColumn("open", F.lit(1.0)).withColumn("date", F.lit(None).cast("date"))
     kinds = {r["issue_type"] for r in V.issues_of(V.validate_bars(dateless)).collect()}
     assert {"missing_date", "negative_prices"} <= kinds and "missing_columns" not in kinds
+
+
+def test_further_issues_of_one_source_charge_that_source(spark):
+    rows = [(s, src, dt.date(2024, 1, d), 1.0, 2.0, 1.0, 1.5, 5.0, d) for s in "A" for src in ("x", "y") for d in range(1, 4)]
+    bars = spark.createDataFrame(rows, "symbol string, source string, date date, open double, high double, low double, "
+                                       "close double, volume double, load_seq long")
+    hours = spark.createDataFrame([("A", "x", "outside_market_hours", "warning")],
+                                  "symbol string, source string, issue_type string, severity string")
+    got = {r["source"]: r["warning_issues"] for r in V.summarize(V.with_further_issues(V.validate_bars(bars), hours)).collect()}
+    assert got == {"x": 1, "y": 0}

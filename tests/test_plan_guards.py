@@ -18,7 +18,8 @@ def test_no_quadratic_frames_or_cartesian(spark, name):
     assert not QUADRATIC_FRAME.search(plan), name
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     # Python runs on executors only in the F1 pandas-strategy query
-    python_ops = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+    python_ops = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                  "MapInArrow", "FlatMapGroupsInArrow")
     if name != "strategy_signals_pandas":
         assert not any(op in plan for op in python_ops), name
     else:
