@@ -68,7 +68,7 @@ def standardize(df: DataFrame, symbol: str | Column | None = None,
     elif "ticker" in out.columns:
         out = out.withColumnRenamed("ticker", "symbol")
     if "symbol" in out.columns:
-        out = out.withColumn("symbol", F.regexp_replace("symbol", suffix, ""))
+        out = out.withColumn("symbol", strip_suffix("symbol", suffix))
     return out
 
 
