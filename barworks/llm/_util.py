@@ -4,13 +4,13 @@ Blocks.  Several operators work on *blocks*: runs of whole documents of about
 ``BLOCK_BYTES`` of text, packed by one task as numpy arrays.  ``global_counts``
 adds up per-block counts of 64-bit keys over all blocks: every block sends each
 distinct key once (so a hot key costs one entry per block), the key space is cut
-into equal ranges, and each range answers the blocks that asked.
+into equal ranges, and each range answers the blocks that asked.  A text longer than a
+block is a block by itself unless the operator cuts it.
 """
 
 from __future__ import annotations
 
 import ctypes
-import gc
 import math
 from collections.abc import Iterator
 
@@ -55,7 +55,6 @@ def tidy(f):
     """``f`` (over Arrow batches, or over the table of a group) that gives freed memory back to the
     system when it is done: a worker that waits for its next task then holds what it needs."""
     def give_back() -> None:
-        gc.collect()
         pa.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)
@@ -146,11 +145,13 @@ def block_number(n: int) -> int:
     return (TaskContext.get().partitionId() << 32) | n
 
 
-def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame]:
+def global_counts(blocks: DataFrame, entries: int, made_by=None) -> tuple[DataFrame, DataFrame]:
     """Per block and key, the key's count over all blocks.
 
     ``blocks``: block_id long (unique), keys (``pack`` of uint64, ascending), counts
-    (``pack`` of uint32).  ``entries``: about how many keys all blocks hold.
+    (``pack`` of uint32).  ``entries``: about how many keys all blocks hold.  ``made_by``:
+    a function over Arrow batches that makes these columns of those of ``blocks`` (in the
+    same worker; a ``mapInArrow`` before this one would keep a second worker for each task).
 
     Returns (answers, classes).  answers: block_id, answers (array of part, totals,
     flags, for ``answer_arrays``; totals are whole, up to 2^63), in the order of the block's keys.  flags: 1, another
@@ -163,7 +164,7 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
     def deal(batches):
         schema = pa.schema([("part", pa.int32()), ("block_id", pa.int64()), ("keys", pa.binary()),
                             ("counts", pa.binary())])
-        for bid, kb, cb in rows_of(batches):
+        for bid, kb, cb in rows_of(made_by(batches) if made_by else batches):
             k, c = unpack(kb, np.uint64), unpack(cb, np.uint32)
             at = np.searchsorted(k, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             at = np.r_[at, len(k)]
@@ -209,7 +210,7 @@ def global_counts(blocks: DataFrame, entries: int) -> tuple[DataFrame, DataFrame
             a = np.frombuffer(stats, np.int64).reshape(2, 64)
             yield batch_of(schema, [(i, *map(int, a[:, i])) for i in range(64) if a[:, i].any()])
 
-    dealt = blocks.select("block_id", "keys", "counts").mapInArrow(
+    dealt = (blocks if made_by else blocks.select("block_id", "keys", "counts")).mapInArrow(
         tidy(deal), "part int, block_id long, keys binary, counts binary")
     raw = cut(dealt.groupBy("part").applyInArrow(
         tidy(total), "block_id long, part int, totals binary, flags binary"))

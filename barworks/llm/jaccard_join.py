@@ -20,11 +20,12 @@ component in its lists that shares most keys with it; the pair is verified and t
 components grow.  When a round links nothing more (or after ``ROUNDS``), all pairs in
 different components that pass the filters are verified, so no link between components
 is lost; pairs inside a component need no check.  The filters: sizes, and for list keys
-the number of shared ones (compared by 32 bits).  A pair comes out of one list only.
+the number of shared ones.  A pair comes out of one list only.
 
 Defined cases: null or blank texts have the empty set, n_shingles 0 and are their own
 component; rows with the same id are one document that has the links of all its
-texts; rows with a null id link with nothing and have a null component; other columns
+texts; rows with a null id link with nothing and have a null component; a text longer than
+a block is a block by itself, so memory is bounded by the longest text; other columns
 are ignored.
 """
 
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import (anew, answer_arrays, batch_of, block_number, chunks, components, cut, global_counts, mix64, pack,
-                    rows_of, unpack)
+                    rows_of, tidy, unpack)
 from .lm_scoring import tokenised
 
 WORDS, PERCENT = 4, 85
@@ -144,7 +145,7 @@ def corpus_table(docs: DataFrame, words: int) -> tuple[np.ndarray, dict[int, int
 
     shape = "slice int, counts binary"
     got = {r["slice"]: unpack(r["counts"], np.int32) for r in
-           docs.mapInArrow(count, shape).groupBy("slice").applyInArrow(add, shape).collect()}
+           docs.mapInArrow(tidy(count), shape).groupBy("slice").applyInArrow(tidy(add), shape).collect()}
     if not got:
         return np.zeros(1 << TABLE_BITS, np.int32), {}
     sizes = {n: int(got[SLICES][n]) for n in range(1, MOST_LIGHT + 1)}
@@ -184,7 +185,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                                      len(keys))])
 
     blocks = cut(docs.mapInArrow(
-        to_blocks, "block_id long, ids array<long>, sizes binary, prints binary, commons binary, n_keys binary, "
+        tidy(to_blocks), "block_id long, ids array<long>, sizes binary, prints binary, commons binary, n_keys binary, "
                    "keys binary, spots binary, total long"))
 
     def to_rows(batches):
@@ -224,13 +225,12 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             for i in range(0, len(use), 1 << 16):
                 yield out.slice(i, 1 << 16)
 
-    rows = blocks.select("ids", "sizes", "prints").mapInArrow(to_rows, "doc_id long, n int, print binary")
-    light_keys = blocks.select("block_id", "keys").mapInArrow(to_keys, "block_id long, keys binary, counts binary")
+    rows = blocks.select("ids", "sizes", "prints").mapInArrow(tidy(to_rows), "doc_id long, n int, print binary")
     n_keys = blocks.agg(F.sum("total")).first()[0] or 0
-    answers, _ = global_counts(light_keys, n_keys)
+    answers, _ = global_counts(blocks.select("block_id", "keys"), n_keys, to_keys)
     postings = blocks.join(answers, "block_id").select(
         "ids", "sizes", "commons", "n_keys", "keys", "spots", "answers").mapInArrow(
-        to_postings, "key long, doc_id long, n int, at int, common float")
+        tidy(to_postings), "key long, doc_id long, n int, at int, common float")
 
     # classes of equal sets: the smallest id stands for them
     classes = cut(rows.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
@@ -257,7 +257,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
         bits = np.zeros((1 << SPARE_BITS) // 8, np.uint8)
         for r in (ids.select(cell.alias("cell")).distinct().withColumn("slice", F.shiftright("cell", 15))
-                  .groupBy("slice").applyInArrow(to_bits, "slice int, bits binary").collect()):
+                  .groupBy("slice").applyInArrow(tidy(to_bits), "slice int, bits binary").collect()):
             bits[r["slice"] << 12:(r["slice"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
         shared_bits = docs.sparkSession.sparkContext.broadcast(bits)  # SPARE_BITS fix its size
 
@@ -279,7 +279,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                                         zip(part, shingle_sets([r[1] for r in part], words))])
 
     sets = cut(docs.where("doc_id is not null").select("doc_id", "text", cell).mapInArrow(
-        to_sets, "doc_id long, set binary").join(wanted, "doc_id", "left_semi"))
+        tidy(to_sets), "doc_id long, set binary").join(wanted, "doc_id", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The linked ones of distinct ``pairs`` (a, b)."""
@@ -300,10 +300,10 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                         out.append((a, b))
                 yield batch_of(schema, out)
 
-        used = sets.select("doc_id", "set", cell).mapInArrow(pick, "doc_id long, set binary")
+        used = sets.select("doc_id", "set", cell).mapInArrow(tidy(pick), "doc_id long, set binary")
         return (pairs.join(used.withColumnsRenamed({"doc_id": "a", "set": "x"}), "a")
                 .join(used.withColumnsRenamed({"doc_id": "b", "set": "y"}), "b").select("a", "b", "x", "y")
-                .mapInArrow(compare, "a long, b long"))
+                .mapInArrow(tidy(compare), "a long, b long"))
 
     def fits(n: str, m: str) -> F.Column:
         """Length filter."""
@@ -353,12 +353,12 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # key, and only if it shares enough of them; long lists aren't carried, their pairs are counted
     own = (labelled.where("at >= 0").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("own"))
            .where(F.size("own") <= CARRIED)
-           .select("doc_id", F.transform("own", lambda x: F.shiftright(x["key"], 32).cast("int")).alias("own")))
+           .select("doc_id", F.col("own.key").alias("own")))
     mixed = labelled.drop("common").join(anew(own), "doc_id", "left")
     x, y = (mixed.select("key", *(F.col(c).alias(c + side) for c in ("doc_id", "n", "at", "component", "own")))
             for side in ("_a", "_b"))
     both = F.array_intersect("own_a", "own_b")
-    once = (F.get(both, 0) == F.shiftright("key", 32).cast("int")) & (F.size(both) >= bound("n_a", "n_b"))
+    once = (F.get(both, 0) == F.col("key")) & (F.size(both) >= bound("n_a", "n_b"))
     rest = (x.join(y, "key").where("doc_id_a < doc_id_b and component_a <> component_b").where(fits("n_a", "n_b"))
             .where((F.col("at_a") < 0) | F.col("own_a").isNull() | F.col("own_b").isNull() | once)
             .groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"), "n_a", "n_b")

@@ -166,3 +166,12 @@ def test_suffix_buckets(seed):
 @pytest.mark.parametrize("run", [J.similar_components, S.repeated_removed])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).collect() == []
+
+
+def test_keys_that_agree_in_their_upper_bits(spark, monkeypatch):
+    """Shingles whose upper 32 bits are all the same: no link is lost."""
+    whole = J.shingle_sets
+    monkeypatch.setattr(J, "shingle_sets", lambda *a: [np.unique(s & np.uint64(0xFFFFFFFF)) for s in whole(*a)])
+    rows = near_copies(5, groups=8, copies=10)
+    got = J.similar_components(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows))
