@@ -22,7 +22,9 @@ a task holds is bounded; documents are never shuffled.
 
 Defined cases: null texts count as empty and match nothing; items without words match
 nothing, repeated items are reported each; an empty benchmark leaves all documents clean;
-repeated rows and null ids are searched like any other; other columns are kept.
+repeated rows and null ids are searched like any other; of very long texts the words and the
+sums of their runs are held, and compared with the passages a bounded part at a time;
+other columns are kept.
 """
 
 from __future__ import annotations
@@ -37,9 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import batch_of, chunks, rows_of
+from ._util import batch_of, chunks, rows_of, tidy
 
 RUN, PASSAGE, STRIDE, RANK, BLOCK = 32, 64, 24, 128, 4096
+#: Rows whose words are held at once, and runs of a text that are compared at once.
+ROWS, RUNS = 512, 1024
 COSINE, COPY, PARAPHRASE, STRETCH = 0.4, 0.8, 0.6, 1.5
 #: Words in more than this share of the documents have no weight, but for the rarest of each passage.
 COMMON, RAREST = 0.2, 8
@@ -125,7 +129,7 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> tuple[dict[
                 seen[w] = seen.get(w, 0) + 1
         yield batch_of(schema, [*seen.items(), (b"", total)])
 
-    got = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    got = docs.select("text").mapInArrow(tidy(count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     freq = {bytes(r["word"]): r["n"] for r in got.collect()}
     return freq, freq.pop(b"", 0)
 
@@ -152,8 +156,8 @@ def latent_space(matrix: DataFrame, n_words: int, rank: int) -> np.ndarray:
             total = sum(np.frombuffer(b) for b in table["part"].to_pylist())
             return pa.table({"slice": table["slice"][:1].cast(pa.int32()), "part": pa.array([total.tobytes()], pa.binary())})
 
-        rows = (matrix.mapInArrow(part, "slice int, part binary").groupBy("slice")
-                .applyInArrow(add, "slice int, part binary").orderBy("slice").collect())
+        rows = (matrix.mapInArrow(tidy(part), "slice int, part binary").groupBy("slice")
+                .applyInArrow(tidy(add), "slice int, part binary").orderBy("slice").collect())
         return np.concatenate([np.frombuffer(r["part"]) for r in rows]).reshape(n_words, rank)
 
     q = np.linalg.qr(np.random.default_rng(7).standard_normal((n_words, rank)))[0]
@@ -221,46 +225,49 @@ def _search(out: DataFrame, docs: DataFrame, parts: list, rank: int, cosine: flo
                     sums[lo + r[first]] = np.add.reduceat(fold[part[at]], first, axis=0)
             return sums, bounds
 
-        for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            before = batch.column(batch.schema.get_field_index("leaks")).to_pylist()
-            answer = []
-            for lo in range(0, len(text), 512):
-                texts = [words_of(t) for t in text[lo:lo + 512]]
+        def found_in(words, sums):
+            """Items that the text holds: (cosine, share) of each.  ``sums``: of its runs."""
+            hits = {}
+            for lo in range(0, len(sums), RUNS):  # a bounded part of a long text at a time
+                own = sums[lo:lo + RUNS + 2]
+                wide = own.copy()  # a run and the two after it
+                wide[:-1] += own[1:]
+                wide[:-2] += own[2:]
+                wide = wide[:RUNS]
+                norm = np.linalg.norm(wide, axis=1, keepdims=True)
+                cos = wide @ target.T / np.maximum(norm, 1e-6)
+                at, near, known = -1, [], set()
+                for r, j in np.argwhere(cos >= cosine).tolist():
+                    k = lo + r
+                    item, part, last, ahead, behind = parts[j]
+                    if hits.get(item, (0, 0))[1] >= 1:
+                        continue
+                    if k != at:  # a passage may reach over the window's ends
+                        at, near = k, words[max(0, (k - 1) * RUN):(k + 4) * RUN]
+                        known = set(near)
+                    # no more words can be in common than occur in both
+                    if sum(map(known.__contains__, part)) < PARAPHRASE * len(part):
+                        continue
+                    beyond = None
+                    if ahead or behind:
+                        beyond = words[max(0, (k - 1) * RUN - math.ceil(STRETCH * ahead)):
+                                       (k + 4) * RUN + math.ceil(STRETCH * behind)]
+                    share = matches(part, last, near, beyond)
+                    if share > hits.get(item, (0, 0))[1]:
+                        hits[item] = (float(cos[r, j]), share)
+            return sorted(hits.items(), key=lambda h: (h[0] is None, h[0] or 0))
+
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64())]))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(lo, ROWS)
+                texts = [words_of(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+                before = batch.column(batch.schema.get_field_index("leaks")).to_pylist()
                 sums, bounds = windows(texts)
-                for words, b, e, old in zip(texts, bounds, bounds[1:], before[lo:lo + 512]):
-                    hits = {}
-                    if e > b:
-                        own = sums[b:e]
-                        wide = own.copy()  # a run and the two after it
-                        wide[:-1] += own[1:]
-                        wide[:-2] += own[2:]
-                        norm = np.linalg.norm(wide, axis=1, keepdims=True)
-                        cos = wide @ target.T / np.maximum(norm, 1e-6)
-                        at, near, known = -1, [], set()
-                        for k, j in np.argwhere(cos >= cosine).tolist():
-                            item, part, last, ahead, behind = parts[j]
-                            if hits.get(item, (0, 0))[1] >= 1:
-                                continue
-                            if k != at:  # a passage may reach over the window's ends
-                                at, near = k, words[max(0, (k - 1) * RUN):(k + 4) * RUN]
-                                known = set(near)
-                            # no more words can be in common than occur in both
-                            if sum(map(known.__contains__, part)) < PARAPHRASE * len(part):
-                                continue
-                            beyond = None
-                            if ahead or behind:
-                                beyond = words[max(0, (k - 1) * RUN - math.ceil(STRETCH * ahead)):
-                                               (k + 4) * RUN + math.ceil(STRETCH * behind)]
-                            share = matches(part, last, near, beyond)
-                            if share > hits.get(item, (0, 0))[1]:
-                                hits[item] = (float(cos[k, j]), share)
-                    answer.append((old or []) + [{"item_id": i, "cosine": c, "share": s}
-                                                 for i, (c, s) in sorted(hits.items(), key=lambda h: (h[0] is None, h[0] or 0))])
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64())]))
-            cols = [c for n, c in zip(batch.schema.names, batch.columns) if n != "leaks"]
-            names = [n for n in batch.schema.names if n != "leaks"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(answer, kind)], names=[*names, "leaks"])
+                answer = [(old or []) + [{"item_id": i, "cosine": c, "share": s} for i, (c, s) in found_in(words, sums[b:e])]
+                          for words, b, e, old in zip(texts, bounds, bounds[1:], before)]
+                names = [n for n in batch.schema.names if n != "leaks"]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(answer, kind)], names=[*names, "leaks"])
 
     source = out.select(*(c for c in out.columns if c != "leaks"), "leaks")
-    return source.mapInArrow(search, source.schema)
+    return source.mapInArrow(tidy(search), source.schema)

@@ -14,7 +14,8 @@ adaptive skew handling from splitting the other), so a hot text's rows are split
 
 Defined cases: null text counts as empty; a null id is larger than any other; rows
 that share the smallest id of their group are all marked kept; an empty table gives
-an empty result; other columns are ignored.
+an empty result; very long texts are hashed and compared as whole values, one at a time;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ count every start, and matches cross line ends as only words count.
 
 Defined cases: null text counts as empty (no words, empty labels, score 0, null
 places); each row is answered by itself, so repeated rows and null ids come back as
-they are; other columns are ignored.
+they are; very long texts are normalised as whole values, one at a time; other columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ reach, and its texts are traversed there.  Keys are 64-bit hashes of words and p
 
 Defined cases: null text counts as empty (the end mark alone); the crc32 of a null id
 is that of the empty text; without training documents N and V are 0 and all tokens
-unknown; repeated rows are separate documents; other columns are ignored.
+unknown; repeated rows are separate documents; a text longer than a block is a block by
+itself, so memory is bounded by the longest text; other columns are ignored.
 """
 
 from __future__ import annotations

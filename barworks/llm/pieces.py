@@ -22,7 +22,9 @@ Decoding joins the pieces' bytes, turns marks to spaces and drops the space in f
 
 Defined cases: null text counts as empty and has no pieces; the mark's own character in
 a text is read as a space (as the library does), so it decodes as a space; repeated rows
-and null ids are encoded like any other; other columns are kept.
+and null ids are encoded like any other; parts of a batch are cut between rows only, so
+memory is bounded by the longest text (some hundred bytes for each of its bytes); other
+columns are kept.
 """
 
 from __future__ import annotations
@@ -38,9 +40,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ._util import tidy
+
 MARK = "▁"
 #: Bytes of text whose segments are indexed together.
-BLOCK = 3 << 20
+BLOCK = 3 << 19
 _SEGMENTS = re.compile(" *[^ ]+| +").findall
 _NEVER = np.int64(1) << 40
 
@@ -267,4 +271,4 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                     [*batch.slice(lo, hi - lo).columns, pa.array(sizes, pa.int64()), listed, pa.array(right)],
                     names=[*batch.schema.names, *added])
 
-    return source.mapInArrow(add, schema)
+    return source.mapInArrow(tidy(add), schema)

@@ -15,8 +15,8 @@ chosen ones are then fitted without it.  All documents are scored, whole.
 Defined cases: null text counts as empty; label rows with a null in any column are
 ignored, of several rows for an id the lowest grade counts; when the sample holds
 fewer than two grades there is no model and every document has the one grade (2
-without labels); repeated rows and null ids are scored like any other; other columns
-are ignored.
+without labels); repeated rows and null ids are scored like any other; very long texts
+are scored one at a time; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import batch_of, chunks
+from ._util import batch_of, chunks, tidy
 
 SAMPLE = 12_000
 BITS = 20
@@ -138,7 +138,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> list[tuple
             yield batch_of(schema, [(i, g, features.of(t or "").tobytes()) for i, t, g in rows])
 
     got = (docs.join(F.broadcast(graded), "doc_id")  # at most ``sample`` rows
-           .select("doc_id", "text", "grade").mapInArrow(encode, "doc_id long, grade int, features binary"))
+           .select("doc_id", "text", "grade").mapInArrow(tidy(encode), "doc_id long, grade int, features binary"))
     table = got.toArrow().to_pylist()
     table.sort(key=lambda r: (r["doc_id"], r["features"]))
     return [(np.frombuffer(r["features"], np.int32), r["grade"]) for r in table]
@@ -171,4 +171,4 @@ def graded(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     schema = T.StructType(list(docs.schema))
     for name, kind in zip(added, ("double", "double", "boolean")):
         schema = schema.add(name, kind)
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(tidy(score), schema)

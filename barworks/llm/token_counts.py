@@ -9,7 +9,8 @@ kept in a bounded per-task table and whole texts are sums over their runs.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); the marker strings
 of the vocabulary count one token each wherever they stand; rows are never merged,
-so repeated rows and null ids come back as they are; other columns are ignored.
+so repeated rows and null ids come back as they are; of very long texts one white-space-free
+run is merged at a time; other columns are ignored.
 """
 
 from __future__ import annotations
