@@ -196,3 +196,32 @@ def test_ingestion_log_equals_one_pass(spark, tmp_dir):
         assert log[run]["quality_score"] == pytest.approx(want["quality_score"])
         assert log[run]["total_symbols"] == want["total_symbols"]
     assert sum(r["records_count"] for r in log.values()) == 12
+
+
+def test_ledger_moves_the_positions_rows_once(spark):
+    """Nothing is written to learn a position's row before, and its rows are in one shuffle at most."""
+    trades = spark.createDataFrame([(1, "X", day(0), "BUY", Decimal(2), Decimal("5.00"), Decimal("0.25"))],
+                                   "portfolio_id long, symbol string, date date, side string, quantity decimal(10,0), "
+                                   "price decimal(10,2), fees decimal(10,2)")
+    prices = spark.createDataFrame([("X", day(n), Decimal(n)) for n in range(1, 4)],
+                                   "symbol string, date date, price decimal(10,2)")
+    out = L.portfolio_snapshots(trades, prices)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    after_join = plan.split("Join ")[0]  # the plan's root comes first
+    assert after_join.count("RepartitionByExpression") == 1
+    assert [(r["day_pnl"], r["active_positions"]) for r in out.orderBy("date").collect()] == [
+        (-0.25, 1), (-8.0, 1), (2.0, 1), (2.0, 1)]
+
+
+def test_ledger_of_unknown_days_and_prices(spark):
+    """Shares that moved on an unknown day are held later; a position without any price has no value."""
+    trades = spark.createDataFrame(
+        [(1, "X", None, "BUY", Decimal(3), Decimal(1), None), (1, "X", day(1), "BUY", Decimal(2), Decimal(5), None),
+         (1, "Y", day(1), "BUY", Decimal(1), None, None), (None, "X", day(1), "BUY", Decimal(1), Decimal(1), None)],
+        "portfolio_id long, symbol string, date date, side string, quantity decimal(10,0), price decimal(10,2), fees decimal(10,2)")
+    prices = spark.createDataFrame([("X", day(0), Decimal(9)), ("X", day(2), None), ("X", day(3), Decimal(6))],
+                                   "symbol string, date date, price decimal(10,2)")
+    for bucket in (None, F.date_trunc("week", "date")):
+        got = L.portfolio_snapshots(trades, prices, bucket=bucket).orderBy("date").collect()
+        assert [(r["portfolio_id"], r["date"], r["positions_value"], r["cash_value"], r["active_positions"]) for r in got] == [
+            (1, day(1), 25.0, 99990.0, 2), (1, day(2), 25.0, 99990.0, 2), (1, day(3), 30.0, 99990.0, 2)]
