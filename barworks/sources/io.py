@@ -241,6 +241,12 @@ def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
+def _within(df: DataFrame, values: DataFrame, partition_by: str) -> DataFrame:
+    """The rows whose partition is one of ``values`` (distinct).  The values go to the rows: a table has
+    few partitions, and by a shuffle all rows of one would meet in a task."""
+    return df.join(F.broadcast(values), _same(df, values, [partition_by]), "left_semi")
+
+
 def _folders(spark: SparkSession, path: str, partition_by: str) -> dict[str | None, str]:
     """The table's partition folders by their value: the text as written (unescaped), None for null."""
     jvm = spark.sparkContext._jvm
@@ -320,7 +326,7 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[s
         new = incoming.select(*keys).distinct()
         touched = touched.unionByName(current.join(new, _same(current, new, keys), "left_semi").select(partition_by))
     touched = touched.distinct()
-    affected = current.join(touched, _same(current, touched, [partition_by]), "left_semi")
+    affected = _within(current, touched, partition_by)
     _rewrite(spark, path, latest_per_key(affected.unionByName(incoming), keys, order), touched, partition_by,
              "upsert")
 
@@ -352,7 +358,7 @@ def delete_where(spark: SparkSession, path: str, cond: Column, partition_by: str
     empty is removed through the Hadoop FileSystem of the table path."""
     current = stored(spark, path, partition_by)
     hit = current.filter(cond).select(partition_by).distinct()
-    affected = current.join(hit, _same(current, hit, [partition_by]), "left_semi")
+    affected = _within(current, hit, partition_by)
     _rewrite(spark, path, affected.filter(without(cond)), hit, partition_by, "delete")
 
 

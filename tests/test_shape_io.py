@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -346,3 +347,29 @@ def test_stored_partition_types(spark, tmp_dir):
         S.write_table(spark.createDataFrame([(v, 1) for v in values], "p string, n long"), path, partition_by="p", cluster_by=())
         assert S.stored(spark, path, "p").schema["p"].dataType == kind
         assert S.stored(spark, path, "p", T.StringType()).schema["p"].dataType == T.StringType()
+
+
+def test_rewritten_partitions_are_not_met_in_a_task(spark, tmp_dir, monkeypatch):
+    """The rows of a partition that is rewritten aren't shuffled by the partition's value."""
+    path = os.path.join(tmp_dir, "t")
+    rows = spark.range(1000).selectExpr("id AS backtest_id", "id % 2 = 0 AS success", "id / 7 AS total_return_pct")
+    day = lambda d: F.lit(f"2024-01-0{d} 10:00:00").cast("timestamp_ntz")
+    S.upsert_backtest(spark, path, rows, "paper", day(1))
+    seen, rewrite = [], S._rewrite
+
+    def looked_at(spark_, path_, kept, *rest):
+        seen.append(kept._jdf.queryExecution().executedPlan().toString())
+        rewrite(spark_, path_, kept, *rest)
+
+    monkeypatch.setattr(S, "_rewrite", looked_at)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        S.upsert_backtest(spark, path, rows.filter("success"), "paper", day(2))
+        S.delete_where(spark, path, F.col("backtest_id") < 10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(seen) == 2
+    assert all("BroadcastHashJoin" in p and not re.search(r"SortMergeJoin \[coalesce\(date", p) for p in seen)
+    got = spark.read.parquet(path).groupBy("date").count().orderBy("date").collect()
+    assert [(r["date"].day, r["count"]) for r in got] == [(1, 495), (2, 495)]
