@@ -125,6 +125,22 @@ def test_removed_bytes_of_the_table_over_several_blocks(spark, monkeypatch):
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in got)
 
 
+def test_texts_are_cut_into_pieces_once(spark, monkeypatch, tmp_path):
+    """The later steps take the pieces that the first one found."""
+    once, log = S.Pieces, str(tmp_path / "made")
+
+    def counted(data, lens):
+        with open(log, "a") as f:
+            f.write("x")
+        return once(data, lens)
+
+    monkeypatch.setattr(S, "Pieces", counted)
+    rows = repeated_texts(7)
+    got = S.repeated_removed(frame(spark, rows).coalesce(1), hot=2).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_removed(rows))
+    assert open(log).read() == "x"
+
+
 def test_windows_of_hot_cores_are_spread_by_their_number(spark, monkeypatch):
     counted = []
     once = S.global_counts
