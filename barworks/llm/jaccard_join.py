@@ -88,6 +88,13 @@ def overlap(n: int, m: int, percent: int = PERCENT) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def can_be_first(percent: int = PERCENT) -> F.Column:
+    """Whether linked sets (sizes n_a and n_b) can have their first shared shingle at places at_a and at_b: from
+    there on each has to hold all that they share."""
+    ahead = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    return ahead >= F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+
+
 def subset_sizes(n: int, light: int, percent: int = PERCENT) -> list[int]:
     """The sizes of shared subsets with feasible light partners."""
     return sorted({overlap(n, m, percent) for m in range(need(n, percent), min(light, 100 * n // percent) + 1)})
@@ -358,7 +365,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     x, y = (mixed.select("key", *(F.col(c).alias(c + side) for c in ("doc_id", "n", "at", "component", "own")))
             for side in ("_a", "_b"))
     both = F.array_intersect("own_a", "own_b")
-    once = (F.get(both, 0) == F.col("key")) & (F.size(both) >= bound("n_a", "n_b"))
+    once = can_be_first(percent) & (F.get(both, 0) == F.col("key")) & (F.size(both) >= bound("n_a", "n_b"))
     rest = (x.join(y, "key").where("doc_id_a < doc_id_b and component_a <> component_b").where(fits("n_a", "n_b"))
             .where((F.col("at_a") < 0) | F.col("own_a").isNull() | F.col("own_b").isNull() | once)
             .groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"), "n_a", "n_b")

@@ -44,7 +44,7 @@ from ._util import tidy
 
 MARK = "▁"
 #: Bytes of text whose segments are indexed together.
-BLOCK = 3 << 19
+BLOCK = 1 << 20
 _SEGMENTS = re.compile(" *[^ ]+| +").findall
 _NEVER = np.int64(1) << 40
 

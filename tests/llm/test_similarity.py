@@ -71,6 +71,30 @@ def test_linked_sets_share_keys():
         assert len(set(ka[ta >= 0].tolist()) & set(kb[tb >= 0].tolist())) >= min(J.LISTS, J.need(n), J.need(m))
 
 
+def linked_pairs(seed, times=300):
+    """Linked sets of random sizes, with their keys and places."""
+    random.seed(seed)
+    freq = np.random.default_rng(seed).integers(1, 50, 1 << J.TABLE_BITS)
+    for _ in range(times):
+        universe = [random.getrandbits(64) for _ in range(400)]
+        a = random.sample(universe, random.randint(30, 360))
+        b = [x for x in a if random.random() < 0.95] + random.sample(universe, random.randint(0, 9))
+        a, b = (np.unique(np.array(x, np.uint64)) for x in (a, b))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 85 * (len(a) + len(b) - both):
+            yield (a, *J.keys_of(a, freq, 0, 85)[:2]), (b, *J.keys_of(b, freq, 0, 85)[:2])
+
+
+def test_first_shared_key_of_linked_sets(spark):
+    rows = []
+    for (a, ka, ta), (b, kb, tb) in linked_pairs(6):
+        k = min(np.intersect1d(ka, kb), key=lambda x: ta[ka == x][0])
+        rows.append((len(a), int(ta[ka == k][0]), len(b), int(tb[kb == k][0]), True))
+    rows += [(100, 9, 100, 3, False), (100, 8, 100, 8, True), (100, 0, 85, 1, False), (100, 15, 85, 0, True)]
+    df = spark.createDataFrame(rows, "n_a int, at_a int, n_b int, at_b int, want boolean")
+    assert df.where(J.can_be_first() != df["want"]).count() == 0
+
+
 def test_boundary_follows_cost():
     assert J.boundary({}) == J.MOST_LIGHT
     assert J.boundary({5: 1000}) >= 5
