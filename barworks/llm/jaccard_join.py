@@ -7,9 +7,11 @@ Keys of a set.  Two sets that link share a key:
 * light sets (size up to a boundary): every subset of the fixed size that a partner
   of a feasible light size forces them to share;
 * heavy sets, and light ones that a heavy set can reach: the inverted-list keys, that
-  is, the ``n - ceil(0.85 n) + LISTS`` first shingles, rare ones first (by a fixed-size
-  table of hashed counts over the whole corpus, then by hash), of which a linked set
-  shares ``LISTS`` or more.
+  is, the ``n - ceil(0.85 n) + least_lists(n)`` first shingles, rare ones first (by a
+  fixed-size table of hashed counts over the whole corpus, then by hash), of which a
+  linked set shares ``least_lists`` of the smaller size or more.  That is a share of the
+  size: by chance a set has keys in common with some others, and the more the larger the
+  corpus, but not that many.
 The boundary is the largest size up to which enumerating subsets costs no more than
 scanning lists, summed over the sizes as counted in the corpus.
 
@@ -50,8 +52,8 @@ ROUNDS = 2
 CARRIED = 96
 #: Characters of a block; bits of the table that spares documents without candidates.
 BLOCK, SPARE_BITS = 2 << 20, 24
-#: List keys that linked sets share at least (fewer if the sets are smaller).
-LISTS = 8
+#: List keys that linked sets share at least (fewer if the sets are smaller), and one of so many shingles.
+LISTS, LISTS_OF = 8, 10
 #: Bits of the table of hashed counts, its slices, the largest size for subsets, the cost of scanning one list.
 TABLE_BITS, SLICES, MOST_LIGHT, SCAN = 22, 64, 24, 4
 
@@ -83,6 +85,11 @@ def need(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def least_lists(n, percent: int = PERCENT):
+    """List keys that a set of size n (a number or an array) shares with any linked set that isn't smaller."""
+    return np.minimum(need(n, percent), np.maximum(LISTS, -(-n // LISTS_OF)))
+
+
 def overlap(n: int, m: int, percent: int = PERCENT) -> int:
     """Least overlap of linked sets of sizes n and m."""
     return -(-percent * (n + m) // (100 + percent))
@@ -118,7 +125,7 @@ def keys_of(s: np.ndarray, freq: np.ndarray, light: int, percent: int) -> tuple[
     order = np.lexsort((s, f))
     keys, at = [], []
     if n > light or 100 * n >= percent * (light + 1):
-        head = s[order[:n - need(n, percent) + min(LISTS, need(n, percent))]]
+        head = s[order[:n - need(n, percent) + int(least_lists(n, percent))]]
         keys.append(head)
         at.append(np.arange(len(head)))
     if n <= light:
@@ -218,11 +225,12 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             n_keys, sizes, spots = unpack(n_keys, np.int32), unpack(sizes, np.int32), unpack(spots, np.int32)
             row = np.repeat(np.arange(len(n_keys)), n_keys)
             live = totals[np.searchsorted(np.unique(k), k)] > 1
-            least = np.minimum(LISTS, -(-percent * sizes // 100))
+            # the smallest set that can be linked shares as many
+            least = least_lists(need(sizes.astype(np.int64), percent), percent)
             lists = np.bincount(row[live & (spots >= 0)], minlength=len(sizes)) >= np.maximum(least, 1)
             subsets = np.bincount(row[live & (spots < 0)], minlength=len(sizes)) > 0
             # two linked sets meet in one of these; the last list keys only told whether to drop the set
-            early = spots <= (sizes - -(-percent * sizes // 100))[row]
+            early = spots <= (sizes - need(sizes.astype(np.int64), percent))[row]
             use = np.flatnonzero(live & (lists | subsets)[row] & early)
             row, spots = row[use], spots[use]
             who = np.array([-1 if i is None else i for i in ids], np.int64)

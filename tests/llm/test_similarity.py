@@ -85,6 +85,16 @@ def linked_pairs(seed, times=300):
             yield (a, *J.keys_of(a, freq, 0, 85)[:2]), (b, *J.keys_of(b, freq, 0, 85)[:2])
 
 
+def test_keys_that_tell_a_set_may_be_linked_grow_with_its_size():
+    """A set is kept for sharing a share of its size in list keys, and a linked one shares that many."""
+    needed = [int(J.least_lists(J.need(n))) for n in range(1, 2000)]
+    assert needed == sorted(needed) and needed[-1] >= 160 and needed[0] == 1
+    pairs = list(linked_pairs(4))
+    assert len(pairs) > 100
+    for (a, ka, _), (b, kb, _) in pairs:
+        assert len(np.intersect1d(ka, kb)) >= max(J.least_lists(J.need(len(x))) for x in (a, b))
+
+
 def test_first_shared_key_of_linked_sets(spark):
     rows = []
     for (a, ka, ta), (b, kb, tb) in linked_pairs(6):
