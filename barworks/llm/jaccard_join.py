@@ -351,10 +351,10 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         new = cut(verified(pairs))
-        tried = pairs if tried is None else cut(tried.unionByName(pairs))
+        tried = pairs if tried is None else cut(anew(tried.unionByName(pairs)))
         if new.isEmpty():
             break
-        links = new if links is None else cut(links.unionByName(new))
+        links = new if links is None else cut(anew(links.unionByName(new)))
         labels = components(links)
         labelled = (postings.join(anew(labels.withColumnRenamed("node", "doc_id")), "doc_id", "left")
                     .withColumn("component", F.coalesce("component", "doc_id")))

@@ -117,6 +117,33 @@ def test_chain_of_links(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+def test_chain_of_links_in_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr("barworks.llm._util.EDGES", 10)
+    test_chain_of_links(spark)
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    """Rounds over a few edges ran in all shuffle partitions, thousands of tasks in all."""
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    sc, group = spark.sparkContext, "few-edges"
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (102, 101)], "a long, b long").coalesce(2)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(group, group)
+        got = {r["node"]: r["component"] for r in components(edges).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(61)} | {101: 101, 102: 101}
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i)
+    assert 0 < tasks < 500, tasks
+
+
 def brute_removed(rows, span=S.SPAN):
     seen = Counter()
     data = [(d, (t or "").encode()) for d, t in rows]
