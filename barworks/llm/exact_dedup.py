@@ -9,8 +9,8 @@ Texts are equal when identical after each run of ASCII white space is one space.
 3. Per (hash, differing text or null): the smallest id and the number of rows.
 
 Joins are on the hash.  Both sides are shuffled for the join alone (the small side
-is dealt anew first, as a side that is already partitioned by the hash would keep
-adaptive skew handling from splitting the other), so a hot text's rows are split.
+loses its known partitioning first, as a side that is already partitioned by the hash
+would keep adaptive skew handling from splitting the other), so a hot text's rows are split.
 
 Defined cases: null text counts as empty; a null id is larger than any other; rows
 that share the smallest id of their group are all marked kept; an empty table gives
