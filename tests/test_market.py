@@ -225,3 +225,44 @@ def test_ledger_of_unknown_days_and_prices(spark):
         got = L.portfolio_snapshots(trades, prices, bucket=bucket).orderBy("date").collect()
         assert [(r["portfolio_id"], r["date"], r["positions_value"], r["cash_value"], r["active_positions"]) for r in got] == [
             (1, day(1), 25.0, 99990.0, 2), (1, day(2), 25.0, 99990.0, 2), (1, day(3), 30.0, 99990.0, 2)]
+
+
+def test_ledger_moves_prices_instead_of_the_positions_rows(spark):
+    """The rows of 40 portfolios' positions on 50 days are made and added up where they are: no shuffle has them."""
+    trades = spark.createDataFrame([(p, "X", day(0), "BUY", Decimal(p), Decimal("5.00"), None) for p in range(1, 41)],
+                                   "portfolio_id long, symbol string, date date, side string, quantity decimal(10,0), "
+                                   "price decimal(10,2), fees decimal(10,2)")
+    prices = spark.createDataFrame([("X", day(n), Decimal(n)) for n in range(1, 51)], "symbol string, date date, price decimal(10,2)")
+    out = L.portfolio_snapshots(trades, prices)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode(sequence(")
+    assert "Exchange" not in above and "Exchange" in below
+    got = {(r["portfolio_id"], r["date"]): r["positions_value"] for r in out.collect()}
+    assert got == {(p, day(n)): float(p * (n or 5)) for p in range(1, 41) for n in range(51)}
+
+
+@pytest.mark.parametrize("bucket", [None, "week"])
+def test_ledger_of_named_portfolios_and_prices_of_any_size(spark, bucket):
+    """Ids need not be numbers; prices travel whole, whatever their size and sign."""
+    held = [Decimal(x) for x in ("0.0001", "-0.0001", "214748.3647", "214748.3648", "-214748.3649", "98765432109876.5432", "0")]
+    trades = spark.createDataFrame(
+        [("b", "X", day(2), "BUY", Decimal(1), Decimal(7), None), ("a", "X", day(4), "SELL", Decimal(3), Decimal(7), None),
+         ("a", "X", day(0), "BUY", Decimal(2), Decimal(7), None), ("a", "Y", day(1), "BUY", Decimal(1), Decimal(2), None)],
+        "portfolio_id string, symbol string, date date, side string, quantity decimal(10,0), price decimal(10,2), fees decimal(10,2)")
+    prices = spark.createDataFrame([("X", day(n), x) for n, x in enumerate(held)], "symbol string, date date, price decimal(28,4)")
+    got = {(r["portfolio_id"], r["date"]): (r["positions_value"], r["active_positions"]) for r in L.portfolio_snapshots(
+        trades, prices, bucket=None if bucket is None else F.date_trunc(bucket, "date")).collect()}
+    want = {("a", day(n)): (float((2 if n < 4 else -1) * x + (2 if n else 0)), 1 + (n > 0)) for n, x in enumerate(held)}
+    assert got == want | {("b", day(n)): (float(x), 1) for n, x in enumerate(held) if n > 1}
+
+
+def test_ranges_hold_like_numbers_of_trades(spark, monkeypatch):
+    """Ranges lie one after the other; a portfolio with most of the trades is not cut."""
+    monkeypatch.setattr(L, "RANGE_TRADES", 10)
+    df = spark.createDataFrame([(p,) for p in range(100)] + [(50,)] * 100, "portfolio_id long")
+    part, n = L.ranges_of(df)
+    found = df.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("portfolio_id").alias("a"),
+                                               F.max("portfolio_id").alias("b")).orderBy("part").collect()
+    assert [r["part"] for r in found] == list(range(n)) and max(r["n"] for r in found if not r["a"] <= 50 <= r["b"]) <= 12
+    assert all(x["b"] < y["a"] for x, y in zip(found, found[1:])) and sum(r["n"] for r in found) == 200
+    assert L.ranges_of(df.limit(0))[0] is not None
