@@ -1,6 +1,7 @@
 """Main-text extraction: structure, differencing, alignment."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -108,3 +109,44 @@ def test_neighbours_decide_about_named_main_parts(spark):
     assert got == {0: ("story 0\nsame words\nRead the 0 terms", 1), 1: ("story 1\nsame words", 0),
                    2: ("story 2\nsame words\nRead the 2 terms\nOur terms", 0), 3: ("story 3\nOur terms", 0),
                    4: ("story 4\nsame words\nRead the 4 terms\nOur terms", 0), 5: ("story 5", 1)}
+
+
+def test_all_lines_of_both_pages_are_aligned():
+    """The lines of both main parts tell which of two equal lines is the site's; what they cross is aligned after."""
+    mine, neighbour = [1, 7, 5, 7], [2, 5, 7]  # title, more, story, more; title, story and outside of it: more
+    assert H.lost_lines(mine, [True] * 4, neighbour, [True, True, False]) == [3]
+    assert H.lost_lines([1, 5, 6, 7], [True] * 4, [7, 2, 5, 6], [False, True, True, True]) == [3]
+    assert H.lost_lines([9, 1, 9, 5], [False, True, True, True], [9, 2, 5], [False, True, True]) == [1]
+    assert H.lost_lines([1, 7, 5], [True] * 3, [2, 7, 5], [False] * 3) == []
+    assert H.lost_lines([1, 7, 5], [True] * 3, [1, 7, 5], [True] * 3) == []
+
+
+def test_lost_lines_by_the_rule():
+    """Open lines go by a longest alignment; of a main part's, only lines that the neighbour has outside its own go."""
+    random.seed(5)
+    for _ in range(300):
+        (a, sa), (b, sb) = (([random.randint(0, 5) for _ in range(n)], [random.random() < p for _ in range(n)])
+                            for n, p in ((random.randint(0, 9), random.choice([0, 0.7])) for _ in range(2)))
+        got = H.lost_lines(a, sa, b, sb)
+        if not any(sa):
+            assert got == np.flatnonzero(~H.kept_lines(np.array(a, np.int64), np.array(b, np.int64))).tolist()
+            continue
+        text = [x for x, s in zip(a, sa) if s]
+        only = [x for x, s in zip(b, sb) if not s and x not in {y for y, t in zip(b, sb) if t}] if any(sb) else []
+        assert 0 not in got and all(text[i] in only for i in got)
+        assert all(sum(text[i] == x for i in got) <= only.count(x) for x in set(only))
+        assert bool(got) == any(x in only for x in text[1:])
+
+
+def test_alignment_of_long_pages_is_small():
+    """12,000 lines in another order, and the same line many times, take a few rows of the table at a time."""
+    random.seed(6)
+    a, b = np.arange(12_000), np.arange(12_000)
+    np.random.default_rng(1).shuffle(b)
+    tracemalloc.start()
+    partner = H.aligned(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    met = partner[partner >= 0]
+    assert peak < 8 << 20 and len(met) > 150 and (np.diff(met) > 0).all() and (b[met] == a[partner >= 0]).all()
+    assert (H.aligned(np.array([1, 2] * 2_000), np.array([2, 2, 1] * 1_000)) >= 0).sum() >= 2_000
